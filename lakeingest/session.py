@@ -42,3 +42,45 @@ def prepare(spark: SparkSession) -> None:
             spark.conf.set(key, value)
         elif current is None:
             spark.conf.set(key, value)
+
+
+# Small metadata files (schema versions, checkpoint tokens) go through the Hadoop
+# FileSystem API of the session, so they work on any shared store and cost no job.
+
+def _fs(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small text file, or None when it does not exist."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    """Write a small text file; with ``overwrite=False`` an existing file is an error."""
+    fs, p = _fs(spark, path)
+    stream = fs.create(p, overwrite)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p)]

@@ -5,9 +5,8 @@ query starts. Inference only looks at files newer than the last stored schema
 version (``modifiedAfter``), so a run costs one inference over *new* files:
 footers only for Parquet, a parse for JSON/CSV (optionally sampled).
 
-Schema versions are kept as a small JSON table written with Spark at
-``{checkpoints}/schemas/{datasource}/{dataset}``, so they live in shared storage
-next to the stream checkpoint.
+Schema versions are small JSON files at ``{checkpoints}/schemas/{datasource}/{dataset}``,
+in shared storage next to the stream checkpoint.
 """
 
 from __future__ import annotations
@@ -22,6 +21,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import list_names, read_text, write_text
 from ..spec import DatasetSpec, EngineSpec, SpecError
 
 log = logging.getLogger(__name__)
@@ -115,32 +115,28 @@ class SchemaVersion:
 
 
 class SchemaLog:
-    """Versions of a dataset's schema, as a JSON table in shared storage."""
+    """Versions of a dataset's schema: one small JSON file per version in shared storage.
+
+    A version file is created without overwrite, so two runs racing on the same
+    dataset cannot both record the same version number.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
 
     def latest(self) -> SchemaVersion | None:
-        try:
-            df = self.spark.read.schema(
-                "version INT, schema_json STRING, header_json STRING, files_through STRING"
-            ).json(self.path)
-            row = df.agg(F.max_by(F.struct("version", "schema_json", "header_json", "files_through"),
-                                  "version").alias("v")).first()
-        except AnalysisException:
-            return None
-        if row is None or row["v"] is None:
+        names = sorted(n for n in list_names(self.spark, self.path) if n.startswith("v") and n.endswith(".json"))
+        if not names:
             return None
-        v = row["v"]
-        return SchemaVersion(v["version"], T.StructType.fromJson(json.loads(v["schema_json"])),
-                             json.loads(v["header_json"] or "[]"), v["files_through"] or "")
+        data = json.loads(read_text(self.spark, f"{self.path}/{names[-1]}"))
+        return SchemaVersion(data["version"], T.StructType.fromJson(data["schema"]),
+                             data.get("header") or [], data.get("files_through") or "")
 
     def append(self, version: SchemaVersion) -> None:
-        row = [(version.version, json.dumps(version.schema.jsonValue()), json.dumps(version.header),
-                version.files_through)]
-        (self.spark.createDataFrame(row, "version INT, schema_json STRING, header_json STRING, files_through STRING")
-             .coalesce(1).write.mode("append").json(self.path))
+        body = json.dumps({"version": version.version, "schema": version.schema.jsonValue(),
+                           "header": version.header, "files_through": version.files_through})
+        write_text(self.spark, f"{self.path}/v{version.version:06d}.json", body, overwrite=False)
 
 
 @dataclass
@@ -228,6 +224,9 @@ def resolve_schema(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) ->
     declared = parse_ddl(src["schema"]) if src.get("schema") else None
     if declared is not None and mode == "addNewColumns":
         raise SpecError(f"[{ds.name}] schema_evolution_mode 'addNewColumns' cannot be used with a declared schema")
+    if declared is not None and fmt == "json":
+        # Every JSON key is kept (typed or rescued) line by line: nothing to look up.
+        return ResolvedSchema(declared, mode, rescue=True)
 
     store = SchemaLog(spark, schema_log_path(engine, ds))
     latest = store.latest()

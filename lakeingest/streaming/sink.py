@@ -12,12 +12,12 @@ import logging
 import uuid
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.provenance import with_derived_columns
+from ..session import read_text, write_text
 from ..spec import DatasetSpec, EngineSpec
 
 log = logging.getLogger(__name__)
@@ -47,15 +47,12 @@ def sink_format(ds: DatasetSpec, engine: EngineSpec) -> str:
 
 
 def _read_token(spark: SparkSession, path: str) -> str | None:
-    try:
-        row = spark.read.text(path).first()
-    except AnalysisException:
-        return None
-    return None if row is None else row[0]
+    text = read_text(spark, path)
+    return text.strip() if text else None
 
 
 def _write_token(spark: SparkSession, path: str, token: str) -> None:
-    spark.createDataFrame([(token,)], "value STRING").coalesce(1).write.mode("overwrite").text(path)
+    write_text(spark, path, token)
 
 
 def guard_checkpoint(spark: SparkSession, table: str, checkpoint: str) -> None:
@@ -66,8 +63,8 @@ def guard_checkpoint(spark: SparkSession, table: str, checkpoint: str) -> None:
     the checkpoint was reset: the file sink would restart at batch 0 and skip
     batches its log already holds, reporting success with nothing written.
     """
-    table_token = _read_token(spark, f"{table}/_lakeingest/token")
-    ckpt_token = _read_token(spark, f"{checkpoint}/lakeingest_token")
+    table_token = _read_token(spark, f"{table}/_lakeingest_token")
+    ckpt_token = _read_token(spark, f"{checkpoint}_token")
     if table_token and table_token != ckpt_token:
         raise CheckpointMismatchError(
             f"table {table} was written through another checkpoint than {checkpoint}; "
@@ -77,9 +74,9 @@ def guard_checkpoint(spark: SparkSession, table: str, checkpoint: str) -> None:
         if ckpt_token:
             log.warning("table %s is new but checkpoint %s is not: only files not seen before will be read",
                         table, checkpoint)
-        _write_token(spark, f"{table}/_lakeingest/token", token)
+        _write_token(spark, f"{table}/_lakeingest_token", token)
         if not ckpt_token:
-            _write_token(spark, f"{checkpoint}/lakeingest_token", token)
+            _write_token(spark, f"{checkpoint}_token", token)
 
 
 def _spread(df: DataFrame, partition_by: list[str], files_per_partition: int) -> DataFrame:

@@ -34,7 +34,8 @@ def files_source(fmt: str, dataset: str, **extra) -> dict:
 
 
 def csv_orders_source(**extra) -> dict:
-    return files_source("csv", "orders", schema=ORDERS_DDL, options={"header": "true"}, **extra)
+    options = {"header": "true", **extra.pop("options", {})}
+    return files_source("csv", "orders", schema=ORDERS_DDL, options=options, **extra)
 
 
 @register("ingest_csv_declared", """

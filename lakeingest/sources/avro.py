@@ -95,9 +95,19 @@ def _write_long(out: io.BytesIO, n: int) -> None:
     out.write(bytes([n]))
 
 
+def _take(buf: io.BytesIO, n: int) -> bytes:
+    data = buf.read(n)
+    if n < 0 or len(data) != n:
+        raise EOFError("truncated Avro value")
+    return data
+
+
 def _read_value(buf: io.BytesIO, t: Any) -> Any:
     if isinstance(t, list):
-        return _read_value(buf, t[_read_long(buf)])
+        idx = _read_long(buf)
+        if not 0 <= idx < len(t):
+            raise ValueError(f"union branch {idx} out of range")
+        return _read_value(buf, t[idx])
     if isinstance(t, dict):
         t = t["type"]
     if t == "null":
@@ -105,13 +115,13 @@ def _read_value(buf: io.BytesIO, t: Any) -> Any:
     if t in ("int", "long"):
         return _read_long(buf)
     if t == "double":
-        return struct.unpack("<d", buf.read(8))[0]
+        return struct.unpack("<d", _take(buf, 8))[0]
     if t == "float":
-        return struct.unpack("<f", buf.read(4))[0]
+        return struct.unpack("<f", _take(buf, 4))[0]
     if t == "boolean":
-        return buf.read(1) == b"\x01"
+        return _take(buf, 1) == b"\x01"
     if t in ("string", "bytes"):
-        raw = buf.read(_read_long(buf))
+        raw = _take(buf, _read_long(buf))
         return raw.decode("utf-8") if t == "string" else raw
     raise ValueError(f"unsupported Avro type {t!r}")
 

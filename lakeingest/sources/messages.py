@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.decode import decode_column, decode_failed
+from ..session import read_text, write_text
 from ..spec import DatasetSpec, EngineSpec, SpecError
 from ..streaming.sink import checkpoint_path
 
@@ -51,11 +52,15 @@ def _start_offsets_frame(spark: SparkSession, starts: dict[tuple[str, int], int]
     return spark.createDataFrame(rows, "topic STRING, partition INT, start_offset BIGINT")
 
 
-def _resolve_latest(spark: SparkSession, envelope_path: str, selected: Column,
+def _resolve_latest(spark: SparkSession, envelope_path: str, selected: Column, reader_opts: dict[str, str],
                     requested: dict[tuple[str, int], int] | None) -> dict[tuple[str, int], int]:
-    """Turn ``latest`` into concrete offsets: one past the newest message of each partition now."""
+    """Turn ``latest`` into concrete offsets: one past the newest message of each partition now.
+
+    The result has one row per topic-partition, so it is small whatever the data size.
+    """
+    selection = {k: v for k, v in reader_opts.items() if k in ("recursiveFileLookup", "pathGlobFilter")}
     try:
-        current = (spark.read.schema(ENVELOPE_SCHEMA).parquet(envelope_path).where(selected)
+        current = (spark.read.options(**selection).schema(ENVELOPE_SCHEMA).parquet(envelope_path).where(selected)
                    .groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next")).collect())
     except AnalysisException:
         current = []
@@ -69,18 +74,7 @@ def _resolve_latest(spark: SparkSession, envelope_path: str, selected: Column,
 
 
 def _stored_starts(spark: SparkSession, path: str) -> str | None:
-    try:
-        row = spark.read.text(path).first()
-    except AnalysisException:
-        return None
-    return None if row is None else row[0]
-
-
-def _checkpoint_is_fresh(spark: SparkSession, checkpoint: str) -> bool:
-    try:
-        return spark.read.text(f"{checkpoint}/offsets").limit(1).count() == 0
-    except AnalysisException:
-        return True
+    return read_text(spark, path)
 
 
 def read_envelope(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) -> DataFrame:
@@ -101,11 +95,11 @@ def read_envelope(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) -> D
     if resolved is None:
         requested = None if start == "latest" else _parse_offsets(start)
         if requested is None or LATEST in requested.values():
-            starts = _resolve_latest(spark, path, selected, requested)
+            starts = _resolve_latest(spark, path, selected, reader_opts, requested)
         else:
             starts = requested
         resolved = json.dumps([[t, p, o] for (t, p), o in starts.items()])
-        spark.createDataFrame([(resolved,)], "value STRING").coalesce(1).write.mode("overwrite").text(stored_at)
+        write_text(spark, stored_at, resolved)
     starts = {(t, p): o for t, p, o in json.loads(resolved)}
     if not starts:
         return df

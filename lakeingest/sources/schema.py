@@ -165,10 +165,10 @@ def _new_files_reader(spark: SparkSession, reader_opts: dict[str, str], after: s
 
 
 def _files_through(spark: SparkSession, path: str, reader_opts: dict[str, str], after: str) -> str | None:
-    """Newest modification time (to the second) among files newer than ``after``; None if none."""
+    """Newest modification time (to the millisecond) among files newer than ``after``; None if none."""
     try:
         row = (_new_files_reader(spark, reader_opts, after).format("binaryFile").load(path)
-               .agg(F.date_format(F.max("modificationTime"), "yyyy-MM-dd'T'HH:mm:ss").alias("t"))
+               .agg(F.date_format(F.max("modificationTime"), "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("t"))
                .first())
     except AnalysisException:
         return None

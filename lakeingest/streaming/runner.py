@@ -23,8 +23,27 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def _root_cause(exc: BaseException) -> str:
+    """Message of the innermost JVM cause (e.g. the parser error behind a failed file read)."""
+    jexc = getattr(exc, "_origin", None)
+    last = None
+    try:
+        while jexc is not None:
+            last = jexc
+            jexc = jexc.getCause()
+        return "" if last is None else str(last.toString())
+    except Exception:
+        return ""
+
+
 def _error_text(exc: BaseException) -> str:
-    return f"{type(exc).__name__}: {exc}"[:1000]
+    """``Type: message`` (first line) plus the root cause, cut at 1000 characters."""
+    first = str(exc).strip().splitlines()[0] if str(exc).strip() else ""
+    text = f"{type(exc).__name__}: {first}"
+    cause = _root_cause(exc)
+    if cause and cause.splitlines()[0] not in text:
+        text += f" | cause: {cause.splitlines()[0]}"
+    return text[:1000]
 
 
 def _finished_at(query: StreamingQuery) -> datetime:

@@ -30,66 +30,141 @@ def typed_from_text(text: Column, dtype: T.DataType) -> Column:
     return text.try_cast(dtype)
 
 
-def _mismatches(raw: dict[str, Column], typed: dict[str, Column]) -> Column:
-    """Map of field -> original text for values that were present but did not convert."""
-    entries = [F.when(raw[n].isNotNull() & typed[n].isNull(),
-                      F.struct(F.lit(n).alias("key"), raw[n].alias("value")))
-               for n in raw]
+_ENTRY = "struct<key:string,value:string>"
+
+
+def _entry(key: str, value: Column) -> Column:
+    return F.struct(F.lit(key).alias("key"), value.cast("string").alias("value"))
+
+
+def _present(entries: list[Column]) -> Column:
+    """Non-null entries of a list of optional ``(key, value)`` structs.
+
+    ``array_except`` with a null element drops the nulls; unlike ``filter`` it
+    needs no lambda, so the projection stays inside whole-stage code generation.
+    """
     if not entries:
-        return F.create_map().cast("map<string,string>")
-    return F.map_from_entries(F.filter(F.array(*entries), lambda e: e.isNotNull()))
+        return F.array().cast(f"array<{_ENTRY}>")
+    return F.array_except(F.array(*entries), F.array(F.lit(None).cast(_ENTRY)))
+
+
+def _mismatch_entries(raw: dict[str, Column], typed: dict[str, Column]) -> Column:
+    """Entries field -> original text for values that were present but did not convert."""
+    return _present([F.when(_mismatch(raw[n], typed[n]), _entry(n, raw[n])) for n in raw])
+
+
+def _mismatch(raw: Column, typed: Column) -> Column:
+    return raw.isNotNull() & typed.isNull()
+
+
+def _any(flags: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, flags) if flags else F.lit(False)
 
 
-def _as_json_or_null(m: Column) -> Column:
-    return F.when(F.size(m) > 0, F.to_json(m))
+def _as_json(entries: Column) -> Column:
+    return F.to_json(F.map_from_entries(entries))
 
 
-def json_lines(line: Column, schema: T.StructType) -> list[Column]:
-    """Columns of ``schema`` parsed from one JSON text line, plus ``_rescued_data``.
+def parse_json_object(line: Column) -> Column:
+    """One parse per line: the top-level object as ``map<string,string>`` (nested values keep their JSON text)."""
+    return F.from_json(line, "map<string,string>")
 
-    The line is parsed once, into ``map<string,string>`` (nested values keep their
-    JSON text); each declared field is then converted from its text. Unknown keys
-    and values that fail conversion are rescued. A line that is not a JSON object
-    is rescued whole under ``_corrupt_record``.
+
+NEEDS_RESCUE = "_needs_rescue"
+TYPED_PREFIX = "_typed_"
+
+
+def json_typed(m: Column, schema: T.StructType) -> list[Column]:
+    """First step for JSON lines: declared fields converted from the parsed map ``m``,
+    plus a flag telling whether the row has anything to rescue.
+
+    Kept apart from the rescue step so this projection stays small enough for
+    whole-stage code generation to be compiled by the JIT; the flag is made of
+    scalar tests only (number of keys against the declared keys present, one
+    null test per field).
     """
-    m = F.from_json(line, "map<string,string>")
     raw = {f.name: F.try_element_at(m, F.lit(f.name)) for f in schema.fields}
     typed = {f.name: typed_from_text(raw[f.name], f.dataType) for f in schema.fields}
-    known = F.array(*[F.lit(n) for n in raw]) if raw else F.array().cast("array<string>")
-    unknown = F.map_filter(m, lambda k, v: ~F.array_contains(known, k))
-    checked = {n: raw[n] for n, f in zip(raw, schema.fields) if not isinstance(f.dataType, T.StringType)}
-    rescued = F.when(m.isNull(), F.to_json(F.create_map(F.lit(CORRUPT_KEY), line))).otherwise(
-        _as_json_or_null(F.map_concat(unknown, _mismatches(checked, {n: typed[n] for n in checked}))))
-    return [typed[f.name].alias(f.name) for f in schema.fields] + [rescued.alias(RESCUE_COLUMN)]
+    checked = [f.name for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    declared_present = reduce(lambda a, b: a + b,
+                              [F.map_contains_key(m, F.lit(n)).cast("int") for n in raw], F.lit(0))
+    needs = m.isNull() | (F.size(m) > declared_present) | _any([_mismatch(raw[n], typed[n]) for n in checked])
+    return [typed[f.name].alias(f.name) for f in schema.fields] + [needs.alias(NEEDS_RESCUE)]
 
 
-def text_columns(header: list[str], schema: T.StructType, corrupt: Column | None = None) -> list[Column]:
-    """Typed columns from string columns named by a header (CSV), plus ``_rescued_data``.
+def json_rescue(m: Column, line: Column, schema: T.StructType) -> Column:
+    """Second step for JSON lines: ``_rescued_data`` for the flagged rows, null otherwise.
 
-    Columns are matched by name, never by position. Declared columns absent from
-    the header are null; header columns nobody declared and failed conversions
-    are rescued with their original text; a malformed line (wrong number of
-    fields) is kept whole under ``_corrupt_record``.
+    Unknown keys and values that failed conversion are rescued with their text;
+    a line that is not a JSON object is rescued whole under ``_corrupt_record``.
+    Expects the columns of ``json_typed`` (typed fields and the flag) as input.
+    """
+    names = [f.name for f in schema.fields]
+    known = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
+    unknown = F.map_filter(m, lambda k, v: ~F.array_contains(known, k))
+    checked = {f.name: F.try_element_at(m, F.lit(f.name)) for f in schema.fields
+               if not isinstance(f.dataType, T.StringType)}
+    mismatched = F.map_from_entries(F.filter(
+        F.array(*[F.when(_mismatch(raw, F.col(f"`{n}`")), _entry(n, raw)) for n, raw in checked.items()]
+                or [F.lit(None).cast(_ENTRY)]),
+        lambda e: e.isNotNull()))
+    return (F.when(~F.col(NEEDS_RESCUE), F.lit(None).cast("string"))
+             .when(m.isNull(), F.to_json(F.create_map(F.lit(CORRUPT_KEY), line)))
+             .otherwise(F.to_json(F.map_concat(unknown, mismatched)))).alias(RESCUE_COLUMN)
+
+
+def text_typed(header: list[str], schema: T.StructType, corrupt: Column | None = None) -> list[Column]:
+    """First step for CSV: declared columns converted from the string columns named by
+    the header, plus the rescue flag. Columns are matched by name, never by position;
+    declared columns absent from the header are null.
     """
     present = set(header)
-    typed, checked = {}, {}
+    typed, flags = {}, []
     for f in schema.fields:
         if f.name in present:
-            typed[f.name] = typed_from_text(F.col(f"`{f.name}`"), f.dataType)
+            src = F.col(f"`{f.name}`")
+            typed[f.name] = typed_from_text(src, f.dataType)
             if not isinstance(f.dataType, T.StringType):
-                checked[f.name] = F.col(f"`{f.name}`")
+                flags.append(_mismatch(src, typed[f.name]))
         else:
             typed[f.name] = F.lit(None).cast(f.dataType)
     declared = {f.name for f in schema.fields}
-    extras = [h for h in header if h not in declared]
-    extra_map = (F.map_from_arrays(F.array(*[F.lit(h) for h in extras]),
-                                   F.array(*[F.col(f"`{h}`") for h in extras]))
-                 if extras else F.create_map().cast("map<string,string>"))
+    flags += [F.col(f"`{h}`").isNotNull() for h in header if h not in declared]
+    if corrupt is not None:
+        flags.append(corrupt.isNotNull())
+    return [typed[f.name].alias(f"{TYPED_PREFIX}{f.name}") for f in schema.fields] + [_any(flags).alias(NEEDS_RESCUE)]
+
+
+def text_rescue(header: list[str], schema: T.StructType, corrupt: Column | None = None) -> Column:
+    """Second step for CSV: ``_rescued_data`` for flagged rows: undeclared header
+    columns and failed conversions with their original text, and a malformed line
+    (wrong number of fields) whole under ``_corrupt_record``.
+    """
+    declared = {f.name: f for f in schema.fields}
+    entries = []
+    for h in header:
+        src = F.col(f"`{h}`")
+        if h not in declared:
+            entries.append(F.when(src.isNotNull(), _entry(h, src)))
+        elif not isinstance(declared[h].dataType, T.StringType):
+            entries.append(F.when(_mismatch(src, F.col(f"`{TYPED_PREFIX}{h}`")), _entry(h, src)))
     if corrupt is not None:
-        extra_map = F.map_concat(extra_map, F.create_map(F.lit(CORRUPT_KEY), corrupt))
-    extra_map = F.map_filter(extra_map, lambda k, v: v.isNotNull())
-    rescued = _as_json_or_null(F.map_concat(extra_map, _mismatches(checked, {n: typed[n] for n in checked})))
-    return [typed[f.name].alias(f.name) for f in schema.fields] + [rescued.alias(RESCUE_COLUMN)]
+        entries.append(F.when(corrupt.isNotNull(), _entry(CORRUPT_KEY, corrupt)))
+    body = F.to_json(F.map_from_entries(F.filter(F.array(*(entries or [F.lit(None).cast(_ENTRY)])),
+                                                 lambda e: e.isNotNull())))
+    return F.when(F.col(NEEDS_RESCUE), body).alias(RESCUE_COLUMN)
+
+
+def text_columns(header: list[str], schema: T.StructType, df_cols_corrupt: str | None = None):
+    """Both CSV steps as a function of a DataFrame of string columns (see ``text_typed``)."""
+    def apply(df):
+        corrupt = F.col(f"`{df_cols_corrupt}`") if df_cols_corrupt else None
+        keep = [c for c in df.columns]
+        typed = df.select(*[F.col(f"`{c}`") for c in keep], *text_typed(header, schema, corrupt))
+        return typed.select(*[F.col(f"`{TYPED_PREFIX}{f.name}`").alias(f.name) for f in schema.fields],
+                            text_rescue(header, schema, corrupt),
+                            *[F.col(f"`{c}`") for c in keep if c.startswith("_ingested_")])
+    return apply
 
 
 def extra_columns(schema: T.StructType, extra: T.StructType) -> list[Column]:

@@ -85,23 +85,27 @@ def ingest_parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lab.bronze(ds).select(*LINEITEM_COLS, "_rescued_data")
 
 
-@register("ingest_binary_files", """
-SELECT page_id, CAST(strlen(html) + 1 AS BIGINT) AS length, md5(html || chr(10)) AS content_md5,
-       'txt' AS extension
+LANG_OF_URL = r"^https?://[^/]+/([a-z]{2})/"
+
+
+@register("ingest_binary_files", f"""
+SELECT page_id, regexp_extract(url, '{LANG_OF_URL}', 1) AS lang, CAST(strlen(html) AS BIGINT) AS length,
+       md5(html) AS content_md5
 FROM pages""")
 def ingest_binary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file per page under a folder per language; both carry values (path-derived columns)."""
     lab = Lab(spark, "binary")
-    # One folder per page: the folder name carries the page id (path-derived column).
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
-    pages.write.partitionBy("page_id").text(f"{lab.engine.landing_root}/pages/drop1")
-    # A file the glob filter must skip.
+    pages = table(spark, sf_dir, "pages")
+    rel = F.format_string("lang=%s/page_%d.txt", F.regexp_extract("url", LANG_OF_URL, 1), F.col("page_id"))
+    lab.land_files(pages.withColumn("rel", rel), "pages", "drop1", "rel", "html")
+    # Files the glob filter must skip.
     pages.select("html").write.json(f"{lab.engine.landing_root}/pages/not_pages")
     src = files_source("binaryFile", "pages", options={"pathGlobFilter": "*.txt"})
     ds = lab.dataset("pages", src, BY_DAY)
     lab.run(ds)
     bronze = path_columns(lab.bronze(ds), "_ingested_filepath",
-                          {"page_id": (r"/page_id=(\d+)/", "bigint"), "extension": (r"\.(\w+)$", "string")})
-    return bronze.select("page_id", "length", F.md5("content").alias("content_md5"), "extension")
+                          {"page_id": (r"/page_(\d+)\.txt$", "bigint"), "lang": (r"/lang=([^/]*)/", "string")})
+    return bronze.select("page_id", "lang", "length", F.md5("content").alias("content_md5"))
 
 
 @register("incremental_runs", """

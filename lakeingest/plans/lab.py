@@ -11,8 +11,9 @@ import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..session import new_area
+from ..session import new_area, task_filesystem
 from ..spec import DatasetSpec, EngineSpec
 from ..streaming.catalog import audit_table_name
 from ..streaming.runner import run_ingestion
@@ -40,6 +41,30 @@ class Lab:
         df.write.format(fmt).options(**options).save(path)
         return path
 
+    def land_files(self, df: DataFrame, dataset: str, drop: str, relpath: str, content: str) -> int:
+        """Write one file per row: ``content`` (binary or text) at ``{landing}/{dataset}/{drop}/{relpath}``.
+
+        Each task writes its own rows with deterministic names, so a retried task
+        overwrites its files instead of adding copies. Returns the number of files.
+        """
+        base = f"{self.engine.landing_root}/{dataset}/{drop}"
+
+        def write(batches):
+            import pandas as pd
+            filesystem, root = task_filesystem(base)
+            n = 0
+            for pdf in batches:
+                for rel, body in zip(pdf["_rel"], pdf["_body"]):
+                    target = f"{root}/{rel}"
+                    filesystem.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                    with filesystem.open_output_stream(target) as out:
+                        out.write(body if isinstance(body, (bytes, bytearray)) else str(body).encode("utf-8"))
+                    n += 1
+            yield pd.DataFrame({"n": [n]})
+
+        rows = df.select(F.col(relpath).alias("_rel"), F.col(content).alias("_body"))
+        return int(rows.mapInPandas(write, "n LONG").agg(F.sum("n")).first()[0] or 0)
+
     def dataset(self, name: str, source: dict[str, Any], sink: dict[str, Any] | None = None,
                 datasource: str = "lab") -> DatasetSpec:
         return DatasetSpec.from_dict({"datasource": datasource, "dataset": name, "source": source,

@@ -84,3 +84,13 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
+def task_filesystem(uri: str):
+    """A pyarrow filesystem and path for ``uri``, for use inside tasks."""
+    from pyarrow import fs
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
+    if "://" not in uri:
+        return fs.LocalFileSystem(), uri
+    return fs.FileSystem.from_uri(uri)

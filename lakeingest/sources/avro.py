@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import task_filesystem
+
 # Fixed values of the Avro 1.x specification.
 MAGIC = b"Obj\x01"
 SYNC_SIZE = 16
@@ -278,16 +280,6 @@ def _to_avro_value(v: Any, dtype: T.DataType) -> Any:
     return v
 
 
-def _task_filesystem(uri: str):
-    """A pyarrow filesystem and path for ``uri`` (used inside tasks)."""
-    from pyarrow import fs
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
-    if "://" not in uri:
-        return fs.LocalFileSystem(), uri
-    return fs.FileSystem.from_uri(uri)
-
-
 def write_avro_files(df: DataFrame, path: str, codec: str = "deflate") -> int:
     """Write ``df`` as Avro container files, one per Spark partition; returns the file count.
 
@@ -308,7 +300,7 @@ def write_avro_files(df: DataFrame, path: str, codec: str = "deflate") -> int:
             records.extend({f.name: _to_avro_value(row[i], f.dataType) for i, f in enumerate(fields)}
                            for row in pdf.itertuples(index=False, name=None))
         if records:
-            filesystem, base = _task_filesystem(path)
+            filesystem, base = task_filesystem(path)
             filesystem.create_dir(base, recursive=True)
             name = f"{base}/part-{TaskContext.get().partitionId():05d}.avro"
             with filesystem.open_output_stream(name) as out:

@@ -54,8 +54,14 @@ def read_files(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec,
                      if k in ("pathGlobFilter", "recursiveFileLookup", "maxFilesPerTrigger",
                               "maxBytesPerTrigger", "maxFileAge", "latestFirst", "lineSep", "encoding")}
         lines = _stream_reader(spark, text_opts).format("text").load(path)
-        lines = with_file_lineage(lines).where(F.trim(F.col("value")) != "")
-        return lines.select(*rescue.json_lines(F.col("value"), schema), "_ingested_filename", "_ingested_filepath")
+        # The text source names its column `value`; datasets may have a field of that name.
+        lineage = ["_ingested_filename", "_ingested_filepath"]
+        lines = with_file_lineage(lines).select(F.col("value").alias("_line"), *lineage)
+        lines = lines.where(F.trim(F.col("_line")) != "")
+        parsed = lines.select("_line", rescue.parse_json_object(F.col("_line")).alias("_m"), *lineage)
+        typed = parsed.select(*rescue.json_typed(F.col("_m"), schema), "_m", "_line", *lineage)
+        return typed.select(*[F.col(f"`{f.name}`") for f in schema.fields],
+                            rescue.json_rescue(F.col("_m"), F.col("_line"), schema), *lineage)
 
     if fmt == "csv":
         header = resolved.header or [f.name for f in schema.fields]
@@ -69,8 +75,7 @@ def read_files(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec,
             opts.pop("enforceSchema")
         df = _stream_reader(spark, opts).format("csv").schema(read_schema).load(path)
         df = with_file_lineage(df)
-        return df.select(*rescue.text_columns(header, schema, F.col(CORRUPT_KEY)),
-                         "_ingested_filename", "_ingested_filepath")
+        return rescue.text_columns(header, schema, CORRUPT_KEY)(df)
 
     if fmt == "parquet":
         read_schema = T.StructType(schema.fields + resolved.extra.fields)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import SparkSession
@@ -62,11 +63,12 @@ def _result(run_id: str, ds: DatasetSpec, engine: EngineSpec, started: datetime,
 
 
 def run_ingestion(spark: SparkSession, engine: EngineSpec, datasets: list[DatasetSpec],
-                  run_id: str | None = None, only: list[str] | None = None) -> list[IngestResult]:
+                  run_id: str | None = None, only: list[str] | None = None,
+                  parallelism: int = 8) -> list[IngestResult]:
     """Ingest every enabled dataset; one failing dataset never stops the others.
 
-    All queries are started first so independent datasets overlap inside Spark,
-    then awaited in start order. Continuous queries are reported as RUNNING and
+    All queries are started first (up to ``parallelism`` at a time) so independent
+    datasets overlap inside Spark, then awaited in configuration order. Continuous queries are reported as RUNNING and
     left running. Every dataset gets one audit row.
     """
     prepare(spark)
@@ -76,14 +78,25 @@ def run_ingestion(spark: SparkSession, engine: EngineSpec, datasets: list[Datase
 
     results: list[IngestResult] = []
     in_flight: list[tuple[DatasetSpec, StreamingQuery, datetime]] = []
-    for ds in active:
+
+    def start(ds: DatasetSpec):
         started = _now()
         try:
             df = read_source(spark, ds, engine)
-            in_flight.append((ds, start_bronze_stream(spark, ds, engine, df), started))
+            return ds, start_bronze_stream(spark, ds, engine, df), started, None
         except Exception as exc:
             log.error("[%s] could not start: %s", ds.name, exc)
-            results.append(_result(run_id, ds, engine, started, _now(), 0, "ERROR", _error_text(exc)))
+            return ds, None, started, _result(run_id, ds, engine, started, _now(), 0, "ERROR", _error_text(exc))
+
+    # Phase 1: resolve schemas and start every query. The driver-side preparation
+    # (file listing, inference over new files) of independent datasets overlaps.
+    workers = max(1, min(parallelism, len(active)))
+    with ThreadPoolExecutor(max_workers=workers, thread_name_prefix="lakeingest-start") as pool:
+        for ds, query, started, failed in pool.map(start, active):
+            if failed is not None:
+                results.append(failed)
+            else:
+                in_flight.append((ds, query, started))
 
     registered_ok: list[DatasetSpec] = []
     for ds, query, started in in_flight:

@@ -15,6 +15,7 @@ def spark():
     from pyspark.sql import SparkSession
     session = (SparkSession.builder.master("local[*]").appName("lakeingest-tests")
                .config("spark.sql.shuffle.partitions", "8")
+               .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "16")
                .config("spark.ui.enabled", "false")
                .config("spark.sql.session.timeZone", "UTC")
                .getOrCreate())

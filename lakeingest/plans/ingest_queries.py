@@ -342,3 +342,16 @@ def continuous_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     query.stop()
     n = lab.bronze(ds).agg(F.count(F.lit(1)).alias("rows_after_stop"))
     return n.select(F.lit(results[0].status).alias("status"), "rows_after_stop")
+
+
+@register("ingest_avro_file", f"""
+SELECT {', '.join(ORDERS_COLS)}, CAST(NULL AS VARCHAR) AS _rescued_data, TRUE AS from_avro FROM orders""")
+def ingest_avro_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Avro container files (schema inside the files), partitioned by a column of the data."""
+    from ..sources.avro import write_avro_files
+    lab = Lab(spark, "avro")
+    write_avro_files(table(spark, sf_dir, "orders").repartition(4), f"{lab.engine.landing_root}/orders/drop1")
+    ds = lab.dataset("orders", files_source("avro", "orders"), {"partition_by": ["o_orderpriority"]})
+    lab.run(ds)
+    return lab.bronze(ds).select(*ORDERS_COLS, "_rescued_data",
+                                 F.col("_ingested_filename").endswith(".avro").alias("from_avro"))

@@ -29,4 +29,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import ingest_queries, layer_queries, message_queries  # noqa: F401
+    from . import ingest_queries, layer_queries, message_queries, run_queries  # noqa: F401

@@ -132,9 +132,6 @@ def mean_by_group_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.mean_by_group_day(table(spark, sf_dir, "events"), "event_type", "ts", "value")
 
 
-_BROKEN_VALUE = "CASE WHEN event_id % 50 = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR) END"
-
-
 @register("typed_clean", """
 SELECT event_id, ts, user_id, event_type,
        TRY_CAST(CASE WHEN event_id % 50 = 0 THEN 'n/a' END AS DOUBLE) AS value_if_broken,
@@ -163,3 +160,51 @@ def typed_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("value_raw") == "n/a", F.col("value")).alias("value_if_broken"),
         "value", F.col("ts_text").alias("ts_clean"),
         F.when(F.col("value").isNull(), F.col("value_raw")).alias("value_raw_if_broken"))
+
+
+def _events_in_two_runs(spark: SparkSession, sf_dir: str, label: str, second=None):
+    """Bronze events from two drops ingested by two runs; returns the lab, spec and the drops."""
+    lab = Lab(spark, label)
+    events = table(spark, sf_dir, "events")
+    first = events.where("ts < TIMESTAMP '2024-01-16'")
+    second = events.where("ts >= TIMESTAMP '2024-01-16'") if second is None else second(events)
+    ds = lab.dataset("events", files_source("json", "events", schema=EVENTS_DDL),
+                     {"derived_partitions": {"_ingested_date": "to_date(_ingested_at)"},
+                      "partition_by": ["_ingested_date"]})
+    return lab, ds, first, second
+
+
+@register("cdc_incremental", """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) t
+WHERE rn = 1 AND event_type <> 'error'""")
+def cdc_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current state kept up to date run after run: bronze changes -> bucketed state table."""
+    from ..streaming.silver import KeyedState, read_bronze_stream, start_cdc_stream
+    from ..streaming.sink import table_path
+    lab, ds, first, second = _events_in_two_runs(spark, sf_dir, "cdcinc")
+    state = KeyedState(spark, f"{lab.area}/silver/user_state", ["user_id"], ["event_id"],
+                       "event_type = 'error'", buckets=16)
+    checkpoint = f"{lab.area}/silver/_checkpoints/user_state"
+    for drop, rows in (("d1", first), ("d2", second)):
+        lab.land(rows, "events", drop, "json", **TS_TEXT)
+        lab.run(ds)
+        changes = read_bronze_stream(spark, table_path(ds, lab.engine)).select(*EVENTS_COLS)
+        start_cdc_stream(changes, state, checkpoint).awaitTermination()
+    return state.visible().select(*EVENTS_COLS)
+
+
+@register("dedup_stream", """
+SELECT event_id, ts, user_id, event_type, value, props FROM events""")
+def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event delivered twice (the copy in a later drop): silver keeps each event once."""
+    from ..streaming.silver import dedup_stream as dedup, read_bronze_stream, start_table_stream
+    from ..streaming.sink import table_path
+    lab, ds, first, second = _events_in_two_runs(spark, sf_dir, "dedup", second=lambda e: e)
+    target, checkpoint = f"{lab.area}/silver/events", f"{lab.area}/silver/_checkpoints/events"
+    for drop, rows in (("d1", first), ("d2", second)):
+        lab.land(rows, "events", drop, "json", **TS_TEXT)
+        lab.run(ds)
+        bronze = read_bronze_stream(spark, table_path(ds, lab.engine)).select(*EVENTS_COLS)
+        start_table_stream(dedup(bronze, ["event_id"], "ts", "365 days"), target, checkpoint).awaitTermination()
+    return spark.read.parquet(target).select(*EVENTS_COLS)

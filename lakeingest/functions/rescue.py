@@ -74,6 +74,9 @@ NEEDS_RESCUE = "_needs_rescue"
 TYPED_PREFIX = "_typed_"
 
 
+DUPLICATE_KEY = "_duplicate_keys_line"
+
+
 def json_typed(m: Column, schema: T.StructType) -> list[Column]:
     """First step for JSON lines: declared fields converted from the parsed map ``m``,
     plus a flag telling whether the row has anything to rescue.
@@ -81,7 +84,8 @@ def json_typed(m: Column, schema: T.StructType) -> list[Column]:
     Kept apart from the rescue step so this projection stays small enough for
     whole-stage code generation to be compiled by the JIT; the flag is made of
     scalar tests only (number of keys against the declared keys present, one
-    null test per field).
+    null test per field). A repeated key makes the map larger than the declared
+    keys present, so such lines are flagged too.
     """
     raw = {f.name: F.try_element_at(m, F.lit(f.name)) for f in schema.fields}
     typed = {f.name: typed_from_text(raw[f.name], f.dataType) for f in schema.fields}
@@ -96,7 +100,8 @@ def json_rescue(m: Column, line: Column, schema: T.StructType) -> Column:
     """Second step for JSON lines: ``_rescued_data`` for the flagged rows, null otherwise.
 
     Unknown keys and values that failed conversion are rescued with their text;
-    a line that is not a JSON object is rescued whole under ``_corrupt_record``.
+    a line that is not a JSON object is rescued whole under ``_corrupt_record``,
+    and a line repeating a key whole under ``_duplicate_keys_line``.
     Expects the columns of ``json_typed`` (typed fields and the flag) as input.
     """
     names = [f.name for f in schema.fields]
@@ -108,8 +113,11 @@ def json_rescue(m: Column, line: Column, schema: T.StructType) -> Column:
         F.array(*[F.when(_mismatch(raw, F.col(f"`{n}`")), _entry(n, raw)) for n, raw in checked.items()]
                 or [F.lit(None).cast(_ENTRY)]),
         lambda e: e.isNotNull()))
+    # The parsed map keeps a repeated key twice (lookups see the first): keep the line whole.
+    repeated = F.size(F.array_distinct(F.map_keys(m))) < F.size(m)
     return (F.when(~F.col(NEEDS_RESCUE), F.lit(None).cast("string"))
              .when(m.isNull(), F.to_json(F.create_map(F.lit(CORRUPT_KEY), line)))
+             .when(repeated, F.to_json(F.create_map(F.lit(DUPLICATE_KEY), line)))
              .otherwise(F.to_json(F.map_concat(unknown, mismatched)))).alias(RESCUE_COLUMN)
 
 

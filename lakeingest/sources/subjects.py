@@ -23,13 +23,14 @@ def subject_versions(spark: SparkSession, engine: EngineSpec, subject: str) -> t
     if not engine.schema_table_path:
         # No HTTP client here: the registry content is exported to a table.
         raise SpecError(f"no schema table configured (engine 'schema_table_path') for subject '{subject}'")
+    path = engine.resolve_path(engine.schema_table_path)
     try:
-        df = spark.read.schema(SUBJECTS_SCHEMA).parquet(engine.schema_table_path).where(F.col("subject") == subject)
+        df = spark.read.schema(SUBJECTS_SCHEMA).parquet(path).where(F.col("subject") == subject)
         rows = df.select("version", "id", "schema_json").collect()
     except AnalysisException as exc:
-        raise SpecError(f"schema table {engine.schema_table_path} unreadable: {exc}") from exc
+        raise SpecError(f"schema table {path} unreadable: {exc}") from exc
     if not rows:
-        raise SpecError(f"subject '{subject}' not found in {engine.schema_table_path}")
+        raise SpecError(f"subject '{subject}' not found in {path}")
     latest = max(rows, key=lambda r: r["version"])["schema_json"]
     return latest, {r["id"]: r["schema_json"] for r in rows}
 

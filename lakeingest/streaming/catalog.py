@@ -54,7 +54,7 @@ def bootstrap(spark: SparkSession, engine: EngineSpec) -> None:
         location = f"{engine.lakehouse_root}/_catalog/{schema}.db"
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {qualified(spark, engine, schema)} LOCATION '{location}'")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in AUDIT_SCHEMA.fields)
-    location = f" LOCATION '{engine.audit_path}'" if engine.audit_path else ""
+    location = f" LOCATION '{engine.resolve_path(engine.audit_path)}'" if engine.audit_path else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {audit_table_name(spark, engine)} ({ddl}) USING parquet{location}")
 
 

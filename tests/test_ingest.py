@@ -65,17 +65,19 @@ def test_json_rescue_keeps_everything(spark):
         '{"id": "bad", "amount": 3, "extra": {"k": 1}}',
         'not json at all',
         '{"id": 4, "amount": null}',
+        '{"id": 5, "amount": 1.0, "amount": 2.0}',
         '',
     ])
     write_text(spark, f"{lab.engine.landing_root}/t/a.json", lines)
     ds = lab.dataset("t", files_source("json", "t", schema="id BIGINT, amount DOUBLE, `when` TIMESTAMP_NTZ"))
-    assert lab.run(ds)[0].rows_ingested == 4
+    assert lab.run(ds)[0].rows_ingested == 5
     got = [(r["id"], r["amount"], r["_rescued_data"]) for r in lab.bronze(ds).collect()]
     assert (1, 2.5, None) in got
     assert (4, None, None) in got  # an explicit null is not a mismatch
     rescued = [json.loads(r[2]) for r in got if r[2]]
     assert {"id": "bad", "extra": '{"k":1}'} in rescued
     assert {"_corrupt_record": "not json at all"} in rescued
+    assert {"_duplicate_keys_line": '{"id": 5, "amount": 1.0, "amount": 2.0}'} in rescued
 
 
 def test_csv_matches_columns_by_header_name(spark):

@@ -13,7 +13,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_area, task_filesystem
+from ..session import new_area, ship_package, task_filesystem
 from ..spec import DatasetSpec, EngineSpec
 from ..streaming.catalog import audit_table_name
 from ..streaming.runner import run_ingestion
@@ -22,6 +22,7 @@ from ..streaming.runner import run_ingestion
 class Lab:
     def __init__(self, spark: SparkSession, label: str, **engine_extra: Any):
         self.spark = spark
+        ship_package(spark)
         self.area = new_area(spark, label)
         tag = uuid.uuid4().hex[:8]
         self.engine = EngineSpec.from_dict({

@@ -30,7 +30,9 @@ def new_area(spark: SparkSession, label: str) -> str:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Settings the engine relies on; only applied when the user left them unset."""
+    """Settings the engine relies on (only applied when the user left them unset),
+    and the package shipped to Python workers."""
+    ship_package(spark)
     defaults = {
         # Keep every progress entry of a long drain (row counts are summed from them).
         "spark.sql.streaming.numRecentProgressUpdates": "100000",
@@ -94,3 +96,44 @@ def task_filesystem(uri: str):
     if "://" not in uri:
         return fs.LocalFileSystem(), uri
     return fs.FileSystem.from_uri(uri)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by Python workers (``addPyFile`` of a zip).
+
+    Arrow-batched functions are pickled by reference to their module, so the
+    executors must import ``lakeingest``. The zip goes to the shared folder and
+    Spark distributes it; once per application and package content.
+    """
+    import hashlib
+    import io
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in sorted(os.walk(pkg)):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    data = buf.getvalue()
+    digest = hashlib.sha256(data).hexdigest()[:16]
+    key = f"{sc.applicationId}/{digest}"
+    if key in _SHIPPED:
+        return
+    target = f"{shared_root(spark)}/lakeingest/pkg/lakeingest-{digest}.zip"
+    if not path_exists(spark, target):
+        fs, p = _fs(spark, target)
+        stream = fs.create(p, True)
+        try:
+            stream.write(bytearray(data))
+        finally:
+            stream.close()
+    sc.addPyFile(target)
+    _SHIPPED.add(key)

@@ -1,7 +1,7 @@
 """Launcher: one engine run from config files.
 
-    spark-submit -m lakeingest --engine configs/engine.json --datasets configs/datasets \
-        [--only shop.orders,shop.readings] [--run-id ID]
+    spark-submit --py-files lakeingest.zip lakeingest/__main__.py --engine configs/engine.json \
+        --datasets configs/datasets [--only shop.orders,shop.readings] [--run-id ID]
     python -m lakeingest ...          (local session)
 
 Every dataset file is validated before anything starts; ``--only`` then keeps
@@ -27,9 +27,9 @@ def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
     from pyspark.sql import SparkSession
 
-    from .spec import EngineSpec, load_dataset_specs
-    from .streaming.audit import results_frame, run_report
-    from .streaming.runner import run_ingestion
+    from lakeingest.spec import EngineSpec, load_dataset_specs
+    from lakeingest.streaming.audit import results_frame, run_report
+    from lakeingest.streaming.runner import run_ingestion
 
     only = [n.strip() for n in args.only.split(",") if n.strip()]
     engine = EngineSpec.load(args.engine)

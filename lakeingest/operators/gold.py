@@ -52,7 +52,16 @@ def mean_by_group_day(readings: DataFrame, group: str, ts: str, value: str) -> D
                          F.max(value).alias("max_value")))
 
 
-def as_of(bronze: DataFrame, cut, ingested_at: str = "_ingested_at") -> DataFrame:
-    """Bronze as it was at ``cut``: only rows ingested at or before it."""
+def as_of(bronze: DataFrame, cut, ingested_at: str = "_ingested_at",
+          ingested_date: str | None = "_ingested_date") -> DataFrame:
+    """Bronze as it was at ``cut``: only rows ingested at or before it.
+
+    When the table is partitioned by ingestion date, a bound on that column is
+    added so later partitions are pruned rather than scanned. The bound is one
+    day loose, so a writer in another time zone cannot make it drop rows.
+    """
     cut_col = cut if isinstance(cut, Column) else F.lit(cut)
-    return bronze.where(F.col(ingested_at) <= cut_col)
+    out = bronze.where(F.col(ingested_at) <= cut_col)
+    if ingested_date and ingested_date in bronze.columns:
+        out = out.where(F.col(ingested_date) <= F.date_add(F.to_date(cut_col), 1))
+    return out

@@ -28,17 +28,29 @@ def read_bronze_stream(spark: SparkSession, table: str, **options: str) -> DataF
     return spark.readStream.schema(schema).options(**{"maxFileAge": "3650d", **options}).parquet(table)
 
 
-def dedup_stream(df: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
+def dedup_stream(df: DataFrame, keys: Sequence[str], event_time: str, delay: str,
+                 spread_hot_keys: bool = True) -> DataFrame:
     """Drop rows whose key was already seen within ``delay`` of event time.
 
     State holds one entry per key until the watermark passes its event time plus
     the delay, so the delay bounds the state. ``withWatermark`` needs a
     TIMESTAMP column: a TIMESTAMP_NTZ event time is converted first.
+
+    With ``spread_hot_keys`` the work runs in two phases. First the rows are
+    de-duplicated per key *and input split*: copies of one key read by different
+    tasks go to different tasks, and each split's copies shrink to one row. Then
+    they are de-duplicated per key, over at most one row per split. A key
+    holding a third of all rows therefore never lands whole in one task. The
+    split id is stable when a micro-batch is replayed, because its files and
+    splits are fixed.
     """
     ts = F.col(f"`{event_time}`")
     if isinstance(df.schema[event_time].dataType, T.TimestampNTZType):
         ts = ts.cast("timestamp")
     marked = df.withColumn("_event_time", ts).withWatermark("_event_time", delay)
+    if spread_hot_keys:
+        marked = (marked.withColumn("_split", F.spark_partition_id())
+                        .dropDuplicatesWithinWatermark([*keys, "_split"]).drop("_split"))
     return marked.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
 
 
@@ -124,8 +136,9 @@ class KeyedState:
             return
         _, manifest = self._manifest(below=version)
         previous = self._read(manifest, touched)
+        # Columns may have been added to the changes since earlier versions.
         merged = staged if previous is None else latest_per_key(
-            previous.select(*staged.columns).unionByName(staged), self.keys, self.order_by)
+            previous.unionByName(staged, allowMissingColumns=True), self.keys, self.order_by)
         (merged.repartition(F.col("_bucket")).write.mode("overwrite").partitionBy("_bucket")
                .parquet(f"{self.path}/data/_version={version}"))
         manifest.update({b: version for b in touched})

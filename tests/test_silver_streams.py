@@ -48,3 +48,21 @@ def test_untouched_buckets_keep_their_version(spark):
     assert sorted(set(manifest.values())) == [0, 1]
     assert list(manifest.values()).count(1) == 1
     assert len(_visible(st)) == 40
+
+
+def test_dedup_stream_with_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    from lakeingest.streaming.silver import dedup_stream, start_table_stream
+    area = new_area(spark, "hotdedup")
+    hot = spark.range(20000).select(F.lit(7).cast("long").alias("k"), F.lit("x").alias("payload"),
+                                    F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("ts"))
+    rest = spark.range(500).select((F.col("id") + 100).alias("k"), F.lit("y").alias("payload"),
+                                   F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("ts"))
+    hot.unionByName(rest).repartition(5).write.parquet(f"{area}/in")
+    stream = spark.readStream.schema("k BIGINT, payload STRING, ts TIMESTAMP_NTZ").parquet(f"{area}/in")
+    q = start_table_stream(dedup_stream(stream, ["k"], "ts", "1 day"), f"{area}/out", f"{area}/ck")
+    q.awaitTermination()
+    out = spark.read.parquet(f"{area}/out")
+    assert out.count() == 501 and out.where("k = 7").count() == 1
+    assert [op.operatorName for op in q.lastProgress.stateOperators].count("dedupeWithinWatermark") == 2

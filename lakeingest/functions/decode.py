@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..spec import DatasetSpec, EngineSpec, SpecError
 
@@ -46,7 +45,3 @@ def decode_column(spark: SparkSession, col: Column, fmt: str, subject: str | Non
 def decode_failed(decoded: Column, raw: Column) -> Column:
     """Raw bytes present but every decoded field null (or the struct itself null)."""
     return raw.isNotNull() & (decoded.isNull() | F.to_json(decoded).isin("{}", "null"))
-
-
-def struct_fields(dtype: T.DataType) -> list[str]:
-    return [f.name for f in dtype.fields] if isinstance(dtype, T.StructType) else []

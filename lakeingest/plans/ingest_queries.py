@@ -355,3 +355,31 @@ def ingest_avro_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab.run(ds)
     return lab.bronze(ds).select(*ORDERS_COLS, "_rescued_data",
                                  F.col("_ingested_filename").endswith(".avro").alias("from_avro"))
+
+
+@register("rewritten_file_ignored", f"""
+SELECT {', '.join(ORDERS_COLS)}, 0 AS second_run_rows FROM orders""")
+def rewritten_file_ignored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files re-delivered under names already ingested are not read again (first version kept)."""
+    lab = Lab(spark, "rewrite")
+    orders = table(spark, sf_dir, "orders").orderBy("o_orderkey").repartition(4, "o_orderkey")
+    ds = lab.dataset("orders", csv_orders_source())
+    lab.land_csv_parts(orders, "orders", "drop1")
+    lab.run(ds, run_id="first")
+    lab.land_csv_parts(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1), "orders", "drop1")
+    second = lab.run(ds, run_id="second")[0]
+    return lab.bronze(ds).select(*ORDERS_COLS, F.lit(second.rows_ingested).cast("bigint").alias("second_run_rows"))
+
+
+@register("failure_isolation", """
+SELECT 'orders' AS dataset, count(*) AS bronze_rows FROM orders
+UNION ALL SELECT 'events', count(*) FROM events""")
+def failure_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset failing in the same run leaves the others ingested whole."""
+    from ..streaming.sink import table_path
+    lab = _three_datasets(spark, sf_dir, "isolation")
+    frames = [spark.read.parquet(table_path(lab.dataset(name, {"type": "files", "format": "json", "path": "x"}),
+                                            lab.engine))
+              .agg(F.count(F.lit(1)).alias("bronze_rows")).select(F.lit(name).alias("dataset"), "bronze_rows")
+              for name in ("orders", "events")]
+    return frames[0].unionByName(frames[1])

@@ -66,6 +66,32 @@ class Lab:
         rows = df.select(F.col(relpath).alias("_rel"), F.col(content).alias("_body"))
         return int(rows.mapInPandas(write, "n LONG").agg(F.sum("n")).first()[0] or 0)
 
+    def land_csv_parts(self, df: DataFrame, dataset: str, drop: str) -> int:
+        """Write ``df`` as CSV files named after their partition (``part-00000.csv`` ...).
+
+        Writing again with the same partitioning rewrites the same file names;
+        that is how a source re-delivers a file under an existing name.
+        """
+        base = f"{self.engine.landing_root}/{dataset}/{drop}"
+
+        def write(batches):
+            import io
+
+            import pandas as pd
+            from pyspark import TaskContext
+            frames = [pdf for pdf in batches]
+            pdf = pd.concat(frames) if frames else pd.DataFrame()
+            if len(pdf):
+                filesystem, root = task_filesystem(base)
+                filesystem.create_dir(root, recursive=True)
+                text = io.StringIO()
+                pdf.to_csv(text, index=False)
+                with filesystem.open_output_stream(f"{root}/part-{TaskContext.get().partitionId():05d}.csv") as out:
+                    out.write(text.getvalue().encode("utf-8"))
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+        return int(df.mapInPandas(write, "n LONG").agg(F.sum("n")).first()[0] or 0)
+
     def dataset(self, name: str, source: dict[str, Any], sink: dict[str, Any] | None = None,
                 datasource: str = "lab") -> DatasetSpec:
         return DatasetSpec.from_dict({"datasource": datasource, "dataset": name, "source": source,

@@ -67,6 +67,9 @@ def split_options(source: dict[str, Any]) -> tuple[dict[str, Any], dict[str, str
     engine_opts: dict[str, Any] = {}
     reader_opts: dict[str, str] = {}
     for key, value in (source.get("options") or {}).items():
+        if key.startswith("cloudFiles.") and key not in ENGINE_OPTION_KEYS:
+            log.warning("option %s has no equivalent here and is ignored", key)
+            continue
         if key in ENGINE_OPTION_KEYS:
             target = ENGINE_OPTION_KEYS[key]
             if target in ("maxFilesPerTrigger", "maxBytesPerTrigger"):

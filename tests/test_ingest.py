@@ -121,7 +121,7 @@ def test_missing_landing_folder_is_a_per_dataset_error(spark, small_dir):
     res = {r.dataset: r for r in lab.run(good, inferred, declared)}
     assert res["orders"].status == "OK" and res["orders"].rows_ingested == 10
     assert res["nothing"].status == "ERROR" and "no files" in res["nothing"].error_message
-    assert res["nothing_declared"].status in ("OK", "ERROR")
+    assert res["nothing_declared"].status == "ERROR" and "PATH_NOT_FOUND" in res["nothing_declared"].error_message
     assert len(res["nothing"].error_message) <= 1000
 
 

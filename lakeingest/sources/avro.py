@@ -289,7 +289,7 @@ def write_avro_files(df: DataFrame, path: str, codec: str = "deflate") -> int:
     spark = df.sparkSession
     if avro_package_loaded(spark):
         df.write.format("avro").option("compression", codec).save(path)
-        return df.rdd.getNumPartitions()
+        return len(spark.read.format("avro").load(path).inputFiles())
     schema = avro_schema_of(df.schema)
     fields = df.schema.fields
 

@@ -101,8 +101,13 @@ class Lab:
         return run_ingestion(self.spark, self.engine, list(datasets), run_id=run_id)
 
     def bronze(self, ds: DatasetSpec) -> DataFrame:
-        from ..streaming.sink import table_path
-        return self.spark.read.option("mergeSchema", "true").parquet(table_path(ds, self.engine))
+        """The bronze table, read with the schema its sink recorded (no footer merge)."""
+        from ..streaming.sink import table_path, table_schema
+        path = table_path(ds, self.engine)
+        schema = table_schema(self.spark, path)
+        if schema is None:
+            return self.spark.read.option("mergeSchema", "true").parquet(path)
+        return self.spark.read.schema(schema).parquet(path)
 
     def audit(self) -> DataFrame:
         return self.spark.read.table(audit_table_name(self.spark, self.engine))

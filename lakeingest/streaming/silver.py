@@ -22,9 +22,15 @@ from ..session import list_names, read_text, write_text
 log = logging.getLogger(__name__)
 
 
-def read_bronze_stream(spark: SparkSession, table: str, **options: str) -> DataFrame:
-    """A bronze table as a stream: the files its sink committed, in commit order."""
-    schema = spark.read.option("mergeSchema", "true").parquet(table).schema
+def read_bronze_stream(spark: SparkSession, table: str, schema: T.StructType | None = None,
+                       **options: str) -> DataFrame:
+    """A bronze table as a stream: the files its sink committed, in commit order.
+
+    The schema is the one recorded by the bronze sink; merging every Parquet
+    footer is the fallback for tables written by something else.
+    """
+    from .sink import table_schema
+    schema = schema or table_schema(spark, table) or spark.read.option("mergeSchema", "true").parquet(table).schema
     return spark.readStream.schema(schema).options(**{"maxFileAge": "3650d", **options}).parquet(table)
 
 

@@ -8,12 +8,14 @@ pass over the table is needed.
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.provenance import with_derived_columns
@@ -79,6 +81,32 @@ def guard_checkpoint(spark: SparkSession, table: str, checkpoint: str) -> None:
             _write_token(spark, f"{checkpoint}_token", token)
 
 
+SCHEMA_FILE = "_lakeingest_schema.json"
+
+
+def table_schema(spark: SparkSession, table: str) -> T.StructType | None:
+    """The bronze table's schema as recorded by its sink (union over all runs), if any."""
+    text = read_text(spark, f"{table}/{SCHEMA_FILE}")
+    return T.StructType.fromJson(json.loads(text)) if text else None
+
+
+def record_table_schema(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """Keep the union of the recorded schema and this run's columns beside the table.
+
+    Readers take the schema from here instead of merging every Parquet footer of
+    the table, which at scale means millions of footers per read.
+    """
+    current = table_schema(spark, table)
+    if current is not None:
+        known = {f.name for f in current.fields}
+        merged = T.StructType(current.fields + [f for f in schema.fields if f.name not in known])
+    else:
+        merged = schema
+    merged = T.StructType([T.StructField(f.name, f.dataType, True) for f in merged.fields])
+    if current is None or merged != current:
+        write_text(spark, f"{table}/{SCHEMA_FILE}", json.dumps(merged.jsonValue()))
+
+
 def _spread(df: DataFrame, partition_by: list[str], files_per_partition: int) -> DataFrame:
     """Bound the files per table partition with a deterministic salt.
 
@@ -111,6 +139,8 @@ def start_bronze_stream(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec
 
     if fmt in FILE_SINK_FORMATS and options["checkpointLocation"] == checkpoint:
         guard_checkpoint(spark, target, checkpoint)
+    if fmt in FILE_SINK_FORMATS:
+        record_table_schema(spark, target, df.schema)
 
     writer = (df.writeStream.format(fmt).outputMode("append")
               .options(**options).queryName(ds.name))

@@ -265,3 +265,49 @@ def test_splitting_a_drop_never_changes_bronze(spark, small_dir, n_files):
     cols = ["event_id", "ts", "user_id", "event_type", "value", "props"]
     assert lab.bronze(ds).select(*cols).exceptAll(e.select(*cols)).count() == 0
     assert lab.bronze(ds).count() == e.count()
+
+
+def test_source_options_override_engine_defaults(spark):
+    from lakeingest.sources.schema import split_options
+    engine_opts, reader_opts = split_options({"options": {"cloudFiles.schemaHints": "a int", "maxFileAge": "7d",
+                                                          "cloudFiles.maxFilesPerTrigger": 3,
+                                                          "cloudFiles.useNotifications": "true"}})
+    assert engine_opts == {"schema_hints": "a int"}
+    assert reader_opts == {"maxFileAge": "7d", "maxFilesPerTrigger": "3"}
+    from lakeingest.sources.files import _DEFAULT_STREAM_OPTIONS
+    assert {**_DEFAULT_STREAM_OPTIONS, **reader_opts}["maxFileAge"] == "7d"
+
+
+def test_json_sink_format(spark, small_dir):
+    lab = Lab(spark, "t_k3")
+    lab.land(orders(spark, small_dir).limit(12), "orders", "d1", "csv", header="true")
+    ds = lab.dataset("orders", csv_orders_source(), {"format": "json"})
+    assert lab.run(ds)[0].rows_ingested == 12
+    from lakeingest.streaming.sink import table_path
+    assert spark.read.json(table_path(ds, lab.engine)).count() == 12
+
+
+def test_csv_empty_fields_are_null(spark):
+    lab = Lab(spark, "t_c6")
+    write_text(spark, f"{lab.engine.landing_root}/s/a.csv",
+               "id,delivered_ts,hours,status\n1,2024-01-02T10:00:00,5.5,DELIVERED\n2,,,IN_TRANSIT\n")
+    ds = lab.dataset("s", files_source("csv", "s", options={"header": "true"},
+                                       schema="id INT, delivered_ts TIMESTAMP_NTZ, hours DOUBLE, status STRING"))
+    lab.run(ds)
+    got = {r["id"]: r for r in lab.bronze(ds).collect()}
+    assert got[2]["delivered_ts"] is None and got[2]["hours"] is None and got[2]["_rescued_data"] is None
+    assert got[1]["hours"] == 5.5
+
+
+def test_glob_filter_and_recursion_select_files(spark):
+    lab = Lab(spark, "t_s8")
+    write_text(spark, f"{lab.engine.landing_root}/img/f1/2024-01-01/a.png", "png-a")
+    write_text(spark, f"{lab.engine.landing_root}/img/f2/2024-01-02/b.png", "png-bb")
+    write_text(spark, f"{lab.engine.landing_root}/img/f2/notes.txt", "not an image")
+    ds = lab.dataset("img", files_source("binaryFile", "img", options={"pathGlobFilter": "*.png"}))
+    assert lab.run(ds)[0].rows_ingested == 2
+    from lakeingest.operators.silver import path_columns
+    out = path_columns(lab.bronze(ds), "path", {"field": (r"/img/([^/]+)/", "string"),
+                                                 "day": (r"/(\d{4}-\d{2}-\d{2})/", "date")})
+    assert sorted((r["field"], str(r["day"]), r["length"]) for r in out.collect()) == [
+        ("f1", "2024-01-01", 5), ("f2", "2024-01-02", 6)]

@@ -175,6 +175,70 @@ def text_columns(header: list[str], schema: T.StructType, df_cols_corrupt: str |
     return apply
 
 
+UNMAPPED_KEY = "_unmapped_values"
+EXTRA_VALUES_KEY = "_extra_values"
+VALUES = "_values"
+HEADER = "_header"
+
+
+def csv_by_file_typed(schema: T.StructType, width: int) -> list[Column]:
+    """First step for CSV files read positionally (``_c0`` ... ``_c<width>``) next to their own header.
+
+    ``_header`` is the file's header (from the probe); each declared field takes
+    the value at its position in that header. ``width`` is the widest header,
+    and one more slot catches lines with more fields than any header. Rows equal
+    to their header are the header lines themselves.
+    """
+    values = F.array(*[F.col(f"_c{i}") for i in range(width + 1)])
+    header = F.col(HEADER)
+    typed, flags = {}, [header.isNull()]
+    for f in schema.fields:
+        pos = F.array_position(header, F.lit(f.name))
+        raw = F.when(pos > 0, F.element_at(values, pos.cast("int")))
+        typed[f.name] = typed_from_text(raw, f.dataType)
+        if not isinstance(f.dataType, T.StringType):
+            flags.append(_mismatch(raw, typed[f.name]))
+    declared = F.array(*[F.lit(f.name) for f in schema.fields])
+    # Undeclared header columns, or values past the header: possibly something to rescue.
+    flags += [F.size(F.array_except(header, declared)) > 0, F.col(f"_c{width}").isNotNull(),
+              F.size(header) < F.lit(width)]
+    is_header_line = header.isNotNull() & (F.slice(values, 1, F.size(header)) == header)
+    return ([typed[f.name].alias(f"{TYPED_PREFIX}{f.name}") for f in schema.fields]
+            + [_any(flags).alias(NEEDS_RESCUE), is_header_line.alias("_is_header_line"), values.alias(VALUES)])
+
+
+def csv_by_file_rescue(schema: T.StructType, width: int) -> Column:
+    """Second step: undeclared columns (by the file's header), failed conversions,
+    values past the header, and rows of files without a probed header (all values)."""
+    header, values = F.col(HEADER), F.col(VALUES)
+    declared = F.array(*[F.lit(f.name) for f in schema.fields])
+    by_name = F.map_from_arrays(header, F.slice(values, 1, F.size(header)))
+    extras = F.map_filter(by_name, lambda k, v: ~F.array_contains(declared, k) & v.isNotNull())
+    checked = [f.name for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    mismatched = F.map_from_entries(F.filter(F.array(*[
+        F.when(_mismatch(F.try_element_at(by_name, F.lit(n)), F.col(f"`{TYPED_PREFIX}{n}`")),
+               _entry(n, F.try_element_at(by_name, F.lit(n)))) for n in checked] or [F.lit(None).cast(_ENTRY)]),
+        lambda e: e.isNotNull()))
+    past = F.filter(F.slice(values, F.size(header) + 1, width + 1), lambda v: v.isNotNull())
+    past_map = F.when(F.size(past) > 0, F.create_map(F.lit(EXTRA_VALUES_KEY), F.to_json(past))) \
+        .otherwise(F.create_map().cast("map<string,string>"))
+    found = F.map_concat(extras, mismatched, past_map)
+    body = F.when(header.isNull(), F.to_json(F.create_map(F.lit(UNMAPPED_KEY), F.to_json(values)))) \
+        .when(F.size(found) > 0, F.to_json(found))
+    return F.when(F.col(NEEDS_RESCUE), body).alias(RESCUE_COLUMN)
+
+
+def csv_by_file(schema: T.StructType, width: int):
+    """Both steps, as a function of the positional DataFrame joined with ``_header``."""
+    def apply(df):
+        lineage = [c for c in df.columns if c.startswith("_ingested_")]
+        typed = df.select(*csv_by_file_typed(schema, width), HEADER, *lineage)
+        typed = typed.where(~F.col("_is_header_line"))
+        return typed.select(*[F.col(f"`{TYPED_PREFIX}{f.name}`").alias(f.name) for f in schema.fields],
+                            csv_by_file_rescue(schema, width), *lineage)
+    return apply
+
+
 def extra_columns(schema: T.StructType, extra: T.StructType) -> list[Column]:
     """Declared columns as read, plus undeclared ones packed into ``_rescued_data`` (Parquet/Avro)."""
     cols = [F.col(f"`{f.name}`") for f in schema.fields]

@@ -383,3 +383,18 @@ def failure_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("bronze_rows")).select(F.lit(name).alias("dataset"), "bronze_rows")
               for name in ("orders", "events")]
     return frames[0].unionByName(frames[1])
+
+
+@register("csv_mixed_headers", f"""
+SELECT {', '.join(ORDERS_COLS)}, CAST(NULL AS VARCHAR) AS _rescued_data FROM orders""")
+def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run over CSV files whose headers list the columns in different orders."""
+    lab = Lab(spark, "csvmixed")
+    orders = table(spark, sf_dir, "orders")
+    lab.land(orders.where("o_orderdate < TIMESTAMP '1998-01-01'").select(*ORDERS_COLS),
+             "orders", "drop1", "csv", header="true")
+    lab.land(orders.where("o_orderdate >= TIMESTAMP '1998-01-01'").select(*reversed(ORDERS_COLS)),
+             "orders", "drop2", "csv", header="true")
+    ds = lab.dataset("orders", csv_orders_source(), BY_DAY)
+    lab.run(ds)
+    return lab.bronze(ds).select(*ORDERS_COLS, "_rescued_data")

@@ -63,6 +63,21 @@ def read_files(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec,
         return typed.select(*[F.col(f"`{f.name}`") for f in schema.fields],
                             rescue.json_rescue(F.col("_m"), F.col("_line"), schema), *lineage)
 
+    if fmt == "csv" and resolved.header_table:
+        # New files carry different header orders: read positionally and map each
+        # file by its own header (a small table from the probe, joined on the path).
+        width = resolved.header_width
+        # One slot more than the widest header catches lines with too many fields.
+        read_schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width + 1)])
+        opts = {**reader_opts, "header": "false", "mode": "PERMISSIVE"}
+        df = _stream_reader(spark, opts).format("csv").schema(read_schema).load(path)
+        df = df.withColumn("_file_path", F.col("_metadata.file_path"))
+        df = with_file_lineage(df)
+        headers = spark.read.parquet(resolved.header_table).select(
+            F.col("file_path").alias("_file_path"), F.col("header").alias(rescue.HEADER))
+        joined = df.join(headers, "_file_path", "left").drop("_file_path")
+        return rescue.csv_by_file(schema, width)(joined)
+
     if fmt == "csv":
         header = resolved.header or [f.name for f in schema.fields]
         read_schema = T.StructType([T.StructField(h, T.StringType()) for h in header]

@@ -151,6 +151,9 @@ class ResolvedSchema:
     rescue: bool
     header: list[str] = field(default_factory=list)
     extra: T.StructType = field(default_factory=T.StructType)
+    # CSV only: set when the new files of this run carry more than one header order.
+    header_table: str = ""
+    header_width: int = 0
 
 
 def schema_log_path(engine: EngineSpec, ds: DatasetSpec) -> str:
@@ -178,6 +181,65 @@ def _files_through(spark: SparkSession, path: str, reader_opts: dict[str, str],
     return None if row is None else row["t"]
 
 
+HEADER_TABLE = "headers"
+UNREADABLE_SUFFIXES = (".bz2", ".lz4", ".snappy", ".zst", ".deflate", ".xz", ".zip", ".br")
+
+
+def probe_csv_headers(spark: SparkSession, path: str, reader_opts: dict[str, str], after: str,
+                      target: str) -> list[list[str]] | None:
+    """Distinct headers of the new CSV files; with more than one, the per-file
+    mapping ``(file_path, header)`` is written as a table at ``target``.
+
+    Each task opens its files and reads only the first line (a few KB per file),
+    so the probe costs one listing plus tiny reads whatever the file sizes. The
+    distinct header orders are metadata (a handful per dataset), not data.
+    Returns None when some file could not be probed.
+    """
+    sep = reader_opts.get("sep", reader_opts.get("delimiter", ","))
+    quote = reader_opts.get("quote", '"')
+    encoding = reader_opts.get("encoding", reader_opts.get("charset", "utf-8"))
+    files = (_new_files_reader(spark, reader_opts, after).format("binaryFile").load(path)
+             .select(F.col("_metadata.file_path").alias("file_path"), "path"))
+
+    def first_lines(batches):
+        import csv
+        import gzip
+        import io
+
+        import pandas as pd
+
+        from ..session import task_filesystem
+        for pdf in batches:
+            out = []
+            for file_path, uri in zip(pdf["file_path"], pdf["path"]):
+                header = None
+                # Stores pyarrow cannot open (Hadoop-only schemes) and codecs other than
+                # gzip give no header: the run then takes the single-header path.
+                if not uri.endswith(UNREADABLE_SUFFIXES):
+                    try:
+                        filesystem, local = task_filesystem(uri)
+                        with filesystem.open_input_stream(local) as stream:
+                            head = stream.read(1 << 16)
+                        if uri.endswith(".gz"):
+                            head = gzip.GzipFile(fileobj=io.BytesIO(head)).read1(1 << 16)
+                        text = head.decode(encoding, errors="replace").lstrip("\ufeff")
+                        row = next(csv.reader(io.StringIO(text), delimiter=sep, quotechar=quote), [])
+                        header = [c.strip() for c in row]
+                    except Exception:
+                        header = None
+                out.append((file_path, header))
+            yield pd.DataFrame(out, columns=["file_path", "header"])
+
+    headers = files.mapInPandas(first_lines, "file_path STRING, header ARRAY<STRING>")
+    found = [r["header"] for r in headers.select("header").distinct().collect()]
+    if any(h is None for h in found):
+        return None
+    distinct = [list(h) for h in found]
+    if len(distinct) > 1:
+        headers.write.mode("overwrite").parquet(target)
+    return distinct
+
+
 def infer_new_files(spark: SparkSession, fmt: str, path: str, reader_opts: dict[str, str],
                     engine_opts: dict[str, Any], after: str) -> tuple[T.StructType | None, list[str]]:
     """Schema (and CSV header) of the files newer than ``after``; (None, []) if there are none."""
@@ -236,7 +298,21 @@ def resolve_schema(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) ->
     after = latest.files_through if latest else ""
     through = _files_through(spark, path, reader_opts, after)
     inferred, header = (None, [])
-    if through is not None and (declared is None or fmt in ("csv", "parquet", "avro")):
+    header_table, header_width = "", 0
+    if through is not None and fmt == "csv" and str(reader_opts.get("header", "false")).lower() == "true":
+        target = f"{schema_log_path(engine, ds)}/{HEADER_TABLE}/through={through.replace(':', '-')}"
+        distinct = probe_csv_headers(spark, path, reader_opts, after, target) or []
+        infer_types = _truthy(engine_opts.get("infer_column_types", "false"))
+        if len(distinct) > 1:
+            # Several header orders in one run: map every file by its own header.
+            header_table, header_width = target, max(len(h) for h in distinct)
+            names = list(dict.fromkeys(n for h in distinct for n in h))
+            log.info("[%s] %d header orders among new files; mapping columns per file", ds.name, len(distinct))
+            inferred, header = T.StructType([T.StructField(n, T.StringType()) for n in names]), names
+        elif distinct and (declared is not None or not infer_types):
+            header = distinct[0]
+            inferred = T.StructType([T.StructField(n, T.StringType()) for n in header])
+    if inferred is None and through is not None and (declared is None or fmt in ("csv", "parquet", "avro")):
         inferred, header = infer_new_files(spark, fmt, path, reader_opts, engine_opts, after)
     hints = engine_opts.get("schema_hints")
 
@@ -270,4 +346,5 @@ def resolve_schema(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) ->
     if changed:
         version = 0 if latest is None else latest.version + 1
         store.append(SchemaVersion(version, columns, header, through or after))
-    return ResolvedSchema(columns, mode, rescue=True, header=header, extra=extra)
+    return ResolvedSchema(columns, mode, rescue=True, header=header, extra=extra,
+                          header_table=header_table, header_width=header_width)

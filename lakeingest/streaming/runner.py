@@ -26,7 +26,7 @@ def _now() -> datetime:
 
 def _root_cause(exc: BaseException) -> str:
     """Message of the innermost JVM cause (e.g. the parser error behind a failed file read)."""
-    jexc = getattr(exc, "_origin", None)
+    jexc = getattr(exc, "_origin", None) or getattr(exc, "java_exception", None)
     last = None
     try:
         while jexc is not None:
@@ -68,8 +68,9 @@ def run_ingestion(spark: SparkSession, engine: EngineSpec, datasets: list[Datase
     """Ingest every enabled dataset; one failing dataset never stops the others.
 
     All queries are started first (up to ``parallelism`` at a time) so independent
-    datasets overlap inside Spark, then awaited in configuration order. Continuous queries are reported as RUNNING and
-    left running. Every dataset gets one audit row.
+    datasets overlap inside Spark, then awaited in configuration order.
+    Continuous queries are reported as RUNNING and left running. Every dataset
+    gets one audit row.
     """
     prepare(spark)
     run_id = run_id or uuid.uuid4().hex[:12]

@@ -320,3 +320,17 @@ def test_header_probe_gives_up_on_unreadable_files(spark):
     assert probe_csv_headers(spark, f"{lab.engine.landing_root}/c", {}, "", f"{lab.area}/h") is None
     assert probe_csv_headers(spark, f"{lab.engine.landing_root}/c", {"pathGlobFilter": "*.csv"}, "",
                              f"{lab.area}/h2") == [["a", "b"]]
+
+
+def test_missing_connectors_are_per_dataset_errors(spark, small_dir, tmp_path):
+    props = tmp_path / "client.properties"
+    props.write_text("bootstrap.servers=localhost:9092\n", encoding="utf-8")
+    lab = Lab(spark, "t_conn", kafka={"client_properties_path": str(props)})
+    lab.land(orders(spark, small_dir).limit(5), "orders", "d1", "csv", header="true")
+    good = lab.dataset("orders", csv_orders_source())
+    to_delta = lab.dataset("orders_delta", csv_orders_source(), {"format": "delta"})
+    from_kafka = lab.dataset("msgs", {"type": "kafka", "subscribe": "t", "value_format": "string"})
+    res = {r.dataset: r for r in lab.run(good, to_delta, from_kafka)}
+    assert res["orders"].status == "OK" and res["orders"].rows_ingested == 5
+    assert res["orders_delta"].status == "ERROR" and "delta" in res["orders_delta"].error_message.lower()
+    assert res["msgs"].status == "ERROR" and "kafka" in res["msgs"].error_message.lower()

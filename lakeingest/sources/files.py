@@ -18,8 +18,10 @@ from ..spec import DatasetSpec, EngineSpec, SpecError
 from .schema import BINARY_FILE_SCHEMA, CORRUPT_KEY, ResolvedSchema, resolve_schema, split_options
 
 # Landing zones keep files for a long time; Spark's default (7 days relative to
-# the newest file) would silently skip an old drop.
-_DEFAULT_STREAM_OPTIONS = {"maxFileAge": "3650d"}
+# the newest file) would silently skip an old drop. A backlog is drained in
+# bounded micro-batches: each one commits, so a failure costs one batch of work
+# and the driver never plans one batch over millions of files.
+_DEFAULT_STREAM_OPTIONS = {"maxFileAge": "3650d", "maxFilesPerTrigger": "50000"}
 
 
 def _stream_reader(spark: SparkSession, reader_opts: dict[str, str]):

@@ -32,6 +32,7 @@ ENVELOPE_SCHEMA = T.StructType([
 
 # Fixed values of Kafka's JSON offset notation.
 EARLIEST, LATEST = -2, -1
+DEFAULT_MAX_OFFSETS_PER_TRIGGER = 50_000_000
 
 
 def topic_filter(topic: Column, subscribe: str | None, pattern: str | None) -> Column:
@@ -81,8 +82,8 @@ def read_envelope(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) -> D
     src = ds.source
     path = engine.resolve_path(src["envelope_path"])
     selected = topic_filter(F.col("topic"), src.get("subscribe"), src.get("subscribe_pattern"))
-    reader_opts = {"maxFileAge": "3650d", **{k: str(v) for k, v in (src.get("options") or {}).items()
-                                            if not k.startswith("kafka.")}}
+    reader_opts = {"maxFileAge": "3650d", "maxFilesPerTrigger": "50000",
+                   **{k: str(v) for k, v in (src.get("options") or {}).items() if not k.startswith("kafka.")}}
     df = spark.readStream.options(**reader_opts).schema(ENVELOPE_SCHEMA).parquet(path).where(selected)
 
     start = src.get("starting_offsets", "earliest")
@@ -125,6 +126,8 @@ def kafka_options(ds: DatasetSpec, engine: EngineSpec) -> dict[str, str]:
     else:
         options["subscribe"] = src["subscribe"]
     options["startingOffsets"] = src.get("starting_offsets", "earliest")
+    # Bounded micro-batches when draining a backlog (overridable like every option).
+    options["maxOffsetsPerTrigger"] = str(DEFAULT_MAX_OFFSETS_PER_TRIGGER)
     options.update({k: str(v) for k, v in (src.get("options") or {}).items()})
     return options
 

@@ -48,6 +48,7 @@ ENGINE_OPTION_KEYS = {
     "cloudFiles.maxFilesPerTrigger": "maxFilesPerTrigger",
     "cloudFiles.maxBytesPerTrigger": "maxBytesPerTrigger",
     "cloudFiles.schemaInference.samplingRatio": "schema_inference_sampling_ratio",
+    "cloudFiles.schemaInference.sampleSize.numFiles": "schema_inference_max_files",
 }
 
 # Reader options that also restrict which files inference looks at.
@@ -78,7 +79,8 @@ def split_options(source: dict[str, Any]) -> tuple[dict[str, Any], dict[str, str
                 engine_opts[target] = value
         else:
             reader_opts[key] = str(value)
-    for key in ("schema_hints", "infer_column_types", "schema_inference_sampling_ratio"):
+    for key in ("schema_hints", "infer_column_types", "schema_inference_sampling_ratio",
+                "schema_inference_max_files"):
         if key in source:
             engine_opts[key] = source[key]
     return engine_opts, reader_opts
@@ -240,11 +242,36 @@ def probe_csv_headers(spark: SparkSession, path: str, reader_opts: dict[str, str
     return distinct
 
 
+DEFAULT_INFERENCE_MAX_FILES = 1000
+
+
+def _inference_files(spark: SparkSession, path: str, reader_opts: dict[str, str], after: str,
+                     max_files: int) -> list[str] | None:
+    """The newest ``max_files`` new files when there are more than that, else None (use them all).
+
+    Bounds the inference work of a run over a large backlog; columns found only
+    in the other files still reach ``_rescued_data`` (rescue is always on).
+    """
+    listing = _new_files_reader(spark, reader_opts, after).format("binaryFile").load(path)
+    newest = listing.orderBy(F.col("modificationTime").desc(), F.col("path")).select("path").limit(max_files + 1)
+    paths = [r["path"] for r in newest.collect()]
+    return paths[:max_files] if len(paths) > max_files else None
+
+
 def infer_new_files(spark: SparkSession, fmt: str, path: str, reader_opts: dict[str, str],
                     engine_opts: dict[str, Any], after: str) -> tuple[T.StructType | None, list[str]]:
     """Schema (and CSV header) of the files newer than ``after``; (None, []) if there are none."""
     infer_types = _truthy(engine_opts.get("infer_column_types", "false"))
     reader = _new_files_reader(spark, reader_opts, after)
+    max_files = int(engine_opts.get("schema_inference_max_files", DEFAULT_INFERENCE_MAX_FILES))
+    try:
+        sample = _inference_files(spark, path, reader_opts, after, max_files) if fmt != "avro" else None
+    except AnalysisException:
+        sample = None
+    if sample is not None:
+        log.info("inferring the schema of %s from the newest %d new files", path, len(sample))
+        reader = spark.read
+        path = sample
     passthrough = {k: v for k, v in reader_opts.items()
                    if k not in FILE_SELECTION_OPTIONS and k not in ("maxFilesPerTrigger", "maxBytesPerTrigger")}
     try:
@@ -261,7 +288,8 @@ def infer_new_files(spark: SparkSession, fmt: str, path: str, reader_opts: dict[
             schema = reader.options(**opts).csv(path).schema
             return schema, [f.name for f in schema.fields]
         if fmt == "parquet":
-            return reader.options(**passthrough).option("mergeSchema", "true").parquet(path).schema, []
+            paths = path if isinstance(path, list) else [path]
+            return reader.options(**passthrough).option("mergeSchema", "true").parquet(*paths).schema, []
         if fmt == "avro":
             from .avro import infer_avro_schema
             return infer_avro_schema(spark, path, reader_opts, after), []

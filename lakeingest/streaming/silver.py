@@ -31,7 +31,8 @@ def read_bronze_stream(spark: SparkSession, table: str, schema: T.StructType | N
     """
     from .sink import table_schema
     schema = schema or table_schema(spark, table) or spark.read.option("mergeSchema", "true").parquet(table).schema
-    return spark.readStream.schema(schema).options(**{"maxFileAge": "3650d", **options}).parquet(table)
+    return (spark.readStream.schema(schema)
+            .options(**{"maxFileAge": "3650d", "maxFilesPerTrigger": "50000", **options}).parquet(table))
 
 
 def dedup_stream(df: DataFrame, keys: Sequence[str], event_time: str, delay: str,

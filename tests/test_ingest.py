@@ -334,3 +334,19 @@ def test_missing_connectors_are_per_dataset_errors(spark, small_dir, tmp_path):
     assert res["orders"].status == "OK" and res["orders"].rows_ingested == 5
     assert res["orders_delta"].status == "ERROR" and "delta" in res["orders_delta"].error_message.lower()
     assert res["msgs"].status == "ERROR" and "kafka" in res["msgs"].error_message.lower()
+
+
+def test_inference_is_bounded_to_the_newest_files(spark, small_dir):
+    import time
+    lab = Lab(spark, "t_infer_bound")
+    e = events(spark, small_dir)
+    lab.land(e.select("event_id", "user_id").limit(10).coalesce(1), "ev", "d1", "json")
+    time.sleep(1.1)
+    lab.land(e.select("event_id", "user_id", "event_type").limit(10).coalesce(1), "ev", "d2", "json")
+    src = files_source("json", "ev", options={"cloudFiles.schemaInference.sampleSize.numFiles": "1"})
+    ds = lab.dataset("ev", src)
+    assert lab.run(ds)[0].rows_ingested == 20
+    b = lab.bronze(ds)
+    # The newest file decided the columns; nothing of the older one is lost.
+    assert set(b.columns) >= {"event_id", "user_id", "event_type", "_rescued_data"}
+    assert b.where("_rescued_data IS NOT NULL").count() == 0

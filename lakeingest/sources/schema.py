@@ -172,15 +172,25 @@ def _new_files_reader(spark: SparkSession, reader_opts: dict[str, str], after: s
     return reader
 
 
-def _files_through(spark: SparkSession, path: str, reader_opts: dict[str, str], after: str) -> str | None:
-    """Newest modification time (to the millisecond) among files newer than ``after``; None if none."""
+def list_new_files(spark: SparkSession, path: str, reader_opts: dict[str, str], after: str,
+                   newest: int) -> tuple[str | None, list[str] | None]:
+    """One listing job over the files newer than ``after``.
+
+    Returns the newest modification time (to the millisecond; None when there is
+    no new file) and, when there are more than ``newest`` new files, the paths of
+    the ``newest`` most recent ones (else None: use them all). A top-N, so the
+    driver receives at most ``newest + 1`` rows whatever the backlog.
+    """
     try:
-        row = (_new_files_reader(spark, reader_opts, after).format("binaryFile").load(path)
-               .agg(F.date_format(F.max("modificationTime"), "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("t"))
-               .first())
+        listing = _new_files_reader(spark, reader_opts, after).format("binaryFile").load(path)
+        top = (listing.select("path", F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("t"))
+               .orderBy(F.col("t").desc(), F.col("path")).limit(newest + 1).collect())
     except AnalysisException:
-        return None
-    return None if row is None else row["t"]
+        return None, None
+    if not top:
+        return None, None
+    sample = [r["path"] for r in top[:newest]] if len(top) > newest else None
+    return top[0]["t"], sample
 
 
 HEADER_TABLE = "headers"
@@ -245,30 +255,19 @@ def probe_csv_headers(spark: SparkSession, path: str, reader_opts: dict[str, str
 DEFAULT_INFERENCE_MAX_FILES = 1000
 
 
-def _inference_files(spark: SparkSession, path: str, reader_opts: dict[str, str], after: str,
-                     max_files: int) -> list[str] | None:
-    """The newest ``max_files`` new files when there are more than that, else None (use them all).
-
-    Bounds the inference work of a run over a large backlog; columns found only
-    in the other files still reach ``_rescued_data`` (rescue is always on).
-    """
-    listing = _new_files_reader(spark, reader_opts, after).format("binaryFile").load(path)
-    newest = listing.orderBy(F.col("modificationTime").desc(), F.col("path")).select("path").limit(max_files + 1)
-    paths = [r["path"] for r in newest.collect()]
-    return paths[:max_files] if len(paths) > max_files else None
-
-
 def infer_new_files(spark: SparkSession, fmt: str, path: str, reader_opts: dict[str, str],
-                    engine_opts: dict[str, Any], after: str) -> tuple[T.StructType | None, list[str]]:
-    """Schema (and CSV header) of the files newer than ``after``; (None, []) if there are none."""
+                    engine_opts: dict[str, Any], after: str,
+                    sample: list[str] | None = None) -> tuple[T.StructType | None, list[str]]:
+    """Schema (and CSV header) of the files newer than ``after``, or of ``sample``
+    (the newest of them) when given; (None, []) if there are none.
+
+    Inference over a bounded sample keeps a large backlog from costing a full
+    extra pass; columns found only in the other files still reach
+    ``_rescued_data`` (rescue is always on).
+    """
     infer_types = _truthy(engine_opts.get("infer_column_types", "false"))
     reader = _new_files_reader(spark, reader_opts, after)
-    max_files = int(engine_opts.get("schema_inference_max_files", DEFAULT_INFERENCE_MAX_FILES))
-    try:
-        sample = _inference_files(spark, path, reader_opts, after, max_files) if fmt != "avro" else None
-    except AnalysisException:
-        sample = None
-    if sample is not None:
+    if sample is not None and fmt != "avro":
         log.info("inferring the schema of %s from the newest %d new files", path, len(sample))
         reader = spark.read
         path = sample
@@ -324,7 +323,8 @@ def resolve_schema(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) ->
     store = SchemaLog(spark, schema_log_path(engine, ds))
     latest = store.latest()
     after = latest.files_through if latest else ""
-    through = _files_through(spark, path, reader_opts, after)
+    max_files = int(engine_opts.get("schema_inference_max_files", DEFAULT_INFERENCE_MAX_FILES))
+    through, sample = list_new_files(spark, path, reader_opts, after, max_files)
     inferred, header = (None, [])
     header_table, header_width = "", 0
     if through is not None and fmt == "csv" and str(reader_opts.get("header", "false")).lower() == "true":
@@ -341,7 +341,7 @@ def resolve_schema(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) ->
             header = distinct[0]
             inferred = T.StructType([T.StructField(n, T.StringType()) for n in header])
     if inferred is None and through is not None and (declared is None or fmt in ("csv", "parquet", "avro")):
-        inferred, header = infer_new_files(spark, fmt, path, reader_opts, engine_opts, after)
+        inferred, header = infer_new_files(spark, fmt, path, reader_opts, engine_opts, after, sample)
     hints = engine_opts.get("schema_hints")
 
     if declared is not None:

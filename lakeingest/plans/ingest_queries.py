@@ -398,3 +398,35 @@ def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     ds = lab.dataset("orders", csv_orders_source(), BY_DAY)
     lab.run(ds)
     return lab.bronze(ds).select(*ORDERS_COLS, "_rescued_data")
+
+
+@register("audit_history", """
+SELECT 'r1' AS run_id, 'orders' AS dataset, count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1998-01-01') AS rows_ingested,
+       'OK' AS status, TRUE AS timed FROM orders
+UNION ALL SELECT 'r2', 'orders', count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01'), 'OK', TRUE FROM orders""")
+def audit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit table read as an operations report: latest first, whole seconds per dataset."""
+    from ..streaming.audit import audit_history as history
+    lab = Lab(spark, "history")
+    orders = table(spark, sf_dir, "orders")
+    ds = lab.dataset("orders", csv_orders_source(), BY_DAY)
+    lab.land(orders.where("o_orderdate < TIMESTAMP '1998-01-01'"), "orders", "drop1", "csv", header="true")
+    lab.run(ds, run_id="r1")
+    lab.land(orders.where("o_orderdate >= TIMESTAMP '1998-01-01'"), "orders", "drop2", "csv", header="true")
+    lab.run(ds, run_id="r2")
+    return history(lab.audit()).select("run_id", "dataset", "rows_ingested", "status",
+                                       (F.col("seconds") >= 0).alias("timed"))
+
+
+@register("run_report", """
+SELECT 'lab.orders' AS dataset, 'csv' AS source_format, count(*) AS rows_ingested, 'OK' AS status, TRUE AS timed
+FROM orders
+UNION ALL SELECT 'lab.missing', 'json', 0, 'ERROR', TRUE""")
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report printed after a run: one line per dataset with duration, rows, status."""
+    from ..streaming.audit import results_frame, run_report as report
+    lab = Lab(spark, "report")
+    lab.land(table(spark, sf_dir, "orders"), "orders", "drop1", "csv", header="true")
+    results = lab.run(lab.dataset("orders", csv_orders_source()), lab.dataset("missing", files_source("json", "missing")))
+    return report(results_frame(spark, results)).select(
+        "dataset", "source_format", "rows_ingested", "status", (F.col("seconds") >= 0).alias("timed"))

@@ -15,12 +15,16 @@ def shared_root(spark: SparkSession) -> str:
     landing zones go to that shared folder, never to a machine-local one. Only
     when the setting is absent (local tests) a temporary folder is set up.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+        root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # no SparkContext reachable from this client
+        sc, root = None, spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="lakeingest-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 

@@ -85,6 +85,12 @@ def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True
         stream.close()
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder through the session's Hadoop file system."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.silver import latest_per_key
-from ..session import list_names, read_text, write_text
+from ..session import delete_path, list_names, read_text, write_text
 
 log = logging.getLogger(__name__)
 
@@ -154,6 +154,49 @@ class KeyedState:
         log.info("state %s: version %d rewrote %d bucket(s)", self.path, version, len(touched))
 
 
+    # -- retention ------------------------------------------------------------
+    def obsolete(self, retain_manifests: int = 2) -> list[str]:
+        """Folders no longer needed once the newest ``retain_manifests`` manifests are kept.
+
+        A data folder ``_version=v/_bucket=b`` is live while one of the kept
+        manifests points bucket ``b`` at version ``v``; staging folders are live
+        only for the newest version (a replay of it reads them again).
+        """
+        versions = sorted(int(n.split(".")[0]) for n in list_names(self.spark, f"{self.path}/_manifest")
+                          if n.endswith(".json"))
+        kept = versions[-retain_manifests:] if retain_manifests > 0 else []
+        live: set[tuple[int, int]] = set()
+        for v in kept:
+            manifest = json.loads(read_text(self.spark, f"{self.path}/_manifest/{v:012d}.json"))
+            live.update((int(b), int(ver)) for b, ver in manifest.items())
+        out = []
+        for vdir in list_names(self.spark, f"{self.path}/data"):
+            if not vdir.startswith("_version="):
+                continue
+            version = int(vdir.split("=", 1)[1])
+            for bdir in list_names(self.spark, f"{self.path}/data/{vdir}"):
+                if bdir.startswith("_bucket=") and (int(bdir.split("=", 1)[1]), version) not in live:
+                    out.append(f"{self.path}/data/{vdir}/{bdir}")
+        newest = versions[-1] if versions else None
+        for sdir in list_names(self.spark, f"{self.path}/_staging"):
+            if sdir.startswith("_version=") and int(sdir.split("=", 1)[1]) != newest:
+                out.append(f"{self.path}/_staging/{sdir}")
+        out += [f"{self.path}/_manifest/{v:012d}.json" for v in versions if v not in kept]
+        return sorted(out)
+
+    def vacuum(self, retain_manifests: int = 2, dry_run: bool = False) -> list[str]:
+        """Delete what ``obsolete`` lists (unless ``dry_run``); returns the paths.
+
+        Run it between micro-batches (e.g. after a drain): a reader holding an
+        older manifest than the kept ones would lose its files.
+        """
+        paths = self.obsolete(retain_manifests)
+        if not dry_run:
+            for p in paths:
+                delete_path(self.spark, p)
+        return paths
+
+
 def start_cdc_stream(changes: DataFrame, state: KeyedState, checkpoint: str,
                      processing_time: str | None = None, name: str | None = None) -> StreamingQuery:
     """Consolidate a change stream into ``state``, one state version per micro-batch."""

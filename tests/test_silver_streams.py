@@ -66,3 +66,21 @@ def test_dedup_stream_with_a_hot_key(spark):
     out = spark.read.parquet(f"{area}/out")
     assert out.count() == 501 and out.where("k = 7").count() == 1
     assert [op.operatorName for op in q.lastProgress.stateOperators].count("dedupeWithinWatermark") == 2
+
+
+def test_retention_lists_only_superseded_folders(spark):
+    st = _state(spark, "ks_vac")
+    schema = "k STRING, seq INT, op STRING, v DOUBLE"
+    st.apply(spark.createDataFrame([(f"k{i}", 1, "I", 1.0) for i in range(20)], schema), 0)
+    st.apply(spark.createDataFrame([("k1", 2, "U", 2.0)], schema), 1)
+    st.apply(spark.createDataFrame([("k1", 3, "U", 3.0)], schema), 2)
+    _, latest = st._manifest()
+    bucket_k1 = next(b for b, v in latest.items() if v == 2)
+    obsolete = st.vacuum(retain_manifests=1, dry_run=True)
+    # k1's bucket at versions 0 and 1 is superseded; other buckets at version 0 stay live.
+    assert f"{st.path}/data/_version=0/_bucket={bucket_k1}" in obsolete
+    assert f"{st.path}/data/_version=1/_bucket={bucket_k1}" in obsolete
+    assert not any(f"_version=0/_bucket={b}" in p for b, v in latest.items() if v == 0 for p in obsolete)
+    assert f"{st.path}/_staging/_version=2" not in obsolete and f"{st.path}/_staging/_version=0" in obsolete
+    assert f"{st.path}/_manifest/{0:012d}.json" in obsolete and f"{st.path}/_manifest/{2:012d}.json" not in obsolete
+    assert _visible(st)[1] == ("k1", 3, 3.0) or ("k1", 3, 3.0) in _visible(st)

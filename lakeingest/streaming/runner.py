@@ -15,7 +15,7 @@ from ..sources import read_source
 from ..spec import DatasetSpec, EngineSpec, select_active
 from .audit import IngestResult, append_audit, log_summary
 from .catalog import bootstrap, register_table
-from .sink import rows_from_progress, start_bronze_stream, table_path
+from .sink import has_committed_data, rows_from_progress, start_bronze_stream, table_path
 
 log = logging.getLogger(__name__)
 
@@ -124,6 +124,10 @@ def run_ingestion(spark: SparkSession, engine: EngineSpec, datasets: list[Datase
         except Exception as exc:
             log.warning("catalog bootstrap failed: %s", exc)
         for ds in registered_ok:
+            if not has_committed_data(spark, ds, engine):
+                # A continuous query may not have committed a batch yet: the next run registers it.
+                log.info("[%s] nothing committed yet; table registration deferred", ds.name)
+                continue
             try:
                 register_table(spark, engine, ds)
             except Exception as exc:  # data is written; registration is a convenience

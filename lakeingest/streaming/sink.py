@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.provenance import with_derived_columns
-from ..session import read_text, write_text
+from ..session import list_names, path_exists, read_text, write_text
 from ..spec import DatasetSpec, EngineSpec
 
 log = logging.getLogger(__name__)
@@ -159,6 +159,14 @@ def start_bronze_stream(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
 
+def has_committed_data(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) -> bool:
+    """Whether the bronze table holds a committed batch (file sinks: an entry in their log)."""
+    target = table_path(ds, engine)
+    if sink_format(ds, engine) in FILE_SINK_FORMATS:
+        return any(n[0].isdigit() for n in list_names(spark, f"{target}/_spark_metadata"))
+    return path_exists(spark, target)
+
+
 def rows_from_progress(query: StreamingQuery) -> int:
     """Rows written by this run of the query, summed over its micro-batches."""
     total = 0

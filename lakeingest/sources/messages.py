@@ -107,7 +107,8 @@ def read_envelope(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) -> D
     # One row per topic-partition named in the offsets: bounded by configuration.
     frame = F.broadcast(_start_offsets_frame(spark, starts))
     joined = df.join(frame, ["topic", "partition"], "left")
-    keep = F.col("start_offset").isNull() | (F.col("start_offset") == EARLIEST) | (F.col("offset") >= F.col("start_offset"))
+    start_at = F.col("start_offset")
+    keep = start_at.isNull() | (start_at == EARLIEST) | (F.col("offset") >= start_at)
     return joined.where(keep).drop("start_offset")
 
 

@@ -35,6 +35,25 @@ def read_bronze_stream(spark: SparkSession, table: str, schema: T.StructType | N
             .options(**{"maxFileAge": "3650d", "maxFilesPerTrigger": "50000", **options}).parquet(table))
 
 
+# Spark's state store provider classes.
+HDFS_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+ROCKSDB_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def prefer_rocksdb_state(spark: SparkSession) -> None:
+    """Use the RocksDB state store unless the session chose a provider.
+
+    The default provider keeps every key of a partition in JVM memory; with a
+    long watermark delay at scale that is billions of keys. RocksDB keeps them
+    on local disk with changelog checkpoints to shared storage. A restarted
+    query keeps the provider recorded in its checkpoint.
+    """
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, HDFS_STATE_STORE) == HDFS_STATE_STORE:
+        spark.conf.set(key, ROCKSDB_STATE_STORE)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def dedup_stream(df: DataFrame, keys: Sequence[str], event_time: str, delay: str,
                  spread_hot_keys: bool = True) -> DataFrame:
     """Drop rows whose key was already seen within ``delay`` of event time.
@@ -51,6 +70,7 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], event_time: str, delay: str
     split id is stable when a micro-batch is replayed, because its files and
     splits are fixed.
     """
+    prefer_rocksdb_state(df.sparkSession)
     ts = F.col(f"`{event_time}`")
     if isinstance(df.schema[event_time].dataType, T.TimestampNTZType):
         ts = ts.cast("timestamp")

@@ -198,7 +198,8 @@ def cdc_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, ts, user_id, event_type, value, props FROM events""")
 def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event delivered twice (the copy in a later drop): silver keeps each event once."""
-    from ..streaming.silver import dedup_stream as dedup, read_bronze_stream, start_table_stream
+    from ..streaming.silver import (dedup_stream as dedup, default_state_partitions, read_bronze_stream,
+                                    start_table_stream)
     from ..streaming.sink import table_path
     lab, ds, first, second = _events_in_two_runs(spark, sf_dir, "dedup", second=lambda e: e)
     target, checkpoint = f"{lab.area}/silver/events", f"{lab.area}/silver/_checkpoints/events"
@@ -206,5 +207,6 @@ def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         lab.land(rows, "events", drop, "json", **TS_TEXT)
         lab.run(ds)
         bronze = read_bronze_stream(spark, table_path(ds, lab.engine)).select(*EVENTS_COLS)
-        start_table_stream(dedup(bronze, ["event_id"], "ts", "365 days"), target, checkpoint).awaitTermination()
+        start_table_stream(dedup(bronze, ["event_id"], "ts", "365 days"), target, checkpoint,
+                           state_partitions=default_state_partitions(spark)).awaitTermination()
     return spark.read.parquet(target).select(*EVENTS_COLS)

@@ -81,16 +81,37 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], event_time: str, delay: str
     return marked.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
 
 
+def default_state_partitions(spark: SparkSession) -> int:
+    """State partitions for a new stateful stream: the cluster's total cores."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def start_table_stream(df: DataFrame, target: str, checkpoint: str, partition_by: Sequence[str] = (),
-                       name: str | None = None, processing_time: str | None = None) -> StreamingQuery:
-    """Append a stream to a parquet table (drain what is pending unless a processing time is given)."""
+                       name: str | None = None, processing_time: str | None = None,
+                       state_partitions: int | None = None) -> StreamingQuery:
+    """Append a stream to a parquet table (drain what is pending unless a processing time is given).
+
+    ``state_partitions`` sets the partition count of a stateful query's state.
+    It is fixed for the life of the checkpoint, so it is chosen here on purpose
+    (applied only while the query starts) rather than inherited from whatever
+    ``spark.sql.shuffle.partitions`` holds at that moment.
+    """
+    spark = df.sparkSession
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
-    return writer.start(target)
+    if state_partitions is None:
+        return writer.start(target)
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start(target)
+    finally:
+        spark.conf.set(key, previous)
 
 
 class KeyedState:

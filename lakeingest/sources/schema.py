@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import logging
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -163,34 +164,41 @@ def schema_log_path(engine: EngineSpec, ds: DatasetSpec) -> str:
 
 
 def _new_files_reader(spark: SparkSession, reader_opts: dict[str, str], after: str):
+    """A reader restricted to the files modified after ``after`` (a UTC timestamp string)."""
     reader = spark.read
     for key in FILE_SELECTION_OPTIONS:
         if key in reader_opts:
             reader = reader.option(key, reader_opts[key])
     if after:
-        reader = reader.option("modifiedAfter", after)
+        # Without an explicit zone the bound would be read in the session time zone.
+        reader = reader.option("modifiedAfter", after).option("timeZone", "UTC")
     return reader
 
 
+def _utc_millis_text(millis: int) -> str:
+    moment = datetime.fromtimestamp(millis / 1000, tz=timezone.utc)
+    return moment.strftime("%Y-%m-%dT%H:%M:%S.") + f"{millis % 1000:03d}"
+
+
 def list_new_files(spark: SparkSession, path: str, reader_opts: dict[str, str], after: str,
                    newest: int) -> tuple[str | None, list[str] | None]:
     """One listing job over the files newer than ``after``.
 
-    Returns the newest modification time (to the millisecond; None when there is
+    Returns the newest modification time (UTC, to the millisecond; None when there is
     no new file) and, when there are more than ``newest`` new files, the paths of
     the ``newest`` most recent ones (else None: use them all). A top-N, so the
     driver receives at most ``newest + 1`` rows whatever the backlog.
     """
     try:
         listing = _new_files_reader(spark, reader_opts, after).format("binaryFile").load(path)
-        top = (listing.select("path", F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("t"))
-               .orderBy(F.col("t").desc(), F.col("path")).limit(newest + 1).collect())
+        top = (listing.select("path", F.unix_millis("modificationTime").alias("ms"))
+               .orderBy(F.col("ms").desc(), F.col("path")).limit(newest + 1).collect())
     except AnalysisException:
         return None, None
     if not top:
         return None, None
     sample = [r["path"] for r in top[:newest]] if len(top) > newest else None
-    return top[0]["t"], sample
+    return _utc_millis_text(top[0]["ms"]), sample
 
 
 HEADER_TABLE = "headers"

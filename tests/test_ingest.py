@@ -350,3 +350,21 @@ def test_inference_is_bounded_to_the_newest_files(spark, small_dir):
     # The newest file decided the columns; nothing of the older one is lost.
     assert set(b.columns) >= {"event_id", "user_id", "event_type", "_rescued_data"}
     assert b.where("_rescued_data IS NOT NULL").count() == 0
+
+
+@pytest.mark.parametrize("zone", ["America/Los_Angeles", "Asia/Kolkata"])
+def test_schema_evolution_in_any_session_time_zone(spark, small_dir, zone):
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        lab = Lab(spark, "t_zone")
+        e = events(spark, small_dir)
+        ds = lab.dataset("ev", files_source("json", "ev"))
+        lab.land(e.select("event_id", "user_id").limit(10), "ev", "d1", "json")
+        assert lab.run(ds)[0].rows_ingested == 10
+        lab.land(e.select("event_id", "user_id", "event_type").limit(7), "ev", "d2", "json")
+        assert lab.run(ds)[0].rows_ingested == 7
+        b = lab.bronze(ds)
+        assert "event_type" in b.columns and b.where("event_type IS NOT NULL").count() == 7
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)

@@ -266,7 +266,8 @@ def rescue_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "value",
         F.get_json_object("_rescued_data", "$.value").alias("rescued_value"),
         F.get_json_object("_rescued_data", "$.extra").alias("rescued_extra"),
-        F.coalesce(F.size(rescued), F.lit(0)).alias("rescued_fields"))
+        # size() of NULL is -1 when ANSI mode is off: test for null first.
+        F.when(rescued.isNull(), F.lit(0)).otherwise(F.size(rescued)).alias("rescued_fields"))
 
 
 @register("rescue_csv", """

@@ -42,23 +42,25 @@ def read_files(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec,
         return with_file_lineage(df)
 
     if fmt == "json":
-        if str(reader_opts.get("multiLine", "false")).lower() == "true":
-            # Whole-file JSON documents: Spark's reader with a corrupt-record column.
-            read_schema = T.StructType(schema.fields + [T.StructField(CORRUPT_KEY, T.StringType())])
-            df = (_stream_reader(spark, reader_opts).format("json").schema(read_schema)
-                  .option("columnNameOfCorruptRecord", CORRUPT_KEY).load(path))
-            df = with_file_lineage(df)
-            rescued = F.when(F.col(CORRUPT_KEY).isNotNull(),
-                             F.to_json(F.create_map(F.lit(CORRUPT_KEY), F.col(CORRUPT_KEY))))
-            return df.select(*[F.col(f"`{f.name}`") for f in schema.fields],
-                             rescued.alias(rescue.RESCUE_COLUMN), "_ingested_filename", "_ingested_filepath")
-        text_opts = {k: v for k, v in reader_opts.items()
-                     if k in ("pathGlobFilter", "recursiveFileLookup", "maxFilesPerTrigger",
-                              "maxBytesPerTrigger", "maxFileAge", "latestFirst", "lineSep", "encoding")}
-        lines = _stream_reader(spark, text_opts).format("text").load(path)
-        # The text source names its column `value`; datasets may have a field of that name.
         lineage = ["_ingested_filename", "_ingested_filepath"]
-        lines = with_file_lineage(lines).select(F.col("value").alias("_line"), *lineage)
+        if str(reader_opts.get("multiLine", "false")).lower() == "true":
+            # Whole-file documents: one object, or an array of objects. Each file is read
+            # as one text value (as Spark's own multi-line reader does) and split into
+            # the raw text of its records, which then take the same path as JSON lines.
+            doc_opts = {k: v for k, v in reader_opts.items()
+                        if k in ("pathGlobFilter", "recursiveFileLookup", "maxFilesPerTrigger", "maxFileAge",
+                                 "encoding")}
+            docs = _stream_reader(spark, {**doc_opts, "wholetext": "true"}).format("text").load(path)
+            docs = with_file_lineage(docs).select(F.col("value").alias("_doc"), *lineage)
+            records = F.coalesce(F.from_json(F.col("_doc"), "array<string>"), F.array(F.col("_doc")))
+            lines = docs.select(F.explode(records).alias("_line"), *lineage)
+        else:
+            text_opts = {k: v for k, v in reader_opts.items()
+                         if k in ("pathGlobFilter", "recursiveFileLookup", "maxFilesPerTrigger",
+                                  "maxBytesPerTrigger", "maxFileAge", "latestFirst", "lineSep", "encoding")}
+            lines = _stream_reader(spark, text_opts).format("text").load(path)
+            # The text source names its column `value`; datasets may have a field of that name.
+            lines = with_file_lineage(lines).select(F.col("value").alias("_line"), *lineage)
         lines = lines.where(F.trim(F.col("_line")) != "")
         parsed = lines.select("_line", rescue.parse_json_object(F.col("_line")).alias("_m"), *lineage)
         typed = parsed.select(*rescue.json_typed(F.col("_m"), schema), "_m", "_line", *lineage)

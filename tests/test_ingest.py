@@ -368,3 +368,20 @@ def test_schema_evolution_in_any_session_time_zone(spark, small_dir, zone):
         assert "event_type" in b.columns and b.where("event_type IS NOT NULL").count() == 7
     finally:
         spark.conf.set("spark.sql.session.timeZone", previous)
+
+
+def test_multiline_json_documents_are_rescued_like_lines(spark):
+    lab = Lab(spark, "t_multiline")
+    root = f"{lab.engine.landing_root}/docs"
+    write_text(spark, f"{root}/array.json", '[\n  {"id": 1, "v": 1.5},\n  {"id": 2, "v": "bad",\n   "extra": {"k": [1, 2]}},\n'
+                                           '  {"id": 3}\n]\n')
+    write_text(spark, f"{root}/object.json", '{\n  "id": 4,\n  "v": 4.5\n}\n')
+    write_text(spark, f"{root}/broken.json", '{"id": 5, "v": \n')
+    ds = lab.dataset("docs", files_source("json", "docs", schema="id BIGINT, v DOUBLE", options={"multiLine": "true"}))
+    assert lab.run(ds)[0].rows_ingested == 5
+    got = {r["id"]: r for r in lab.bronze(ds).collect()}
+    assert got[1]["v"] == 1.5 and got[1]["_rescued_data"] is None
+    assert json.loads(got[2]["_rescued_data"]) == {"v": "bad", "extra": '{"k":[1,2]}'}
+    assert got[3]["v"] is None and got[4]["v"] == 4.5
+    broken = json.loads(got[None]["_rescued_data"])
+    assert broken["_corrupt_record"].startswith('{"id": 5')

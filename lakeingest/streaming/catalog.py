@@ -48,14 +48,21 @@ def audit_table_name(spark: SparkSession, engine: EngineSpec) -> str:
     return qualified(spark, engine, engine.ops_schema, engine.audit_table)
 
 
-def bootstrap(spark: SparkSession, engine: EngineSpec) -> None:
-    """Create the bronze and ops schemas and the audit table when absent."""
+_BOOTSTRAPPED: set[tuple[str, str, str, str]] = set()
+
+
+def bootstrap(spark: SparkSession, engine: EngineSpec, force: bool = False) -> None:
+    """Create the bronze and ops schemas and the audit table when absent (once per application)."""
+    key = (spark.sparkContext.applicationId, engine.bronze_schema, engine.ops_schema, audit_table_name(spark, engine))
+    if key in _BOOTSTRAPPED and not force:
+        return
     for schema in (engine.bronze_schema, engine.ops_schema):
         location = f"{engine.lakehouse_root}/_catalog/{schema}.db"
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {qualified(spark, engine, schema)} LOCATION '{location}'")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in AUDIT_SCHEMA.fields)
     location = f" LOCATION '{engine.resolve_path(engine.audit_path)}'" if engine.audit_path else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {audit_table_name(spark, engine)} ({ddl}) USING parquet{location}")
+    _BOOTSTRAPPED.add(key)
 
 
 def register_table(spark: SparkSession, engine: EngineSpec, ds: DatasetSpec) -> str:

@@ -385,3 +385,24 @@ def test_multiline_json_documents_are_rescued_like_lines(spark):
     assert got[3]["v"] is None and got[4]["v"] == 4.5
     broken = json.loads(got[None]["_rescued_data"])
     assert broken["_corrupt_record"].startswith('{"id": 5')
+
+
+def test_key_and_value_decoders_are_independent(spark):
+    from lakeingest.sources.messages import ENVELOPE_SCHEMA
+    lab = Lab(spark, "t_d6")
+    rows = [(b'{"region": "north", "id": 7}', b"\x00\x01raw", "t", 0, 0, None),
+            (None, b"plain text", "t", 1, 1, None)]
+    spark.createDataFrame(rows, ENVELOPE_SCHEMA).write.parquet(f"{lab.engine.landing_root}/topics/d1")
+    base = {"type": "kafka", "envelope_path": "{landing}/topics", "subscribe": "t",
+            "options": {"recursiveFileLookup": "true"}}
+    json_key = lab.dataset("json_key", {**base, "key_format": "json", "key_json_schema": "region STRING, id INT",
+                                        "value_format": "binary"})
+    binary_key = lab.dataset("binary_key", {**base, "key_format": "binary", "value_format": "string"})
+    res = {r.dataset: r for r in lab.run(json_key, binary_key)}
+    assert res["json_key"].rows_ingested == 2 and res["binary_key"].rows_ingested == 2
+    a = {r["_offset"]: r for r in lab.bronze(json_key).collect()}
+    assert (a[0]["key"]["region"], a[0]["key"]["id"]) == ("north", 7) and bytes(a[0]["value"]) == b"\x00\x01raw"
+    assert a[1]["key"] is None and bytes(a[1]["value"]) == b"plain text"
+    b = {r["_offset"]: r for r in lab.bronze(binary_key).collect()}
+    assert bytes(b[0]["key"]) == b'{"region": "north", "id": 7}' and b[1]["value"] == "plain text"
+    assert "_raw_value" not in lab.bronze(binary_key).columns

@@ -90,8 +90,10 @@ def read_envelope(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) -> D
     if start == "earliest":
         return df
     # Start offsets only matter for a fresh checkpoint: they are resolved once and
-    # stored beside the checkpoint, so later runs filter with the same values.
-    stored_at = f"{checkpoint_path(ds, engine)}_start_offsets"
+    # stored inside it (a reset checkpoint resolves them again), so later runs
+    # filter with the same values.
+    checkpoint = (ds.sink.get("options") or {}).get("checkpointLocation") or checkpoint_path(ds, engine)
+    stored_at = f"{checkpoint}/_lakeingest_start_offsets"
     resolved = _stored_starts(spark, stored_at)
     if resolved is None:
         requested = None if start == "latest" else _parse_offsets(start)

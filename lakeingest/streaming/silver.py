@@ -94,9 +94,12 @@ def start_table_stream(df: DataFrame, target: str, checkpoint: str, partition_by
     ``state_partitions`` sets the partition count of a stateful query's state.
     It is fixed for the life of the checkpoint, so it is chosen here on purpose
     (applied only while the query starts) rather than inherited from whatever
-    ``spark.sql.shuffle.partitions`` holds at that moment.
+    ``spark.sql.shuffle.partitions`` holds at that moment. The same
+    checkpoint-reset guard as for bronze tables applies.
     """
+    from .sink import guard_checkpoint
     spark = df.sparkSession
+    guard_checkpoint(spark, target, checkpoint)
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)

@@ -60,13 +60,14 @@ def _write_token(spark: SparkSession, path: str, token: str) -> None:
 def guard_checkpoint(spark: SparkSession, table: str, checkpoint: str) -> None:
     """Refuse to start when a fresh checkpoint points at a table another checkpoint wrote.
 
-    A token is written beside the table data and inside the checkpoint on the
-    first run. If the table has a token and the checkpoint does not (or another),
-    the checkpoint was reset: the file sink would restart at batch 0 and skip
+    A token is written beside the table data and inside the checkpoint folder on
+    the first run (inside, so that deleting the checkpoint deletes it too). If
+    the table has a token and the checkpoint does not (or another), the
+    checkpoint was reset: the file sink would restart at batch 0 and skip
     batches its log already holds, reporting success with nothing written.
     """
     table_token = _read_token(spark, f"{table}/_lakeingest_token")
-    ckpt_token = _read_token(spark, f"{checkpoint}_token")
+    ckpt_token = _read_token(spark, f"{checkpoint}/_lakeingest_token")
     if table_token and table_token != ckpt_token:
         raise CheckpointMismatchError(
             f"table {table} was written through another checkpoint than {checkpoint}; "
@@ -78,7 +79,7 @@ def guard_checkpoint(spark: SparkSession, table: str, checkpoint: str) -> None:
                         table, checkpoint)
         _write_token(spark, f"{table}/_lakeingest_token", token)
         if not ckpt_token:
-            _write_token(spark, f"{checkpoint}_token", token)
+            _write_token(spark, f"{checkpoint}/_lakeingest_token", token)
 
 
 SCHEMA_FILE = "_lakeingest_schema.json"
@@ -137,8 +138,8 @@ def start_bronze_stream(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec
         options["mergeSchema"] = "true"
     options.update(sink.get("options", {}))
 
-    if fmt in FILE_SINK_FORMATS and options["checkpointLocation"] == checkpoint:
-        guard_checkpoint(spark, target, checkpoint)
+    if fmt in FILE_SINK_FORMATS:
+        guard_checkpoint(spark, target, options["checkpointLocation"])
     if fmt in FILE_SINK_FORMATS:
         record_table_schema(spark, target, df.schema)
 

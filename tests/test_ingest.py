@@ -406,3 +406,16 @@ def test_key_and_value_decoders_are_independent(spark):
     b = {r["_offset"]: r for r in lab.bronze(binary_key).collect()}
     assert bytes(b[0]["key"]) == b'{"region": "north", "id": 7}' and b[1]["value"] == "plain text"
     assert "_raw_value" not in lab.bronze(binary_key).columns
+
+
+def test_custom_checkpoint_location_is_guarded_too(spark, small_dir):
+    lab = Lab(spark, "t_guard_custom")
+    table = f"{lab.area}/table"
+    lab.land(orders(spark, small_dir).limit(6), "orders", "d1", "csv", header="true")
+    first = lab.dataset("orders", csv_orders_source(), {"path": table, "options": {"checkpointLocation": f"{lab.area}/ck1"}})
+    assert lab.run(first)[0].rows_ingested == 6
+    second = lab.dataset("orders", csv_orders_source(), {"path": table, "options": {"checkpointLocation": f"{lab.area}/ck2"}})
+    res = lab.run(second)[0]
+    assert res.status == "ERROR" and "CheckpointMismatchError" in res.error_message
+    from lakeingest.session import path_exists
+    assert path_exists(spark, f"{lab.area}/ck1/_lakeingest_token")

@@ -173,7 +173,17 @@ class KeyedState:
 
     # -- apply ----------------------------------------------------------------
     def apply(self, changes: DataFrame, version: int) -> None:
-        """Merge a batch of changes as state version ``version`` (monotonic, e.g. the batch id)."""
+        """Merge a batch of changes as state version ``version`` (monotonic, e.g. the batch id).
+
+        The newest version may be applied again (a replayed micro-batch); an older
+        one can only come from a reset checkpoint and is refused, since building
+        on an older manifest would drop every bucket changed since.
+        """
+        newest, _ = self._manifest()
+        if newest is not None and version < newest:
+            from .sink import CheckpointMismatchError
+            raise CheckpointMismatchError(
+                f"state {self.path} is at version {newest}; version {version} comes from a reset checkpoint")
         bucket = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in self.keys]), F.lit(self.buckets)).cast("int")
         marked = changes.withColumns({"_is_deleted": F.coalesce(self.deleted, F.lit(False)), "_bucket": bucket})
         reduced = latest_per_key(marked, self.keys, self.order_by)

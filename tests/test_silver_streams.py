@@ -84,3 +84,16 @@ def test_retention_lists_only_superseded_folders(spark):
     assert f"{st.path}/_staging/_version=2" not in obsolete and f"{st.path}/_staging/_version=0" in obsolete
     assert f"{st.path}/_manifest/{0:012d}.json" in obsolete and f"{st.path}/_manifest/{2:012d}.json" not in obsolete
     assert _visible(st)[1] == ("k1", 3, 3.0) or ("k1", 3, 3.0) in _visible(st)
+
+
+def test_state_refuses_versions_from_a_reset_checkpoint(spark):
+    import pytest
+
+    from lakeingest.streaming.sink import CheckpointMismatchError
+    st = _state(spark, "ks_reset")
+    schema = "k STRING, seq INT, op STRING, v DOUBLE"
+    st.apply(spark.createDataFrame([("a", 1, "I", 1.0)], schema), 0)
+    st.apply(spark.createDataFrame([("b", 1, "I", 2.0)], schema), 1)
+    with pytest.raises(CheckpointMismatchError):
+        st.apply(spark.createDataFrame([("c", 1, "I", 3.0)], schema), 0)
+    assert _visible(st) == [("a", 1, 1.0), ("b", 1, 2.0)]

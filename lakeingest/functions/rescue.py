@@ -77,7 +77,7 @@ TYPED_PREFIX = "_typed_"
 DUPLICATE_KEY = "_duplicate_keys_line"
 
 
-def json_typed(m: Column, schema: T.StructType) -> list[Column]:
+def json_typed(m: Column, schema: T.StructType, strict: Column | None = None) -> list[Column]:
     """First step for JSON lines: declared fields converted from the parsed map ``m``,
     plus a flag telling whether the row has anything to rescue.
 
@@ -86,9 +86,16 @@ def json_typed(m: Column, schema: T.StructType) -> list[Column]:
     scalar tests only (number of keys against the declared keys present, one
     null test per field). A repeated key makes the map larger than the declared
     keys present, so such lines are flagged too.
+
+    With ``strict`` (the line parsed into the declared struct by ``from_json``),
+    typed values follow Spark's JSON rules instead of being converted from
+    text: a quoted number in a numeric field is then a mismatch and rescued.
     """
     raw = {f.name: F.try_element_at(m, F.lit(f.name)) for f in schema.fields}
-    typed = {f.name: typed_from_text(raw[f.name], f.dataType) for f in schema.fields}
+    if strict is None:
+        typed = {f.name: typed_from_text(raw[f.name], f.dataType) for f in schema.fields}
+    else:
+        typed = {f.name: strict[f.name] for f in schema.fields}
     checked = [f.name for f in schema.fields if not isinstance(f.dataType, T.StringType)]
     declared_present = reduce(lambda a, b: a + b,
                               [F.map_contains_key(m, F.lit(n)).cast("int") for n in raw], F.lit(0))
@@ -109,6 +116,7 @@ def json_rescue(m: Column, line: Column, schema: T.StructType) -> Column:
     unknown = F.map_filter(m, lambda k, v: ~F.array_contains(known, k))
     checked = {f.name: F.try_element_at(m, F.lit(f.name)) for f in schema.fields
                if not isinstance(f.dataType, T.StringType)}
+    # Mismatches compare with the typed columns of the first step, whichever typing mode made them.
     mismatched = F.map_from_entries(F.filter(
         F.array(*[F.when(_mismatch(raw, F.col(f"`{n}`")), _entry(n, raw)) for n, raw in checked.items()]
                 or [F.lit(None).cast(_ENTRY)]),

@@ -62,13 +62,11 @@ def read_files(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec,
             # The text source names its column `value`; datasets may have a field of that name.
             lines = with_file_lineage(lines).select(F.col("value").alias("_line"), *lineage)
         lines = lines.where(F.trim(F.col("_line")) != "")
-        strict = str(ds.source.get("json_strict_types", False)).lower() == "true"
-        parsed = lines.select("_line", rescue.parse_json_object(F.col("_line")).alias("_m"), *lineage,
-                              *([F.from_json(F.col("_line"), schema).alias("_s")] if strict else []))
-        typed = parsed.select(*rescue.json_typed(F.col("_m"), schema, F.col("_s") if strict else None),
-                              "_m", "_line", *lineage)
+        text_types = str(ds.source.get("json_text_types", False)).lower() == "true"
+        parsed = lines.select("_line", *rescue.json_parse(F.col("_line"), schema, text_types), *lineage)
+        typed = parsed.select(*rescue.json_typed(schema, text_types), rescue.PARSED, rescue.KEYS, "_line", *lineage)
         return typed.select(*[F.col(f"`{f.name}`") for f in schema.fields],
-                            rescue.json_rescue(F.col("_m"), F.col("_line"), schema), *lineage)
+                            rescue.json_rescue(F.col("_line"), schema, text_types), *lineage)
 
     if fmt == "csv" and resolved.header_table:
         # New files carry different header orders: read positionally and map each

@@ -20,23 +20,24 @@ schemas = st.dictionaries(st.sampled_from(KEYS[:4]), st.sampled_from(sorted(TYPE
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(records, min_size=1, max_size=30), schemas)
-def test_rescue_loses_no_field(spark, recs, declared):
+@given(st.lists(records, min_size=1, max_size=30), schemas, st.booleans())
+def test_rescue_loses_no_field(spark, recs, declared, text_types):
     schema = T.StructType([T.StructField(k, TYPES[t]) for k, t in sorted(declared.items())])
     lines = spark.createDataFrame([(json.dumps(r),) for r in recs], "_line STRING")
-    parsed = lines.select("_line", rescue.parse_json_object(F.col("_line")).alias("_m"))
-    typed = parsed.select(*rescue.json_typed(F.col("_m"), schema), "_m", "_line")
+    parsed = lines.select("_line", *rescue.json_parse(F.col("_line"), schema, text_types))
+    typed = parsed.select(*rescue.json_typed(schema, text_types), rescue.PARSED, rescue.KEYS, "_line")
     out = typed.select("_line", *[f.name for f in schema.fields],
-                       rescue.json_rescue(F.col("_m"), F.col("_line"), schema)).collect()
+                       rescue.json_rescue(F.col("_line"), schema, text_types)).collect()
     assert len(out) == len(recs)
     for row in out:
         rec = json.loads(row["_line"])
         rescued = json.loads(row["_rescued_data"]) if row["_rescued_data"] else {}
+        whole = "_corrupt_record" in rescued
         for key, value in rec.items():
-            kept = (key in declared and row[key] is not None) or key in rescued or value is None
+            kept = (key in declared and row[key] is not None) or key in rescued or value is None or whole
             assert kept, (key, value, row)
         for key in rescued:
-            assert key in rec
+            assert key in rec or key == "_corrupt_record"
         for f in schema.fields:
             if row[f.name] is not None and f.name not in rescued:
                 assert f.name in rec

@@ -75,6 +75,7 @@ TYPED_PREFIX = "_typed_"
 DUPLICATE_KEY = "_duplicate_keys_line"
 PARSED = "_parsed"
 KEYS = "_keys"
+MISFIT = "_misfit"
 
 
 def json_parse(line: Column, schema: T.StructType, text_types: bool = False) -> list[Column]:
@@ -122,7 +123,8 @@ def json_typed(schema: T.StructType, text_types: bool = False) -> list[Column]:
     declared = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
     needs = (keys.isNull() | (F.size(F.array_except(keys, declared)) > 0)
              | (F.size(keys) > F.size(F.array_distinct(keys))) | misfit)
-    return [typed[f.name].alias(f.name) for f in schema.fields] + [needs.alias(NEEDS_RESCUE)]
+    return ([typed[f.name].alias(f.name) for f in schema.fields]
+            + [needs.alias(NEEDS_RESCUE), F.coalesce(misfit, F.lit(False)).alias(MISFIT)])
 
 
 def json_rescue(line: Column, schema: T.StructType, text_types: bool = False) -> Column:
@@ -139,24 +141,29 @@ def json_rescue(line: Column, schema: T.StructType, text_types: bool = False) ->
     declared = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
     keys = F.col(KEYS)
     m = parse_json_object(line)
-    unknown = F.map_filter(m, lambda k, v: ~F.array_contains(declared, k))
+    # Undeclared keys from the key list (hash based); only their values are looked up.
+    unknown_names = F.array_except(keys, declared)
+    unknown = F.map_from_arrays(unknown_names, F.transform(unknown_names, lambda k: F.try_element_at(m, k)))
     checked = [f.name for f in schema.fields if not isinstance(f.dataType, T.StringType)]
     if text_types:
         raw = {n: F.col(PARSED)[n] for n in checked}
     else:
         raw = {n: F.try_element_at(m, F.lit(n)) for n in checked}
-    # Values present in the line whose typed column (first step) stayed null.
-    mismatched = F.map_from_entries(F.filter(
+    # Values present in the line whose typed column (first step) stayed null; looked
+    # up field by field only when the first step saw a misfit.
+    mismatched = F.when(F.col(MISFIT), F.map_from_entries(F.filter(
         F.array(*[F.when(_mismatch(raw[n], F.col(f"`{n}`")), _entry(n, raw[n])) for n in checked]
                 or [F.lit(None).cast(_ENTRY)]),
-        lambda e: e.isNotNull()))
-    found = F.map_concat(unknown, mismatched)
+        lambda e: e.isNotNull()))).otherwise(F.create_map().cast("map<string,string>"))
     whole = F.to_json(F.create_map(F.lit(CORRUPT_KEY), line))
+    # A misfit with no top-level value to name (nested) keeps the whole line. The
+    # rescue map is built once per row: this rescue projection is interpreted.
+    nested_only = F.col(MISFIT) & (F.size(unknown_names) == 0) & (F.size(mismatched) == 0)
     return (F.when(~F.col(NEEDS_RESCUE), F.lit(None).cast("string"))
              .when(keys.isNull(), whole)
              .when(F.size(keys) > F.size(F.array_distinct(keys)), F.to_json(F.create_map(F.lit(DUPLICATE_KEY), line)))
-             .when(F.size(found) > 0, F.to_json(found))
-             .otherwise(whole)).alias(RESCUE_COLUMN)
+             .when(nested_only, whole)
+             .otherwise(F.to_json(F.map_concat(unknown, mismatched)))).alias(RESCUE_COLUMN)
 
 
 def text_typed(header: list[str], schema: T.StructType, corrupt: Column | None = None) -> list[Column]:

@@ -64,7 +64,8 @@ def read_files(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec,
         lines = lines.where(F.trim(F.col("_line")) != "")
         text_types = str(ds.source.get("json_text_types", False)).lower() == "true"
         parsed = lines.select("_line", *rescue.json_parse(F.col("_line"), schema, text_types), *lineage)
-        typed = parsed.select(*rescue.json_typed(schema, text_types), rescue.PARSED, rescue.KEYS, "_line", *lineage)
+        typed = parsed.select(*rescue.json_typed(schema, text_types), rescue.PARSED, rescue.KEYS, "_line",
+                              *lineage)
         return typed.select(*[F.col(f"`{f.name}`") for f in schema.fields],
                             rescue.json_rescue(F.col("_line"), schema, text_types), *lineage)
 

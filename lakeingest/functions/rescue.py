@@ -224,6 +224,16 @@ UNMAPPED_KEY = "_unmapped_values"
 EXTRA_VALUES_KEY = "_extra_values"
 VALUES = "_values"
 HEADER = "_header"
+POSITIONS = "_positions"
+
+
+def header_positions(header: Column, schema: T.StructType) -> Column:
+    """1-based position of each declared field in a file's header (0 when absent).
+
+    Computed once per file in the small header table, so rows index their values
+    directly instead of searching the header for every field.
+    """
+    return F.array(*[F.array_position(header, F.lit(f.name)).cast("int") for f in schema.fields])
 
 
 def csv_by_file_typed(schema: T.StructType, width: int) -> list[Column]:
@@ -237,9 +247,9 @@ def csv_by_file_typed(schema: T.StructType, width: int) -> list[Column]:
     values = F.array(*[F.col(f"_c{i}") for i in range(width + 1)])
     header = F.col(HEADER)
     typed, flags = {}, [header.isNull()]
-    for f in schema.fields:
-        pos = F.array_position(header, F.lit(f.name))
-        raw = F.when(pos > 0, F.element_at(values, pos.cast("int")))
+    for i, f in enumerate(schema.fields):
+        pos = F.col(POSITIONS)[i]
+        raw = F.when(pos > 0, F.element_at(values, pos))
         typed[f.name] = typed_from_text(raw, f.dataType)
         if not isinstance(f.dataType, T.StringType):
             flags.append(_mismatch(raw, typed[f.name]))

@@ -80,7 +80,8 @@ def read_files(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec,
         df = df.withColumn("_file_path", F.col("_metadata.file_path"))
         df = with_file_lineage(df)
         headers = spark.read.parquet(resolved.header_table).select(
-            F.col("file_path").alias("_file_path"), F.col("header").alias(rescue.HEADER))
+            F.col("file_path").alias("_file_path"), F.col("header").alias(rescue.HEADER),
+            rescue.header_positions(F.col("header"), schema).alias(rescue.POSITIONS))
         joined = df.join(headers, "_file_path", "left").drop("_file_path")
         return rescue.csv_by_file(schema, width)(joined)
 

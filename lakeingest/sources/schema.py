@@ -123,8 +123,11 @@ class SchemaVersion:
 class SchemaLog:
     """Versions of a dataset's schema: one small JSON file per version in shared storage.
 
-    A version file is created without overwrite, so two runs racing on the same
-    dataset cannot both record the same version number.
+    A version file is written only when the columns or the CSV header change,
+    created without overwrite so two runs racing on the same dataset cannot
+    both record the same version. How far new files have been looked at (the
+    watermark) is one small file overwritten each run, so the log grows with
+    schema changes, not with runs.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -136,8 +139,13 @@ class SchemaLog:
         if not names:
             return None
         data = json.loads(read_text(self.spark, f"{self.path}/{names[-1]}"))
+        watermark = (read_text(self.spark, f"{self.path}/_watermark") or "").strip()
+        through = max(watermark, data.get("files_through") or "")
         return SchemaVersion(data["version"], T.StructType.fromJson(data["schema"]),
-                             data.get("header") or [], data.get("files_through") or "")
+                             data.get("header") or [], through)
+
+    def set_watermark(self, files_through: str) -> None:
+        write_text(self.spark, f"{self.path}/_watermark", files_through)
 
     def append(self, version: SchemaVersion) -> None:
         body = json.dumps({"version": version.version, "schema": version.schema.jsonValue(),
@@ -377,10 +385,10 @@ def resolve_schema(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) ->
     if fmt == "csv" and not header:
         header = latest.header if latest and latest.header else [f.name for f in columns.fields]
 
-    changed = (latest is None or latest.schema != columns or (header and latest.header != header)
-               or (through and through != latest.files_through))
-    if changed:
+    if latest is None or latest.schema != columns or (header and latest.header != header):
         version = 0 if latest is None else latest.version + 1
         store.append(SchemaVersion(version, columns, header, through or after))
+    if through and (latest is None or through != latest.files_through):
+        store.set_watermark(through)
     return ResolvedSchema(columns, mode, rescue=True, header=header, extra=extra,
                           header_table=header_table, header_width=header_width)

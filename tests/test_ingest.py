@@ -431,3 +431,20 @@ def test_quoted_numbers_follow_the_typing_mode(spark, text_types):
     got = {r["n"]: (r["id"], r["_rescued_data"]) for r in lab.bronze(ds).collect()}
     assert got[2] == (5, None)
     assert got[1] == ((None, '{"id":"123"}') if strict else (123, None))
+
+
+def test_schema_log_grows_with_schema_changes_not_runs(spark, small_dir):
+    from lakeingest.session import list_names
+    from lakeingest.sources.schema import schema_log_path
+    lab = Lab(spark, "t_schemalog")
+    e = events(spark, small_dir)
+    ds = lab.dataset("ev", files_source("json", "ev"))
+    for i in range(3):
+        lab.land(e.select("event_id", "user_id").limit(5), "ev", f"d{i}", "json")
+        assert lab.run(ds)[0].rows_ingested == 5
+    versions = [n for n in list_names(spark, schema_log_path(lab.engine, ds)) if n.startswith("v")]
+    assert len(versions) == 1
+    lab.land(e.select("event_id", "user_id", "event_type").limit(5), "ev", "d9", "json")
+    assert lab.run(ds)[0].rows_ingested == 5
+    assert len([n for n in list_names(spark, schema_log_path(lab.engine, ds)) if n.startswith("v")]) == 2
+    assert lab.bronze(ds).where("event_type IS NOT NULL").count() == 5

@@ -97,3 +97,25 @@ def test_state_refuses_versions_from_a_reset_checkpoint(spark):
     with pytest.raises(CheckpointMismatchError):
         st.apply(spark.createDataFrame([("c", 1, "I", 3.0)], schema), 0)
     assert _visible(st) == [("a", 1, 1.0), ("b", 1, 2.0)]
+
+
+def test_bronze_stream_uses_the_recorded_schema(spark, small_dir):
+    from pyspark.sql import functions as F
+
+    from lakeingest.plans.ingest_queries import files_source
+    from lakeingest.plans.lab import Lab
+    from lakeingest.streaming.silver import read_bronze_stream, start_table_stream
+    from lakeingest.streaming.sink import table_path, table_schema
+    lab = Lab(spark, "t_bronze_schema")
+    o = spark.read.parquet(f"{small_dir}/orders.parquet")
+    ds = lab.dataset("o", files_source("parquet", "o"))
+    lab.land(o.limit(10), "o", "d1", "parquet")
+    lab.run(ds)
+    lab.land(o.limit(4).withColumn("channel", F.lit("web")), "o", "d2", "parquet")
+    lab.run(ds)
+    path = table_path(ds, lab.engine)
+    assert "channel" in table_schema(spark, path).fieldNames()
+    out = f"{lab.area}/silver"
+    start_table_stream(read_bronze_stream(spark, path), out, f"{lab.area}/ck").awaitTermination()
+    silver = spark.read.parquet(out)
+    assert silver.count() == 14 and silver.where("channel = 'web'").count() == 4

@@ -29,3 +29,9 @@ def query(name: str, oracle: str | None = None):
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import ngram_jaccard_classes
     return ngram_jaccard_classes(table(spark, sf_dir, "documents"), k=5, similarity=75)
+
+
+@query("op9_suffix_array_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import repeated_passages
+    return repeated_passages(table(spark, sf_dir, "documents"), min_words=50)

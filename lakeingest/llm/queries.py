@@ -35,3 +35,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import repeated_passages
     return repeated_passages(table(spark, sf_dir, "documents"), min_words=50)
+
+
+def tokenizer_path() -> str:
+    """The vocabulary file of the token query: a parameter of the operator, never copied into the repository."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op8_bpe_encode_decode")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import token_digests
+    return token_digests(table(spark, sf_dir, "documents"), tokenizer_path())

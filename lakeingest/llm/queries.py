@@ -47,3 +47,16 @@ def tokenizer_path() -> str:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import token_digests
     return token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .samples import remainder
+    from .toxicity import score_toxicity, train_toxicity
+    documents = table(spark, sf_dir, "documents")
+    weights, bias = train_toxicity(documents, table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
+    return score_toxicity(documents, weights, bias).select(
+        "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending")

@@ -68,10 +68,10 @@ class Words:
         return mix64(np.add.reduceat(value, heads) + length.astype(np.uint64) * _ODD)
 
 
-def words(data: np.ndarray, begin: np.ndarray) -> Words:
-    """Words of the texts ``data[begin[d]:begin[d + 1]]``."""
+def words(data: np.ndarray, begin: np.ndarray, apart: np.ndarray = _WHITE) -> Words:
+    """Words of the texts ``data[begin[d]:begin[d + 1]]``; ``apart`` tells which bytes lie between words."""
     n = int(begin[-1])
-    inner = ~_WHITE[data[:n]]
+    inner = ~apart[data[:n]]
     before = np.zeros(n, dtype=bool)
     before[1:] = inner[:-1]
     cuts = begin[:-1][begin[:-1] < n]

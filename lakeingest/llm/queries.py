@@ -60,3 +60,16 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(documents, weights, bias).select(
         "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending")
+
+
+@query("op3_quality_classifier")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .rule_ensemble import score_quality, train_quality
+    from .samples import remainder
+    documents = table(spark, sf_dir, "documents")
+    ensemble = train_quality(documents, table(spark, sf_dir, "labels"), remainder("doc_id", 3) != 1)
+    return score_quality(documents, ensemble).select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))

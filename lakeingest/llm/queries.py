@@ -73,3 +73,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(documents, ensemble).select(
         "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def _op2_sql() -> str:
+    from .quality_rules import ORACLE
+    return ORACLE
+
+
+@query("op2_quality_rules", _op2_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import quality_verdicts
+    return quality_verdicts(table(spark, sf_dir, "documents"))

@@ -84,3 +84,15 @@ def _op2_sql() -> str:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import quality_verdicts
     return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+def _op10_sql() -> str:
+    from .pfair_mix import ORACLE
+    return ORACLE
+
+
+@query("op10_pfair_mix", _op10_sql())
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pfair_mix import scheduled
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return scheduled(rows).select("doc_id", "source", "mix.*")

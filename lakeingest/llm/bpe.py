@@ -210,9 +210,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-_ROWS = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
-
-
 def _little(ids: bytes) -> bytes:
     if sys.byteorder == "big":
         swapped = array("I", ids)
@@ -221,35 +218,30 @@ def _little(ids: bytes) -> bytes:
     return ids
 
 
-def encode_texts(documents: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids array<int>, decoded string) of each row. ``path``: a byte-level BPE file the workers can read."""
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+def encode_texts(documents: DataFrame, path: str, digests_only: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids array<int>) of each row of ``documents``.
 
-    def run(batches):
-        enc = encoder(path)
-        for batch in batches:
-            ids = [enc.encode(t or "") for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([np.frombuffer(x, np.int32) for x in ids], pa.list_(pa.int32())),
-                 pa.array([enc.decode(x) for x in ids], pa.string())], schema=schema)
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, ids array<int>, decoded string")
-
-
-def token_digests(documents: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row; ids and text are hashed where they are made."""
-    schema = pa.schema([("doc_id", pa.int64()), *_ROWS])
+    ``path``: a byte-level BPE file that the workers can read. The ids are hashed as little-endian unsigned 32-bit
+    integers, the decoded text as UTF-8, where they are made; ``digests_only`` leaves out the ids.
+    """
+    fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
+              ("decoded_sha256", pa.string())] + ([] if digests_only else [("ids", pa.list_(pa.int32()))])
+    names = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
     def run(batches):
         enc = encoder(path)
         for batch in batches:
-            rows = []
+            rows, all_ids = [], []
             for text in batch.column("text"):
                 ids = enc.encode(text.as_py() or "")
                 back = enc.decode(ids).encode("utf-8")
                 rows.append((len(ids) // 4, hashlib.sha256(_little(ids)).hexdigest(), hashlib.sha256(back).hexdigest()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(_ROWS))],
-                schema=schema)
+                if not digests_only:
+                    all_ids.append(ids)
+            columns = [batch.column("doc_id"), *(pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(fields[1:4]))]
+            if not digests_only:
+                ends = np.cumsum([0, *(len(x) // 4 for x in all_ids)], dtype=np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(all_ids), np.int32))))
+            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        run, names if digests_only else names + ", ids array<int>")

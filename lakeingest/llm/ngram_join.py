@@ -372,3 +372,21 @@ def ngram_jaccard_classes(documents: DataFrame, k: int = 5, similarity: int = 75
     out = info.join(known, ["h1", "h2"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+
+
+def keep_one_of_each_group(documents: DataFrame, k: int = 5, similarity: int = 75) -> DataFrame:
+    """The rows of ``documents`` whose doc_id is the smallest of its component, unchanged.
+
+    Documents without words are no copies of each other and stay. Rows without doc_id stay. Of rows that repeat a
+    doc_id one stays, the one with the smallest text.
+    """
+    classes = stage(ngram_jaccard_classes(documents.select("doc_id", "text"), k, similarity), "ngram-classes")
+    gone = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    kept = documents.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    if classes.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return kept
+    rest = [c for c in documents.columns if c != "text"]
+    least = F.min(F.struct("text", *(F.col(f"`{c}`") for c in rest))).alias("row")
+    one = kept.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__doc")).agg(least)
+    return one.select("row.*").select(*(F.col(f"`{c}`") for c in documents.columns)).unionByName(
+        kept.filter("doc_id IS NULL"))

@@ -45,8 +45,8 @@ def tokenizer_path() -> str:
 
 @query("op8_bpe_encode_decode")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .bpe import token_digests
-    return token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
+    from .bpe import encode_texts
+    return encode_texts(table(spark, sf_dir, "documents"), tokenizer_path(), digests_only=True)
 
 
 @query("op4_toxicity")

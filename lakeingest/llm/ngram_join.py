@@ -15,9 +15,10 @@ Steps, all linear in the input:
 3. For the remaining classes, document frequencies are counted exactly, the order of rarity is fixed, and the short
    lists are written. The heaviest shingles (a bounded set, ``HEAVY_KEPT``) come last in that order and are not counted.
 4. Searches run in rounds. Each list names hubs; a hub is a query whose short lists are merged. Found links join the
-   components; lists whose documents are all in one component are done, and hubs leave their lists. The hubs per list
-   grow with the rounds (1, 8, 64, ...). The first round costs one candidate per list entry, and a group of near copies
-   ends there: no round lists all pairs of a group, and no pair that could join two components is skipped.
+   components; lists whose documents are all in one component are done, and hubs leave their lists. The first round has
+   one hub a list, so it costs one candidate per entry, and a group of near copies ends there. What is left are lists
+   across components: up to ``SHORT_LIST`` documents they are finished in the second round, and longer ones get 8, 64,
+   ... hubs a round. No pair that could join two components is skipped.
 
 Order and repeats of rows do not matter. A null text, or one without words, has no shingles and links with nothing;
 with fewer words than a shingle has, the whole sequence is the one shingle. Rows without doc_id take part but name no
@@ -42,6 +43,7 @@ FLUSH_SHINGLES = 3_000_000
 HEAVY_KEPT = 1 << 16
 HEAVY_LOCAL = 32
 POSTINGS_PER_BLOCK = 8192
+SHORT_LIST = 64
 _SEQ, _CHECK, _SHORT = 1, 2, 7
 
 _STEP1 = pa.schema([("kind", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()),
@@ -262,8 +264,9 @@ def probe_long(hits: int, lists: np.ndarray, own: np.ndarray, required: int, ste
 def _merge(batches):
     for batch in batches:
         queries, docs, counts = [], [], []
-        for query, lists in zip(batch.column("query").to_pylist(), batch.column("lists")):
-            for doc, hits in merge_short([x.as_py() for x in lists]):
+        for query, postings in zip(batch.column("query").to_pylist(), batch.column("postings").to_pylist()):
+            lists = [[x["node"] for x in own] for _, own in groupby(postings, key=lambda x: x["s"])]
+            for doc, hits in merge_short(lists):
                 queries.append(query)
                 docs.append(doc)
                 counts.append(hits)
@@ -293,23 +296,21 @@ def _probe(similarity: int):
 def search(lists: DataFrame, docs: DataFrame, hubs: DataFrame, similarity: int, comp: DataFrame | None) -> DataFrame:
     """Links (a, b) between each hub of a list and the list's other documents.
 
-    ``lists``: (s, node, n); ``hubs``: (s, query, query_n); ``docs``: (node, n, shared, short).
-    Pairs inside one component of ``comp`` are skipped.
+    ``lists``: (s, node, n); ``hubs``: (s, query, query_n, size, all_pairs); ``docs``: (node, n, shared, short).
+    Pairs inside one component of ``comp`` are skipped. In lists where all documents are hubs a pair is taken once.
     """
+    load = hubs.groupBy("query").agg(F.ceil(F.sum("size") / POSTINGS_PER_BLOCK).alias("blocks"),
+                                     F.collect_set("s").alias("merged"), F.min("query_n").alias("query_n"))
     size_ok = (F.col("query_n") * similarity <= F.col("n") * 100) & (F.col("n") * similarity <= F.col("query_n") * 100)
-    postings = lists.join(hubs, "s").filter((F.col("node") != F.col("query")) & size_ok)
+    once = (F.col("node") != F.col("query")) & (~F.col("all_pairs") | (F.col("query") < F.col("node")))
+    postings = lists.join(hubs.join(load.select("query", "blocks"), "query"), "s").filter(once & size_ok)
     if comp is not None:
         a = comp.select(F.col("node").alias("query"), F.col("component").alias("query_c"))
         postings = (postings.join(comp, "node", "left").join(a, "query", "left")
                             .filter(F.coalesce("component", "node") != F.coalesce("query_c", "query")))
-    postings = postings.select("s", "node", "query", "query_n")
-    load = postings.groupBy("query").agg(F.ceil(F.count("*") / POSTINGS_PER_BLOCK).alias("blocks"),
-                                         F.min("query_n").alias("query_n"), F.collect_set("s").alias("merged"))
-    dealt = postings.join(load.select("query", "blocks"), "query")
-    blocks = (dealt.groupBy("query", F.expr("pmod(xxhash64(node), blocks)").alias("block"), "s")
-                   .agg(F.sort_array(F.collect_list("node")).alias("list"))
-                   .groupBy("query", "block").agg(F.collect_list("list").alias("lists")))
-    found = blocks.select("query", "lists").mapInArrow(_merge, "query long, node long, hits long")
+    blocks = postings.groupBy("query", F.expr("pmod(xxhash64(node), blocks)").alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct("s", "node"))).alias("postings"))
+    found = blocks.select("query", "postings").mapInArrow(_merge, "query long, node long, hits long")
     queries = (load.join(docs.select(F.col("node").alias("query"), F.col("shared").alias("all")), "query")
                    .select("query", "query_n", F.array_except("all", "merged").alias("long")))
     pairs = found.join(docs.select("node", "n", "shared"), "node").join(queries, "query")
@@ -317,6 +318,22 @@ def search(lists: DataFrame, docs: DataFrame, hubs: DataFrame, similarity: int,
         _probe(similarity), "a long, b long")
 
 
+def _hubs(lists: DataFrame, buckets: int) -> DataFrame:
+    """In lists of up to ``SHORT_LIST`` documents every one is a hub (not in the first round, of one hub a list);
+    in longer ones the smallest of each of ``buckets`` hash buckets."""
+    sizes = lists.groupBy("s").agg(F.count("*").alias("size"))
+    if buckets == 1:
+        least = lists.groupBy("s").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("size"))
+        return least.select("s", F.col("hub.node").alias("query"), F.col("hub.n").alias("query_n"), "size",
+                            F.lit(False).alias("all_pairs"))
+    short = F.col("size") <= SHORT_LIST
+    bucket = F.when(short, F.col("node")).otherwise(F.expr(f"pmod(xxhash64(node), {buckets})"))
+    return (lists.join(sizes, "s").groupBy("s", bucket.alias("bucket"))
+                 .agg(F.min(F.struct("node", "n")).alias("hub"), F.first("size").alias("size"))
+                 .select("s", F.col("hub.node").alias("query"), F.col("hub.n").alias("query_n"), "size",
+                         short.alias("all_pairs")))
+
+
 def ngram_jaccard_classes(documents: DataFrame, k: int = 5, similarity: int = 75) -> DataFrame:
     """One row per row of ``documents``: doc_id, n_shingles, component_id."""
     spark = documents.sparkSession
@@ -349,17 +366,19 @@ def ngram_jaccard_classes(documents: DataFrame, k: int = 5, similarity: int = 75
     comp: DataFrame | None = None
     buckets = 1
     while not lists.isEmpty():
-        least = F.min(F.struct("node", "n")).alias("hub")
-        hubs = (lists.groupBy("s", F.expr(f"pmod(xxhash64(node), {buckets})").alias("bucket")).agg(least)
-                     .select("s", F.col("hub.node").alias("query"), F.col("hub.n").alias("query_n")))
-        found = stage(search(lists, docs, hubs, similarity, comp).distinct(), "ngram-links")
-        links = found if links is None else links.unionByName(found)
-        comp = stage(components(links), "ngram-comp")
+        hubs = stage(_hubs(lists, buckets), "ngram-hubs")
+        found = stage(search(lists, docs, hubs, similarity, comp), "ngram-links")
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            comp = stage(components(links), "ngram-comp")
         gone = hubs.select("s", F.col("query").alias("node"))
-        rest = lists.join(gone, ["s", "node"], "left_anti").join(comp, "node", "left").select(
-            "s", "node", "n", F.coalesce("component", "node").alias("c"))
+        rest = lists.join(gone, ["s", "node"], "left_anti")
+        if comp is not None:
+            rest = rest.join(comp, "node", "left").withColumn("c", F.coalesce("component", "node"))
+        else:
+            rest = rest.withColumn("c", F.col("node"))
         fewer = stage(several(rest, "c").select("s", "node", "n"), "ngram-lists")
-        unstage(lists)
+        unstage(lists, hubs)
         lists, buckets = fewer, buckets * 8
 
     known = classes.select("h1", "h2", "least")

@@ -17,8 +17,9 @@ Steps, all linear in the input:
 4. Searches run in rounds. Each list names hubs; a hub is a query whose short lists are merged. Found links join the
    components; lists whose documents are all in one component are done, and hubs leave their lists. The first round has
    one hub a list, so it costs one candidate per entry, and a group of near copies ends there. What is left are lists
-   across components: up to ``SHORT_LIST`` documents they are finished in the second round, and longer ones get 8, 64,
-   ... hubs a round. No pair that could join two components is skipped.
+   across components. Where up to ``SHORT_LIST`` documents are outside a list's largest component, these are its hubs and
+   the second round finishes the list; others get 8, 64, ... hubs a round. No pair that could join two components is
+   skipped.
 
 Order and repeats of rows do not matter. A null text, or one without words, has no shingles and links with nothing;
 with fewer words than a shingle has, the whole sequence is the one shingle. Rows without doc_id take part but name no
@@ -293,22 +294,20 @@ def _probe(similarity: int):
     return run
 
 
-def search(lists: DataFrame, docs: DataFrame, hubs: DataFrame, similarity: int, comp: DataFrame | None) -> DataFrame:
-    """Links (a, b) between each hub of a list and the list's other documents.
+def search(lists: DataFrame, docs: DataFrame, hubs: DataFrame, similarity: int) -> DataFrame:
+    """Links (a, b) between each hub of a list and the list's documents of other components.
 
-    ``lists``: (s, node, n); ``hubs``: (s, query, query_n, size, all_pairs); ``docs``: (node, n, shared, short).
-    Pairs inside one component of ``comp`` are skipped. In lists where all documents are hubs a pair is taken once.
+    ``lists``: (s, node, n, c); ``hubs``: (s, query, query_n, query_c, size, rest); ``docs``: (node, n, shared, short).
+    ``rest`` is the component whose documents are no hubs of the list, where all others are: pairs of hubs are then
+    taken once. Conditions are part of the join, so pairs that need no look are never rows.
     """
     load = hubs.groupBy("query").agg(F.ceil(F.sum("size") / POSTINGS_PER_BLOCK).alias("blocks"),
                                      F.collect_set("s").alias("merged"), F.min("query_n").alias("query_n"))
-    size_ok = (F.col("query_n") * similarity <= F.col("n") * 100) & (F.col("n") * similarity <= F.col("query_n") * 100)
-    once = (F.col("node") != F.col("query")) & (~F.col("all_pairs") | (F.col("query") < F.col("node")))
-    postings = lists.join(hubs.join(load.select("query", "blocks"), "query"), "s").filter(once & size_ok)
-    if comp is not None:
-        a = comp.select(F.col("node").alias("query"), F.col("component").alias("query_c"))
-        postings = (postings.join(comp, "node", "left").join(a, "query", "left")
-                            .filter(F.coalesce("component", "node") != F.coalesce("query_c", "query")))
-    blocks = postings.groupBy("query", F.expr("pmod(xxhash64(node), blocks)").alias("block")).agg(
+    h = hubs.join(load.select("query", "blocks"), "query").withColumnRenamed("s", "hub_s")
+    wanted = (F.col("s") == F.col("hub_s")) & (F.col("c") != F.col("query_c")) & \
+        (F.col("query_n") * similarity <= F.col("n") * 100) & (F.col("n") * similarity <= F.col("query_n") * 100) & \
+        (F.col("rest").isNull() | (F.col("c") == F.col("rest")) | (F.col("query") < F.col("node")))
+    blocks = lists.join(h, wanted).groupBy("query", F.expr("pmod(xxhash64(node), blocks)").alias("block")).agg(
         F.sort_array(F.collect_list(F.struct("s", "node"))).alias("postings"))
     found = blocks.select("query", "postings").mapInArrow(_merge, "query long, node long, hits long")
     queries = (load.join(docs.select(F.col("node").alias("query"), F.col("shared").alias("all")), "query")
@@ -319,19 +318,22 @@ def search(lists: DataFrame, docs: DataFrame, hubs: DataFrame, similarity: int,
 
 
 def _hubs(lists: DataFrame, buckets: int) -> DataFrame:
-    """In lists of up to ``SHORT_LIST`` documents every one is a hub (not in the first round, of one hub a list);
-    in longer ones the smallest of each of ``buckets`` hash buckets."""
-    sizes = lists.groupBy("s").agg(F.count("*").alias("size"))
+    """First round: one hub a list. Later: of a list, all documents outside its largest component where these are
+    ``SHORT_LIST`` at most (the list is finished then), else the smallest of each of ``buckets`` hash buckets."""
     if buckets == 1:
-        least = lists.groupBy("s").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("size"))
-        return least.select("s", F.col("hub.node").alias("query"), F.col("hub.n").alias("query_n"), "size",
-                            F.lit(False).alias("all_pairs"))
-    short = F.col("size") <= SHORT_LIST
-    bucket = F.when(short, F.col("node")).otherwise(F.expr(f"pmod(xxhash64(node), {buckets})"))
-    return (lists.join(sizes, "s").groupBy("s", bucket.alias("bucket"))
-                 .agg(F.min(F.struct("node", "n")).alias("hub"), F.first("size").alias("size"))
-                 .select("s", F.col("hub.node").alias("query"), F.col("hub.n").alias("query_n"), "size",
-                         short.alias("all_pairs")))
+        least = lists.groupBy("s").agg(F.min(F.struct("node", "n", "c")).alias("hub"), F.count("*").alias("size"))
+        return least.select("s", F.col("hub.node").alias("query"), F.col("hub.n").alias("query_n"),
+                            F.col("hub.c").alias("query_c"), "size", F.lit(None).cast("long").alias("rest"))
+    parts = lists.groupBy("s", "c").agg(F.count("*").alias("m"))
+    sizes = parts.groupBy("s").agg(F.sum("m").alias("size"), F.max(F.struct("m", "c")).alias("largest"))
+    few = F.col("size") - F.col("largest.m") <= SHORT_LIST
+    bucket = F.when(few, F.col("node")).otherwise(F.expr(f"pmod(xxhash64(node), {buckets})"))
+    return (lists.join(sizes, "s").filter(~few | (F.col("c") != F.col("largest.c")))
+                 .groupBy("s", bucket.alias("bucket"))
+                 .agg(F.min(F.struct("node", "n", "c")).alias("hub"), F.first("size").alias("size"),
+                      F.first(F.when(few, F.col("largest.c"))).alias("rest"))
+                 .select("s", F.col("hub.node").alias("query"), F.col("hub.n").alias("query_n"),
+                         F.col("hub.c").alias("query_c"), "size", "rest"))
 
 
 def ngram_jaccard_classes(documents: DataFrame, k: int = 5, similarity: int = 75) -> DataFrame:
@@ -357,27 +359,29 @@ def ngram_jaccard_classes(documents: DataFrame, k: int = 5, similarity: int = 75
     docs = stage(dealt.repartitionById(n_parts, "pid").mapInArrow(
         _assemble(similarity), "node long, n long, shared array<long>, short array<long>"), "ngram-docs")
 
-    def several(lists: DataFrame, what: str) -> DataFrame:
-        good = lists.groupBy("s").agg(F.min(what).alias("x"), F.max(what).alias("y")).filter("x <> y").select("s")
+    def several(lists: DataFrame) -> DataFrame:
+        """The lists that hold documents of two components or more."""
+        good = lists.groupBy("s").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("s")
         return lists.join(good, "s", "left_semi")
 
-    lists = stage(several(docs.select(F.explode("short").alias("s"), "node", "n"), "node"), "ngram-lists")
+    lists = stage(several(docs.select(F.explode("short").alias("s"), "node", "n").withColumn("c", F.col("node"))),
+                  "ngram-lists")
     links: DataFrame | None = None
     comp: DataFrame | None = None
     buckets = 1
     while not lists.isEmpty():
         hubs = stage(_hubs(lists, buckets), "ngram-hubs")
-        found = stage(search(lists, docs, hubs, similarity, comp), "ngram-links")
+        found = stage(search(lists, docs, hubs, similarity), "ngram-links")
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             comp = stage(components(links), "ngram-comp")
         gone = hubs.select("s", F.col("query").alias("node"))
-        rest = lists.join(gone, ["s", "node"], "left_anti")
+        rest = lists.join(gone, ["s", "node"], "left_anti").join(
+            hubs.filter("rest IS NOT NULL").select("s").distinct(), "s", "left_anti")
         if comp is not None:
-            rest = rest.join(comp, "node", "left").withColumn("c", F.coalesce("component", "node"))
-        else:
-            rest = rest.withColumn("c", F.col("node"))
-        fewer = stage(several(rest, "c").select("s", "node", "n"), "ngram-lists")
+            rest = rest.drop("c").join(comp, "node", "left").select(
+                "s", "node", "n", F.coalesce("component", "node").alias("c"))
+        fewer = stage(several(rest), "ngram-lists")
         unstage(lists, hubs)
         lists, buckets = fewer, buckets * 8
 

@@ -96,3 +96,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pfair_mix import scheduled
     rows = table(spark, sf_dir, "documents").select("doc_id", "source")
     return scheduled(rows).select("doc_id", "source", "mix.*")
+
+
+@query("op1_hash_prefix_forest")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .hash_forest import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)

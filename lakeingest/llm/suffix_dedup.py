@@ -28,11 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .exchange import by_kind, deal, exchange, gather, partitions, stage
+from .exchange import BLOCKS, by_kind, deal, exchange, gather, partitions, stage, unpack
 from .textblocks import chunks, grams, mix64, sequence_hash, words
 
 FLUSH_ENTRIES = 2_000_000
-_MARKS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("later", pa.bool_()), ("places", pa.binary())])
 _SPANS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("role", pa.string()),
                     ("start_word", pa.int64()), ("end_word", pa.int64()), ("n_words", pa.int64())])
 
@@ -80,38 +79,63 @@ def _local(key, doc, place, text, n_parts: int) -> list[pa.RecordBatch]:
     return out
 
 
-_ENTRY = ["u8", "i8", "u8", "u4", "u1"]
+_ENTRY, _MARK = ["u8", "i8", "u8", "u4", "u1"], ["i8", "u8", "u4"]
 
 
-def _compare(batches):
-    """Sort entries by key and compare neighbours: marks (doc_id, text_key, later, word positions)."""
+def _compare(n_parts: int):
+    """Sort entries by key and compare neighbours: marks (document, text, place) dealt by document, kind 1 if the
+    passage is in an earlier document, else 0."""
+    def run(batches):
+        blocks = by_kind(batches)
+        key, doc, text, place, multi = gather(blocks.get(1, []), _ENTRY)
+        if len(key):
+            order = np.lexsort((place, doc, key))
+            key, doc, text, place, multi = (a[order] for a in (key, doc, text, place, multi))
+            new = np.append(True, key[1:] != key[:-1])
+            group = np.cumsum(new) - 1
+            later = doc != doc[new][group]
+            found = (np.bincount(group, weights=later) + np.bincount(group, weights=multi) > 0)[group]
+            for kind, own in ((0, found & ~later), (1, found & later)):
+                if own.any():
+                    yield deal(kind, mix64(doc[own].astype(np.uint64)), n_parts, [doc[own], text[own], place[own]])
+        for block in blocks.get(2, []):
+            doc, text, place = unpack(block, _MARK)
+            yield deal(1, mix64(doc.astype(np.uint64)), n_parts, [doc, text, place])
+    return run
+
+
+def _sorted_marks(blocks: list[bytes]):
+    doc, text, place = gather(blocks, _MARK)
+    order = np.lexsort((place, text, doc))
+    return doc[order], text[order], place[order].astype(np.int64)
+
+
+def _places(batches):
+    """One row per document: its marked words."""
     blocks = by_kind(batches)
-    key, doc, text, place, multi = gather(blocks.get(1, []), _ENTRY)
-    if len(key):
-        order = np.lexsort((place, doc, key))
-        key, doc, text, place, multi = (a[order] for a in (key, doc, text, place, multi))
-        new = np.append(True, key[1:] != key[:-1])
-        group = np.cumsum(new) - 1
-        later = doc != doc[new][group]
-        found = (np.bincount(group, weights=later) + np.bincount(group, weights=multi) > 0)[group]
-        yield from _marks(doc[found], text[found], place[found], later[found])
-    doc, text, place = gather(blocks.get(2, []), ["i8", "u8", "u4"])
-    yield from _marks(doc, text, place, np.ones(len(doc), dtype=bool))
-
-
-def _marks(doc, text, place, later):
-    if not len(doc):
-        return
-    order = np.lexsort((place, later, text, doc))
-    doc, text, place, later = doc[order], text[order], place[order], later[order]
-    new = np.append(True, (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (later[1:] != later[:-1]))
-    low = np.flatnonzero(new)
-    high = np.append(low[1:], len(doc))
-    for at in range(0, len(low), 5000):
-        a, b = low[at:at + 5000], high[at:at + 5000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(doc[a]), pa.array(text[a].view(np.int64)), pa.array(later[a]),
-             pa.array([place[i:j].tobytes() for i, j in zip(a, b)], pa.binary())], schema=_MARKS)
+    doc, _, place = _sorted_marks(blocks.get(0, []) + blocks.get(1, []))
+    if len(doc):
+        docs, low = np.unique(doc, return_index=True)
+        parts = np.split(place.astype(np.uint32), low[1:])
+        yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array([p.tobytes() for p in parts], pa.binary())],
+                                         names=["doc_id", "places"])
+
+
+def _spans(min_words: int):
+    """Overlapping matches of a text joined to spans."""
+    def run(batches):
+        blocks = by_kind(batches)
+        for kind, role in ((0, "first"), (1, "later")):
+            doc, text, place = _sorted_marks(blocks.get(kind, []))
+            if not len(doc):
+                continue
+            new = np.append(True, (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (place[1:] - place[:-1] > min_words))
+            start, last = place[new], place[np.append(np.flatnonzero(new)[1:], len(place)) - 1]
+            end = last + min_words
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[new]), pa.array(text[new].view(np.int64)), pa.array([role] * len(start), pa.string()),
+                 pa.array(start), pa.array(end), pa.array(end - start)], schema=_SPANS)
+    return run
 
 
 def _flushed(make, n_parts: int):
@@ -152,11 +176,10 @@ def _extended(min_words: int, anchor: int):
             edge = np.zeros(len(h) + 1, dtype=np.int64)
             for d in range(low, high):
                 first, last = w.first[d - low], w.first[d - low + 1]
-                for block in places[d]:
-                    p = np.frombuffer(block.as_py(), dtype=np.uint32).astype(np.int64) + first
-                    p = p[p < last]     # of another text with this doc_id
-                    np.add.at(edge, np.maximum(p - (min_words - anchor), first), 1)
-                    np.add.at(edge, p + 1, -1)
+                p = np.frombuffer(places[d].as_py(), dtype=np.uint32).astype(np.int64) + first
+                p = p[p < last]     # others are of another text with this doc_id
+                np.add.at(edge, np.maximum(p - (min_words - anchor), first), 1)
+                np.add.at(edge, p + 1, -1)
             key, at = grams(h, w.doc, min_words)
             use = np.cumsum(edge)[at] > 0
             key, at = key[use], at[use]
@@ -165,39 +188,17 @@ def _extended(min_words: int, anchor: int):
     return make
 
 
-def _spans(min_words: int):
-    def run(batches):
-        for batch in batches:
-            rows = []
-            for doc, text, marks in zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(),
-                                        batch.column("marks").to_pylist()):
-                for role, late in (("first", False), ("later", True)):
-                    blocks = [np.frombuffer(m["places"], dtype=np.uint32) for m in marks if m["later"] == late]
-                    if not blocks:
-                        continue
-                    at = np.unique(np.concatenate(blocks)).astype(np.int64)
-                    cut = np.flatnonzero(np.diff(at) > min_words) + 1
-                    for run_ in np.split(at, cut):
-                        start, end = int(run_[0]), int(run_[-1]) + min_words
-                        rows.append((doc, text, role, start, end, end - start))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_SPANS)],
-                                             schema=_SPANS)
-    return run
-
-
 def repeated_passages(documents: DataFrame, min_words: int = 50, anchor: int = 16) -> DataFrame:
     """(doc_id, text_key, role, start_word, end_word, n_words) of every passage, ``end_word`` excluded."""
-    spark = documents.sparkSession
-    n = partitions(spark)
-    marks = "doc_id long, text_key long, later boolean, places binary"
+    n = partitions(documents.sparkSession)
     texts = documents.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text")
-    suffixes = exchange(texts, _flushed(_suffixes(anchor, min_words - anchor + 1), n), _compare, marks)
-    places = stage(suffixes.groupBy("doc_id").agg(F.collect_list("places").alias("places")), "suffix-places")
-    extended = exchange(texts.join(places, "doc_id"), _flushed(_extended(min_words, anchor), n), _compare, marks)
-    found = extended.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("later", "places")).alias("marks"))
-    return stage(found, "suffix-marks").mapInArrow(
-        _spans(min_words), "doc_id long, text_key long, role string, start_word long, end_word long, n_words long")
+    suffixes = exchange(texts, _flushed(_suffixes(anchor, min_words - anchor + 1), n), _compare(n), BLOCKS)
+    places = stage(suffixes.repartitionById(n, "pid").mapInArrow(_places, "doc_id long, places binary"), "suffix-places")
+    extended = exchange(texts.join(places, "doc_id"), _flushed(_extended(min_words, anchor), n), _compare(n), BLOCKS)
+    return stage(extended.repartitionById(n, "pid").mapInArrow(
+        _spans(min_words), "doc_id long, text_key long, role string, start_word long, end_word long, n_words long"),
+        "suffix-spans")
 
 
 def _cut(batches):

@@ -104,3 +104,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from .hash_forest import nearest
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op6_html_extraction")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import extract_pages
+    return extract_pages(table(spark, sf_dir, "pages"))

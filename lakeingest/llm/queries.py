@@ -110,3 +110,20 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .html_extract import extract_pages
     return extract_pages(table(spark, sf_dir, "pages"))
+
+
+def _op7_sql() -> str:
+    from .warc_revisit import ORACLE
+    return ORACLE
+
+
+@query("op7_warc_revisits", _op7_sql())
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .warc_revisit import captures_of, resolve_revisits
+    rows = resolve_revisits(captures_of(table(spark, sf_dir, "pages")))
+    return rows.select("record_id", "url_key", "captured_at", "outcome", "resolved_id", "resolved_at",
+                       F.col("headers")["content-type"].alias("content_type"), F.col("headers")["date"].alias("date_header"),
+                       F.col("headers")["cache-control"].alias("cache_control"),
+                       F.length("body").cast("long").alias("body_chars"), F.md5(F.col("body").cast("binary")).alias("body_md5"))

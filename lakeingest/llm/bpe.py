@@ -59,7 +59,8 @@ class Automaton:
         for b in range(256):
             self._label(bytes([b]), vocab[bytes([b])])
         for time, (u, v) in enumerate(merges):
-            self._gadget(time, vocab[u], vocab[v], u + v, vocab[u + v])
+            if u in self.labels and v in self.labels:      # of an unreachable token there are no arcs
+                self._gadget(time, vocab[u], vocab[v], u + v, vocab[u + v])
 
     def _label(self, text: bytes, token: int) -> None:
         self.labels[text] = token

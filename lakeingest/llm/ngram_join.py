@@ -242,10 +242,11 @@ def _assemble(similarity: int):
     return reduce
 
 
-def merge_short(lists: list[list[int]]):
-    """Heap merge of sorted posting lists: (document, number of the lists that hold it)."""
-    for doc, hits in groupby(heapq.merge(*lists)):
-        yield doc, sum(1 for _ in hits)
+def merge_short(lists: list[tuple[int, list[int]]]):
+    """Heap merge of sorted posting lists (shingle, documents): each document with the shingles of the lists it is in."""
+    tagged = ([(doc, shingle) for doc in docs] for shingle, docs in lists)
+    for doc, hits in groupby(heapq.merge(*tagged), key=lambda x: x[0]):
+        yield doc, [shingle for _, shingle in hits]
 
 
 def probe_long(hits: int, lists: np.ndarray, own: np.ndarray, required: int, step: int = 64) -> int:
@@ -264,15 +265,15 @@ def probe_long(hits: int, lists: np.ndarray, own: np.ndarray, required: int, ste
 
 def _merge(batches):
     for batch in batches:
-        queries, docs, counts = [], [], []
+        queries, docs, hits = [], [], []
         for query, postings in zip(batch.column("query").to_pylist(), batch.column("postings").to_pylist()):
-            lists = [[x["node"] for x in own] for _, own in groupby(postings, key=lambda x: x["s"])]
-            for doc, hits in merge_short(lists):
+            lists = [(s, [x["node"] for x in own]) for s, own in groupby(postings, key=lambda x: x["s"])]
+            for doc, found in merge_short(lists):
                 queries.append(query)
                 docs.append(doc)
-                counts.append(hits)
+                hits.append(found)
         yield pa.RecordBatch.from_arrays([pa.array(queries, pa.int64()), pa.array(docs, pa.int64()),
-                                          pa.array(counts, pa.int64())], names=["query", "node", "hits"])
+                                          pa.array(hits, pa.list_(pa.int64()))], names=["query", "node", "hits"])
 
 
 def _probe(similarity: int):
@@ -280,14 +281,15 @@ def _probe(similarity: int):
         for batch in batches:
             q, d = batch.column("query").to_pylist(), batch.column("node").to_pylist()
             nq, nd = batch.column("query_n").to_pylist(), batch.column("n").to_pylist()
-            hits = batch.column("hits").to_pylist()
-            long, shared = batch.column("long"), batch.column("shared")
+            hits, lists, shared = batch.column("hits"), batch.column("lists"), batch.column("shared")
             linked = []
             for i in range(batch.num_rows):
                 # overlap o of sizes a and b is enough when (100 + s) * o >= s * (a + b)
                 required = -(-similarity * (nq[i] + nd[i]) // (100 + similarity))
-                found = probe_long(hits[i], long[i].values.to_numpy(), shared[i].values.to_numpy(), required)
-                if found >= required:
+                # merged lists hold a document only where the shingle is among its rarest: what was not hit is probed
+                merged = hits[i].values.to_numpy()
+                long = np.setdiff1d(lists[i].values.to_numpy(), merged, assume_unique=True)
+                if probe_long(len(merged), long, shared[i].values.to_numpy(), required) >= required:
                     linked.append((q[i], d[i]))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in linked], pa.int64()),
                                               pa.array([x[1] for x in linked], pa.int64())], names=["a", "b"])
@@ -301,19 +303,17 @@ def search(lists: DataFrame, docs: DataFrame, hubs: DataFrame, similarity: int)
     ``rest`` is the component whose documents are no hubs of the list, where all others are: pairs of hubs are then
     taken once. Conditions are part of the join, so pairs that need no look are never rows.
     """
-    load = hubs.groupBy("query").agg(F.ceil(F.sum("size") / POSTINGS_PER_BLOCK).alias("blocks"),
-                                     F.collect_set("s").alias("merged"), F.min("query_n").alias("query_n"))
-    h = hubs.join(load.select("query", "blocks"), "query").withColumnRenamed("s", "hub_s")
+    load = hubs.groupBy("query").agg(F.ceil(F.sum("size") / POSTINGS_PER_BLOCK).alias("blocks"))
+    h = hubs.join(load, "query").withColumnRenamed("s", "hub_s")
     wanted = (F.col("s") == F.col("hub_s")) & (F.col("c") != F.col("query_c")) & \
         (F.col("query_n") * similarity <= F.col("n") * 100) & (F.col("n") * similarity <= F.col("query_n") * 100) & \
         (F.col("rest").isNull() | (F.col("c") == F.col("rest")) | (F.col("query") < F.col("node")))
     blocks = lists.join(h, wanted).groupBy("query", F.expr("pmod(xxhash64(node), blocks)").alias("block")).agg(
         F.sort_array(F.collect_list(F.struct("s", "node"))).alias("postings"))
-    found = blocks.select("query", "postings").mapInArrow(_merge, "query long, node long, hits long")
-    queries = (load.join(docs.select(F.col("node").alias("query"), F.col("shared").alias("all")), "query")
-                   .select("query", "query_n", F.array_except("all", "merged").alias("long")))
+    found = blocks.select("query", "postings").mapInArrow(_merge, "query long, node long, hits array<long>")
+    queries = docs.select(F.col("node").alias("query"), F.col("n").alias("query_n"), F.col("shared").alias("lists"))
     pairs = found.join(docs.select("node", "n", "shared"), "node").join(queries, "query")
-    return pairs.select("query", "node", "query_n", "n", "hits", "long", "shared").mapInArrow(
+    return pairs.select("query", "node", "query_n", "n", "hits", "lists", "shared").mapInArrow(
         _probe(similarity), "a long, b long")
 
 

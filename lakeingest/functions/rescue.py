@@ -241,8 +241,8 @@ def csv_by_file_typed(schema: T.StructType, width: int) -> list[Column]:
 
     ``_header`` is the file's header (from the probe); each declared field takes
     the value at its position in that header. ``width`` is the widest header,
-    and one more slot catches lines with more fields than any header. Rows equal
-    to their header are the header lines themselves.
+    and one more slot catches lines with more fields than any header. The header
+    lines themselves are left out by the reader.
     """
     values = F.array(*[F.col(f"_c{i}") for i in range(width + 1)])
     header = F.col(HEADER)
@@ -257,9 +257,8 @@ def csv_by_file_typed(schema: T.StructType, width: int) -> list[Column]:
     # Undeclared header columns, or values past the header: possibly something to rescue.
     flags += [F.size(F.array_except(header, declared)) > 0, F.col(f"_c{width}").isNotNull(),
               F.size(header) < F.lit(width)]
-    is_header_line = header.isNotNull() & (F.slice(values, 1, F.size(header)) == header)
     return ([typed[f.name].alias(f"{TYPED_PREFIX}{f.name}") for f in schema.fields]
-            + [_any(flags).alias(NEEDS_RESCUE), is_header_line.alias("_is_header_line"), values.alias(VALUES)])
+            + [_any(flags).alias(NEEDS_RESCUE), values.alias(VALUES)])
 
 
 def csv_by_file_rescue(schema: T.StructType, width: int) -> Column:
@@ -288,7 +287,6 @@ def csv_by_file(schema: T.StructType, width: int):
     def apply(df):
         lineage = [c for c in df.columns if c.startswith("_ingested_")]
         typed = df.select(*csv_by_file_typed(schema, width), HEADER, *lineage)
-        typed = typed.where(~F.col("_is_header_line"))
         return typed.select(*[F.col(f"`{TYPED_PREFIX}{f.name}`").alias(f.name) for f in schema.fields],
                             csv_by_file_rescue(schema, width), *lineage)
     return apply

@@ -1,7 +1,7 @@
 """Gold operators: business aggregates over silver tables, and time-cut reads of bronze.
 
-Money and readings are summed as DECIMAL so the result does not depend on the
-order in which partial sums are combined across tasks.
+Money and readings are summed as wide DECIMALs, so the result does not depend on
+the order in which partial sums are combined across tasks.
 """
 
 from __future__ import annotations
@@ -10,44 +10,60 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def exact_sum(col: str, scale: int = 2) -> Column:
-    """Order-independent sum of a double column, returned as double."""
-    return F.sum(F.col(col).cast(f"decimal(20,{scale})")).cast("double")
+SCALE = 12
 
 
-def exact_mean(col: str, scale: int = 6) -> Column:
-    """Order-independent mean of a double column (nulls excluded), returned as double."""
+def exact_sum(col: Column, scale: int | None = SCALE) -> Column:
+    """Sum of a numeric column as a double, the same in whatever order partial sums meet.
+
+    Values are added as DECIMAL(38, ``scale``), so nothing up to ``scale`` digits after the point is rounded. With
+    ``scale=None`` the values are added in their own type: exact for decimals and integers, and for doubles the plain
+    floating-point sum.
+    """
+    return F.sum(col if scale is None else col.cast(f"decimal(38,{scale})")).cast("double")
+
+
+def exact_mean(col: Column, scale: int | None = SCALE) -> Column:
+    """Mean of a numeric column (nulls excluded) as a double, from ``exact_sum``."""
     return exact_sum(col, scale) / F.count(col)
 
 
-def sales_by_channel_week(orders: DataFrame, channel: str, ts: str, amount: str) -> DataFrame:
+def sales_by_channel_week(orders: DataFrame, channel: str, ts: str, amount: str, scale: int | None = SCALE) -> DataFrame:
     """Orders and sales per channel and ISO week (weeks start on Monday)."""
     return (orders.groupBy(F.col(channel).alias("channel"),
                            F.date_trunc("week", F.col(ts)).cast("date").alias("week"))
-                  .agg(F.count(F.lit(1)).alias("orders"), exact_sum(amount).alias("sales")))
+                  .agg(F.count(F.lit(1)).alias("orders"), exact_sum(F.col(amount), scale).alias("sales")))
 
 
-def delivery_time_by_supplier(shipments: DataFrame, supplier: str, start_ts: str, end_ts: str) -> DataFrame:
-    """Mean days from start to end per supplier.
+def delivery_time_by_supplier(shipments: DataFrame, supplier: str, start_ts: str, end_ts: str,
+                              unit: str = "days") -> DataFrame:
+    """Mean time from start to end per supplier: whole calendar ``days`` (mean_days), or ``hours`` to the microsecond
+    (mean_hours).
 
     Negative durations are data errors and count as unknown; unknown durations
     (in transit or wrong) are excluded from the mean and counted separately.
     """
-    days = F.datediff(F.col(end_ts), F.col(start_ts))
-    days = F.when(days >= 0, days)
-    return (shipments.withColumn("_days", days)
+    if unit == "days":
+        span, size = F.datediff(F.col(end_ts), F.col(start_ts)), 1
+    elif unit == "hours":
+        def micros(c: str) -> Column:
+            return F.unix_micros(F.col(c).cast("timestamp"))
+        span, size = micros(end_ts) - micros(start_ts), 3_600_000_000
+    else:
+        raise ValueError(f"unit '{unit}' is not days or hours")
+    return (shipments.withColumn("_span", F.when(span >= 0, span))
             .groupBy(F.col(supplier).alias("supplier"))
             .agg(F.count(F.lit(1)).alias("shipments"),
-                 F.count("_days").alias("delivered"),
-                 F.count_if(F.col("_days").isNull()).alias("unknown"),
-                 (F.sum("_days").cast("double") / F.count("_days")).alias("mean_days")))
+                 F.count("_span").alias("delivered"),
+                 F.count_if(F.col("_span").isNull()).alias("unknown"),
+                 (F.sum("_span").cast("double") / size / F.count("_span")).alias(f"mean_{unit}")))
 
 
-def mean_by_group_day(readings: DataFrame, group: str, ts: str, value: str) -> DataFrame:
+def mean_by_group_day(readings: DataFrame, group: str, ts: str, value: str, scale: int | None = SCALE) -> DataFrame:
     """Mean, min, max and count of a reading per group and calendar day."""
     return (readings.groupBy(F.col(group).alias("grp"), F.to_date(F.col(ts)).alias("day"))
                     .agg(F.count(value).alias("readings"),
-                         exact_mean(value).alias("mean_value"),
+                         exact_mean(F.col(value), scale).alias("mean_value"),
                          F.min(value).alias("min_value"),
                          F.max(value).alias("max_value")))
 

@@ -79,13 +79,15 @@ def deduplicate(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
 
 
 def conform(fact: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]], how: str = "left") -> DataFrame:
-    """Join a fact table with dimensions on business keys; facts are never dropped (left join).
+    """Join a fact table with dimensions on business keys; facts are never dropped (left join) nor multiplied.
+
+    A dimension is reduced to one row per key first (the greatest by its other columns, by order).
 
     No broadcast is forced: Spark broadcasts a side only when its estimated size
     is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-plans with
     actual sizes (and splits skewed partitions) at runtime.
     """
-    return reduce(lambda acc, d: acc.join(d[0], list(d[1]), how), dims, fact)
+    return reduce(lambda acc, d: acc.join(deduplicate(d[0], list(d[1])), list(d[1]), how), dims, fact)
 
 
 def latest_snapshot(df: DataFrame, entity: Sequence[str], snapshot_ts: str, tiebreak: Sequence[str] = ()) -> DataFrame:

@@ -29,8 +29,7 @@ BY_DAY = {"derived_partitions": {"_ingested_date": "to_date(_ingested_at)"}, "pa
 
 
 def files_source(fmt: str, dataset: str, **extra) -> dict:
-    options = {"recursiveFileLookup": "true", **extra.pop("options", {})}
-    return {"type": "files", "format": fmt, "path": "{landing}/" + dataset, "options": options, **extra}
+    return {"type": "files", "format": fmt, "path": "{landing}/" + dataset, "options": extra.pop("options", {}), **extra}
 
 
 def csv_orders_source(**extra) -> dict:
@@ -431,3 +430,84 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = lab.run(lab.dataset("orders", csv_orders_source()), lab.dataset("missing", files_source("json", "missing")))
     return report(results_frame(spark, results)).select(
         "dataset", "source_format", "rows_ingested", "status", (F.col("seconds") >= 0).alias("timed"))
+
+
+@register("nested_dated_drops", f"""
+SELECT {', '.join(ORDERS_COLS)}, 'orders/' || strftime(o_orderdate, '%Y') || '/12/31' AS folder FROM orders""")
+def nested_dated_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drops in year, month and day folders, read by a dataset without any option."""
+    lab = Lab(spark, "nested")
+    orders = table(spark, sf_dir, "orders")
+    year = F.year("o_orderdate")
+    # a handful of years, whatever the number of orders
+    for y in sorted(r[0] for r in orders.select(year).distinct().collect()):
+        lab.land(orders.where(year == y), "orders", f"{y}/12/31", "parquet")
+    ds = lab.dataset("orders", {"type": "files", "format": "parquet", "path": "{landing}/orders"}, BY_DAY)
+    lab.run(ds)
+    folder = F.regexp_extract("_ingested_filepath", r"(orders/\d+/\d+/\d+)/[^/]*$", 1)
+    return lab.bronze(ds).select(*ORDERS_COLS, folder.alias("folder"))
+
+
+@register("parquet_columns_of_every_file", """
+SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 'web' END AS channel,
+       CAST(NULL AS VARCHAR) AS _rescued_data FROM orders""")
+def parquet_columns_of_every_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that only the older files of a backlog have."""
+    lab = Lab(spark, "allfiles")
+    orders = table(spark, sf_dir, "orders")
+    lab.land(orders.where("o_orderdate < TIMESTAMP '1998-01-01'").withColumn("channel", F.lit("web")), "orders", "d1", "parquet")
+    lab.land(orders.where("o_orderdate >= TIMESTAMP '1998-01-01'"), "orders", "d2", "parquet")
+    ds = lab.dataset("orders", files_source("parquet", "orders"), BY_DAY)
+    lab.run(ds)
+    return lab.bronze(ds).select("o_orderkey", "channel", "_rescued_data")
+
+
+@register("rescue_after_failed_run", """
+SELECT o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN '{"channel":"web"}' END AS _rescued_data
+FROM orders""")
+def rescue_after_failed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schema is frozen; a run that dies after its schema step does not lose the undeclared columns of its files."""
+    from ..sources.schema import resolve_schema
+    lab = Lab(spark, "deadrun")
+    orders = table(spark, sf_dir, "orders")
+    ds = lab.dataset("orders", files_source("parquet", "orders", schema_evolution_mode="rescue"), BY_DAY)
+    lab.land(orders.where("o_orderdate < TIMESTAMP '1998-01-01'"), "orders", "d1", "parquet")
+    lab.run(ds)
+    lab.land(orders.where("o_orderdate >= TIMESTAMP '1998-01-01'").withColumn("channel", F.lit("web")), "orders", "d2", "parquet")
+    resolve_schema(spark, ds, lab.engine)       # a run that got no further
+    lab.run(ds)
+    return lab.bronze(ds).select("o_orderkey", "_rescued_data")
+
+
+@register("csv_mixed_headers_after_failed_run", """
+SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(NULL AS VARCHAR) AS _rescued_data FROM orders""")
+def csv_mixed_headers_after_failed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with their columns in two orders; the first run dies after its schema step."""
+    from ..sources.schema import resolve_schema
+    lab = Lab(spark, "deadcsv")
+    orders = table(spark, sf_dir, "orders")
+    ddl = "o_orderkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE"
+    ds = lab.dataset("orders", files_source("csv", "orders", schema=ddl, options={"header": "true"}))
+    lab.land(orders.where("o_orderkey % 2 = 0").select("o_orderkey", "o_orderstatus", "o_totalprice"), "orders", "d1", "csv",
+             header="true")
+    lab.land(orders.where("o_orderkey % 2 <> 0").select("o_totalprice", "o_orderkey", "o_orderstatus"), "orders", "d2", "csv",
+             header="true")
+    resolve_schema(spark, ds, lab.engine)
+    lab.run(ds)
+    return lab.bronze(ds).select("o_orderkey", "o_orderstatus", "o_totalprice", "_rescued_data")
+
+
+@register("declared_type_change", """
+SELECT 'ERROR' AS status, TRUE AS names_column, count(*) AS n_rows FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'""")
+def declared_type_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column declared with another type than the table has: the run is refused and bronze stays readable."""
+    lab = Lab(spark, "retyped")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    lab.land(orders.where("o_orderdate < TIMESTAMP '1998-01-01'").drop("o_orderdate"), "orders", "d1", "json")
+    first = lab.dataset("orders", files_source("json", "orders", schema="o_orderkey BIGINT, o_orderstatus STRING"))
+    lab.run(first)
+    lab.land(orders.where("o_orderdate >= TIMESTAMP '1998-01-01'").drop("o_orderdate"), "orders", "d2", "json")
+    second = lab.dataset("orders", files_source("json", "orders", schema="o_orderkey STRING, o_orderstatus STRING"))
+    result = lab.run(second)[0]
+    return lab.bronze(first).agg(F.count("*").alias("n_rows")).select(
+        F.lit(result.status).alias("status"), F.lit("o_orderkey" in result.error_message).alias("names_column"), "n_rows")

@@ -101,7 +101,7 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("sales_by_channel_week", """
 SELECT o_orderpriority AS channel, CAST(date_trunc('week', o_orderdate) AS DATE) AS week,
-       count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(20,2))) AS DOUBLE) AS sales
+       count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(38,12))) AS DOUBLE) AS sales
 FROM orders GROUP BY 1, 2""")
 def sales_by_channel_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.sales_by_channel_week(table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderdate", "o_totalprice")
@@ -125,13 +125,40 @@ def delivery_time_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("mean_by_group_day", """
 SELECT event_type AS grp, CAST(ts AS DATE) AS day, count(value) AS readings,
-       CAST(sum(CAST(value AS DECIMAL(20,6))) AS DOUBLE) / count(value) AS mean_value,
+       CAST(sum(CAST(value AS DECIMAL(38,12))) AS DOUBLE) / count(value) AS mean_value,
        min(value) AS min_value, max(value) AS max_value
 FROM events GROUP BY 1, 2""")
 def mean_by_group_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.mean_by_group_day(table(spark, sf_dir, "events"), "event_type", "ts", "value")
 
 
+@register("delivery_hours", """
+SELECT l_suppkey AS supplier, count(*) AS shipments, count(us) AS delivered, count(*) FILTER (WHERE us IS NULL) AS unknown,
+       CAST(sum(us) AS DOUBLE) / 3600000000 / count(us) AS mean_hours
+FROM (SELECT l_suppkey, CASE WHEN epoch_us(shipped) >= epoch_us(o_orderdate)
+                             THEN epoch_us(shipped) - epoch_us(o_orderdate) END AS us
+      FROM (SELECT *, l_shipdate + to_minutes(l_linenumber * 37) AS shipped
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey) t) t
+GROUP BY l_suppkey""")
+def delivery_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours from order to shipment per supplier (the time of day is made from the line number)."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_suppkey", F.expr("l_shipdate + make_dt_interval(0, 0, l_linenumber * 37, 0)").alias("shipped"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    return gold.delivery_time_by_supplier(li.join(orders, "l_orderkey"), "l_suppkey", "o_orderdate", "shipped", unit="hours")
+
+
+@register("sales_exact", """
+SELECT o_orderpriority AS channel, CAST(date_trunc('week', o_orderdate) AS DATE) AS week, count(*) AS orders,
+       CAST(CAST(sum(CAST(o_orderkey AS HUGEINT) * 4) AS DECIMAL(38,6)) / 1000000 AS DOUBLE) AS sales
+FROM orders GROUP BY 1, 2""")
+def sales_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of a few millionths, which a sum at the scale of cents would lose."""
+    small = table(spark, sf_dir, "orders").withColumn(
+        "amount", (F.col("o_orderkey").cast("decimal(20,0)") * F.lit("0.000004").cast("decimal(7,6)")).cast("double"))
+    return gold.sales_by_channel_week(small, "o_orderpriority", "o_orderdate", "amount")
+
+
 @register("typed_clean", """
 SELECT event_id, ts, user_id, event_type,
        TRY_CAST(CASE WHEN event_id % 50 = 0 THEN 'n/a' END AS DOUBLE) AS value_if_broken,
@@ -194,6 +221,26 @@ def cdc_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.visible().select(*EVENTS_COLS)
 
 
+@register("cdc_rebucketed", """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) t
+WHERE rn = 1 AND event_type <> 'error'""")
+def cdc_rebucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state is opened with another bucket count between two runs."""
+    from ..streaming.silver import KeyedState, read_bronze_stream, start_cdc_stream
+    from ..streaming.sink import table_path
+    lab, ds, first, second = _events_in_two_runs(spark, sf_dir, "cdcbuckets")
+    checkpoint = f"{lab.area}/silver/_checkpoints/user_state"
+    for drop, rows, buckets in (("d1", first, 16), ("d2", second, 6)):
+        state = KeyedState(spark, f"{lab.area}/silver/user_state", ["user_id"], ["event_id"], "event_type = 'error'",
+                           buckets=buckets)
+        lab.land(rows, "events", drop, "json", **TS_TEXT)
+        lab.run(ds)
+        changes = read_bronze_stream(spark, table_path(ds, lab.engine)).select(*EVENTS_COLS)
+        start_cdc_stream(changes, state, checkpoint).awaitTermination()
+    return state.visible().select(*EVENTS_COLS)
+
+
 @register("dedup_stream", """
 SELECT event_id, ts, user_id, event_type, value, props FROM events""")
 def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,14 +66,41 @@ def _flat(bronze: DataFrame) -> DataFrame:
     return bronze.select("key", *[F.col("value")[c].alias(c) for c in EVENTS_COLS], "_topic", "_partition", "_offset")
 
 
-@register("decode_json_messages", _ORACLE_MSG + " WHERE event_type IN ('click', 'view', 'purchase', 'signup', 'error')")
+@register("decode_json_messages", _ORACLE_MSG)
 def decode_json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """String keys and JSON values decoded with the declared schema; one topic list subscription."""
-    topics = ",".join(f"app.events.{t}" for t in ("click", "view", "purchase", "signup", "error"))
-    lab, ds = _json_lab(spark, sf_dir, "msgjson", subscribe=topics)
+    """String keys and JSON values decoded with the declared schema, from every topic there is."""
+    lab, ds = _json_lab(spark, sf_dir, "msgjson", subscribe_pattern=r"app\.events\..*")
     return _flat(lab.bronze(ds))
 
 
+# Of ten messages one has a field that does not fit, one an undeclared field, and one is cut short.
+_PARTIAL = """CASE event_id % 10
+  WHEN 0 THEN '{"event_id":' || event_id || ',"user_id":"u' || user_id || '"}'
+  WHEN 1 THEN '{"event_id":' || event_id || ',"user_id":' || user_id || ',"kind":"' || event_type || '"}'
+  WHEN 2 THEN '{"event_id":' || event_id || ',"user_id"'
+  ELSE '{"event_id":' || event_id || ',"user_id":' || user_id || '}' END"""
+
+
+@register("message_partial_failure", f"""
+SELECT CAST(user_id AS VARCHAR) AS key, event_id AS _offset,
+       CASE WHEN event_id % 10 <> 2 THEN event_id END AS event_id,
+       CASE WHEN event_id % 10 NOT IN (0, 2) THEN user_id END AS user_id,
+       CASE WHEN event_id % 10 IN (0, 1, 2) THEN {_PARTIAL} END AS raw
+FROM events""")
+def message_partial_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that decode in part keep their bytes beside what could be decoded."""
+    lab = Lab(spark, "msgpartial")
+    events = table(spark, sf_dir, "events")
+    envelope(events, F.encode(F.expr(_PARTIAL), "UTF-8")).write.parquet(f"{lab.engine.landing_root}/topics/drop1")
+    src = {"type": "kafka", "envelope_path": "{landing}/topics", "subscribe_pattern": r"app\.events\..*",
+           "value_format": "json", "value_json_schema": "event_id BIGINT, user_id BIGINT",
+           "options": {"recursiveFileLookup": "true"}}
+    ds = lab.dataset("partial", src)
+    lab.run(ds)
+    return lab.bronze(ds).select("key", "_offset", F.col("value.event_id").alias("event_id"),
+                                 F.col("value.user_id").alias("user_id"), F.col("_raw_value").cast("string").alias("raw"))
+
+
 @register("topic_pattern", _ORACLE_MSG + " WHERE event_type IN ('click', 'view')")
 def topic_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A pattern subscription (full match); it wins over ``subscribe``."""

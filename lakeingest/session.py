@@ -12,8 +12,8 @@ def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Executors can be lost at any time, so intermediate tables and example
-    landing zones go to that shared folder, never to a machine-local one. Only
-    when the setting is absent (local tests) a temporary folder is set up.
+    landing zones go to that shared folder, never to a machine-local one. Only in
+    local mode, without the setting, a temporary folder is set up.
     """
     try:
         sc = spark.sparkContext
@@ -21,6 +21,8 @@ def shared_root(spark: SparkSession) -> str:
     except Exception:  # no SparkContext reachable from this client
         sc, root = None, spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if sc is None or not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="lakeingest-")
         if sc is not None:
             sc.setCheckpointDir(root)

@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.provenance import with_ingestion_time
 from ..spec import DatasetSpec, EngineSpec
 
 
-def read_source(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) -> DataFrame:
-    """One entry point: files or messages by ``source.type``; adds ``_ingested_at``."""
+def read_source(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec,
+                on_commit: list[Callable[[], None]] | None = None) -> DataFrame:
+    """One entry point: files or messages by ``source.type``; adds ``_ingested_at``.
+
+    What is to be done once the rows are committed is appended to ``on_commit``.
+    """
     if ds.source_type == "files":
         from .files import read_files
-        df = read_files(spark, ds, engine)
+        from .schema import resolve_schema
+        resolved = resolve_schema(spark, ds, engine)
+        if on_commit is not None:
+            on_commit.append(resolved.committed)
+        df = read_files(spark, ds, engine, resolved)
     else:
         from .messages import read_messages
         df = read_messages(spark, ds, engine)

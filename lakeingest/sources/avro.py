@@ -348,7 +348,7 @@ def read_avro_stream(spark: SparkSession, path: str, reader_opts: dict[str, str]
         return df.withColumns({"_ingested_filename": F.col("_metadata.file_name"),
                                "_ingested_filepath": F.col("_metadata.file_path")})
     from .schema import BINARY_FILE_SCHEMA
-    files = (spark.readStream.options(**{"maxFileAge": "3650d", **reader_opts}).format("binaryFile")
+    files = (spark.readStream.options(**{"maxFileAge": "365000d", **reader_opts}).format("binaryFile")
              .schema(BINARY_FILE_SCHEMA).load(path)
              .select("content", F.col("_metadata.file_name").alias("_ingested_filename"),
                      F.col("_metadata.file_path").alias("_ingested_filepath")))

@@ -15,13 +15,14 @@ from pyspark.sql import types as T
 from ..functions import rescue
 from ..functions.provenance import with_file_lineage
 from ..spec import DatasetSpec, EngineSpec, SpecError
-from .schema import BINARY_FILE_SCHEMA, CORRUPT_KEY, ResolvedSchema, resolve_schema, split_options
+from .schema import (BINARY_FILE_SCHEMA, CORRUPT_KEY, ResolvedSchema, resolve_schema, split_options,
+                     with_recursion)
 
 # Landing zones keep files for a long time; Spark's default (7 days relative to
 # the newest file) would silently skip an old drop. A backlog is drained in
 # bounded micro-batches: each one commits, so a failure costs one batch of work
 # and the driver never plans one batch over millions of files.
-_DEFAULT_STREAM_OPTIONS = {"maxFileAge": "3650d", "maxFilesPerTrigger": "50000"}
+_DEFAULT_STREAM_OPTIONS = {"maxFileAge": "365000d", "maxFilesPerTrigger": "50000"}
 
 
 def _stream_reader(spark: SparkSession, reader_opts: dict[str, str]):
@@ -35,6 +36,7 @@ def read_files(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec,
     path = engine.resolve_path(ds.source["path"])
     resolved = resolved or resolve_schema(spark, ds, engine)
     _, reader_opts = split_options(ds.source)
+    reader_opts = with_recursion(spark, path, reader_opts)
     schema = resolved.columns
 
     if fmt == "binaryFile":
@@ -75,7 +77,8 @@ def read_files(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec,
         width = resolved.header_width
         # One slot more than the widest header catches lines with too many fields.
         read_schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width + 1)])
-        opts = {**reader_opts, "header": "false", "mode": "PERMISSIVE"}
+        # Spark itself leaves out the first line of each file; the schema applies by position.
+        opts = {**reader_opts, "header": "true", "enforceSchema": "true", "mode": "PERMISSIVE"}
         df = _stream_reader(spark, opts).format("csv").schema(read_schema).load(path)
         df = df.withColumn("_file_path", F.col("_metadata.file_path"))
         df = with_file_lineage(df)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.decode import decode_column, decode_failed
+from ..functions.decode import DECODERS, Side
 from ..session import read_text, write_text
 from ..spec import DatasetSpec, EngineSpec, SpecError
 from ..streaming.sink import checkpoint_path
@@ -82,7 +82,7 @@ def read_envelope(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) -> D
     src = ds.source
     path = engine.resolve_path(src["envelope_path"])
     selected = topic_filter(F.col("topic"), src.get("subscribe"), src.get("subscribe_pattern"))
-    reader_opts = {"maxFileAge": "3650d", "maxFilesPerTrigger": "50000",
+    reader_opts = {"maxFileAge": "365000d", "maxFilesPerTrigger": "50000",
                    **{k: str(v) for k, v in (src.get("options") or {}).items() if not k.startswith("kafka.")}}
     df = spark.readStream.options(**reader_opts).schema(ENVELOPE_SCHEMA).parquet(path).where(selected)
 
@@ -119,38 +119,45 @@ def read_kafka(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) -> Data
 
 
 def kafka_options(ds: DatasetSpec, engine: EngineSpec) -> dict[str, str]:
-    """The option map the Kafka source would get (checked without a broker)."""
+    """The option map of the Kafka source; checked without a broker. The dataset's own options come last."""
     if engine.kafka is None:
         raise SpecError(f"[{ds.name}] kafka source but the engine spec has no 'kafka' section")
-    src = ds.source
-    options = engine.kafka.spark_options()
-    if src.get("subscribe_pattern"):
-        options["subscribePattern"] = src["subscribe_pattern"]
-    else:
-        options["subscribe"] = src["subscribe"]
-    options["startingOffsets"] = src.get("starting_offsets", "earliest")
-    # Bounded micro-batches when draining a backlog (overridable like every option).
-    options["maxOffsetsPerTrigger"] = str(DEFAULT_MAX_OFFSETS_PER_TRIGGER)
-    options.update({k: str(v) for k, v in (src.get("options") or {}).items()})
-    return options
+    pattern = ds.source.get("subscribe_pattern")
+    topics = {"subscribePattern": pattern} if pattern else {"subscribe": ds.source["subscribe"]}
+    own = {key: str(value) for key, value in (ds.source.get("options") or {}).items()}
+    return {
+        **engine.kafka.spark_options(),
+        **topics,
+        "startingOffsets": ds.source.get("starting_offsets", "earliest"),
+        # Bounded micro-batches when draining a backlog.
+        "maxOffsetsPerTrigger": str(DEFAULT_MAX_OFFSETS_PER_TRIGGER),
+        **own,
+    }
+
+
+#: Column of a message row -> column in bronze.
+LINEAGE = {"topic": "_topic", "partition": "_partition", "offset": "_offset", "timestamp": "_kafka_timestamp"}
 
 
 def read_messages(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) -> DataFrame:
-    """Streaming messages with lineage columns and decoded ``key`` / ``value``."""
-    src = ds.source
-    raw = read_envelope(spark, ds, engine) if src.get("envelope_path") else read_kafka(spark, ds, engine)
-    df = raw.select(
-        F.col("key").alias("_raw_key"), F.col("value").alias("_raw_value"),
-        F.col("topic").alias("_topic"), F.col("partition").alias("_partition"),
-        F.col("offset").alias("_offset"), F.col("timestamp").alias("_kafka_timestamp"))
-    key = decode_column(spark, F.col("_raw_key"), src.get("key_format", "string"), src.get("key_subject"),
-                        src.get("key_json_schema"), engine, ds)
-    value = decode_column(spark, F.col("_raw_value"), src["value_format"], src.get("value_subject"),
-                          src.get("value_json_schema"), engine, ds)
-    df = df.withColumns({"key": key, "value": value})
-    if src.get("keep_raw", True) and src["value_format"] in ("json", "avro"):
-        # Bronze keeps what arrived: bytes that did not decode stay next to the null struct.
-        df = df.withColumn("_raw_value", F.when(decode_failed(F.col("value"), F.col("_raw_value")),
-                                                F.col("_raw_value")))
-        return df.drop("_raw_key")
-    return df.drop("_raw_key", "_raw_value")
+    """Streaming messages: lineage, decoded ``key`` and ``value``, and the bytes a decoder could not keep whole.
+
+    ``_raw_value`` (and ``_raw_key``, for structured keys) is null where the decoded side holds everything.
+    """
+    rows = read_envelope(spark, ds, engine) if ds.source.get("envelope_path") else read_kafka(spark, ds, engine)
+    sides = (Side.of(ds.source, "key", default="string"), Side.of(ds.source, "value"))
+    columns = [F.col(theirs).alias(ours) for theirs, ours in LINEAGE.items()]
+    kept = []
+    for side in sides:
+        decoder = DECODERS.get(side.format)
+        if decoder is None:
+            raise SpecError(f"[{ds.name}] message format not supported: '{side.format}'")
+        raw = F.col(side.name)
+        try:
+            value, whole = decoder(raw, side, spark=spark, engine=engine)
+        except SpecError as exc:
+            raise SpecError(f"[{ds.name}] {exc}") from exc
+        columns.append(value.alias(side.name))
+        if side.format in ("json", "avro") and ds.source.get("keep_raw", True):
+            kept.append(F.when(~whole, raw).alias(f"_raw_{side.name}"))
+    return rows.select(*kept, *columns)

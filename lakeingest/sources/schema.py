@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import list_names, read_text, write_text
-from ..spec import DatasetSpec, EngineSpec, SpecError
+from ..spec import EVOLUTION_MODES, DatasetSpec, EngineSpec, SpecError
 
 log = logging.getLogger(__name__)
 
@@ -45,13 +45,20 @@ ENGINE_OPTION_KEYS = {
     "cloudFiles.inferColumnTypes": "infer_column_types",
     "cloudFiles.schemaEvolutionMode": "schema_evolution_mode",
     "cloudFiles.format": None,
-    "cloudFiles.schemaLocation": None,
+    "cloudFiles.schemaLocation": "schema_location",
+    "cloudFiles.maxFileAge": "maxFileAge",
     "cloudFiles.maxFilesPerTrigger": "maxFilesPerTrigger",
     "cloudFiles.maxBytesPerTrigger": "maxBytesPerTrigger",
     "cloudFiles.schemaInference.samplingRatio": "schema_inference_sampling_ratio",
-    "cloudFiles.schemaInference.sampleSize.numFiles": "schema_inference_max_files",
+    # All new files are looked at: a sample could miss columns.
+    "cloudFiles.schemaInference.sampleSize.numFiles": None,
 }
 
+# Settings whose only value that can be honoured here is this one: any other is refused, since ignoring it would
+# read data the user excluded or name columns otherwise than asked.
+FIXED_OPTIONS = {"cloudFiles.includeExistingFiles": "true", "rescuedDataColumn": "_rescued_data",
+                 "cloudFiles.rescuedDataColumn": "_rescued_data"}
+
 # Reader options that also restrict which files inference looks at.
 FILE_SELECTION_OPTIONS = ("pathGlobFilter", "recursiveFileLookup")
 
@@ -60,6 +67,16 @@ class SchemaChangeError(RuntimeError):
     """New columns arrived and the evolution mode does not accept them."""
 
 
+def with_recursion(spark: SparkSession, path: str, reader_opts: dict[str, str]) -> dict[str, str]:
+    """Landing folders are read with all their subfolders unless the dataset says otherwise.
+
+    Folders named ``key=value`` are left to Spark's partition discovery, which reads them at any depth.
+    """
+    if "recursiveFileLookup" in reader_opts or any("=" in n for n in list_names(spark, path) if n[:1] not in "._"):
+        return reader_opts
+    return {**reader_opts, "recursiveFileLookup": "true"}
+
+
 def parse_ddl(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
@@ -69,19 +86,22 @@ def split_options(source: dict[str, Any]) -> tuple[dict[str, Any], dict[str, str
     engine_opts: dict[str, Any] = {}
     reader_opts: dict[str, str] = {}
     for key, value in (source.get("options") or {}).items():
+        if key in FIXED_OPTIONS:
+            if str(value).lower() != FIXED_OPTIONS[key]:
+                raise SpecError(f"option {key}={value!r} is not supported; only {FIXED_OPTIONS[key]!r} is")
+            continue
         if key.startswith("cloudFiles.") and key not in ENGINE_OPTION_KEYS:
             log.warning("option %s has no equivalent here and is ignored", key)
             continue
         if key in ENGINE_OPTION_KEYS:
             target = ENGINE_OPTION_KEYS[key]
-            if target in ("maxFilesPerTrigger", "maxBytesPerTrigger"):
+            if target in ("maxFilesPerTrigger", "maxBytesPerTrigger", "maxFileAge"):
                 reader_opts[target] = str(value)
             elif target:
                 engine_opts[target] = value
         else:
             reader_opts[key] = str(value)
-    for key in ("schema_hints", "infer_column_types", "schema_inference_sampling_ratio",
-                "schema_inference_max_files"):
+    for key in ("schema_hints", "infer_column_types", "schema_inference_sampling_ratio", "schema_location"):
         if key in source:
             engine_opts[key] = source[key]
     return engine_opts, reader_opts
@@ -92,6 +112,8 @@ def evolution_mode(source: dict[str, Any], fmt: str) -> str:
     engine_opts, _ = split_options(source)
     explicit = source.get("schema_evolution_mode") or engine_opts.get("schema_evolution_mode")
     if explicit:
+        if explicit not in EVOLUTION_MODES:
+            raise SpecError(f"schema evolution mode '{explicit}' not supported; valid: {sorted(EVOLUTION_MODES)}")
         return explicit
     if source.get("schema") or fmt == "binaryFile":
         return "none"
@@ -165,9 +187,23 @@ class ResolvedSchema:
     # CSV only: set when the new files of this run carry more than one header order.
     header_table: str = ""
     header_width: int = 0
+    # How far files have been looked at, to be stored once the run has committed them.
+    log: SchemaLog | None = None
+    through: str = ""
+
+    def committed(self) -> None:
+        """The run's files are in the table: later runs need not look at them again.
+
+        Until then every run looks at the same files again, so a run that dies after its schema step loses nothing.
+        """
+        if self.log is not None and self.through:
+            self.log.set_watermark(self.through)
 
 
 def schema_log_path(engine: EngineSpec, ds: DatasetSpec) -> str:
+    engine_opts, _ = split_options(ds.source)
+    if engine_opts.get("schema_location"):
+        return engine.resolve_path(str(engine_opts["schema_location"])).rstrip("/")
     return f"{engine.checkpoint_root}/schemas/{ds.datasource}/{ds.dataset}"
 
 
@@ -188,40 +224,28 @@ def _utc_millis_text(millis: int) -> str:
     return moment.strftime("%Y-%m-%dT%H:%M:%S.") + f"{millis % 1000:03d}"
 
 
-def list_new_files(spark: SparkSession, path: str, reader_opts: dict[str, str], after: str,
-                   newest: int) -> tuple[str | None, list[str] | None]:
-    """One listing job over the files newer than ``after``.
-
-    Returns the newest modification time (UTC, to the millisecond; None when there is
-    no new file) and, when there are more than ``newest`` new files, the paths of
-    the ``newest`` most recent ones (else None: use them all). A top-N, so the
-    driver receives at most ``newest + 1`` rows whatever the backlog.
-    """
+def newest_file_time(spark: SparkSession, path: str, reader_opts: dict[str, str], after: str) -> str | None:
+    """The newest modification time (UTC, to the millisecond) of the files newer than ``after``; None without any."""
     try:
         listing = _new_files_reader(spark, reader_opts, after).format("binaryFile").load(path)
-        top = (listing.select("path", F.unix_millis("modificationTime").alias("ms"))
-               .orderBy(F.col("ms").desc(), F.col("path")).limit(newest + 1).collect())
+        newest = listing.agg(F.max(F.unix_millis("modificationTime"))).first()[0]
     except AnalysisException:
-        return None, None
-    if not top:
-        return None, None
-    sample = [r["path"] for r in top[:newest]] if len(top) > newest else None
-    return _utc_millis_text(top[0]["ms"]), sample
+        return None
+    return None if newest is None else _utc_millis_text(newest)
 
 
 HEADER_TABLE = "headers"
-UNREADABLE_SUFFIXES = (".bz2", ".lz4", ".snappy", ".zst", ".deflate", ".xz", ".zip", ".br")
 
 
 def probe_csv_headers(spark: SparkSession, path: str, reader_opts: dict[str, str], after: str,
-                      target: str) -> list[list[str]] | None:
+                      target: str) -> list[list[str]]:
     """Distinct headers of the new CSV files; with more than one, the per-file
     mapping ``(file_path, header)`` is written as a table at ``target``.
 
-    Each task opens its files and reads only the first line (a few KB per file),
-    so the probe costs one listing plus tiny reads whatever the file sizes. The
-    distinct header orders are metadata (a handful per dataset), not data.
-    Returns None when some file could not be probed.
+    Each task opens its files and reads on until the first record ends, whatever its
+    length. Files it cannot open (a store only Spark reaches, a codec only Hadoop
+    knows) have their first line read through Spark instead. The distinct header
+    orders are metadata (a handful per dataset), not data.
     """
     sep = reader_opts.get("sep", reader_opts.get("delimiter", ","))
     quote = reader_opts.get("quote", '"')
@@ -229,64 +253,62 @@ def probe_csv_headers(spark: SparkSession, path: str, reader_opts: dict[str, str
     files = (_new_files_reader(spark, reader_opts, after).format("binaryFile").load(path)
              .select(F.col("_metadata.file_path").alias("file_path"), "path"))
 
-    def first_lines(batches):
+    def parsed(lines) -> list[str]:
+        import csv
+        row = next(csv.reader(lines, delimiter=sep, quotechar=quote), [])
+        return [c.strip().lstrip("\ufeff") if i == 0 else c.strip() for i, c in enumerate(row)]
+
+    def first_records(batches):
         import csv
-        import gzip
         import io
 
         import pandas as pd
 
         from ..session import task_filesystem
+        csv.field_size_limit(1 << 30)
         for pdf in batches:
             out = []
             for file_path, uri in zip(pdf["file_path"], pdf["path"]):
-                header = None
-                # Stores pyarrow cannot open (Hadoop-only schemes) and codecs other than
-                # gzip give no header: the run then takes the single-header path.
-                if not uri.endswith(UNREADABLE_SUFFIXES):
-                    try:
-                        filesystem, local = task_filesystem(uri)
-                        with filesystem.open_input_stream(local) as stream:
-                            head = stream.read(1 << 16)
-                        if uri.endswith(".gz"):
-                            head = gzip.GzipFile(fileobj=io.BytesIO(head)).read1(1 << 16)
-                        text = head.decode(encoding, errors="replace").lstrip("\ufeff")
-                        row = next(csv.reader(io.StringIO(text), delimiter=sep, quotechar=quote), [])
-                        header = [c.strip() for c in row]
-                    except Exception:
-                        header = None
-                out.append((file_path, header))
+                try:
+                    filesystem, local = task_filesystem(uri)
+                    with filesystem.open_input_stream(local) as stream:
+                        lines = io.TextIOWrapper(stream, encoding=encoding, errors="replace", newline="")
+                        out.append((file_path, parsed(lines)))
+                except Exception:   # whatever this file system or codec says: Spark reads the file
+                    out.append((file_path, None))
             yield pd.DataFrame(out, columns=["file_path", "header"])
 
-    headers = files.mapInPandas(first_lines, "file_path STRING, header ARRAY<STRING>")
-    found = [r["header"] for r in headers.select("header").distinct().collect()]
-    if any(h is None for h in found):
-        return None
-    distinct = [list(h) for h in found]
+    headers = files.mapInPandas(first_records, "file_path STRING, header ARRAY<STRING>")
+    distinct = [r["header"] for r in headers.select("header").distinct().collect()]
+    if any(h is None for h in distinct):
+        text_opts = {k: v for k, v in reader_opts.items() if k in ("encoding", "lineSep")}
+        lines = (_new_files_reader(spark, reader_opts, after).options(**text_opts).text(path)
+                 .select(F.col("_metadata.file_path").alias("file_path"), "value",
+                         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")))
+        heads = lines.filter("block = 0").groupBy("file_path").agg(F.min_by("value", "at").alias("line"))
+
+        def split(batches):
+            import pandas as pd
+            for pdf in batches:
+                yield pd.DataFrame({"file_path": pdf["file_path"], "header": [parsed([x]) for x in pdf["line"]]})
+
+        headers = heads.mapInPandas(split, "file_path STRING, header ARRAY<STRING>")
+        distinct = [r["header"] for r in headers.select("header").distinct().collect()]
+    distinct = [list(h) for h in distinct]
     if len(distinct) > 1:
         headers.write.mode("overwrite").parquet(target)
     return distinct
 
 
-DEFAULT_INFERENCE_MAX_FILES = 1000
-
-
 def infer_new_files(spark: SparkSession, fmt: str, path: str, reader_opts: dict[str, str],
-                    engine_opts: dict[str, Any], after: str,
-                    sample: list[str] | None = None) -> tuple[T.StructType | None, list[str]]:
-    """Schema (and CSV header) of the files newer than ``after``, or of ``sample``
-    (the newest of them) when given; (None, []) if there are none.
-
-    Inference over a bounded sample keeps a large backlog from costing a full
-    extra pass; columns found only in the other files still reach
-    ``_rescued_data`` (rescue is always on).
+                    engine_opts: dict[str, Any], after: str) -> tuple[T.StructType | None, list[str]]:
+    """Schema (and CSV header) of all files newer than ``after``; (None, []) if there are none.
+
+    Parquet footers are merged in tasks. JSON is parsed once more, all of it unless a sampling ratio is configured
+    (its unknown keys are rescued line by line in any case).
     """
     infer_types = _truthy(engine_opts.get("infer_column_types", "false"))
     reader = _new_files_reader(spark, reader_opts, after)
-    if sample is not None and fmt != "avro":
-        log.info("inferring the schema of %s from the newest %d new files", path, len(sample))
-        reader = spark.read
-        path = sample
     passthrough = {k: v for k, v in reader_opts.items()
                    if k not in FILE_SELECTION_OPTIONS and k not in ("maxFilesPerTrigger", "maxBytesPerTrigger")}
     try:
@@ -303,8 +325,7 @@ def infer_new_files(spark: SparkSession, fmt: str, path: str, reader_opts: dict[
             schema = reader.options(**opts).csv(path).schema
             return schema, [f.name for f in schema.fields]
         if fmt == "parquet":
-            paths = path if isinstance(path, list) else [path]
-            return reader.options(**passthrough).option("mergeSchema", "true").parquet(*paths).schema, []
+            return reader.options(**passthrough).option("mergeSchema", "true").parquet(path).schema, []
         if fmt == "avro":
             from .avro import infer_avro_schema
             return infer_avro_schema(spark, path, reader_opts, after), []
@@ -329,6 +350,7 @@ def resolve_schema(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) ->
         return ResolvedSchema(BINARY_FILE_SCHEMA, "none", rescue=False)
 
     engine_opts, reader_opts = split_options(src)
+    reader_opts = with_recursion(spark, path, reader_opts)
     declared = parse_ddl(src["schema"]) if src.get("schema") else None
     if declared is not None and mode == "addNewColumns":
         raise SpecError(f"[{ds.name}] schema_evolution_mode 'addNewColumns' cannot be used with a declared schema")
@@ -339,13 +361,12 @@ def resolve_schema(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) ->
     store = SchemaLog(spark, schema_log_path(engine, ds))
     latest = store.latest()
     after = latest.files_through if latest else ""
-    max_files = int(engine_opts.get("schema_inference_max_files", DEFAULT_INFERENCE_MAX_FILES))
-    through, sample = list_new_files(spark, path, reader_opts, after, max_files)
+    through = newest_file_time(spark, path, reader_opts, after)
     inferred, header = (None, [])
     header_table, header_width = "", 0
     if through is not None and fmt == "csv" and str(reader_opts.get("header", "false")).lower() == "true":
         target = f"{schema_log_path(engine, ds)}/{HEADER_TABLE}/through={through.replace(':', '-')}"
-        distinct = probe_csv_headers(spark, path, reader_opts, after, target) or []
+        distinct = probe_csv_headers(spark, path, reader_opts, after, target)
         infer_types = _truthy(engine_opts.get("infer_column_types", "false"))
         if len(distinct) > 1:
             # Several header orders in one run: map every file by its own header.
@@ -357,7 +378,7 @@ def resolve_schema(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) ->
             header = distinct[0]
             inferred = T.StructType([T.StructField(n, T.StringType()) for n in header])
     if inferred is None and through is not None and (declared is None or fmt in ("csv", "parquet", "avro")):
-        inferred, header = infer_new_files(spark, fmt, path, reader_opts, engine_opts, after, sample)
+        inferred, header = infer_new_files(spark, fmt, path, reader_opts, engine_opts, after)
     hints = engine_opts.get("schema_hints")
 
     if declared is not None:
@@ -387,8 +408,7 @@ def resolve_schema(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) ->
 
     if latest is None or latest.schema != columns or (header and latest.header != header):
         version = 0 if latest is None else latest.version + 1
-        store.append(SchemaVersion(version, columns, header, through or after))
-    if through and (latest is None or through != latest.files_through):
-        store.set_watermark(through)
-    return ResolvedSchema(columns, mode, rescue=True, header=header, extra=extra,
-                          header_table=header_table, header_width=header_width)
+        store.append(SchemaVersion(version, columns, header, after))
+    moved = through if through and (latest is None or through != latest.files_through) else ""
+    return ResolvedSchema(columns, mode, rescue=True, header=header, extra=extra, header_table=header_table,
+                          header_width=header_width, log=store, through=moved)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import logging
+import re
 
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from ..spec import DatasetSpec, EngineSpec
-from .sink import sink_format, table_path
+from .sink import sink_format, table_path, table_schema
 
 log = logging.getLogger(__name__)
 
@@ -65,19 +66,47 @@ def bootstrap(spark: SparkSession, engine: EngineSpec, force: bool = False) -> N
     _BOOTSTRAPPED.add(key)
 
 
+class TableConflictError(RuntimeError):
+    """The catalog name belongs to another table; it is left alone."""
+
+
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    """The detailed information rows of DESCRIBE TABLE EXTENDED."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return {r["col_name"]: r["data_type"] for r in rows if r["col_name"]}
+
+
+def _plain(uri: str) -> str:
+    return re.sub(r"^file:/+", "/", uri or "").rstrip("/")
+
+
 def register_table(spark: SparkSession, engine: EngineSpec, ds: DatasetSpec) -> str:
     """Declare the bronze table as an external table over its path.
 
-    Re-created on every run (data is untouched): a registered file table keeps
-    the schema and file list of its creation, so new columns and new files
-    would otherwise stay invisible.
+    The schema is the one the sink recorded beside the table, so no file is opened. An existing table of that name must
+    be at the same location: then its missing columns are added. Any other table (a managed one, or one of another
+    dataset whose names join to the same text) is never touched.
     """
     name = bronze_table_name(spark, engine, ds)
-    fmt = sink_format(ds, engine)
-    path = table_path(ds, engine)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    merge = " OPTIONS (mergeSchema 'true')" if fmt == "parquet" else ""
-    spark.sql(f"CREATE TABLE {name} USING {fmt}{merge} LOCATION '{path}'")
+    fmt, path = sink_format(ds, engine), table_path(ds, engine)
+    schema = table_schema(spark, path)
+    if not spark.catalog.tableExists(name.replace("`", "")):
+        columns = f" ({', '.join(_column(f) for f in schema.fields)})" if schema else ""
+        parts = list(ds.sink.get("partition_by", [])) if schema else []
+        by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name}{columns} USING {fmt}{by} LOCATION '{path}'")
+    else:
+        found = _described(spark, name)
+        if found.get("Type", "").upper() == "MANAGED" or _plain(found.get("Location", "")) != _plain(path):
+            raise TableConflictError(f"{name} is another table (at {found.get('Location')}); it is left as it is")
+        known = {c.lower() for c in spark.table(name).columns}
+        new = [f for f in (schema.fields if schema else []) if f.name.lower() not in known]
+        if new:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(_column(f) for f in new)})")
     spark.sql(f"REFRESH TABLE {name}")
     log.info("[%s] registered as %s", ds.name, name)
     return name
+
+
+def _column(field) -> str:
+    return f"`{field.name}` {field.dataType.simpleString()}"

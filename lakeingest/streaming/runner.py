@@ -78,29 +78,30 @@ def run_ingestion(spark: SparkSession, engine: EngineSpec, datasets: list[Datase
     log.info("run_id=%s | %d dataset(s)", run_id, len(active))
 
     results: list[IngestResult] = []
-    in_flight: list[tuple[DatasetSpec, StreamingQuery, datetime]] = []
+    in_flight: list[tuple[DatasetSpec, StreamingQuery, datetime, list]] = []
 
     def start(ds: DatasetSpec):
-        started = _now()
+        started, on_commit = _now(), []
         try:
-            df = read_source(spark, ds, engine)
-            return ds, start_bronze_stream(spark, ds, engine, df), started, None
+            df = read_source(spark, ds, engine, on_commit)
+            return ds, start_bronze_stream(spark, ds, engine, df), started, on_commit, None
         except Exception as exc:
             log.error("[%s] could not start: %s", ds.name, exc)
-            return ds, None, started, _result(run_id, ds, engine, started, _now(), 0, "ERROR", _error_text(exc))
+            failed = _result(run_id, ds, engine, started, _now(), 0, "ERROR", _error_text(exc))
+            return ds, None, started, on_commit, failed
 
     # Phase 1: resolve schemas and start every query. The driver-side preparation
     # (file listing, inference over new files) of independent datasets overlaps.
     workers = max(1, min(parallelism, len(active)))
     with ThreadPoolExecutor(max_workers=workers, thread_name_prefix="lakeingest-start") as pool:
-        for ds, query, started, failed in pool.map(start, active):
+        for ds, query, started, on_commit, failed in pool.map(start, active):
             if failed is not None:
                 results.append(failed)
             else:
-                in_flight.append((ds, query, started))
+                in_flight.append((ds, query, started, on_commit))
 
     registered_ok: list[DatasetSpec] = []
-    for ds, query, started in in_flight:
+    for ds, query, started, on_commit in in_flight:
         if ds.continuous:
             log.info("[%s] continuous query active (id=%s)", ds.name, query.id)
             results.append(_result(run_id, ds, engine, started, _now(), rows_from_progress(query), "RUNNING"))
@@ -108,6 +109,8 @@ def run_ingestion(spark: SparkSession, engine: EngineSpec, datasets: list[Datase
             continue
         try:
             query.awaitTermination()
+            for done in on_commit:
+                done()
             rows = rows_from_progress(query)
             log.info("[%s] done, %d row(s)", ds.name, rows)
             results.append(_result(run_id, ds, engine, started, _finished_at(query), rows, "OK"))

@@ -32,7 +32,7 @@ def read_bronze_stream(spark: SparkSession, table: str, schema: T.StructType | N
     from .sink import table_schema
     schema = schema or table_schema(spark, table) or spark.read.option("mergeSchema", "true").parquet(table).schema
     return (spark.readStream.schema(schema)
-            .options(**{"maxFileAge": "3650d", "maxFilesPerTrigger": "50000", **options}).parquet(table))
+            .options(**{"maxFileAge": "365000d", "maxFilesPerTrigger": "50000", **options}).parquet(table))
 
 
 # Spark's state store provider classes.
@@ -55,14 +55,15 @@ def prefer_rocksdb_state(spark: SparkSession) -> None:
 
 
 def dedup_stream(df: DataFrame, keys: Sequence[str], event_time: str, delay: str,
-                 spread_hot_keys: bool = True) -> DataFrame:
+                 spread_hot_keys: bool = False) -> DataFrame:
     """Drop rows whose key was already seen within ``delay`` of event time.
 
     State holds one entry per key until the watermark passes its event time plus
     the delay, so the delay bounds the state. ``withWatermark`` needs a
     TIMESTAMP column: a TIMESTAMP_NTZ event time is converted first.
 
-    With ``spread_hot_keys`` the work runs in two phases. First the rows are
+    One stateful operator does it. Where a single key may hold a large part of the rows, ``spread_hot_keys`` runs the
+    work in two phases, at the price of a second state of the same size. First the rows are
     de-duplicated per key *and input split*: copies of one key read by different
     tasks go to different tasks, and each split's copies shrink to one row. Then
     they are de-duplicated per key, over at most one row per split. A key
@@ -123,7 +124,8 @@ class KeyedState:
     Layout: rows are spread over ``buckets`` by a hash of the key. Applying a
     batch of changes (version ``v``) rewrites only the buckets the batch
     touches, into ``data/_version=<v>/_bucket=<b>``, and then writes a manifest
-    ``bucket -> version``. Readers use the newest manifest. Applying the same
+    ``bucket -> version`` with the bucket count; a state opened with another
+    count is moved to it by the next ``apply``. Readers use the newest manifest. Applying the same
     version again (a replayed micro-batch) starts from the manifest before it
     and overwrites the same folders, so it is harmless. Deletes are kept as
     tombstones in the state (an older change arriving late cannot resurrect a
@@ -136,13 +138,14 @@ class KeyedState:
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order_by: Sequence[str],
-                 deleted: str | Column, buckets: int = 64):
+                 deleted: str | Column, buckets: int = 64, files_per_bucket: int = 8):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.order_by = list(order_by)
         self.deleted = F.expr(deleted) if isinstance(deleted, str) else deleted
         self.buckets = buckets
+        self.files_per_bucket = files_per_bucket
 
     # -- manifest -------------------------------------------------------------
     def _manifest(self, below: int | None = None) -> tuple[int | None, dict[int, int]]:
@@ -152,8 +155,13 @@ class KeyedState:
             versions = [v for v in versions if v < below]
         if not versions:
             return None, {}
-        text = read_text(self.spark, f"{self.path}/_manifest/{versions[-1]:012d}.json")
-        return versions[-1], {int(b): int(v) for b, v in json.loads(text).items()}
+        return versions[-1], self._load(versions[-1])[0]
+
+    def _load(self, version: int) -> tuple[dict[int, int], int | None]:
+        """Bucket -> version of a manifest, and the bucket count it was written with (None: not recorded)."""
+        body = json.loads(read_text(self.spark, f"{self.path}/_manifest/{version:012d}.json"))
+        count = body.pop("buckets", None)
+        return {int(b): int(v) for b, v in body.items()}, count
 
     def _read(self, manifest: dict[int, int], buckets: list[int] | None = None) -> DataFrame | None:
         chosen = sorted(manifest.items()) if buckets is None else [(b, manifest[b]) for b in buckets if b in manifest]
@@ -195,16 +203,26 @@ class KeyedState:
         touched = sorted(r[0] for r in staged.select("_bucket").distinct().collect())
         if not touched:
             return
-        _, manifest = self._manifest(below=version)
+        before, manifest = self._manifest(below=version)
+        count = self._load(before)[1] if before is not None else None
         previous = self._read(manifest, touched)
+        if count is not None and count != self.buckets:
+            # Another bucket count than the state was written with: every row moves to its new bucket.
+            log.info("state %s: %d buckets become %d", self.path, count, self.buckets)
+            previous = self._read(manifest).withColumn("_bucket", bucket)
+            touched, manifest = list(range(self.buckets)), {}
         # Columns may have been added to the changes since earlier versions.
         merged = staged if previous is None else latest_per_key(
             previous.unionByName(staged, allowMissingColumns=True), self.keys, self.order_by)
-        (merged.repartition(F.col("_bucket")).write.mode("overwrite").partitionBy("_bucket")
+        # A bucket is written by several tasks: by a second hash of the key.
+        part = F.pmod(F.xxhash64(F.lit("part"), *[F.col(f"`{k}`") for k in self.keys]), F.lit(self.files_per_bucket))
+        (merged.repartition(F.col("_bucket"), part).write.mode("overwrite").partitionBy("_bucket")
                .parquet(f"{self.path}/data/_version={version}"))
-        manifest.update({b: version for b in touched})
+        written = {int(n.split("=", 1)[1]) for n in list_names(self.spark, f"{self.path}/data/_version={version}")
+                   if n.startswith("_bucket=")}
+        manifest.update({b: version for b in touched if b in written})
         write_text(self.spark, f"{self.path}/_manifest/{version:012d}.json",
-                   json.dumps({str(b): v for b, v in sorted(manifest.items())}))
+                   json.dumps({"buckets": self.buckets, **{str(b): v for b, v in sorted(manifest.items())}}))
         log.info("state %s: version %d rewrote %d bucket(s)", self.path, version, len(touched))
 
 
@@ -221,8 +239,7 @@ class KeyedState:
         kept = versions[-retain_manifests:] if retain_manifests > 0 else []
         live: set[tuple[int, int]] = set()
         for v in kept:
-            manifest = json.loads(read_text(self.spark, f"{self.path}/_manifest/{v:012d}.json"))
-            live.update((int(b), int(ver)) for b, ver in manifest.items())
+            live.update(self._load(v)[0].items())
         out = []
         for vdir in list_names(self.spark, f"{self.path}/data"):
             if not vdir.startswith("_version="):

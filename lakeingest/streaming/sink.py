@@ -85,6 +85,21 @@ def guard_checkpoint(spark: SparkSession, table: str, checkpoint: str) -> None:
 SCHEMA_FILE = "_lakeingest_schema.json"
 
 
+class TypeChangeError(RuntimeError):
+    """A column arrives with another type than the table has; nothing is written."""
+
+
+def _nullable(t: T.DataType) -> T.DataType:
+    """The type with every part nullable, for comparison."""
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True) for f in t.fields])
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_nullable(t.elementType), True)
+    if isinstance(t, T.MapType):
+        return T.MapType(_nullable(t.keyType), _nullable(t.valueType), True)
+    return t
+
+
 def table_schema(spark: SparkSession, table: str) -> T.StructType | None:
     """The bronze table's schema as recorded by its sink (union over all runs), if any."""
     text = read_text(spark, f"{table}/{SCHEMA_FILE}")
@@ -99,7 +114,12 @@ def record_table_schema(spark: SparkSession, table: str, schema: T.StructType) -
     """
     current = table_schema(spark, table)
     if current is not None:
-        known = {f.name for f in current.fields}
+        known = {f.name: f.dataType for f in current.fields}
+        changed = [f"{f.name}: {known[f.name].simpleString()} -> {f.dataType.simpleString()}" for f in schema.fields
+                   if f.name in known and _nullable(known[f.name]) != _nullable(f.dataType)]
+        if changed:
+            raise TypeChangeError(f"table {table} holds other types ({'; '.join(changed)}); its files could no longer be "
+                                  "read together. Keep the declared types, or write to another table")
         merged = T.StructType(current.fields + [f for f in schema.fields if f.name not in known])
     else:
         merged = schema

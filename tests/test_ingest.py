@@ -312,12 +312,12 @@ def test_glob_filter_and_recursion_select_files(spark):
         ("f1", "2024-01-01", 5), ("f2", "2024-01-02", 6)]
 
 
-def test_header_probe_gives_up_on_unreadable_files(spark):
+def test_header_probe_skips_files_without_a_readable_line(spark):
     from lakeingest.sources.schema import probe_csv_headers
     lab = Lab(spark, "t_probe")
     write_text(spark, f"{lab.engine.landing_root}/c/a.csv", "a,b\n1,2\n")
     write_text(spark, f"{lab.engine.landing_root}/c/b.csv.bz2", "not really bz2")
-    assert probe_csv_headers(spark, f"{lab.engine.landing_root}/c", {}, "", f"{lab.area}/h") is None
+    assert probe_csv_headers(spark, f"{lab.engine.landing_root}/c", {}, "", f"{lab.area}/h") == [["a", "b"]]
     assert probe_csv_headers(spark, f"{lab.engine.landing_root}/c", {"pathGlobFilter": "*.csv"}, "",
                              f"{lab.area}/h2") == [["a", "b"]]
 
@@ -336,20 +336,73 @@ def test_missing_connectors_are_per_dataset_errors(spark, small_dir, tmp_path):
     assert res["msgs"].status == "ERROR" and "kafka" in res["msgs"].error_message.lower()
 
 
-def test_inference_is_bounded_to_the_newest_files(spark, small_dir):
-    import time
-    lab = Lab(spark, "t_infer_bound")
+def test_inference_looks_at_every_new_file(spark, small_dir):
+    lab = Lab(spark, "t_infer_all")
     e = events(spark, small_dir)
-    lab.land(e.select("event_id", "user_id").limit(10).coalesce(1), "ev", "d1", "json")
-    time.sleep(1.1)
-    lab.land(e.select("event_id", "user_id", "event_type").limit(10).coalesce(1), "ev", "d2", "json")
-    src = files_source("json", "ev", options={"cloudFiles.schemaInference.sampleSize.numFiles": "1"})
+    lab.land(e.select("event_id", F.lit(1).alias("x")).limit(10).coalesce(1), "ev", "d1", "parquet")
+    lab.land(e.select("event_id", "event_type").limit(10).coalesce(1), "ev", "d2", "parquet")
+    src = files_source("parquet", "ev", options={"cloudFiles.schemaInference.sampleSize.numFiles": "1"})
     ds = lab.dataset("ev", src)
     assert lab.run(ds)[0].rows_ingested == 20
     b = lab.bronze(ds)
-    # The newest file decided the columns; nothing of the older one is lost.
-    assert set(b.columns) >= {"event_id", "user_id", "event_type", "_rescued_data"}
-    assert b.where("_rescued_data IS NOT NULL").count() == 0
+    assert b.where("x = 1").count() == 10 and b.where("event_type IS NOT NULL").count() == 10
+
+
+def test_headers_of_any_length(spark):
+    lab = Lab(spark, "t_wide")
+    names = [f"column_number_{i:05d}" for i in range(6000)]
+    path = f"{lab.engine.landing_root}/wide/d1"
+    spark.createDataFrame([(",".join(names) + "\n" + ",".join(str(i) for i in range(6000)),)], "value string").coalesce(1).write.text(path)
+    ds = lab.dataset("wide", files_source("csv", "wide", options={"header": "true"}))
+    from lakeingest.sources.schema import resolve_schema
+    resolved = resolve_schema(spark, ds, lab.engine)
+    assert resolved.columns.names == names
+
+
+def test_a_data_line_like_the_header_is_kept(spark):
+    lab = Lab(spark, "t_echo")
+    for drop, text in (("d1", "a,b\n1,2\na,b"), ("d2", "b,a\n4,3")):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{lab.engine.landing_root}/echo/{drop}")
+    ds = lab.dataset("echo", files_source("csv", "echo", schema="a STRING, b STRING", options={"header": "true"}))
+    assert lab.run(ds)[0].status == "OK"
+    assert sorted((r.a, r.b) for r in lab.bronze(ds).collect()) == [("1", "2"), ("3", "4"), ("a", "b")]
+
+
+@pytest.mark.parametrize("codec", ["gzip", "bzip2"])
+def test_compressed_csv_with_mixed_headers(spark, codec):
+    lab = Lab(spark, f"t_{codec}")
+    for drop, text in (("d1", "a,b\n1,2"), ("d2", "b,a\n4,3")):
+        (spark.createDataFrame([(text,)], "value string").coalesce(1).write.option("compression", codec)
+              .text(f"{lab.engine.landing_root}/z/{drop}"))
+    ds = lab.dataset("z", files_source("csv", "z", schema="a INT, b INT", options={"header": "true"}))
+    assert lab.run(ds)[0].status == "OK"
+    assert sorted((r.a, r.b) for r in lab.bronze(ds).collect()) == [(1, 2), (3, 4)]
+
+
+def test_options_that_would_be_ignored_are_refused(spark, small_dir):
+    lab = Lab(spark, "t_opts")
+    lab.land(orders(spark, small_dir).limit(5), "orders", "d1", "csv", header="true")
+    ds = lab.dataset("orders", csv_orders_source(options={"cloudFiles.includeExistingFiles": "false"}))
+    res = lab.run(ds)[0]
+    assert res.status == "ERROR" and "includeExistingFiles" in res.error_message
+
+
+def test_registration_never_touches_another_table(spark, small_dir):
+    from lakeingest.streaming.catalog import TableConflictError, bootstrap, bronze_table_name, register_table
+    lab = Lab(spark, "t_conflict")
+    lab.land(orders(spark, small_dir).limit(5), "orders", "d1", "csv", header="true")
+    ds = lab.dataset("orders", csv_orders_source(), {"partition_by": ["o_orderstatus"]})
+    bootstrap(spark, lab.engine)
+    name = bronze_table_name(spark, lab.engine, ds)
+    spark.range(7).write.saveAsTable(name)
+    lab.run(ds)
+    with pytest.raises(TableConflictError):
+        register_table(spark, lab.engine, ds)
+    assert spark.table(name).count() == 7
+    spark.sql(f"DROP TABLE {name}")
+    assert register_table(spark, lab.engine, ds) == register_table(spark, lab.engine, ds) == name
+    assert spark.table(name).count() == 5
+    assert "mergeSchema" not in str(spark.sql(f"SHOW CREATE TABLE {name}").first()[0])
 
 
 @pytest.mark.parametrize("zone", ["America/Los_Angeles", "Asia/Kolkata"])

@@ -131,6 +131,29 @@ def test_audit_reports(spark):
 def test_exact_sum_is_order_independent(spark):
     vals = [0.1] * 10 + [1e-3] * 7
     df = spark.createDataFrame([(v,) for v in vals], "v DOUBLE")
-    a = df.repartition(1).agg(gold.exact_sum("v", 4)).first()[0]
-    b = df.repartition(7).agg(gold.exact_sum("v", 4)).first()[0]
+    a = df.repartition(1).agg(gold.exact_sum(F.col("v"))).first()[0]
+    b = df.repartition(7).agg(gold.exact_sum(F.col("v"))).first()[0]
     assert a == b == float(sum(Decimal(str(v)) for v in vals))
+
+
+def test_sums_do_not_round(spark):
+    df = spark.range(1000).select(F.lit(0.004).alias("v"), F.lit("a").alias("g"), F.lit(dt.datetime(2024, 1, 1)).alias("t"))
+    assert gold.sales_by_channel_week(df, "g", "t", "v").first()["sales"] == 4.0
+    assert gold.mean_by_group_day(df, "g", "t", "v").first()["mean_value"] == 0.004
+    money = spark.createDataFrame([(Decimal("1e20"),), (Decimal("0.5"),)], "v decimal(38,2)")
+    assert money.agg(gold.exact_sum(F.col("v"), None)).first()[0] == 1e20
+
+
+def test_delivery_hours(spark):
+    t = dt.datetime(2024, 1, 1, 23)
+    rows = [("s", t, t + dt.timedelta(hours=2)), ("s", t, t + dt.timedelta(minutes=30)), ("s", t, None), ("s", t, t - dt.timedelta(hours=1))]
+    df = spark.createDataFrame(rows, "s string, a timestamp, b timestamp")
+    r = gold.delivery_time_by_supplier(df, "s", "a", "b", unit="hours").first()
+    assert (r.shipments, r.delivered, r.unknown, r.mean_hours) == (4, 2, 2, 1.25)
+
+
+def test_duplicate_dimension_keys_do_not_multiply_facts(spark):
+    fact = spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "id int, k string")
+    dim = spark.createDataFrame([("x", 1), ("x", 2)], "k string, d int")
+    assert sorted((r.id, r.d) for r in silver.conform(fact, [(dim, ["k"])]).collect() if r.d) == [(1, 2)]
+    assert silver.conform(fact, [(dim, ["k"])]).count() == 3

@@ -61,7 +61,7 @@ def test_dedup_stream_with_a_hot_key(spark):
                                    F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("ts"))
     hot.unionByName(rest).repartition(5).write.parquet(f"{area}/in")
     stream = spark.readStream.schema("k BIGINT, payload STRING, ts TIMESTAMP_NTZ").parquet(f"{area}/in")
-    q = start_table_stream(dedup_stream(stream, ["k"], "ts", "1 day"), f"{area}/out", f"{area}/ck")
+    q = start_table_stream(dedup_stream(stream, ["k"], "ts", "1 day", spread_hot_keys=True), f"{area}/out", f"{area}/ck")
     q.awaitTermination()
     out = spark.read.parquet(f"{area}/out")
     assert out.count() == 501 and out.where("k = 7").count() == 1

@@ -25,6 +25,7 @@ from .textblocks import Words, chunks, words
 
 BUCKETS = 1 << 17
 SAMPLE_ROWS = 12000
+LEAST_DOCS = 5
 _APART = np.ones(256, dtype=bool)
 _APART[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _ENDS = np.zeros(256, dtype=bool)
@@ -42,34 +43,48 @@ def sentences(data: np.ndarray, begin: np.ndarray) -> tuple[Words, np.ndarray, n
 
 
 def fit_noisy_or(word: np.ndarray, sentence: np.ndarray, doc: np.ndarray, label: np.ndarray, steps: int = 200,
-                 penalty: float = 1e-4, rate: float = 0.5) -> tuple[np.ndarray, float]:
+                 penalty: float = 4e-5, rate: float = 0.5, telling: float = 1.0) -> tuple[np.ndarray, float]:
     """Weights by bucket and the bias. ``sentence`` numbers the sentence of each word, ``doc`` the document of each
     sentence, ``label`` the class of each document.
 
-    A leak, the chance of a toxic label without any toxic sentence, is fitted along and takes up wrong labels, so that
-    they do not raise the bias and with it the score of long clean documents. It is no part of a score.
+    The first half selects words, with an L1 penalty; the second fits the words of a weight over ``telling`` again
+    without it, as the penalty holds their weights down and thereby the bias up. A leak, the chance of a toxic label
+    without any toxic sentence, is fitted along and takes up wrong labels, so that they do not raise the score of long
+    clean documents. It is no part of a score.
     """
-    weights, bias, leak = np.zeros(BUCKETS), -5.0, -4.0
-    square, square_bias, square_leak = np.full(BUCKETS, 1e-8), 1e-8, 1e-8
     n, n_docs = len(doc), max(1, len(label))
-    for _ in range(steps):
-        z = bias + np.bincount(sentence, weights=weights[word], minlength=n)
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        none = np.exp(np.bincount(doc, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(label)))
-        chance = 1 / (1 + np.exp(-leak))
-        some = np.maximum(1 - (1 - chance) * none, 1e-9)
-        pull = np.where(label == 1, -(1 - chance) * none / some, 1.0)[doc] * p / n_docs
-        slope_leak = np.where(label == 1, -none * (1 - chance) / some, 1.0).sum() * chance / n_docs
-        slope = np.bincount(word, weights=pull[sentence], minlength=BUCKETS)
-        square += slope ** 2
-        step = rate / np.sqrt(square)
-        weights -= step * slope
-        weights = np.sign(weights) * np.maximum(np.abs(weights) - step * penalty, 0)
-        slope_bias = pull.sum()
-        square_bias += slope_bias ** 2
-        bias -= rate / np.sqrt(square_bias) * slope_bias
-        square_leak += slope_leak ** 2
-        leak -= rate / np.sqrt(square_leak) * slope_leak
+    # words of few documents tell nothing that holds elsewhere
+    pairs = np.unique(doc[sentence] * np.int64(BUCKETS) + word)
+    keep = np.bincount(pairs % BUCKETS, minlength=BUCKETS) >= LEAST_DOCS
+
+    def descend(weights, bias, leak, keep, penalty):
+        use = keep[word]
+        words_, sentences_ = word[use], sentence[use]
+        weights = np.where(keep, weights, 0.0)
+        square, square_bias, square_leak = np.full(BUCKETS, 1e-8), 1e-8, 1e-8
+        for _ in range(steps):
+            z = bias + np.bincount(sentences_, weights=weights[words_], minlength=n)
+            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            none = np.exp(np.bincount(doc, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(label)))
+            chance = 1 / (1 + np.exp(-leak))
+            some = np.maximum(1 - (1 - chance) * none, 1e-9)
+            pull = np.where(label == 1, -(1 - chance) * none / some, 1.0)[doc] * p / n_docs
+            slope_leak = np.where(label == 1, -none * (1 - chance) / some, 1.0).sum() * chance / n_docs
+            slope = np.bincount(words_, weights=pull[sentences_], minlength=BUCKETS)
+            square += slope ** 2
+            step = rate / np.sqrt(square)
+            weights = weights - step * slope
+            weights = np.sign(weights) * np.maximum(np.abs(weights) - step * penalty, 0)
+            slope_bias = pull.sum()
+            square_bias += slope_bias ** 2
+            bias -= rate / np.sqrt(square_bias) * slope_bias
+            square_leak += slope_leak ** 2
+            leak -= rate / np.sqrt(square_leak) * slope_leak
+        return weights, bias, leak
+
+    weights, bias, leak = descend(np.zeros(BUCKETS), -5.0, -4.0, keep, penalty)
+    if (weights > telling).any():
+        weights, bias, _ = descend(weights, bias, leak, weights > telling, 0.0)
     return weights, float(bias)
 
 

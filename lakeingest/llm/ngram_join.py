@@ -299,7 +299,8 @@ def _probe(similarity: int):
 def search(lists: DataFrame, docs: DataFrame, hubs: DataFrame, similarity: int) -> DataFrame:
     """Links (a, b) between each hub of a list and the list's documents of other components.
 
-    ``lists``: (s, node, n, c); ``hubs``: (s, query, query_n, query_c, size, rest); ``docs``: (node, n, shared, short).
+    ``lists``: (s, node, n, m, c), m being the number of shared shingles; ``hubs``: (s, query, query_n, query_m, query_c,
+    size, rest); ``docs``: (node, n, shared, short).
     ``rest`` is the component whose documents are no hubs of the list, where all others are: pairs of hubs are then
     taken once. Conditions are part of the join, so pairs that need no look are never rows.
     """
@@ -307,6 +308,7 @@ def search(lists: DataFrame, docs: DataFrame, hubs: DataFrame, similarity: int)
     h = hubs.join(load, "query").withColumnRenamed("s", "hub_s")
     wanted = (F.col("s") == F.col("hub_s")) & (F.col("c") != F.col("query_c")) & \
         (F.col("query_n") * similarity <= F.col("n") * 100) & (F.col("n") * similarity <= F.col("query_n") * 100) & \
+        ((F.col("query_n") + F.col("n")) * similarity <= F.least("query_m", "m") * (100 + similarity)) & \
         (F.col("rest").isNull() | (F.col("c") == F.col("rest")) | (F.col("query") < F.col("node")))
     blocks = lists.join(h, wanted).groupBy("query", F.expr("pmod(xxhash64(node), blocks)").alias("block")).agg(
         F.sort_array(F.collect_list(F.struct("s", "node"))).alias("postings"))
@@ -320,20 +322,21 @@ def search(lists: DataFrame, docs: DataFrame, hubs: DataFrame, similarity: int)
 def _hubs(lists: DataFrame, buckets: int) -> DataFrame:
     """First round: one hub a list. Later: of a list, all documents outside its largest component where these are
     ``SHORT_LIST`` at most (the list is finished then), else the smallest of each of ``buckets`` hash buckets."""
+    # the smallest document of a list links with most of them
+    hub = F.min(F.struct("n", "node", "m", "c"))
+    named = [F.col("hub.node").alias("query"), F.col("hub.n").alias("query_n"), F.col("hub.m").alias("query_m"),
+             F.col("hub.c").alias("query_c")]
     if buckets == 1:
-        least = lists.groupBy("s").agg(F.min(F.struct("node", "n", "c")).alias("hub"), F.count("*").alias("size"))
-        return least.select("s", F.col("hub.node").alias("query"), F.col("hub.n").alias("query_n"),
-                            F.col("hub.c").alias("query_c"), "size", F.lit(None).cast("long").alias("rest"))
+        least = lists.groupBy("s").agg(hub.alias("hub"), F.count("*").alias("size"))
+        return least.select("s", *named, "size", F.lit(None).cast("long").alias("rest"))
     parts = lists.groupBy("s", "c").agg(F.count("*").alias("m"))
     sizes = parts.groupBy("s").agg(F.sum("m").alias("size"), F.max(F.struct("m", "c")).alias("largest"))
     few = F.col("size") - F.col("largest.m") <= SHORT_LIST
     bucket = F.when(few, F.col("node")).otherwise(F.expr(f"pmod(xxhash64(node), {buckets})"))
     return (lists.join(sizes, "s").filter(~few | (F.col("c") != F.col("largest.c")))
                  .groupBy("s", bucket.alias("bucket"))
-                 .agg(F.min(F.struct("node", "n", "c")).alias("hub"), F.first("size").alias("size"),
-                      F.first(F.when(few, F.col("largest.c"))).alias("rest"))
-                 .select("s", F.col("hub.node").alias("query"), F.col("hub.n").alias("query_n"),
-                         F.col("hub.c").alias("query_c"), "size", "rest"))
+                 .agg(hub.alias("hub"), F.first("size").alias("size"), F.first(F.when(few, F.col("largest.c"))).alias("rest"))
+                 .select("s", *named, "size", "rest"))
 
 
 def ngram_jaccard_classes(documents: DataFrame, k: int = 5, similarity: int = 75) -> DataFrame:
@@ -360,12 +363,18 @@ def ngram_jaccard_classes(documents: DataFrame, k: int = 5, similarity: int = 75
         _assemble(similarity), "node long, n long, shared array<long>, short array<long>"), "ngram-docs")
 
     def several(lists: DataFrame) -> DataFrame:
-        """The lists that hold documents of two components or more."""
-        good = lists.groupBy("s").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("s")
-        return lists.join(good, "s", "left_semi")
-
-    lists = stage(several(docs.select(F.explode("short").alias("s"), "node", "n").withColumn("c", F.col("node"))),
-                  "ngram-lists")
+        """The lists that hold documents of two components or more.
+
+        Documents whose shared shingles are too few for even the smallest document of the list leave it before.
+        """
+        least = lists.groupBy("s").agg(F.min("n").alias("least"))
+        able = lists.join(least, "s").filter(
+            (F.col("n") + F.col("least")) * similarity <= F.col("m") * (100 + similarity)).drop("least")
+        good = able.groupBy("s").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("s")
+        return able.join(good, "s", "left_semi")
+
+    lists = stage(several(docs.select(F.explode("short").alias("s"), "node", "n", F.size("shared").cast("long").alias("m"),
+                                      F.col("node").alias("c"))), "ngram-lists")
     links: DataFrame | None = None
     comp: DataFrame | None = None
     buckets = 1
@@ -380,7 +389,7 @@ def ngram_jaccard_classes(documents: DataFrame, k: int = 5, similarity: int = 75
             hubs.filter("rest IS NOT NULL").select("s").distinct(), "s", "left_anti")
         if comp is not None:
             rest = rest.drop("c").join(comp, "node", "left").select(
-                "s", "node", "n", F.coalesce("component", "node").alias("c"))
+                "s", "node", "n", "m", F.coalesce("component", "node").alias("c"))
         fewer = stage(several(rest), "ngram-lists")
         unstage(lists, hubs)
         lists, buckets = fewer, buckets * 8

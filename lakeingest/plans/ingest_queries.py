@@ -362,7 +362,7 @@ SELECT {', '.join(ORDERS_COLS)}, 0 AS second_run_rows FROM orders""")
 def rewritten_file_ignored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files re-delivered under names already ingested are not read again (first version kept)."""
     lab = Lab(spark, "rewrite")
-    orders = table(spark, sf_dir, "orders").orderBy("o_orderkey").repartition(4, "o_orderkey")
+    orders = table(spark, sf_dir, "orders").repartition(4, "o_orderkey")
     ds = lab.dataset("orders", csv_orders_source())
     lab.land_csv_parts(orders, "orders", "drop1")
     lab.run(ds, run_id="first")

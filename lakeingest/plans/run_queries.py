@@ -56,8 +56,7 @@ def ten_dataset_lab(spark: SparkSession, sf_dir: str, label: str = "fullrun"):
         lab.dataset("observations", files_source("avro", "observations"), {"partition_by": ["s_nationkey"]}),
         lab.dataset("images", files_source("binaryFile", "images", options={"pathGlobFilter": "*.txt"}), BY_DAY),
         lab.dataset("app_events_stream", {"type": "kafka", "envelope_path": "{landing}/topics_json",
-                                          "subscribe": ",".join(f"app.events.{t}" for t in
-                                                                ("click", "view", "purchase", "signup", "error")),
+                                          "subscribe_pattern": r"app\.events\..*",
                                           "value_format": "json", "value_json_schema": EVENTS_DDL,
                                           "options": recursive}, BY_DAY),
         lab.dataset("readings_stream", {"type": "kafka", "envelope_path": "{landing}/topics_avro",

@@ -101,7 +101,7 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("sales_by_channel_week", """
 SELECT o_orderpriority AS channel, CAST(date_trunc('week', o_orderdate) AS DATE) AS week,
-       count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(38,12))) AS DOUBLE) AS sales
+       count(*) AS orders, CAST(sum(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(38,12))) AS DOUBLE) AS sales
 FROM orders GROUP BY 1, 2""")
 def sales_by_channel_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.sales_by_channel_week(table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderdate", "o_totalprice")
@@ -125,7 +125,7 @@ def delivery_time_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("mean_by_group_day", """
 SELECT event_type AS grp, CAST(ts AS DATE) AS day, count(value) AS readings,
-       CAST(sum(CAST(value AS DECIMAL(38,12))) AS DOUBLE) / count(value) AS mean_value,
+       CAST(sum(CAST(CAST(value AS VARCHAR) AS DECIMAL(38,12))) AS DOUBLE) / count(value) AS mean_value,
        min(value) AS min_value, max(value) AS max_value
 FROM events GROUP BY 1, 2""")
 def mean_by_group_day(spark: SparkSession, sf_dir: str) -> DataFrame:

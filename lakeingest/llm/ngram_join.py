@@ -391,8 +391,10 @@ def ngram_jaccard_classes(documents: DataFrame, k: int = 5, similarity: int = 75
             rest = rest.drop("c").join(comp, "node", "left").select(
                 "s", "node", "n", "m", F.coalesce("component", "node").alias("c"))
         fewer = stage(several(rest), "ngram-lists")
-        unstage(lists, hubs)
-        lists, buckets = fewer, buckets * 8
+        # later rounds read only the documents that are still in a list
+        remaining = stage(docs.join(fewer.select("node").distinct(), "node", "left_semi"), "ngram-docs")
+        unstage(lists, hubs, docs)
+        lists, docs, buckets = fewer, remaining, buckets * 8
 
     known = classes.select("h1", "h2", "least")
     if comp is not None:

@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 #: Fixed by the vocabulary's format: the pattern of its pre-tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -201,6 +201,11 @@ class Encoder:
             return b"".join([*out, self._plain(text[at:])])
         return self._plain(text)
 
+    def forget(self) -> None:
+        """Drop the ids of the pieces seen; the automaton stays."""
+        for known in (self.word, self.piece, self.spaced):
+            known.clear()
+
     def decode(self, ids: bytes) -> str:
         return self.automaton.decode(memoryview(ids).cast("I")).decode("utf-8", errors="replace")
 
@@ -244,5 +249,6 @@ def encode_texts(documents: DataFrame, path: str, digests_only: bool = False) ->
                 ends = np.cumsum([0, *(len(x) // 4 for x in all_ids)], dtype=np.int32)
                 columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(all_ids), np.int32))))
             yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
+        enc.forget()        # the worker goes on to other tasks
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, names if digests_only else names + ", ids array<int>")

@@ -1,31 +1,46 @@
-"""Mixing sources to target weights by Pfair scheduling (column expressions and SQL functions only).
+"""Mixing sources to target weights by Pfair scheduling (columns and SQL functions only for the rows).
 
 The documents of a source are put in a fixed random order (by md5 of doc_id) and cut into blocks of ``block_rows``. A
-source of weight ``w`` (its quota ``q`` of ``cycle`` slots, ``w = q / cycle``) gives block ``i`` (from 0) the release time
-``floor(i / w)`` and the deadline ``ceil((i + 1) / w)``. One block goes to each slot; among the released blocks the one
-with the earliest deadline is taken (ties: the smaller source name). Quotas sum to ``cycle``, so every slot is used and
-every deadline is met: at any slot, until a source runs out, each source has had its share to within less than one
-block. The schedule repeats every ``cycle`` slots, so one cycle is computed (it depends on the quotas alone) and each
-block's slot follows from its number.
-
-A source that runs out leaves its later slots empty; no document is dropped, and the order of the others stays.
-Weights: a mapping of source names to integers, or by default the integer square root of each source's row count.
-Quotas are the weights' shares of the cycle by largest remainder, at least 1 each. ``MAX_SOURCES`` bounds the number of
-sources (an error, never a cut): the schedule of a cycle is one row's work.
-
-A null source is a source of its own, a null doc_id sorts first, and repeated rows are scheduled one by one. An empty
-table gives an empty result. The row numbers of a source come from 256 md5 shards and their counts, so a source with a
-third of all rows is spread over many tasks.
+source with ``q`` of the ``cycle`` slots (its quota) gives block ``i`` (from 0) the release time ``floor(i * cycle / q)``
+and the deadline ``ceil((i + 1) * cycle / q)``. One block goes to each slot; among the released blocks the one with the
+earliest deadline is taken (ties: the smaller source name). Quotas sum to ``cycle``, so every slot is used and every
+deadline is met: at any slot, until a source runs out, each source has had its share to within less than one block. The
+release times are needed: sorted by deadline alone, a heavy source would run ahead of many light ones.
+
+Weights: a mapping of source names to integers, or by default the integer square root of each source's row count. By
+default the quotas are the weights themselves, divided by their common divisor, and the cycle is their sum: no rounding,
+so the bound holds against the given weights however long the table is. Sources that the mapping leaves out or gives 0
+have one slot of a cycle of ``CYCLE`` or more slots (the other weights are multiplied to reach it). With ``cycle`` given,
+quotas are the weights' shares of it by largest remainder, and zeros are raised to 1 at the cost of the largest quotas.
+
+The schedule repeats every ``cycle`` slots and depends on the quotas alone, so the driver computes one cycle, or as much
+of it as there are blocks for (slots times the log of the sources), and each block's slot follows from its number.
+``MAX_SOURCES`` bounds the number of sources (an error, never a cut).
+
+A source that runs out leaves its later slots empty; no document is dropped, and the order of the others stays. A null
+source is a source of its own, a null doc_id sorts first, and repeated rows are scheduled one by one. An empty table
+gives an empty result. The row numbers of a source come from 256 md5 shards and their counts, so a source with a third of
+all rows is spread over many tasks.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+from array import array
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CYCLE = 1000
 BLOCK_ROWS = 16
 MAX_SOURCES = 2000
+#: Slots of a schedule that the driver computes (4 bytes each); square root weights stay far below.
+MAX_SLOTS = 1 << 27
+#: Rows of a schedule that are broadcast; a longer one is joined by shuffle.
+BROADCAST_SLOTS = 1 << 17
 _SHIFT = 1 << 20
 
 
@@ -37,85 +52,117 @@ def _random(doc_id: Column) -> Column:
     return F.coalesce(F.md5(doc_id.cast("string").cast("binary")), F.lit(""))
 
 
-def quotas(counts: DataFrame, cycle: int = CYCLE, weights: dict[str, int] | None = None) -> DataFrame:
-    """(key, q): slots of each source in a cycle. ``counts``: (key, n)."""
+def exact_quotas(weights: dict[str, int]) -> dict[str, int]:
+    """The weights without their common divisor; zeros have one slot of a cycle of at least ``CYCLE``."""
+    divisor = math.gcd(*weights.values()) or 1
+    zeros = sum(w == 0 for w in weights.values())
+    total = sum(weights.values()) // divisor
+    times = max(1, -(-(CYCLE - zeros) // total)) if zeros and total else 1
+    return {k: w // divisor * times or 1 for k, w in weights.items()}
+
+
+def rounded_quotas(weights: dict[str, int], cycle: int) -> dict[str, int]:
+    """Shares of ``cycle`` by largest remainder over the whole cycle; zeros become 1, taken from the largest quotas."""
+    total = sum(weights.values())
+    if not total:
+        weights, total = dict.fromkeys(weights, 1), len(weights)
+    q = {k: w * cycle // total for k, w in weights.items()}
+    left = cycle - sum(q.values())
+    for k in sorted(q, key=lambda k: (-(weights[k] * cycle % total), k))[:left]:
+        q[k] += 1
+    zeros = [k for k, n in q.items() if not n]
+    largest = [(-n, k) for k, n in q.items() if n]
+    heapq.heapify(largest)
+    for k in zeros:
+        n, big = largest[0]
+        q[k], q[big] = 1, -n - 1
+        heapq.heapreplace(largest, (n + 1, big))
+    return q
+
+
+def _weights(counts: dict[str, int], weights: dict[str, int] | None) -> dict[str, int]:
     if weights is None:
-        weighted = counts.select("key", F.floor(F.sqrt("n")).cast("long").alias("w"))
-    else:
-        given = F.create_map(*(x for k, v in weights.items() for x in (F.lit("=" + k), F.lit(int(v)))))
-        weighted = counts.select("key", F.greatest(F.coalesce(given[F.col("key")], F.lit(0)), F.lit(0)).cast("long")
-                                 .alias("w"))
-    # one row: the list of sources is the schedule's input and bounded by MAX_SOURCES
-    one = weighted.groupBy().agg(F.sort_array(F.collect_list(F.struct("key", "w"))).alias("s"),
-                                 F.greatest(F.sum("w"), F.lit(1)).alias("total"), F.count("*").alias("k"))
-    share = one.select("total", "k", F.explode("s").alias("x")).select(
-        F.col("x.key").alias("key"), "k",
-        F.floor(F.col("x.w") * (F.lit(cycle) - F.col("k")) / F.col("total")).cast("long").alias("whole"),
-        ((F.col("x.w") * (F.lit(cycle) - F.col("k"))) % F.col("total")).alias("rest"))
-    # every source has one slot; the others are dealt by share, what is left by largest remainder
-    ranked = share.groupBy().agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("rest")).alias("rest"), "key", "whole"))).alias("s"),
-        (F.lit(cycle) - F.first("k") - F.sum("whole")).alias("left"))
-    return ranked.select("left", F.posexplode("s").alias("at", "x")).select(
-        F.col("x.key").alias("key"), (F.col("x.whole") + 1 + (F.col("at") < F.col("left")).cast("long")).alias("q"))
+        return {k: math.isqrt(n) for k, n in counts.items()}
+    return {k: max(0, int(weights.get(k[1:], 0))) if k else 0 for k in counts}
+
+
+def quotas(counts: DataFrame, cycle: int = CYCLE, weights: dict[str, int] | None = None) -> DataFrame:
+    """(key, q): slots of each source in a cycle of the given length. ``counts``: (key, n)."""
+    found = {r.key: r.n for r in counts.select("key", "n").collect()}
+    return counts.sparkSession.createDataFrame(sorted(rounded_quotas(_weights(found, weights), cycle).items()),
+                                               "key string, q long")
+
+
+def picks(quota: list[int], cycle: int, slots: int) -> array:
+    """The source (by place in ``quota``) of each of the first ``slots`` slots; quotas sum to ``cycle``."""
+    ready: list[tuple[int, int]] = []           # (deadline, source) of the released blocks
+    waiting = [(0, i) for i in range(len(quota))]   # (release, source) of the next blocks; sorted, so a heap
+    done = [0] * len(quota)
+    out = array("i")
+    for t in range(slots):
+        while waiting and waiting[0][0] <= t:
+            _, i = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(done[i] + 1) * cycle // quota[i]), i))
+        _, i = heapq.heappop(ready)
+        out.append(i)
+        done[i] += 1
+        heapq.heappush(waiting, (done[i] * cycle // quota[i], i))
+    return out
+
+
+def _plan(spark, quota: dict[str, int], cycle: int, slots: int) -> DataFrame:
+    """(key, q, turn, spot) of the first ``slots`` slots."""
+    keys = sorted(quota)
+    who = np.frombuffer(picks([quota[k] for k in keys], cycle, slots), dtype=np.int32)
+    order = np.argsort(who, kind="stable")
+    first = np.cumsum(np.bincount(who, minlength=len(keys))) - np.bincount(who, minlength=len(keys))
+    own = who[order]
+    table = pa.table({"who": own, "turn": np.arange(slots) - first[own], "spot": order.astype(np.int64)})
+    names = spark.createDataFrame([(i, k, quota[k]) for i, k in enumerate(keys)], "who int, key string, q long")
+    placed = spark.createDataFrame(table)
+    return placed.join(F.broadcast(names), "who").select("key", "q", "turn", "spot")
 
 
 def schedule(quota: DataFrame, cycle: int = CYCLE) -> DataFrame:
     """(key, q, turn, spot): the slot ``spot`` of one cycle in which a source has its ``turn``-th block of the cycle."""
-    one = quota.groupBy().agg(F.sort_array(F.collect_list(F.struct("key", "q"))).alias("s")).filter(F.size("s") > 0)
-    c = F.lit(cycle).cast("long")
-
-    def step(state: Column, t: Column) -> Column:
-        def rank(x: Column, i: Column) -> Column:   # deadline of the next block, then the source's place; null: not released
-            q, done = x["q"], F.get(state["done"], i)
-            return F.when((done < q) & (F.floor(done * c / q) <= t),
-                          F.ceil((done + 1) * c / q).cast("long") * _SHIFT + i)
-        pick = F.array_min(F.transform(state["s"], rank)) % _SHIFT
-        return F.transform(F.array(pick), lambda p: F.struct(
-            state["s"].alias("s"),
-            F.transform(state["done"], lambda d, i: d + F.when(i == p, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long")))
-             .alias("done"),
-            F.concat(state["picks"], F.array(p)).alias("picks")))[0]
-
-    start = F.struct(F.col("s").alias("s"), F.transform("s", lambda x: F.lit(0).cast("long")).alias("done"),
-                     F.array().cast("array<bigint>").alias("picks"))
-    run = one.select("s", F.aggregate(F.sequence(F.lit(0).cast("long"), F.lit(cycle - 1).cast("long")), start, step,
-                                      lambda x: x["picks"]).alias("picks"))
-    slots = run.select("s", F.posexplode("picks").alias("spot", "who")).select(
-        F.col("s")[F.col("who").cast("int")].alias("x"), F.col("spot").cast("long").alias("spot"))
-    turn = F.row_number().over(Window.partitionBy("key").orderBy("spot")) - 1
-    return slots.select("x.key", "x.q", "spot").withColumn("turn", turn.cast("long"))
-
-
-def scheduled(documents: DataFrame, block_rows: int = BLOCK_ROWS, cycle: int = CYCLE,
+    return _plan(quota.sparkSession, {r.key: r.q for r in quota.select("key", "q").collect()}, cycle, cycle)
+
+
+def scheduled(documents: DataFrame, block_rows: int = BLOCK_ROWS, cycle: int | None = None,
               weights: dict[str, int] | None = None) -> DataFrame:
     """``documents`` with a struct column ``mix``: block, in_block, slot, release, deadline."""
-    columns = documents.columns
+    spark, columns = documents.sparkSession, documents.columns
     rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), _key(F.col("source")).alias("key"),
                             _random(F.col("doc_id")).alias("random")).withColumn("shard", F.substring("random", 1, 2))
     ids = documents.select(_key(F.col("source")).alias("key"),
                            F.substring(_random(F.col("doc_id")), 1, 2).alias("shard"))
     parts = ids.groupBy("key", "shard").agg(F.count("*").alias("n"))
-    counts = parts.groupBy("key").agg(F.sum("n").alias("n"))
-    if (found := counts.count()) > min(MAX_SOURCES, cycle):
-        raise ValueError(f"{found} sources; a cycle of {cycle} slots takes {min(MAX_SOURCES, cycle)} at most")
+    counts = {r.key: r.n for r in parts.groupBy("key").agg(F.sum("n").alias("n")).collect()}
+    if len(counts) > min(MAX_SOURCES, cycle or MAX_SOURCES):
+        raise ValueError(f"{len(counts)} sources; {min(MAX_SOURCES, cycle or MAX_SOURCES)} at most")
+    wanted = _weights(counts, weights)
+    quota = exact_quotas(wanted) if cycle is None else rounded_quotas(wanted, cycle)
+    cycle = sum(quota.values())
+    # all blocks are placed by the deadline of the last one, and what follows a cycle repeats it
+    slots = min(cycle, max((-(-(-(-n // block_rows)) * cycle // quota[k]) for k, n in counts.items()), default=0))
+    if slots > MAX_SLOTS:
+        raise ValueError(f"weights that need {slots} slots; give cycle to round them")
     before = F.sum("n").over(Window.partitionBy("key").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     offsets = parts.select("key", "shard", F.coalesce(before, F.lit(0)).alias("offset"))
-    plan = schedule(quotas(counts, cycle, weights), cycle)
     number = F.row_number().over(Window.partitionBy("key", "shard").orderBy("random", "row.doc_id"))
     blocks = (rows.withColumn("number", number.cast("long") - 1).join(offsets, ["key", "shard"])
               .withColumn("number", F.col("number") + F.col("offset"))
               .withColumn("block", F.floor(F.col("number") / block_rows).cast("long")))
-    quota = plan.select("key", "q").distinct()
-    # the plan has `cycle` rows: bounded by a parameter, so safe to broadcast
-    placed = (blocks.join(F.broadcast(quota), "key").withColumn("turn", F.col("block") % F.col("q"))
-              .join(F.broadcast(plan.drop("q")), ["key", "turn"]))
-    c = F.lit(cycle)
+    known = spark.createDataFrame(sorted(quota.items()), "key string, q long")
+    plan = _plan(spark, quota, cycle, slots).drop("q")
+    # one row per source, and a schedule of bounded length
+    placed = (blocks.join(F.broadcast(known), "key").withColumn("turn", F.col("block") % F.col("q"))
+              .join(F.broadcast(plan) if slots <= BROADCAST_SLOTS else plan, ["key", "turn"]))
     return placed.select("row.*", F.struct(
         "block", (F.col("number") % block_rows).alias("in_block"),
-        (F.floor(F.col("block") / F.col("q")) * c + F.col("spot")).cast("long").alias("slot"),
-        F.floor(F.col("block") * c / F.col("q")).cast("long").alias("release"),
-        F.ceil((F.col("block") + 1) * c / F.col("q")).cast("long").alias("deadline")).alias("mix"))
+        F.expr(f"block div q * {cycle}L + spot").alias("slot"),
+        F.expr(f"block * {cycle}L div q").alias("release"),
+        F.expr(f"((block + 1) * {cycle}L + q - 1) div q").alias("deadline")).alias("mix"))
 
 
 def mix_documents(documents: DataFrame, **options) -> DataFrame:

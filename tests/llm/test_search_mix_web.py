@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from lakeingest.llm.hash_forest import candidates, nearest
 from lakeingest.llm.html_extract import extract_pages, main_text
-from lakeingest.llm.pfair_mix import BLOCK_ROWS, mix_documents, quotas, schedule, scheduled
+from lakeingest.llm.pfair_mix import (BLOCK_ROWS, exact_quotas, mix_documents, picks, quotas, rounded_quotas, schedule,
+                                      scheduled)
 from lakeingest.llm.warc_revisit import canonical_url, resolve_revisits
 
 from .fixtures import DOCUMENTS, documents, rows
@@ -116,6 +117,29 @@ def test_mix_keeps_rows_and_shares(spark):
         scheduled(docs, cycle=2)
 
 
+def test_shares_are_those_of_the_weights(spark):
+    assert rounded_quotas({"a": 900, "b": 100}, 1000) == {"a": 900, "b": 100}
+    assert rounded_quotas({"a": 990, "b": 5, "c": 5}, 1000) == {"a": 990, "b": 5, "c": 5}
+    many = rounded_quotas({"a": 100000, **{f"b{i:02}": 1 for i in range(50)}}, 1000)
+    assert many == {"a": 950, **{f"b{i:02}": 1 for i in range(50)}}
+    assert exact_quotas({"a": 4, "b": 2, "c": 0}) == {"a": 666, "b": 333, "c": 1}
+    heavy = {"a": 900000, **{f"b{i:02}": 1000 for i in range(19)}}
+    for weights in (heavy, {"a": 500, **{f"b{i:03}": 1 for i in range(500)}}, {"a": 997, "b": 3001, "c": 7, "d": 1009}):
+        quota = [exact_quotas(weights)[k] for k in sorted(weights)]
+        cycle, total, done = sum(quota), sum(weights.values()), [0] * len(weights)
+        target = [weights[k] for k in sorted(weights)]
+        for t, i in enumerate(picks(quota, cycle, 3 * cycle), 1):       # against the weights, cycle after cycle
+            done[i] += 1
+            assert all(abs(d * total - t * w) < total for d, w in zip(done, target))
+    data = [(i, "t", "en", "a" if i % 10 else "b", 1, "n", i, "k") for i in range(4000)]
+    placed = scheduled(documents(spark, data), block_rows=1, weights={"a": 6007, "b": 661}).select("source", "mix.*").collect()
+    assert len(placed) == len({r.slot for r in placed}) == 4000
+    for r in placed:
+        w = {"a": 6007, "b": 661}[r.source]
+        assert (r.release, r.deadline) == (r.block * 6668 // w, -(-(r.block + 1) * 6668 // w))
+        assert r.release <= r.slot < r.deadline
+
+
 ARTICLE = "".join(f"<p>Paragraph {i}, with commas, and enough words to count as text of the story.</p>" for i in range(4))
 TEXT = " ".join(f"Paragraph {i}, with commas, and enough words to count as text of the story." for i in range(4))
 

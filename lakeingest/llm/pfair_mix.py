@@ -15,7 +15,7 @@ quotas are the weights' shares of it by largest remainder, and zeros are raised
 
 The schedule repeats every ``cycle`` slots and depends on the quotas alone, so the driver computes one cycle, or as much
 of it as there are blocks for (slots times the log of the sources), and each block's slot follows from its number.
-``MAX_SOURCES`` bounds the number of sources (an error, never a cut).
+Any number of sources is taken; only a ``cycle`` that is given must have a slot for each (an error, never a cut).
 
 A source that runs out leaves its later slots empty; no document is dropped, and the order of the others stays. A null
 source is a source of its own, a null doc_id sorts first, and repeated rows are scheduled one by one. An empty table
@@ -36,11 +36,10 @@ from pyspark.sql import functions as F
 
 CYCLE = 1000
 BLOCK_ROWS = 16
-MAX_SOURCES = 2000
 #: Slots of a schedule that the driver computes (4 bytes each); square root weights stay far below.
 MAX_SLOTS = 1 << 27
-#: Rows of a schedule that are broadcast; a longer one is joined by shuffle.
-BROADCAST_SLOTS = 1 << 17
+#: Rows of a schedule or list of sources that are broadcast; a longer one is joined by shuffle.
+BROADCAST_ROWS = 1 << 17
 _SHIFT = 1 << 20
 
 
@@ -119,8 +118,8 @@ def _plan(spark, quota: dict[str, int], cycle: int, slots: int) -> DataFrame:
     own = who[order]
     table = pa.table({"who": own, "turn": np.arange(slots) - first[own], "spot": order.astype(np.int64)})
     names = spark.createDataFrame([(i, k, quota[k]) for i, k in enumerate(keys)], "who int, key string, q long")
-    placed = spark.createDataFrame(table)
-    return placed.join(F.broadcast(names), "who").select("key", "q", "turn", "spot")
+    names = F.broadcast(names) if len(keys) <= BROADCAST_ROWS else names
+    return spark.createDataFrame(table).join(names, "who").select("key", "q", "turn", "spot")
 
 
 def schedule(quota: DataFrame, cycle: int = CYCLE) -> DataFrame:
@@ -138,8 +137,8 @@ def scheduled(documents: DataFrame, block_rows: int = BLOCK_ROWS, cycle: int | N
                            F.substring(_random(F.col("doc_id")), 1, 2).alias("shard"))
     parts = ids.groupBy("key", "shard").agg(F.count("*").alias("n"))
     counts = {r.key: r.n for r in parts.groupBy("key").agg(F.sum("n").alias("n")).collect()}
-    if len(counts) > min(MAX_SOURCES, cycle or MAX_SOURCES):
-        raise ValueError(f"{len(counts)} sources; {min(MAX_SOURCES, cycle or MAX_SOURCES)} at most")
+    if cycle is not None and len(counts) > cycle:
+        raise ValueError(f"{len(counts)} sources; a cycle of {cycle} slots takes {cycle} at most")
     wanted = _weights(counts, weights)
     quota = exact_quotas(wanted) if cycle is None else rounded_quotas(wanted, cycle)
     cycle = sum(quota.values())
@@ -155,9 +154,9 @@ def scheduled(documents: DataFrame, block_rows: int = BLOCK_ROWS, cycle: int | N
               .withColumn("block", F.floor(F.col("number") / block_rows).cast("long")))
     known = spark.createDataFrame(sorted(quota.items()), "key string, q long")
     plan = _plan(spark, quota, cycle, slots).drop("q")
-    # one row per source, and a schedule of bounded length
-    placed = (blocks.join(F.broadcast(known), "key").withColumn("turn", F.col("block") % F.col("q"))
-              .join(F.broadcast(plan) if slots <= BROADCAST_SLOTS else plan, ["key", "turn"]))
+    few = len(quota) <= BROADCAST_ROWS
+    placed = (blocks.join(F.broadcast(known) if few else known, "key").withColumn("turn", F.col("block") % F.col("q"))
+              .join(F.broadcast(plan) if slots <= BROADCAST_ROWS else plan, ["key", "turn"]))
     return placed.select("row.*", F.struct(
         "block", (F.col("number") % block_rows).alias("in_block"),
         F.expr(f"block div q * {cycle}L + spot").alias("slot"),

@@ -140,6 +140,13 @@ def test_shares_are_those_of_the_weights(spark):
         assert r.release <= r.slot < r.deadline
 
 
+def test_any_number_of_sources(spark):
+    data = [(i, "t", "en", f"host{i % 2500}.org", 1, "n", i, "k") for i in range(5000)]
+    placed = scheduled(documents(spark, data), block_rows=1).select("source", "mix.*").collect()
+    assert len(placed) == len({r.slot for r in placed}) == 5000
+    assert all(r.release <= r.slot < r.deadline for r in placed)
+
+
 ARTICLE = "".join(f"<p>Paragraph {i}, with commas, and enough words to count as text of the story.</p>" for i in range(4))
 TEXT = " ".join(f"Paragraph {i}, with commas, and enough words to count as text of the story." for i in range(4))
 

@@ -8,7 +8,9 @@ Parquet and read back as the next stage's docs. All stages but the last return t
 3. suffix_array_dedup: passages of 50 or more words that are also in a document of a smaller doc_id are cut out;
    n_chars follows the text, and documents of which nothing is left go;
 4. pfair_mix: all documents, sorted so that sources interleave by their target weights;
-5. bpe_encode_decode: ids of each document, with hashes of the ids and of the text decoded from them.
+5. bpe_encode_decode: ids of each document, with hashes of the ids and of the text decoded from them, and its slot and
+   in_block in the mix. A table read back has no order, and the schedule depends on doc_id and source alone, so this
+   stage works it out again and writes its rows in that order; readers sort by (slot, in_block).
 """
 
 from __future__ import annotations
@@ -50,9 +52,11 @@ def pfair_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_encode_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from lakeingest.llm.bpe import encode_texts
+    from lakeingest.llm.pfair_mix import in_slots
     from lakeingest.llm.queries import tokenizer_path
     ship_package(spark)
-    return encode_texts(docs, tokenizer_path())
+    mixed = in_slots(docs.select("doc_id", "source", "text"))
+    return encode_texts(mixed, tokenizer_path(), places=("slot", "in_block"))
 
 
 STAGES = [("toxicity", toxicity), ("ngram_jaccard_join", ngram_jaccard_join), ("suffix_array_dedup", suffix_array_dedup),

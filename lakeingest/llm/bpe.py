@@ -224,15 +224,18 @@ def _little(ids: bytes) -> bytes:
     return ids
 
 
-def encode_texts(documents: DataFrame, path: str, digests_only: bool = False) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids array<int>) of each row of ``documents``.
+def encode_texts(documents: DataFrame, path: str, digests_only: bool = False, places: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids array<int>) of each row of ``documents``, in their order.
 
     ``path``: a byte-level BPE file that the workers can read. The ids are hashed as little-endian unsigned 32-bit
-    integers, the decoded text as UTF-8, where they are made; ``digests_only`` leaves out the ids.
+    integers, the decoded text as UTF-8, where they are made; ``digests_only`` leaves out the ids. ``places``: long columns that
+    each row keeps, after the others.
     """
     fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
               ("decoded_sha256", pa.string())] + ([] if digests_only else [("ids", pa.list_(pa.int32()))])
     names = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    names = names + ("" if digests_only else ", ids array<int>") + "".join(f", {c} long" for c in places)
+    schema = pa.schema(fields + [(c, pa.int64()) for c in places])
 
     def run(batches):
         enc = encoder(path)
@@ -248,7 +251,7 @@ def encode_texts(documents: DataFrame, path: str, digests_only: bool = False) ->
             if not digests_only:
                 ends = np.cumsum([0, *(len(x) // 4 for x in all_ids)], dtype=np.int32)
                 columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(all_ids), np.int32))))
-            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
+            columns += [batch.column(c) for c in places]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
         enc.forget()        # the worker goes on to other tasks
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, names if digests_only else names + ", ids array<int>")
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *places).mapInArrow(run, names)

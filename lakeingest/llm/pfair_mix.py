@@ -164,6 +164,12 @@ def scheduled(documents: DataFrame, block_rows: int = BLOCK_ROWS, cycle: int | N
         F.expr(f"((block + 1) * {cycle}L + q - 1) div q").alias("deadline")).alias("mix"))
 
 
+def in_slots(documents: DataFrame, **options) -> DataFrame:
+    """All rows of ``documents`` with their slot and in_block, sorted by them across partitions."""
+    placed = scheduled(documents, **options)
+    return placed.select(*(F.col(f"`{c}`") for c in documents.columns), "mix.slot", "mix.in_block").orderBy("slot", "in_block")
+
+
 def mix_documents(documents: DataFrame, **options) -> DataFrame:
     """All rows of ``documents``, unchanged, sorted by slot and place in the block across partitions."""
     placed = scheduled(documents, **options)

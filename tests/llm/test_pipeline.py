@@ -5,6 +5,7 @@ import struct
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -83,3 +84,25 @@ def test_pipeline_stage_by_stage(spark):
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF).select("doc_id", "n_tokens").collect())) == sorted(
         (r.doc_id, r.n_tokens) for r in ids)
+
+
+def test_the_mix_reaches_the_rows_of_run(spark, monkeypatch):
+    """The last two stages: every row has its place in the mix, and the part files are written in that order."""
+    from lakeingest.llm.pfair_mix import scheduled
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[3:])
+    want = {r.doc_id: (r.slot, r.in_block) for r in scheduled(spark.read.parquet(f"{SF}/documents.parquet")).select(
+        "doc_id", "mix.slot", "mix.in_block").collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")    # several part files
+    try:
+        result = corpus_pipeline.run(spark, SF)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = result.collect()
+    assert len(got) == len(want) and {r.doc_id: (r.slot, r.in_block) for r in got} == want
+    assert len({(r.slot, r.in_block) for r in got}) == len(got)
+    files = {}
+    for r in result.select("slot", "in_block", F.input_file_name().alias("file")).collect():
+        files.setdefault(r.file.rsplit("/", 1)[1], []).append((r.slot, r.in_block))
+    assert len(files) > 1
+    written = [x for name in sorted(files) for x in files[name]]
+    assert written == sorted(want.values())

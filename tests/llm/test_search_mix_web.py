@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakeingest.llm.hash_forest import candidates, nearest
+from lakeingest.llm.hash_forest import SYMBOLS, TREES, blocks_of, candidates, nearest, shared_symbol, votes_of
 from lakeingest.llm.html_extract import extract_pages, main_text
 from lakeingest.llm.pfair_mix import (BLOCK_ROWS, exact_quotas, mix_documents, picks, quotas, rounded_quotas, schedule,
                                       scheduled)
@@ -65,6 +65,33 @@ def test_recall_with_a_small_budget(spark):
     assert len(got) == 80 and hits / 400 >= 0.9
 
 
+def test_recall_does_not_hang_on_the_budget(spark):
+    """Isotropic vectors in blocks far above the budget of the first look."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((20000, 64)).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = nearest(frame, F.col("vec_id") % 400 == 0, budget=1).groupBy("query_id").agg(
+        F.collect_set("vec_id").alias("ids")).collect()
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    hits = 0
+    for r in got:
+        s = u @ u[r.query_id]
+        s[r.query_id] = -2
+        hits += len(set(np.argsort(-s)[:5].tolist()) & set(r.ids))
+    assert len(got) == 50 and hits / 250 >= 0.95
+    assert [blocks_of(n) for n in (0, 2000, 20000, 1 << 20, 1 << 21)] == [1, 1, 9, 16, 32]
+
+
+def test_the_bar_sets_what_is_ranked():
+    assert votes_of(64, TREES, SYMBOLS, 0) == (0, 0)             # no cosine yet: everything
+    p = shared_symbol(64)
+    assert p[0] < 0.02 and p[-1] == 1 and (np.diff(p) > -0.01).all()
+    for step in (32, 48, 60):
+        level, votes = votes_of(64, TREES, SYMBOLS, step)
+        chance = p[step] ** level
+        assert sum(math.comb(TREES, i) * chance ** i * (1 - chance) ** (TREES - i) for i in range(votes)) <= 0.05
+
+
 def test_ascent_takes_the_longest_prefixes_first():
     strings = np.array([[0, 1, 2, 3, 16, 17, 33, 63]] * 2)       # base 4, 3 symbols
     order = np.array([[0, 1, 2, 3, 4, 5, 6, 7], [7, 1, 2, 3, 4, 5, 6, 0]])

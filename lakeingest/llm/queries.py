@@ -127,3 +127,40 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("headers")["content-type"].alias("content_type"), F.col("headers")["date"].alias("date_header"),
                        F.col("headers")["cache-control"].alias("cache_control"),
                        F.length("body").cast("long").alias("body_chars"), F.md5(F.col("body").cast("binary")).alias("body_md5"))
+
+
+def _op11_sql() -> str:
+    from .hard_negatives import ORACLE
+    return ORACLE
+
+
+@query("op11_hard_negatives", _op11_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .hard_negatives import hard_negatives
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label), F.col("id") % 50 == 0)
+
+
+def _op12_sql() -> str:
+    from .ranked_search import ORACLE
+    return ORACLE
+
+
+@query("op12_ranked_search", _op12_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ranked_search import ranked_search
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def _op13_sql() -> str:
+    from .exact_dedup import ORACLE
+    return ORACLE
+
+
+@query("op13_exact_dedup", _op13_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .exact_dedup import exact_dedup
+    return exact_dedup(table(spark, sf_dir, "documents"), carry=["doc_id"])

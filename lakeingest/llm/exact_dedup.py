@@ -33,6 +33,8 @@ BITS_PER_ROW = 16
 PROBES = 3
 SLICE_BLOCKS = 8192
 MAX_SLICES = 8
+HOT_ROWS = 1000
+HOT_GROUPS = 50_000
 RESULT = ("keep_id", "group_size", "kept", "text_sha256")
 
 
@@ -95,8 +97,15 @@ def exact_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", carry:
     # Staged once, so that the place of a row (``at``) is the same for all that read it.
     suspects = stage(tested.where("maybe").drop("maybe"), "dedup-suspects")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("at")))
-    groups = suspects.groupBy("sha").agg(F.count(F.lit(1)).alias("size"), first.alias("first"))
-    among = suspects.join(groups, "sha").select(
+    groups = stage(suspects.groupBy("sha").agg(F.count(F.lit(1)).alias("size"), first.alias("first")), "dedup-groups")
+    # A group that holds much of the table does not meet in one task: its rows are looked up where they lie. At most
+    # HOT_GROUPS groups can be that large, which bounds what is broadcast.
+    hot = F.col("size") >= max(HOT_ROWS, ceil(total / HOT_GROUPS))
+    large = groups.where(hot).select(F.col("sha").alias("key"), F.col("size"), F.col("first"))
+    looked_up = suspects.join(F.broadcast(large), F.col("sha") == F.col("key"), "left")
+    met = looked_up.where("key IS NOT NULL").drop("key").unionByName(
+        looked_up.where("key IS NULL").drop("key", "size", "first").join(groups.where(~hot), "sha"))
+    among = met.select(
         "row", F.col("first.id").alias("keep_id"), F.col("size").alias("group_size"),
         (F.col("at") == F.col("first.at")).alias("kept"), F.col("sha").alias("text_sha256"))
     alone = tested.where("NOT maybe").select(

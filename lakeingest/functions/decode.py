@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..spec import EngineSpec, SpecError
+from . import nested
 
 # Fixed value: schema-registry framing is 1 magic byte + 4 bytes of schema id.
 FRAME_HEADER = 5
@@ -24,6 +25,8 @@ _CORRUPT = "__corrupt"
 class Decoded(NamedTuple):
     value: Column
     whole: Column
+    # What the value has no place for, by path (JSON text; null if nothing); None for formats that cannot tell.
+    strays: Column | None = None
 
 
 class Side(NamedTuple):
@@ -58,9 +61,12 @@ def _json(raw: Column, side: Side, **_) -> Decoded:
     # One parse: the extra field holds the text whenever a record or one of its fields did not parse.
     parsed = F.from_json(text, T.StructType([*declared.fields, T.StructField(_CORRUPT, T.StringType())]),
                          {"columnNameOfCorruptRecord": _CORRUPT})
-    unknown = F.array_except(F.json_object_keys(text), F.array(*(F.lit(n) for n in declared.names)).cast("array<string>"))
-    whole = parsed.getField(_CORRUPT).isNull() & (F.coalesce(F.size(unknown), F.lit(0)) <= 0)
-    return Decoded(parsed.dropFields(_CORRUPT), raw.isNull() | F.coalesce(whole, F.lit(False)))
+    known = parsed.dropFields(_CORRUPT)
+    # Text that is no object has no fields to name: its bytes are kept.
+    named = F.json_object_keys(text).isNotNull()
+    strays = F.when(named, nested.entries_json(nested.json_strays(text, known, declared, None)))
+    whole = parsed.getField(_CORRUPT).isNull() & strays.isNull()
+    return Decoded(known, raw.isNull() | F.coalesce(whole, F.lit(False)), strays)
 
 
 def _avro(raw: Column, side: Side, spark: SparkSession, engine: EngineSpec) -> Decoded:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.schema import CORRUPT_KEY, RESCUE_COLUMN
+from . import nested
 
 _COMPLEX = (T.StructType, T.ArrayType, T.MapType)
 
@@ -76,6 +77,30 @@ DUPLICATE_KEY = "_duplicate_keys_line"
 PARSED = "_parsed"
 KEYS = "_keys"
 MISFIT = "_misfit"
+NESTED = "_nested"
+
+
+def json_has_nested(schema: T.StructType) -> bool:
+    """Whether any declared field has parts of its own, and ``json_nested`` is wanted."""
+    return nested.has_complex(schema)
+
+
+def json_nested(line: Column, schema: T.StructType, text_types: bool = False) -> Column:
+    """Entries ``a.b[2].c`` -> text for what lies inside the declared complex fields and has no place in their types.
+
+    Expects the column of ``json_parse``. Only used for schemas with such fields; others pay nothing for it.
+    """
+    parsed = F.col(PARSED)
+
+    def inside(m: Column) -> Column:
+        parts = []
+        for f in schema.fields:
+            if isinstance(f.dataType, _COMPLEX):
+                typed = typed_from_text(parsed[f.name], f.dataType) if text_types else parsed[f.name]
+                parts.append(nested.json_strays(F.try_element_at(m, F.lit(f.name)), typed, f.dataType, F.lit(f.name)))
+        return F.concat(*[F.coalesce(p, nested.none()) for p in parts])
+
+    return F.coalesce(nested.bind(parse_json_object(line), inside), nested.none())
 
 
 def json_parse(line: Column, schema: T.StructType, text_types: bool = False) -> list[Column]:
@@ -123,6 +148,8 @@ def json_typed(schema: T.StructType, text_types: bool = False) -> list[Column]:
     declared = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
     needs = (keys.isNull() | (F.size(F.array_except(keys, declared)) > 0)
              | (F.size(keys) > F.size(F.array_distinct(keys))) | misfit)
+    if json_has_nested(schema):
+        needs = needs | (F.size(NESTED) > 0)
     return ([typed[f.name].alias(f.name) for f in schema.fields]
             + [needs.alias(NEEDS_RESCUE), F.coalesce(misfit, F.lit(False)).alias(MISFIT)])
 
@@ -130,12 +157,12 @@ def json_typed(schema: T.StructType, text_types: bool = False) -> list[Column]:
 def json_rescue(line: Column, schema: T.StructType, text_types: bool = False) -> Column:
     """Second step for JSON lines: ``_rescued_data`` for the flagged rows, null otherwise.
 
-    Unknown keys and values that did not fit are rescued with their text. A line
+    Unknown keys and values that did not fit are rescued with their text, those inside
+    a complex field under their path. A line
     that is not a JSON object is rescued whole under ``_corrupt_record``, a line
-    repeating a key whole under ``_duplicate_keys_line``, and so is a line whose
-    misfit is nested (no top-level value to name). Expects the columns of
-    ``json_parse`` and ``json_typed``; the line is parsed into a map only for
-    flagged rows.
+    repeating a key whole under ``_duplicate_keys_line``. Expects the columns of
+    ``json_parse``, ``json_typed`` and, for schemas with complex fields, ``json_nested``;
+    the line is parsed into a map only for flagged rows.
     """
     names = [f.name for f in schema.fields]
     declared = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
@@ -144,7 +171,8 @@ def json_rescue(line: Column, schema: T.StructType, text_types: bool = False) ->
     # Undeclared keys from the key list (hash based); only their values are looked up.
     unknown_names = F.array_except(keys, declared)
     unknown = F.map_from_arrays(unknown_names, F.transform(unknown_names, lambda k: F.try_element_at(m, k)))
-    checked = [f.name for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    with_nested = json_has_nested(schema)
+    checked = [f.name for f in schema.fields if not isinstance(f.dataType, (T.StringType, *_COMPLEX))]
     if text_types:
         raw = {n: F.col(PARSED)[n] for n in checked}
     else:
@@ -156,14 +184,20 @@ def json_rescue(line: Column, schema: T.StructType, text_types: bool = False) ->
                 or [F.lit(None).cast(_ENTRY)]),
         lambda e: e.isNotNull()))).otherwise(F.create_map().cast("map<string,string>"))
     whole = F.to_json(F.create_map(F.lit(CORRUPT_KEY), line))
-    # A misfit with no top-level value to name (nested) keeps the whole line. The
+    # A misfit that nothing names keeps the whole line. The
     # rescue map is built once per row: this rescue projection is interpreted.
-    nested_only = F.col(MISFIT) & (F.size(unknown_names) == 0) & (F.size(mismatched) == 0)
+    unnamed = F.col(MISFIT) & (F.size(unknown_names) == 0) & (F.size(mismatched) == 0)
+    if with_nested:
+        unnamed = unnamed & (F.size(NESTED) == 0)
+        found = nested.entries_json(F.concat(F.map_entries(unknown).cast(nested.ENTRIES),
+                                             F.map_entries(mismatched).cast(nested.ENTRIES), F.col(NESTED)))
+    else:
+        found = F.to_json(F.map_concat(unknown, mismatched))
     return (F.when(~F.col(NEEDS_RESCUE), F.lit(None).cast("string"))
              .when(keys.isNull(), whole)
              .when(F.size(keys) > F.size(F.array_distinct(keys)), F.to_json(F.create_map(F.lit(DUPLICATE_KEY), line)))
-             .when(nested_only, whole)
-             .otherwise(F.to_json(F.map_concat(unknown, mismatched)))).alias(RESCUE_COLUMN)
+             .when(unnamed, whole)
+             .otherwise(found)).alias(RESCUE_COLUMN)
 
 
 def text_typed(header: list[str], schema: T.StructType, corrupt: Column | None = None) -> list[Column]:

@@ -13,7 +13,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_area, ship_package, task_filesystem
+from ..session import (list_names, make_folder, new_area, rename_path, set_file_time, ship_package,
+                       task_filesystem)
 from ..spec import DatasetSpec, EngineSpec
 from ..streaming.catalog import audit_table_name
 from ..streaming.runner import run_ingestion
@@ -66,6 +67,25 @@ class Lab:
         rows = df.select(F.col(relpath).alias("_rel"), F.col(content).alias("_body"))
         return int(rows.mapInPandas(write, "n LONG").agg(F.sum("n")).first()[0] or 0)
 
+    def engine_landing(self, dataset: str) -> str:
+        """The landing folder of a dataset, created empty if it does not exist."""
+        path = f"{self.engine.landing_root}/{dataset}"
+        make_folder(self.spark, path)
+        return path
+
+    def set_times(self, folder: str, millis: int) -> None:
+        """Give all files of a drop the same modification time."""
+        for name in list_names(self.spark, folder):
+            set_file_time(self.spark, f"{folder}/{name}", millis)
+
+    def rename_files(self, folder: str, target: str, prefix: str) -> None:
+        """Move the data files of a drop to another folder, with a prefix to their names."""
+        root = self.engine.landing_root
+        make_folder(self.spark, f"{root}/{target}")
+        for name in list_names(self.spark, f"{root}/{folder}"):
+            if name[0] not in "._":
+                rename_path(self.spark, f"{root}/{folder}/{name}", f"{root}/{target}/{prefix}{name}")
+
     def land_csv_parts(self, df: DataFrame, dataset: str, drop: str) -> int:
         """Write ``df`` as CSV files named after their partition (``part-00000.csv`` ...).
 
@@ -102,12 +122,8 @@ class Lab:
 
     def bronze(self, ds: DatasetSpec) -> DataFrame:
         """The bronze table, read with the schema its sink recorded (no footer merge)."""
-        from ..streaming.sink import table_path, table_schema
-        path = table_path(ds, self.engine)
-        schema = table_schema(self.spark, path)
-        if schema is None:
-            return self.spark.read.option("mergeSchema", "true").parquet(path)
-        return self.spark.read.schema(schema).parquet(path)
+        from ..streaming.sink import BATCH, read_table, sink_format, table_path
+        return read_table(self.spark, table_path(ds, self.engine), sink_format(ds, self.engine)).drop(BATCH)
 
     def audit(self) -> DataFrame:
         return self.spark.read.table(audit_table_name(self.spark, self.engine))

@@ -21,7 +21,7 @@ def shared_root(spark: SparkSession) -> str:
     except Exception:  # no SparkContext reachable from this client
         sc, root = None, spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if sc is None or not sc.master.startswith("local"):
+        if sc is None or not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="lakeingest-")
         if sc is not None:
@@ -39,17 +39,8 @@ def prepare(spark: SparkSession) -> None:
     """Settings the engine relies on (only applied when the user left them unset),
     and the package shipped to Python workers."""
     ship_package(spark)
-    defaults = {
-        # Keep every progress entry of a long drain (row counts are summed from them).
-        "spark.sql.streaming.numRecentProgressUpdates": "100000",
-        "spark.sql.adaptive.enabled": "true",
-    }
-    for key, value in defaults.items():
-        current = spark.conf.get(key, None)
-        if key == "spark.sql.streaming.numRecentProgressUpdates" and current in (None, "100"):
-            spark.conf.set(key, value)
-        elif current is None:
-            spark.conf.set(key, value)
+    if spark.conf.get("spark.sql.adaptive.enabled", None) is None:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 # Small metadata files (schema versions, checkpoint tokens) go through the Hadoop
@@ -93,6 +84,24 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder through the session's Hadoop file system; anything but success is an error."""
+    fs, p = _fs(spark, source)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"could not rename {source} to {target}")
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
+def set_file_time(spark: SparkSession, path: str, millis: int) -> None:
+    """Set a file's modification time (milliseconds since 1970)."""
+    fs, p = _fs(spark, path)
+    fs.setTimes(p, millis, -1)
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):

@@ -310,17 +310,12 @@ def write_avro_files(df: DataFrame, path: str, codec: str = "deflate") -> int:
     return int(df.mapInPandas(to_files, "files INT").agg(F.sum("files")).first()[0] or 0)
 
 
-def infer_avro_schema(spark: SparkSession, path: str, reader_opts: dict[str, str], after: str) -> T.StructType | None:
-    """Union of the writer schemas of the new container files (header only)."""
-    reader = spark.read
-    for key in ("pathGlobFilter", "recursiveFileLookup"):
-        if key in reader_opts:
-            reader = reader.option(key, reader_opts[key])
-    if after:
-        reader = reader.option("modifiedAfter", after)
+def infer_avro_schema(spark: SparkSession, paths: list[str], reader_opts: dict[str, str]) -> T.StructType | None:
+    """Union of the writer schemas of the container files."""
+    reader = spark.read.option("recursiveFileLookup", "true")
     if avro_package_loaded(spark):
-        return reader.format("avro").load(path).schema
-    files = reader.format("binaryFile").load(path)
+        return reader.format("avro").load(paths).schema
+    files = reader.format("binaryFile").load(paths)
 
     def schemas(batches):
         for pdf in batches:
@@ -340,18 +335,13 @@ def infer_avro_schema(spark: SparkSession, path: str, reader_opts: dict[str, str
     return T.StructType(list(fields.values()))
 
 
-def read_avro_stream(spark: SparkSession, path: str, reader_opts: dict[str, str],
-                     schema: T.StructType) -> DataFrame:
-    """Streaming rows of new Avro container files, with file lineage columns."""
+def read_avro_files(spark: SparkSession, paths: list[str], reader_opts: dict[str, str], schema: T.StructType) -> DataFrame:
+    """Rows of Avro container files, with file lineage columns."""
+    reader = spark.read.option("recursiveFileLookup", "true")
+    lineage = [F.col("_metadata.file_name").alias("_ingested_filename"), F.col("_metadata.file_path").alias("_ingested_filepath")]
     if avro_package_loaded(spark):
-        df = spark.readStream.options(**reader_opts).format("avro").schema(schema).load(path)
-        return df.withColumns({"_ingested_filename": F.col("_metadata.file_name"),
-                               "_ingested_filepath": F.col("_metadata.file_path")})
-    from .schema import BINARY_FILE_SCHEMA
-    files = (spark.readStream.options(**{"maxFileAge": "365000d", **reader_opts}).format("binaryFile")
-             .schema(BINARY_FILE_SCHEMA).load(path)
-             .select("content", F.col("_metadata.file_name").alias("_ingested_filename"),
-                     F.col("_metadata.file_path").alias("_ingested_filepath")))
+        return reader.options(**reader_opts).format("avro").schema(schema).load(paths).select("*", *lineage)
+    files = reader.format("binaryFile").load(paths).select("content", *lineage)
     out_schema = T.StructType(schema.fields + [T.StructField("_ingested_filename", T.StringType()),
                                                T.StructField("_ingested_filepath", T.StringType())])
     names = [f.name for f in schema.fields]

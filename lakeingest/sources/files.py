@@ -1,9 +1,11 @@
 """Incremental landing-zone file source (CSV, JSON, Parquet, Avro, binaryFile).
 
-Spark's file stream source keeps the list of files already processed in the
-query checkpoint, so each run reads only what arrived since the previous one.
-Every format goes through a typed projection that keeps stray data in
-``_rescued_data`` (except binaryFile, whose schema is fixed).
+Spark's file stream source keeps the list of files already processed in the query checkpoint; it gives the *names* of the
+files that arrived since the last micro-batch. Each batch then decides its columns from exactly those files and reads them
+once. So a file is never read with a schema made before it landed, in scheduled runs and in continuous queries alike.
+
+Every format goes through a typed projection that keeps stray data in ``_rescued_data`` (except binaryFile, whose schema is
+fixed).
 """
 
 from __future__ import annotations
@@ -15,33 +17,57 @@ from pyspark.sql import types as T
 from ..functions import rescue
 from ..functions.provenance import with_file_lineage
 from ..spec import DatasetSpec, EngineSpec, SpecError
-from .schema import (BINARY_FILE_SCHEMA, CORRUPT_KEY, ResolvedSchema, resolve_schema, split_options,
-                     with_recursion)
+from .footers import read_groups
+from .schema import (BINARY_FILE_SCHEMA, CORRUPT_KEY, ResolvedSchema, check_source, literal_path, resolve_schema,
+                     split_options)
 
 # Landing zones keep files for a long time; Spark's default (7 days relative to
 # the newest file) would silently skip an old drop. A backlog is drained in
 # bounded micro-batches: each one commits, so a failure costs one batch of work
 # and the driver never plans one batch over millions of files.
-_DEFAULT_STREAM_OPTIONS = {"maxFileAge": "365000d", "maxFilesPerTrigger": "50000"}
+# Folders are looked into at any depth, whether they are named ``key=value`` or not.
+_DEFAULT_STREAM_OPTIONS = {"maxFileAge": "365000d", "maxFilesPerTrigger": "50000", "recursiveFileLookup": "true"}
+
+# Reader options that say which files are read and when; the others say how a file is read.
+_SELECTION = ("pathGlobFilter", "recursiveFileLookup", "maxFilesPerTrigger", "maxBytesPerTrigger", "maxFileAge", "latestFirst",
+              "cleanSource", "sourceArchiveDir", "fileNameOnly", "maxCachedFiles")
+
+
+def stream_of_files(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) -> DataFrame:
+    """The names of the new files, as a stream (``path``). No content is read."""
+    check_source(spark, ds, engine)
+    path = engine.resolve_path(ds.source["path"])
+    _, reader_opts = split_options(ds.source)
+    options = {**_DEFAULT_STREAM_OPTIONS, **{k: v for k, v in reader_opts.items() if k in _SELECTION}}
+    if "maxBytesPerTrigger" in options and "maxFilesPerTrigger" not in reader_opts:
+        options.pop("maxFilesPerTrigger")       # Spark takes one of the two
+    return spark.readStream.options(**options).format("binaryFile").schema(BINARY_FILE_SCHEMA).load(path).select("path")
+
 
+def read_batch(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec, files: DataFrame, label: str) -> DataFrame | None:
+    """The rows of one micro-batch's files with its columns, rescue column and file lineage; None without any file.
 
-def _stream_reader(spark: SparkSession, reader_opts: dict[str, str]):
-    return spark.readStream.options(**{**_DEFAULT_STREAM_OPTIONS, **reader_opts})
+    The driver holds the names of the batch's files (at most ``maxFilesPerTrigger``), as Spark's file source does.
+    """
+    paths = sorted(r["path"] for r in files.select("path").collect())
+    if not paths:
+        return None
+    return read_files(spark, ds, engine, resolve_schema(spark, ds, engine, paths, label), paths)
 
 
-def read_files(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec,
-               resolved: ResolvedSchema | None = None) -> DataFrame:
-    """Streaming DataFrame of the new files of a dataset, with file lineage columns."""
+def read_files(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec, resolved: ResolvedSchema,
+               paths: list[str]) -> DataFrame:
+    """DataFrame of the given files, with file lineage columns."""
     fmt = ds.source["format"]
-    path = engine.resolve_path(ds.source["path"])
-    resolved = resolved or resolve_schema(spark, ds, engine)
     _, reader_opts = split_options(ds.source)
-    reader_opts = with_recursion(spark, path, reader_opts)
+    reader_opts = {k: v for k, v in reader_opts.items() if k not in _SELECTION}
     schema = resolved.columns
+    files = [literal_path(p) for p in paths]
+    # Wherever the files lie: their folders give no columns here.
+    reader = spark.read.option("recursiveFileLookup", "true")
 
     if fmt == "binaryFile":
-        df = _stream_reader(spark, reader_opts).format("binaryFile").schema(BINARY_FILE_SCHEMA).load(path)
-        return with_file_lineage(df)
+        return with_file_lineage(reader.options(**reader_opts).format("binaryFile").load(files))
 
     if fmt == "json":
         lineage = ["_ingested_filename", "_ingested_filepath"]
@@ -49,25 +75,22 @@ def read_files(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec,
             # Whole-file documents: one object, or an array of objects. Each file is read
             # as one text value (as Spark's own multi-line reader does) and split into
             # the raw text of its records, which then take the same path as JSON lines.
-            doc_opts = {k: v for k, v in reader_opts.items()
-                        if k in ("pathGlobFilter", "recursiveFileLookup", "maxFilesPerTrigger", "maxFileAge",
-                                 "encoding")}
-            docs = _stream_reader(spark, {**doc_opts, "wholetext": "true"}).format("text").load(path)
+            doc_opts = {k: v for k, v in reader_opts.items() if k == "encoding"}
+            docs = reader.options(**doc_opts, wholetext="true").format("text").load(files)
             docs = with_file_lineage(docs).select(F.col("value").alias("_doc"), *lineage)
             records = F.coalesce(F.from_json(F.col("_doc"), "array<string>"), F.array(F.col("_doc")))
             lines = docs.select(F.explode(records).alias("_line"), *lineage)
         else:
-            text_opts = {k: v for k, v in reader_opts.items()
-                         if k in ("pathGlobFilter", "recursiveFileLookup", "maxFilesPerTrigger",
-                                  "maxBytesPerTrigger", "maxFileAge", "latestFirst", "lineSep", "encoding")}
-            lines = _stream_reader(spark, text_opts).format("text").load(path)
+            text_opts = {k: v for k, v in reader_opts.items() if k in ("lineSep", "encoding")}
+            lines = reader.options(**text_opts).format("text").load(files)
             # The text source names its column `value`; datasets may have a field of that name.
             lines = with_file_lineage(lines).select(F.col("value").alias("_line"), *lineage)
         lines = lines.where(F.trim(F.col("_line")) != "")
         text_types = str(ds.source.get("json_text_types", False)).lower() == "true"
         parsed = lines.select("_line", *rescue.json_parse(F.col("_line"), schema, text_types), *lineage)
-        typed = parsed.select(*rescue.json_typed(schema, text_types), rescue.PARSED, rescue.KEYS, "_line",
-                              *lineage)
+        if rescue.json_has_nested(schema):
+            parsed = parsed.withColumn(rescue.NESTED, rescue.json_nested(F.col("_line"), schema, text_types))
+        typed = parsed.select(*rescue.json_typed(schema, text_types), *[c for c in parsed.columns])
         return typed.select(*[F.col(f"`{f.name}`") for f in schema.fields],
                             rescue.json_rescue(F.col("_line"), schema, text_types), *lineage)
 
@@ -79,7 +102,7 @@ def read_files(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec,
         read_schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width + 1)])
         # Spark itself leaves out the first line of each file; the schema applies by position.
         opts = {**reader_opts, "header": "true", "enforceSchema": "true", "mode": "PERMISSIVE"}
-        df = _stream_reader(spark, opts).format("csv").schema(read_schema).load(path)
+        df = reader.options(**opts).schema(read_schema).csv(files)
         df = df.withColumn("_file_path", F.col("_metadata.file_path"))
         df = with_file_lineage(df)
         headers = spark.read.parquet(resolved.header_table).select(
@@ -98,19 +121,16 @@ def read_files(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec,
                 "enforceSchema": "false", "columnNameOfCorruptRecord": CORRUPT_KEY, "mode": "PERMISSIVE"}
         if str(opts.get("header")).lower() != "true":
             opts.pop("enforceSchema")
-        df = _stream_reader(spark, opts).format("csv").schema(read_schema).load(path)
+        df = reader.options(**opts).schema(read_schema).csv(files)
         df = with_file_lineage(df)
         return rescue.text_columns(header, schema, CORRUPT_KEY)(df)
 
     if fmt == "parquet":
-        read_schema = T.StructType(schema.fields + resolved.extra.fields)
-        df = _stream_reader(spark, reader_opts).format("parquet").schema(read_schema).load(path)
-        df = with_file_lineage(df)
-        return df.select(*rescue.extra_columns(schema, resolved.extra), "_ingested_filename", "_ingested_filepath")
+        return read_groups(resolved.groups, schema)
 
     if fmt == "avro":
-        from .avro import read_avro_stream
-        df = read_avro_stream(spark, path, reader_opts, T.StructType(schema.fields + resolved.extra.fields))
+        from .avro import read_avro_files
+        df = read_avro_files(spark, files, reader_opts, T.StructType(schema.fields + resolved.extra.fields))
         return df.select(*rescue.extra_columns(schema, resolved.extra), "_ingested_filename", "_ingested_filepath")
 
     raise SpecError(f"[{ds.name}] format '{fmt}' not supported")

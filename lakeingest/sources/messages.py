@@ -142,7 +142,8 @@ LINEAGE = {"topic": "_topic", "partition": "_partition", "offset": "_offset", "t
 def read_messages(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) -> DataFrame:
     """Streaming messages: lineage, decoded ``key`` and ``value``, and the bytes a decoder could not keep whole.
 
-    ``_raw_value`` (and ``_raw_key``, for structured keys) is null where the decoded side holds everything.
+    ``_raw_value`` (and ``_raw_key``, for structured keys) is null where the decoded side holds everything. For JSON,
+    ``_rescued_value`` (``_rescued_key``) names by path what the decoded value has no place for.
     """
     rows = read_envelope(spark, ds, engine) if ds.source.get("envelope_path") else read_kafka(spark, ds, engine)
     sides = (Side.of(ds.source, "key", default="string"), Side.of(ds.source, "value"))
@@ -154,10 +155,12 @@ def read_messages(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) -> D
             raise SpecError(f"[{ds.name}] message format not supported: '{side.format}'")
         raw = F.col(side.name)
         try:
-            value, whole = decoder(raw, side, spark=spark, engine=engine)
+            value, whole, strays = decoder(raw, side, spark=spark, engine=engine)
         except SpecError as exc:
             raise SpecError(f"[{ds.name}] {exc}") from exc
         columns.append(value.alias(side.name))
         if side.format in ("json", "avro") and ds.source.get("keep_raw", True):
             kept.append(F.when(~whole, raw).alias(f"_raw_{side.name}"))
+            if strays is not None:
+                kept.append(strays.alias(f"_rescued_{side.name}"))
     return rows.select(*kept, *columns)

@@ -1,9 +1,8 @@
 """Schema resolution for file datasets (declared, inferred, hinted, evolving).
 
-The set of columns of a run is decided on the driver before the streaming
-query starts. Inference only looks at files newer than the last stored schema
-version (``modifiedAfter``), so a run costs one inference over *new* files:
-footers only for Parquet, a parse for JSON/CSV (optionally sampled).
+The columns of a micro-batch are decided from exactly the files of that batch, whenever they
+landed: footers only for Parquet, a parse for JSON/CSV (optionally sampled). A batch that is
+run again looks at the same files again, so a run that dies in between loses nothing.
 
 Schema versions are small JSON files at ``{checkpoints}/schemas/{datasource}/{dataset}``,
 in shared storage next to the stream checkpoint.
@@ -14,7 +13,6 @@ from __future__ import annotations
 import json
 import logging
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -22,7 +20,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import list_names, read_text, write_text
+from ..functions import nested
+from ..session import list_names, path_exists, read_text, write_text
 from ..spec import EVOLUTION_MODES, DatasetSpec, EngineSpec, SpecError
 
 log = logging.getLogger(__name__)
@@ -63,18 +62,17 @@ FIXED_OPTIONS = {"cloudFiles.includeExistingFiles": "true", "rescuedDataColumn":
 FILE_SELECTION_OPTIONS = ("pathGlobFilter", "recursiveFileLookup")
 
 
-class SchemaChangeError(RuntimeError):
-    """New columns arrived and the evolution mode does not accept them."""
+# Characters with a meaning in Hadoop's path patterns.
+_PATTERN = "\\{}[]*?,"
 
 
-def with_recursion(spark: SparkSession, path: str, reader_opts: dict[str, str]) -> dict[str, str]:
-    """Landing folders are read with all their subfolders unless the dataset says otherwise.
+def literal_path(path: str) -> str:
+    """A path that stands for itself alone when a reader looks for patterns in it."""
+    return "".join("\\" + c if c in _PATTERN else c for c in path)
 
-    Folders named ``key=value`` are left to Spark's partition discovery, which reads them at any depth.
-    """
-    if "recursiveFileLookup" in reader_opts or any("=" in n for n in list_names(spark, path) if n[:1] not in "._"):
-        return reader_opts
-    return {**reader_opts, "recursiveFileLookup": "true"}
+
+class SchemaChangeError(RuntimeError):
+    """New columns arrived and the evolution mode does not accept them."""
 
 
 def parse_ddl(ddl: str) -> T.StructType:
@@ -139,7 +137,6 @@ class SchemaVersion:
     version: int
     schema: T.StructType
     header: list[str] = field(default_factory=list)
-    files_through: str = ""
 
 
 class SchemaLog:
@@ -147,9 +144,7 @@ class SchemaLog:
 
     A version file is written only when the columns or the CSV header change,
     created without overwrite so two runs racing on the same dataset cannot
-    both record the same version. How far new files have been looked at (the
-    watermark) is one small file overwritten each run, so the log grows with
-    schema changes, not with runs.
+    both record the same version. The log grows with schema changes, not with runs.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -161,17 +156,11 @@ class SchemaLog:
         if not names:
             return None
         data = json.loads(read_text(self.spark, f"{self.path}/{names[-1]}"))
-        watermark = (read_text(self.spark, f"{self.path}/_watermark") or "").strip()
-        through = max(watermark, data.get("files_through") or "")
-        return SchemaVersion(data["version"], T.StructType.fromJson(data["schema"]),
-                             data.get("header") or [], through)
-
-    def set_watermark(self, files_through: str) -> None:
-        write_text(self.spark, f"{self.path}/_watermark", files_through)
+        return SchemaVersion(data["version"], T.StructType.fromJson(data["schema"]), data.get("header") or [])
 
     def append(self, version: SchemaVersion) -> None:
         body = json.dumps({"version": version.version, "schema": version.schema.jsonValue(),
-                           "header": version.header, "files_through": version.files_through})
+                           "header": version.header})
         write_text(self.spark, f"{self.path}/v{version.version:06d}.json", body, overwrite=False)
 
 
@@ -187,17 +176,8 @@ class ResolvedSchema:
     # CSV only: set when the new files of this run carry more than one header order.
     header_table: str = ""
     header_width: int = 0
-    # How far files have been looked at, to be stored once the run has committed them.
-    log: SchemaLog | None = None
-    through: str = ""
-
-    def committed(self) -> None:
-        """The run's files are in the table: later runs need not look at them again.
-
-        Until then every run looks at the same files again, so a run that dies after its schema step loses nothing.
-        """
-        if self.log is not None and self.through:
-            self.log.set_watermark(self.through)
+    # Parquet only: the batch's files by footer.
+    groups: list = field(default_factory=list)
 
 
 def schema_log_path(engine: EngineSpec, ds: DatasetSpec) -> str:
@@ -207,39 +187,18 @@ def schema_log_path(engine: EngineSpec, ds: DatasetSpec) -> str:
     return f"{engine.checkpoint_root}/schemas/{ds.datasource}/{ds.dataset}"
 
 
-def _new_files_reader(spark: SparkSession, reader_opts: dict[str, str], after: str):
-    """A reader restricted to the files modified after ``after`` (a UTC timestamp string)."""
-    reader = spark.read
-    for key in FILE_SELECTION_OPTIONS:
-        if key in reader_opts:
-            reader = reader.option(key, reader_opts[key])
-    if after:
-        # Without an explicit zone the bound would be read in the session time zone.
-        reader = reader.option("modifiedAfter", after).option("timeZone", "UTC")
-    return reader
-
-
-def _utc_millis_text(millis: int) -> str:
-    moment = datetime.fromtimestamp(millis / 1000, tz=timezone.utc)
-    return moment.strftime("%Y-%m-%dT%H:%M:%S.") + f"{millis % 1000:03d}"
-
-
-def newest_file_time(spark: SparkSession, path: str, reader_opts: dict[str, str], after: str) -> str | None:
-    """The newest modification time (UTC, to the millisecond) of the files newer than ``after``; None without any."""
-    try:
-        listing = _new_files_reader(spark, reader_opts, after).format("binaryFile").load(path)
-        newest = listing.agg(F.max(F.unix_millis("modificationTime"))).first()[0]
-    except AnalysisException:
-        return None
-    return None if newest is None else _utc_millis_text(newest)
+def _files_reader(spark: SparkSession, reader_opts: dict[str, str]):
+    """A reader of the paths it is given: files, or folders with all below them."""
+    options = {k: reader_opts[k] for k in FILE_SELECTION_OPTIONS if k in reader_opts}
+    return spark.read.options(**{"recursiveFileLookup": "true", **options})
 
 
 HEADER_TABLE = "headers"
 
 
-def probe_csv_headers(spark: SparkSession, path: str, reader_opts: dict[str, str], after: str,
+def probe_csv_headers(spark: SparkSession, paths: str | list[str], reader_opts: dict[str, str],
                       target: str) -> list[list[str]]:
-    """Distinct headers of the new CSV files; with more than one, the per-file
+    """Distinct headers of the CSV files; with more than one, the per-file
     mapping ``(file_path, header)`` is written as a table at ``target``.
 
     Each task opens its files and reads on until the first record ends, whatever its
@@ -250,7 +209,7 @@ def probe_csv_headers(spark: SparkSession, path: str, reader_opts: dict[str, str
     sep = reader_opts.get("sep", reader_opts.get("delimiter", ","))
     quote = reader_opts.get("quote", '"')
     encoding = reader_opts.get("encoding", reader_opts.get("charset", "utf-8"))
-    files = (_new_files_reader(spark, reader_opts, after).format("binaryFile").load(path)
+    files = (_files_reader(spark, reader_opts).format("binaryFile").load(paths)
              .select(F.col("_metadata.file_path").alias("file_path"), "path"))
 
     def parsed(lines) -> list[str]:
@@ -282,7 +241,7 @@ def probe_csv_headers(spark: SparkSession, path: str, reader_opts: dict[str, str
     distinct = [r["header"] for r in headers.select("header").distinct().collect()]
     if any(h is None for h in distinct):
         text_opts = {k: v for k, v in reader_opts.items() if k in ("encoding", "lineSep")}
-        lines = (_new_files_reader(spark, reader_opts, after).options(**text_opts).text(path)
+        lines = (_files_reader(spark, reader_opts).options(**text_opts).text(paths)
                  .select(F.col("_metadata.file_path").alias("file_path"), "value",
                          F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")))
         heads = lines.filter("block = 0").groupBy("file_path").agg(F.min_by("value", "at").alias("line"))
@@ -300,15 +259,15 @@ def probe_csv_headers(spark: SparkSession, path: str, reader_opts: dict[str, str
     return distinct
 
 
-def infer_new_files(spark: SparkSession, fmt: str, path: str, reader_opts: dict[str, str],
-                    engine_opts: dict[str, Any], after: str) -> tuple[T.StructType | None, list[str]]:
-    """Schema (and CSV header) of all files newer than ``after``; (None, []) if there are none.
+def infer_files(spark: SparkSession, fmt: str, paths: list[str], reader_opts: dict[str, str],
+                engine_opts: dict[str, Any]) -> tuple[T.StructType | None, list[str]]:
+    """Schema (and CSV header) of the files; (None, []) if there are none.
 
-    Parquet footers are merged in tasks. JSON is parsed once more, all of it unless a sampling ratio is configured
-    (its unknown keys are rescued line by line in any case).
+    JSON is parsed once more, all of it unless a sampling ratio is configured (its unknown keys are rescued line by
+    line in any case).
     """
     infer_types = _truthy(engine_opts.get("infer_column_types", "false"))
-    reader = _new_files_reader(spark, reader_opts, after)
+    reader = _files_reader(spark, reader_opts)
     passthrough = {k: v for k, v in reader_opts.items()
                    if k not in FILE_SELECTION_OPTIONS and k not in ("maxFilesPerTrigger", "maxBytesPerTrigger")}
     try:
@@ -317,21 +276,19 @@ def infer_new_files(spark: SparkSession, fmt: str, path: str, reader_opts: dict[
             reader = reader.options(**passthrough).option("primitivesAsString", str(not infer_types).lower())
             if ratio:
                 reader = reader.option("samplingRatio", str(ratio))
-            schema = reader.json(path).schema
+            schema = reader.json(paths).schema
             schema = T.StructType([f for f in schema.fields if f.name != CORRUPT_KEY])
             return (schema if schema.fields else None), []
         if fmt == "csv":
             opts = {"header": "true", **passthrough, "inferSchema": str(infer_types).lower()}
-            schema = reader.options(**opts).csv(path).schema
+            schema = reader.options(**opts).csv(paths).schema
             return schema, [f.name for f in schema.fields]
-        if fmt == "parquet":
-            return reader.options(**passthrough).option("mergeSchema", "true").parquet(path).schema, []
         if fmt == "avro":
             from .avro import infer_avro_schema
-            return infer_avro_schema(spark, path, reader_opts, after), []
+            return infer_avro_schema(spark, paths, reader_opts), []
     except AnalysisException as exc:
-        # Missing directory, no (new) files: nothing to infer from.
-        log.info("no schema inferred from %s: %s", path, str(exc).splitlines()[0])
+        # Missing directory, no files: nothing to infer from.
+        log.info("no schema inferred from %d path(s): %s", len(paths), str(exc).splitlines()[0])
         return None, []
     raise SpecError(f"format '{fmt}' has no inference")
 
@@ -340,8 +297,25 @@ def _names(schema: T.StructType) -> set[str]:
     return {f.name for f in schema.fields}
 
 
-def resolve_schema(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) -> ResolvedSchema:
-    """Decide the columns of this run and record a new schema version when they change."""
+def check_source(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) -> None:
+    """What can be refused before any file is looked at."""
+    src, fmt = ds.source, ds.source["format"]
+    mode = evolution_mode(src, fmt)
+    if src.get("schema") and mode == "addNewColumns":
+        raise SpecError(f"[{ds.name}] schema_evolution_mode 'addNewColumns' cannot be used with a declared schema")
+    path = engine.resolve_path(src["path"])
+    if (fmt != "binaryFile" and not src.get("schema") and not any(c in path for c in "*?[{")
+            and SchemaLog(spark, schema_log_path(engine, ds)).latest() is None and not path_exists(spark, path)):
+        raise SpecError(f"[{ds.name}] no schema declared or stored, and no files to infer one from at {path}")
+
+
+def resolve_schema(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec, paths: list[str] | None = None,
+                   label: str = "probe") -> ResolvedSchema:
+    """Decide the columns for a batch of files and record a new schema version when they change.
+
+    ``paths`` are the files of the batch (default: all of the landing folder); ``label`` names the batch. The driver holds
+    the names of one batch's files, as Spark's file source does.
+    """
     src = ds.source
     fmt = src["format"]
     path = engine.resolve_path(src["path"])
@@ -350,26 +324,28 @@ def resolve_schema(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) ->
         return ResolvedSchema(BINARY_FILE_SCHEMA, "none", rescue=False)
 
     engine_opts, reader_opts = split_options(src)
-    reader_opts = with_recursion(spark, path, reader_opts)
     declared = parse_ddl(src["schema"]) if src.get("schema") else None
-    if declared is not None and mode == "addNewColumns":
-        raise SpecError(f"[{ds.name}] schema_evolution_mode 'addNewColumns' cannot be used with a declared schema")
     if declared is not None and fmt == "json":
         # Every JSON key is kept (typed or rescued) line by line: nothing to look up.
         return ResolvedSchema(declared, mode, rescue=True)
+    given, paths = paths, [path] if paths is None else [literal_path(p) for p in paths]
 
     store = SchemaLog(spark, schema_log_path(engine, ds))
     latest = store.latest()
-    after = latest.files_through if latest else ""
-    through = newest_file_time(spark, path, reader_opts, after)
-    inferred, header = (None, [])
+    inferred, header, groups = None, [], []
     header_table, header_width = "", 0
-    if through is not None and fmt == "csv" and str(reader_opts.get("header", "false")).lower() == "true":
-        target = f"{schema_log_path(engine, ds)}/{HEADER_TABLE}/through={through.replace(':', '-')}"
-        distinct = probe_csv_headers(spark, path, reader_opts, after, target)
+    if fmt == "parquet":
+        from .footers import file_groups, joint_schema
+        if given is None:
+            given = [r["path"] for r in _files_reader(spark, reader_opts).format("binaryFile").load(path).select("path").collect()]
+        groups = file_groups(spark, given, path.rstrip("/") + "/", reader_opts)
+        inferred = joint_schema(groups) if groups else None
+    elif fmt == "csv" and str(reader_opts.get("header", "false")).lower() == "true":
+        target = f"{schema_log_path(engine, ds)}/{HEADER_TABLE}/{label}"
+        distinct = probe_csv_headers(spark, paths, reader_opts, target)
         infer_types = _truthy(engine_opts.get("infer_column_types", "false"))
         if len(distinct) > 1:
-            # Several header orders in one run: map every file by its own header.
+            # Several header orders in one batch: map every file by its own header.
             header_table, header_width = target, max(len(h) for h in distinct)
             names = list(dict.fromkeys(n for h in distinct for n in h))
             log.info("[%s] %d header orders among new files; mapping columns per file", ds.name, len(distinct))
@@ -377,8 +353,8 @@ def resolve_schema(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) ->
         elif distinct and (declared is not None or not infer_types):
             header = distinct[0]
             inferred = T.StructType([T.StructField(n, T.StringType()) for n in header])
-    if inferred is None and through is not None and (declared is None or fmt in ("csv", "parquet", "avro")):
-        inferred, header = infer_new_files(spark, fmt, path, reader_opts, engine_opts, after)
+    if inferred is None and fmt != "parquet" and (declared is None or fmt in ("csv", "avro")):
+        inferred, header = infer_files(spark, fmt, paths, reader_opts, engine_opts)
     hints = engine_opts.get("schema_hints")
 
     if declared is not None:
@@ -393,14 +369,13 @@ def resolve_schema(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) ->
     extra = T.StructType()
     if inferred is not None:
         hinted = apply_hints(inferred, hints) if declared is None else inferred
-        new_fields = [f for f in hinted.fields if f.name not in _names(columns)]
-        if new_fields and latest is not None and declared is None:
+        added = nested.new_paths(columns, hinted)
+        if added and latest is not None and declared is None:
             if mode == "addNewColumns":
-                columns = T.StructType(columns.fields + new_fields)
-                log.info("[%s] schema grows by %s", ds.name, [f.name for f in new_fields])
+                columns = nested.grow(columns, hinted)
+                log.info("[%s] schema grows by %s", ds.name, added)
             elif mode == "failOnNewColumns":
-                raise SchemaChangeError(
-                    f"[{ds.name}] new columns {[f.name for f in new_fields]} and mode is failOnNewColumns")
+                raise SchemaChangeError(f"[{ds.name}] new columns {added} and mode is failOnNewColumns")
         extra = T.StructType([f for f in inferred.fields if f.name not in _names(columns)])
 
     if fmt == "csv" and not header:
@@ -408,7 +383,6 @@ def resolve_schema(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) ->
 
     if latest is None or latest.schema != columns or (header and latest.header != header):
         version = 0 if latest is None else latest.version + 1
-        store.append(SchemaVersion(version, columns, header, after))
-    moved = through if through and (latest is None or through != latest.files_through) else ""
+        store.append(SchemaVersion(version, columns, header))
     return ResolvedSchema(columns, mode, rescue=True, header=header, extra=extra, header_table=header_table,
-                          header_width=header_width, log=store, through=moved)
+                          header_width=header_width, groups=groups)

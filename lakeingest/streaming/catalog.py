@@ -8,8 +8,9 @@ import re
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from ..functions import nested
 from ..spec import DatasetSpec, EngineSpec
-from .sink import sink_format, table_path, table_schema
+from .sink import BATCH, sink_format, table_path, table_schema, with_batch
 
 log = logging.getLogger(__name__)
 
@@ -90,19 +91,30 @@ def register_table(spark: SparkSession, engine: EngineSpec, ds: DatasetSpec) ->
     name = bronze_table_name(spark, engine, ds)
     fmt, path = sink_format(ds, engine), table_path(ds, engine)
     schema = table_schema(spark, path)
+    create = f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'"
+    if schema:
+        schema = with_batch(schema)
+        parts = ", ".join(f"`{p}`" for p in [BATCH, *ds.sink.get("partition_by", [])])
+        columns = ", ".join(_column(f) for f in schema.fields)
+        create = f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} PARTITIONED BY ({parts}) LOCATION '{path}'"
     if not spark.catalog.tableExists(name.replace("`", "")):
-        columns = f" ({', '.join(_column(f) for f in schema.fields)})" if schema else ""
-        parts = list(ds.sink.get("partition_by", [])) if schema else []
-        by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name}{columns} USING {fmt}{by} LOCATION '{path}'")
+        spark.sql(create)
     else:
         found = _described(spark, name)
         if found.get("Type", "").upper() == "MANAGED" or _plain(found.get("Location", "")) != _plain(path):
             raise TableConflictError(f"{name} is another table (at {found.get('Location')}); it is left as it is")
-        known = {c.lower() for c in spark.table(name).columns}
+        known = {f.name.lower(): f.dataType for f in spark.table(name).schema.fields}
         new = [f for f in (schema.fields if schema else []) if f.name.lower() not in known]
-        if new:
+        grown = [f for f in (schema.fields if schema else [])
+                 if f.name.lower() in known and not nested.same(known[f.name.lower()], f.dataType)]
+        if grown:
+            # A field was added inside a column: the declaration of an external table is made anew, its files stay.
+            spark.sql(f"DROP TABLE {name}")
+            spark.sql(create)
+        elif new:
             spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(_column(f) for f in new)})")
+    if _described(spark, name).get("Partition Provider") == "Catalog":
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     spark.sql(f"REFRESH TABLE {name}")
     log.info("[%s] registered as %s", ds.name, name)
     return name

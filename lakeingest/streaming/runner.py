@@ -4,18 +4,19 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..session import prepare
 from ..sources import read_source
 from ..spec import DatasetSpec, EngineSpec, select_active
 from .audit import IngestResult, append_audit, log_summary
 from .catalog import bootstrap, register_table
-from .sink import has_committed_data, rows_from_progress, start_bronze_stream, table_path
+from .sink import BronzeWriter, has_committed_data, start_bronze_stream, table_path
 
 log = logging.getLogger(__name__)
 
@@ -62,6 +63,57 @@ def _result(run_id: str, ds: DatasetSpec, engine: EngineSpec, started: datetime,
                         started, finished, rows, status, error)
 
 
+def _register_first(spark: SparkSession, engine: EngineSpec):
+    """Registers the table of a continuous dataset when its first batch of this run is in it."""
+    def committed(writer: BronzeWriter) -> None:
+        if writer.batches == 1 and engine.register_tables:
+            try:
+                bootstrap(spark, engine)
+                register_table(spark, engine, writer.ds)
+            except Exception as exc:
+                log.warning("[%s] data written but table not registered: %s", writer.ds.name, exc)
+    return committed
+
+
+class _Ended(StreamingQueryListener):
+    """Adds the audit row of a continuous query when it ends: all rows of all its batches, and how it ended."""
+
+    def __init__(self):
+        self.watched: dict[str, Callable[[str | None], None]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        done = self.watched.pop(str(event.runId), None)
+        if done is not None:
+            done(event.exception)
+
+
+_ENDED: dict[str, _Ended] = {}
+
+
+def watch(spark: SparkSession, engine: EngineSpec, run_id: str, ds: DatasetSpec, query: StreamingQuery, writer: BronzeWriter,
+          started: datetime) -> None:
+    """Audit a continuous query at its end (``STOPPED`` or ``ERROR``) beside the ``RUNNING`` row of its run."""
+    app = spark.sparkContext.applicationId
+    if app not in _ENDED:
+        _ENDED[app] = _Ended()
+        spark.streams.addListener(_ENDED[app])
+
+    def done(exception: str | None) -> None:
+        status, text = ("ERROR", _error_text(writer.error) if writer.error else str(exception)[:1000]) if exception else ("STOPPED", "")
+        append_audit(spark, engine, [_result(run_id, ds, engine, started, _now(), writer.rows, status, text)])
+
+    _ENDED[app].watched[str(query.runId)] = done
+
+
 def run_ingestion(spark: SparkSession, engine: EngineSpec, datasets: list[DatasetSpec],
                   run_id: str | None = None, only: list[str] | None = None,
                   parallelism: int = 8) -> list[IngestResult]:
@@ -69,8 +121,8 @@ def run_ingestion(spark: SparkSession, engine: EngineSpec, datasets: list[Datase
 
     All queries are started first (up to ``parallelism`` at a time) so independent
     datasets overlap inside Spark, then awaited in configuration order.
-    Continuous queries are reported as RUNNING and left running. Every dataset
-    gets one audit row.
+    Continuous queries are reported as RUNNING and left running; each gets another
+    audit row with all its rows when it ends. Every other dataset gets one audit row.
     """
     prepare(spark)
     run_id = run_id or uuid.uuid4().hex[:12]
@@ -78,48 +130,48 @@ def run_ingestion(spark: SparkSession, engine: EngineSpec, datasets: list[Datase
     log.info("run_id=%s | %d dataset(s)", run_id, len(active))
 
     results: list[IngestResult] = []
-    in_flight: list[tuple[DatasetSpec, StreamingQuery, datetime, list]] = []
+    in_flight: list[tuple[DatasetSpec, StreamingQuery, datetime, BronzeWriter]] = []
 
     def start(ds: DatasetSpec):
-        started, on_commit = _now(), []
+        started = _now()
         try:
-            df = read_source(spark, ds, engine, on_commit)
-            return ds, start_bronze_stream(spark, ds, engine, df), started, on_commit, None
+            stream, rows_of = read_source(spark, ds, engine)
+            first = _register_first(spark, engine) if ds.continuous else None
+            query, writer = start_bronze_stream(spark, ds, engine, stream, rows_of, first)
+            return ds, query, started, writer, None
         except Exception as exc:
             log.error("[%s] could not start: %s", ds.name, exc)
             failed = _result(run_id, ds, engine, started, _now(), 0, "ERROR", _error_text(exc))
-            return ds, None, started, on_commit, failed
+            return ds, None, started, None, failed
 
     # Phase 1: resolve schemas and start every query. The driver-side preparation
     # (file listing, inference over new files) of independent datasets overlaps.
     workers = max(1, min(parallelism, len(active)))
     with ThreadPoolExecutor(max_workers=workers, thread_name_prefix="lakeingest-start") as pool:
-        for ds, query, started, on_commit, failed in pool.map(start, active):
+        for ds, query, started, writer, failed in pool.map(start, active):
             if failed is not None:
                 results.append(failed)
             else:
-                in_flight.append((ds, query, started, on_commit))
+                in_flight.append((ds, query, started, writer))
 
     registered_ok: list[DatasetSpec] = []
-    for ds, query, started, on_commit in in_flight:
+    for ds, query, started, writer in in_flight:
         if ds.continuous:
             log.info("[%s] continuous query active (id=%s)", ds.name, query.id)
-            results.append(_result(run_id, ds, engine, started, _now(), rows_from_progress(query), "RUNNING"))
+            watch(spark, engine, run_id, ds, query, writer, started)
+            results.append(_result(run_id, ds, engine, started, _now(), writer.rows, "RUNNING"))
             registered_ok.append(ds)
             continue
         try:
             query.awaitTermination()
-            for done in on_commit:
-                done()
-            rows = rows_from_progress(query)
-            log.info("[%s] done, %d row(s)", ds.name, rows)
-            results.append(_result(run_id, ds, engine, started, _finished_at(query), rows, "OK"))
+            log.info("[%s] done, %d row(s) in %d batch(es)", ds.name, writer.rows, writer.batches)
+            results.append(_result(run_id, ds, engine, started, _finished_at(query), writer.rows, "OK"))
             registered_ok.append(ds)
         except Exception as exc:
             # Batches committed before the failure stay in the table: report them.
             log.error("[%s] failed: %s", ds.name, exc)
-            results.append(_result(run_id, ds, engine, started, _finished_at(query),
-                                   rows_from_progress(query), "ERROR", _error_text(exc)))
+            results.append(_result(run_id, ds, engine, started, _finished_at(query), writer.rows, "ERROR",
+                                   _error_text(writer.error or exc)))
 
     if engine.register_tables and registered_ok:
         try:

@@ -29,10 +29,10 @@ def read_bronze_stream(spark: SparkSession, table: str, schema: T.StructType | N
     The schema is the one recorded by the bronze sink; merging every Parquet
     footer is the fallback for tables written by something else.
     """
-    from .sink import table_schema
-    schema = schema or table_schema(spark, table) or spark.read.option("mergeSchema", "true").parquet(table).schema
-    return (spark.readStream.schema(schema)
-            .options(**{"maxFileAge": "365000d", "maxFilesPerTrigger": "50000", **options}).parquet(table))
+    from .sink import BATCH, table_schema, with_batch
+    schema = schema or table_schema(spark, table) or spark.read.option("mergeSchema", "true").parquet(table).drop(BATCH).schema
+    return (spark.readStream.schema(with_batch(schema))
+            .options(**{"maxFileAge": "365000d", "maxFilesPerTrigger": "50000", **options}).parquet(table).drop(BATCH))
 
 
 # Spark's state store provider classes.

@@ -1,9 +1,12 @@
-"""Bronze sink: append-only streaming write with a checkpoint per dataset.
+"""Bronze sink: append-only streaming write with a checkpoint per dataset, committed batch by batch.
 
 Default trigger is ``availableNow`` (drain what is pending, then stop), which is
 what makes a scheduled hourly run correct; ``trigger.processing_time`` starts a
-continuous query instead. Rows written are counted with ``observe`` so no second
-pass over the table is needed.
+continuous query instead.
+
+A micro-batch is written to a hidden folder beside the table's data and becomes visible by one rename to
+``_batch=<id>``. A batch that is run again finds its folder and adds nothing. Rows are counted by ``observe`` while they
+are written: exact for any number of batches, without a second pass.
 """
 
 from __future__ import annotations
@@ -11,21 +14,22 @@ from __future__ import annotations
 import json
 import logging
 import uuid
-from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import nested
 from ..functions.provenance import with_derived_columns
-from ..session import list_names, path_exists, read_text, write_text
+from ..session import list_names, path_exists, read_text, rename_path, write_text
 from ..spec import DatasetSpec, EngineSpec
 
 log = logging.getLogger(__name__)
 
-ROWS_METRIC = "lakeingest_rows"
-# File-based sinks skip batch ids their own log already holds: the trap the guard below prevents.
+#: The folder of a committed batch, and the column that Spark makes of its name.
+BATCH = "_batch"
+# Tables of files: a batch id that is already there is not written again, the trap the guard below prevents.
 FILE_SINK_FORMATS = {"parquet", "orc", "json", "csv", "text", "avro"}
 
 
@@ -89,17 +93,6 @@ class TypeChangeError(RuntimeError):
     """A column arrives with another type than the table has; nothing is written."""
 
 
-def _nullable(t: T.DataType) -> T.DataType:
-    """The type with every part nullable, for comparison."""
-    if isinstance(t, T.StructType):
-        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True) for f in t.fields])
-    if isinstance(t, T.ArrayType):
-        return T.ArrayType(_nullable(t.elementType), True)
-    if isinstance(t, T.MapType):
-        return T.MapType(_nullable(t.keyType), _nullable(t.valueType), True)
-    return t
-
-
 def table_schema(spark: SparkSession, table: str) -> T.StructType | None:
     """The bronze table's schema as recorded by its sink (union over all runs), if any."""
     text = read_text(spark, f"{table}/{SCHEMA_FILE}")
@@ -114,20 +107,44 @@ def record_table_schema(spark: SparkSession, table: str, schema: T.StructType) -
     """
     current = table_schema(spark, table)
     if current is not None:
-        known = {f.name: f.dataType for f in current.fields}
-        changed = [f"{f.name}: {known[f.name].simpleString()} -> {f.dataType.simpleString()}" for f in schema.fields
-                   if f.name in known and _nullable(known[f.name]) != _nullable(f.dataType)]
+        changed = [f"{path}: {was} -> {now}" for path, was, now in _changed_types(current, schema)]
         if changed:
             raise TypeChangeError(f"table {table} holds other types ({'; '.join(changed)}); its files could no longer be "
                                   "read together. Keep the declared types, or write to another table")
-        merged = T.StructType(current.fields + [f for f in schema.fields if f.name not in known])
+        merged = nested.grow(current, schema)
     else:
-        merged = schema
-    merged = T.StructType([T.StructField(f.name, f.dataType, True) for f in merged.fields])
+        merged = nested.nullable(schema)
     if current is None or merged != current:
         write_text(spark, f"{table}/{SCHEMA_FILE}", json.dumps(merged.jsonValue()))
 
 
+def _changed_types(known: T.DataType, now: T.DataType, at: str = "") -> list[tuple[str, str, str]]:
+    """Where two schemas have different types for one column or nested field; fields of one side alone are none."""
+    if isinstance(known, T.StructType) and isinstance(now, T.StructType):
+        theirs = {f.name: f.dataType for f in now.fields}
+        return [c for f in known.fields if f.name in theirs
+                for c in _changed_types(f.dataType, theirs[f.name], f"{at}.{f.name}" if at else f.name)]
+    if isinstance(known, T.ArrayType) and isinstance(now, T.ArrayType):
+        return _changed_types(known.elementType, now.elementType, f"{at}[]")
+    if isinstance(known, T.MapType) and isinstance(now, T.MapType) and nested.same(known.keyType, now.keyType):
+        return _changed_types(known.valueType, now.valueType, f"{at}[]")
+    return [] if nested.same(known, now) else [(at, known.simpleString(), now.simpleString())]
+
+
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A bronze table with the schema its sink recorded (no footer merge); ``_batch`` tells the micro-batch of a row."""
+    schema = table_schema(spark, path)
+    if fmt not in FILE_SINK_FORMATS:
+        return spark.read.format(fmt).load(path)
+    if schema is None:
+        return spark.read.option("mergeSchema", "true").format(fmt).load(path)
+    return spark.read.schema(with_batch(schema)).format(fmt).load(path)
+
+
+def with_batch(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+
+
 def _spread(df: DataFrame, partition_by: list[str], files_per_partition: int) -> DataFrame:
     """Bound the files per table partition with a deterministic salt.
 
@@ -138,36 +155,77 @@ def _spread(df: DataFrame, partition_by: list[str], files_per_partition: int) ->
     return df.repartition(*[F.col(f"`{c}`") for c in partition_by], salt)
 
 
-def start_bronze_stream(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec,
-                        df: DataFrame) -> StreamingQuery:
-    """Start the append stream of ``df`` into the dataset's bronze table."""
+class BronzeWriter:
+    """Writes the micro-batches of one dataset; what ``foreachBatch`` calls.
+
+    ``rows`` and ``batches`` add up what this run committed, ``error`` is the exception that stopped it, and
+    ``on_commit`` is called after each committed batch.
+    """
+
+    def __init__(self, spark: SparkSession, ds: DatasetSpec, engine: EngineSpec, rows_of, on_commit=None):
+        self.spark, self.ds, self.engine, self.rows_of, self.on_commit = spark, ds, engine, rows_of, on_commit
+        self.target, self.fmt = table_path(ds, engine), sink_format(ds, engine)
+        self.rows = self.batches = 0
+        self.error: Exception | None = None
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        try:
+            self._write(batch, batch_id)
+        except Exception as exc:
+            self.error = exc
+            raise
+
+    def _write(self, batch: DataFrame, batch_id: int) -> None:
+        final = f"{self.target}/{BATCH}={batch_id}"
+        if self.fmt in FILE_SINK_FORMATS and path_exists(self.spark, final):
+            log.info("[%s] batch %d is already in the table", self.ds.name, batch_id)
+            return
+        df = self.rows_of(batch, batch_id)
+        if df is None:
+            return
+        sink = self.ds.sink
+        df = with_derived_columns(df, sink.get("derived_partitions"))
+        df = with_derived_columns(df, sink.get("derived_columns"))
+        partition_by = list(sink.get("partition_by", []))
+        if self.fmt in FILE_SINK_FORMATS:
+            record_table_schema(self.spark, self.target, df.schema)
+        if partition_by and sink.get("files_per_partition"):
+            df = _spread(df, partition_by, int(sink["files_per_partition"]))
+        options = {k: v for k, v in sink.get("options", {}).items() if k != "checkpointLocation"}
+        counted = Observation()
+        writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.format(self.fmt).options(**options)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        if self.fmt in FILE_SINK_FORMATS:
+            staged = f"{self.target}/.staged/{BATCH}={batch_id}"
+            writer.mode("overwrite").save(staged)
+            rows = int(counted.get.get("rows") or 0)
+            write_text(self.spark, f"{staged}/_lakeingest_commit.json", json.dumps({"batch": batch_id, "rows": rows}))
+            rename_path(self.spark, staged, final)
+        else:
+            # Delta skips a version of an application id that it already has.
+            (writer.option("mergeSchema", "true").option("txnAppId", self.ds.name).option("txnVersion", str(batch_id))
+                   .mode("append").save(self.target))
+            rows = int(counted.get.get("rows") or 0)
+        self.rows += rows
+        self.batches += 1
+        if self.on_commit is not None:
+            self.on_commit(self)
+
+
+def start_bronze_stream(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec, stream: DataFrame, rows_of,
+                        on_commit=None) -> tuple[StreamingQuery, BronzeWriter]:
+    """Start the append stream into the dataset's bronze table; ``rows_of`` makes rows of a micro-batch of ``stream``."""
     target = table_path(ds, engine)
-    checkpoint = checkpoint_path(ds, engine)
-    fmt = sink_format(ds, engine)
-    sink = ds.sink
-
-    df = with_derived_columns(df, sink.get("derived_partitions"))
-    df = with_derived_columns(df, sink.get("derived_columns"))
-    partition_by = list(sink.get("partition_by", []))
-    if partition_by and sink.get("files_per_partition"):
-        df = _spread(df, partition_by, int(sink["files_per_partition"]))
-    df = df.observe(ROWS_METRIC, F.count(F.lit(1)).alias("rows"))
-
-    options: dict[str, Any] = {"checkpointLocation": checkpoint}
-    if fmt == "delta":
-        options["mergeSchema"] = "true"
-    options.update(sink.get("options", {}))
-
-    if fmt in FILE_SINK_FORMATS:
-        guard_checkpoint(spark, target, options["checkpointLocation"])
-    if fmt in FILE_SINK_FORMATS:
-        record_table_schema(spark, target, df.schema)
-
-    writer = (df.writeStream.format(fmt).outputMode("append")
-              .options(**options).queryName(ds.name))
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    trigger = sink.get("trigger", {})
+    checkpoint = (ds.sink.get("options") or {}).get("checkpointLocation") or checkpoint_path(ds, engine)
+    if sink_format(ds, engine) in FILE_SINK_FORMATS:
+        if path_exists(spark, f"{target}/_spark_metadata"):
+            raise CheckpointMismatchError(f"table {target} was written by Spark's file sink, whose log hides the folders "
+                                          "written here; write to another path")
+        guard_checkpoint(spark, target, checkpoint)
+    batches = BronzeWriter(spark, ds, engine, rows_of, on_commit)
+    writer = stream.writeStream.foreachBatch(batches.__call__).option("checkpointLocation", checkpoint).queryName(ds.name)
+    trigger = ds.sink.get("trigger", {})
     if trigger.get("processing_time"):
         writer = writer.trigger(processingTime=trigger["processing_time"])
     else:
@@ -175,26 +233,14 @@ def start_bronze_stream(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec
     # Each dataset runs in its own scheduler pool (effective with spark.scheduler.mode=FAIR).
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", ds.name)
     try:
-        return writer.start(target)
+        return writer.start(), batches
     finally:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
 
 def has_committed_data(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) -> bool:
-    """Whether the bronze table holds a committed batch (file sinks: an entry in their log)."""
+    """Whether the bronze table holds a committed batch."""
     target = table_path(ds, engine)
     if sink_format(ds, engine) in FILE_SINK_FORMATS:
-        return any(n[0].isdigit() for n in list_names(spark, f"{target}/_spark_metadata"))
+        return any(n.startswith(f"{BATCH}=") for n in list_names(spark, target))
     return path_exists(spark, target)
-
-
-def rows_from_progress(query: StreamingQuery) -> int:
-    """Rows written by this run of the query, summed over its micro-batches."""
-    total = 0
-    for progress in query.recentProgress:
-        observed = (progress.observedMetrics or {}).get(ROWS_METRIC)
-        if observed is not None and observed["rows"] is not None:
-            total += int(observed["rows"])
-        elif progress.numInputRows:
-            total += int(progress.numInputRows)
-    return total

@@ -317,8 +317,8 @@ def test_header_probe_skips_files_without_a_readable_line(spark):
     lab = Lab(spark, "t_probe")
     write_text(spark, f"{lab.engine.landing_root}/c/a.csv", "a,b\n1,2\n")
     write_text(spark, f"{lab.engine.landing_root}/c/b.csv.bz2", "not really bz2")
-    assert probe_csv_headers(spark, f"{lab.engine.landing_root}/c", {}, "", f"{lab.area}/h") == [["a", "b"]]
-    assert probe_csv_headers(spark, f"{lab.engine.landing_root}/c", {"pathGlobFilter": "*.csv"}, "",
+    assert probe_csv_headers(spark, f"{lab.engine.landing_root}/c", {}, f"{lab.area}/h") == [["a", "b"]]
+    assert probe_csv_headers(spark, f"{lab.engine.landing_root}/c", {"pathGlobFilter": "*.csv"},
                              f"{lab.area}/h2") == [["a", "b"]]
 
 

@@ -16,15 +16,22 @@ SCALE = 12
 def exact_sum(col: Column, scale: int | None = SCALE) -> Column:
     """Sum of a numeric column as a double, the same in whatever order partial sums meet.
 
-    Values are added as DECIMAL(38, ``scale``), so nothing up to ``scale`` digits after the point is rounded. With
-    ``scale=None`` the values are added in their own type: exact for decimals and integers, and for doubles the plain
-    floating-point sum.
+    Values are added as DECIMAL(38, ``scale``). What a double has beyond ``scale`` digits after the point, and doubles too
+    large for the decimal, are added apart as doubles, so nothing is rounded away. A NaN or an infinity makes the sum what
+    floating-point addition makes it. With ``scale=None`` the values are added in their own type: exact for decimals and
+    integers, and for doubles the plain floating-point sum.
     """
-    return F.sum(col if scale is None else col.cast(f"decimal(38,{scale})")).cast("double")
+    if scale is None:
+        return F.sum(col).cast("double")
+    value = col.cast("double")
+    fits = F.coalesce(col.try_cast(f"decimal(38,{scale})"), F.lit(0).cast(f"decimal(38,{scale})"))
+    # 0 for values of up to ``scale`` digits after the point: their decimal is the same double.
+    rest = F.when(F.abs(value) < float("inf"), value - fits.cast("double")).otherwise(value)
+    return F.sum(F.when(col.isNotNull(), fits)).cast("double") + F.sum(rest)
 
 
 def exact_mean(col: Column, scale: int | None = SCALE) -> Column:
-    """Mean of a numeric column (nulls excluded) as a double, from ``exact_sum``."""
+    """Mean of a numeric column (nulls excluded) as a double, from ``exact_sum``; NaN if one of its values is."""
     return exact_sum(col, scale) / F.count(col)
 
 

@@ -37,4 +37,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import batch_queries, ingest_queries, layer_queries, message_queries, run_queries  # noqa: F401
+    from . import batch_queries, ingest_queries, layer_queries, message_queries, run_queries, state_queries  # noqa: F401

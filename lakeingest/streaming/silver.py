@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.silver import latest_per_key
-from ..session import delete_path, list_names, read_text, write_text
+from ..session import delete_path, list_names, make_folder, path_exists, read_text, rename_path, write_text
 
 log = logging.getLogger(__name__)
 
@@ -279,3 +279,40 @@ def start_cdc_stream(changes: DataFrame, state: KeyedState, checkpoint: str,
         writer = writer.queryName(name)
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
     return writer.start()
+
+
+def start_validated_stream(rows: DataFrame, rules: Sequence[tuple[str, str]], valid: str, quarantine: str, checkpoint: str,
+                           processing_time: str | None = None, name: str | None = None) -> StreamingQuery:
+    """One pass over a stream feeds two tables: rows that keep all ``rules``, and rows that do not (``failed_rules`` tells).
+
+    A micro-batch is written once, split by its verdict, into a hidden folder; then each half is renamed into its table as
+    ``_batch=<id>``. A batch that is run again leaves alone the halves that are already there, so neither table ever has a
+    row twice. Read the tables with ``sink.read_table``.
+    """
+    from ..operators.silver import validate_ranges
+    from .sink import BATCH, guard_checkpoint, record_table_schema
+    spark = rows.sparkSession
+    for table in (valid, quarantine):
+        guard_checkpoint(spark, table, checkpoint)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        checked = validate_ranges(batch, rules)
+        targets = {True: f"{valid}/{BATCH}={batch_id}", False: f"{quarantine}/{BATCH}={batch_id}"}
+        missing = {ok: t for ok, t in targets.items() if not path_exists(spark, t)}
+        if not missing:
+            return
+        record_table_schema(spark, valid, batch.schema)
+        record_table_schema(spark, quarantine, checked.drop("is_valid").schema)
+        staged = f"{valid}/.staged/{BATCH}={batch_id}"
+        checked.write.mode("overwrite").partitionBy("is_valid").parquet(staged)
+        for ok, target in missing.items():
+            half = f"{staged}/is_valid={str(ok).lower()}"
+            if not path_exists(spark, half):
+                make_folder(spark, half)        # no such row in this batch
+            rename_path(spark, half, target)
+
+    writer = rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
+    writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
+    return writer.start()

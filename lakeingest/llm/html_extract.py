@@ -2,10 +2,12 @@
 
 The page is parsed to a tree (tolerant of missing and stray end tags). Elements that are never main text (scripts,
 styles, forms, navigation, and elements whose class, id or role names a menu, header, footer, sidebar, notice, advert
-or comment section) are cut. Then paragraphs give points to their ancestors: one for being there, one for each comma,
+or comment section) are cut. A name counts only as a whole: all parts of a class token must say so (``cookie-banner``,
+``main-nav``), so ``has-sidebar`` or ``comments-open`` name nothing. Articles, headings and whatever holds an article are
+not judged by their names, and inside an article ids, which are anchors there, are not. Then paragraphs give points to their ancestors: one for being there, one for each comma,
 one for each 100 characters up to three; the parent gets all of them, the grandparent half, and further ancestors a
 share that falls with their distance. A container's score is discounted by its link density. The best container is
-kept, with those siblings that score well or are plain paragraphs; link lists inside are dropped.
+kept, with those siblings that score well or are plain paragraphs. Outside articles, lists of links inside it are dropped.
 
 The text of a page is its blocks in page order: character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined by one space. A null, empty or unparsable page, or one without main text, has the
@@ -53,6 +55,14 @@ _UNLIKELY = frozenset((
     "social follow menu navbar navigation nav breadcrumb breadcrumbs footer masthead topbar toolbar pagination "
     "pager paging tagcloud skip hidden offscreen search searchbox disclaimer copyright outbrain taboola shoutbox").split())
 _HEADS = frozenset("header heading".split())
+_COMMENT = frozenset("comment comments reply replies body".split())
+_STRONG = frozenset("comment comments sidebar related footer nav ad ads".split())
+#: Words that say nothing by themselves, beside one that does.
+_NEUTRAL = frozenset((
+    "site page main top bottom left right area list box bar container wrapper wrap section block inner outer primary secondary "
+    "global local item items group row panel module unit link links button buttons form icon icons title text tag tags field "
+    "mobile desktop small large big fixed sticky bg js is c l u o the my content").split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 _GOOD = frozenset("article articlebody body content entry main page post text blog story hentry prose".split())
 _BASE = {"article": 10.0, "main": 10.0, "section": 3.0, "div": 5.0, "pre": 3.0, "td": 3.0, "blockquote": 3.0, "ul": -3.0,
@@ -61,13 +71,15 @@ _COMMAS = re.compile("[,،、，]")
 
 
 class Node:
-    __slots__ = ("tag", "words", "attributes", "parent", "children", "cut", "score", "chars", "links", "n_links", "block")
+    __slots__ = ("tag", "words", "attributes", "parent", "children", "cut", "score", "chars", "links", "n_links", "block",
+                 "holds")
 
     def __init__(self, tag: str, attributes: dict | None, parent: "Node | None"):
         self.tag, self.attributes, self.parent = tag, attributes, parent
         self.children: list = []
         self.cut, self.score, self.chars, self.links, self.n_links = False, 0.0, 0, 0, 0
         self.block = False
+        self.holds = False      # an article or main element, below
 
 
 def parse(html: str) -> Node:
@@ -126,6 +138,10 @@ def parse(html: str) -> Node:
             elif tag not in _VOID and not (given or "").endswith("/"):
                 open_.append(node)
                 count[tag] = count.get(tag, 0) + 1
+                if tag in ("article", "main"):
+                    up = here
+                    while up is not None and not up.holds:
+                        up.holds, up = True, up.parent
                 here = node
         elif kind == "end":
             tag = m.group("end").lower()
@@ -171,12 +187,31 @@ def _cut(node: Node) -> bool:
         return True
     if (a.get("role") or "").lower() in _ROLES:
         return True
-    if node.tag in ("html", "body", "main"):
+    if node.tag in ("html", "body", "main") or node.tag in _HEADINGS:
         return False
-    words = _words(a)
-    if words & _UNLIKELY:
-        return not (words & _GOOD and not words & {"comment", "comments", "sidebar", "related", "footer", "nav", "ad", "ads"})
-    return bool(words & _HEADS) and not _inside(node.parent, {"article", "main"}) and not words & _GOOD
+    if node.tag == "article":
+        return bool(_naming(a, True, _COMMENT, _COMMENT) - {"body"})
+    if node.holds:
+        return False
+    inside = _inside(node.parent, {"article"})
+    words = _naming(a, inside, _UNLIKELY, _UNLIKELY | _NEUTRAL)
+    if words:
+        return not (_words(a) & _GOOD and not words & _STRONG)
+    return (not inside and not _inside(node.parent, {"main"}) and not _words(a) & _GOOD
+            and bool(_naming(a, False, _HEADS, _HEADS | _NEUTRAL)))
+
+
+def _naming(attributes: dict, class_only: bool, some: frozenset, every: frozenset) -> set[str]:
+    """Of the class tokens and the id whose parts are all in ``every``: the parts in ``some``."""
+    tokens = (attributes.get("class") or "").split()
+    if not class_only and attributes.get("id"):
+        tokens.append(attributes["id"])
+    found: set[str] = set()
+    for token in tokens:
+        parts = {w.lower() for w in _WORD.findall(token) if not w.isdigit()}
+        if parts and (parts <= every or token.lower() in some):
+            found |= (parts | {token.lower()}) & some
+    return found
 
 
 def _weight(node: Node) -> float:
@@ -306,7 +341,8 @@ def main_text(html: str | None) -> str:
         return ""
     kept = _kept(best)
     for node in kept:
-        _drop_link_lists(node)
+        if not node.holds and not _inside(node, {"article"}):
+            _drop_link_lists(node)
     return " ".join(" ".join(own_text(n) for n in kept).split())
 
 

@@ -20,6 +20,9 @@ Steps, all linear in the input:
    across components. Where up to ``SHORT_LIST`` documents are outside a list's largest component, these are its hubs and
    the second round finishes the list; others get 8, 64, ... hubs a round. No pair that could join two components is
    skipped.
+5. As soon as what is left is small enough for one task (``SETTLE_SHINGLES`` shared shingles, ``SETTLE_PAIRS`` pairs within
+   lists), it is settled there by the same search over arrays, in one pass: the short lists of each document are merged, and
+   each merged document of another component is probed in full. The result is the same; only rounds are saved.
 
 Order and repeats of rows do not matter. A null text, or one without words, has no shingles and links with nothing;
 with fewer words than a shingle has, the whole sequence is the one shingle. Rows without doc_id take part but name no
@@ -35,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import components
 from .exchange import by_kind, deal, exchange, gather, partitions, stage, unstage
@@ -45,6 +49,10 @@ HEAVY_KEPT = 1 << 16
 HEAVY_LOCAL = 32
 POSTINGS_PER_BLOCK = 8192
 SHORT_LIST = 64
+#: What one task settles: 8 bytes a shared shingle, and about 20 ns a pair of places in one list.
+SETTLE_SHINGLES = 6_000_000
+SETTLE_PAIRS = 400_000_000
+PROBED_AT_ONCE = 64
 _SEQ, _CHECK, _SHORT = 1, 2, 7
 
 _STEP1 = pa.schema([("kind", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()),
@@ -319,6 +327,87 @@ def search(lists: DataFrame, docs: DataFrame, hubs: DataFrame, similarity: int)
         _probe(similarity), "a long, b long")
 
 
+def settle(node: np.ndarray, n: np.ndarray, comp: np.ndarray, shared: list[np.ndarray], listed: list[np.ndarray],
+           similarity: int) -> list[tuple[int, int]]:
+    """Links that join the components of all these documents: (a, b), one for each time two components become one.
+
+    ``listed`` are the shingles of the lists a document is still in. Documents are taken by size, each against the smaller
+    ones before it in its lists.
+    """
+    order = np.lexsort((node, n))
+    node, n, comp = node[order], n[order], comp[order]
+    shared, listed = [shared[i] for i in order], [listed[i] for i in order]
+    m = np.array([len(x) for x in shared], dtype=np.int64)
+    bounds = np.concatenate([[0], np.cumsum(m)])
+    codes = np.unique(np.concatenate(shared), return_inverse=True)[1] if bounds[-1] else np.zeros(0, dtype=np.int64)
+    mine = np.zeros(int(codes.max()) + 1 if len(codes) else 1, dtype=bool)
+    sizes = np.array([len(x) for x in listed], dtype=np.int64)
+    names, which = np.unique(np.concatenate(listed), return_inverse=True)
+    owner = np.repeat(np.arange(len(node)), sizes)
+    by_list = np.lexsort((owner, which))
+    posting, heads = owner[by_list], np.searchsorted(which[by_list], np.arange(len(names)))
+    place = np.empty(len(which), dtype=np.int64)
+    place[by_list] = np.arange(len(which))                  # of each entry its place in the lists
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    _, root = np.unique(comp, return_inverse=True)          # the component of each document, as a label
+    links = []
+    for i in range(len(node)):
+        entry = slice(starts[i], starts[i + 1])
+        lists = [posting[low:high] for low, high in zip(heads[which[entry]], place[entry]) if high > low]
+        if not lists:
+            continue
+        found = np.unique(np.concatenate(lists))            # the merged short lists
+        able = (n[found] * 100 >= n[i] * similarity) & (
+            (n[found] + n[i]) * similarity <= np.minimum(m[found], m[i]) * (100 + similarity))
+        found = found[able & (root[found] != root[i])]
+        if not len(found):
+            continue
+        own = codes[bounds[i]:bounds[i + 1]]
+        mine[own] = True
+        for low in range(0, len(found), PROBED_AT_ONCE):
+            some = found[low:low + PROBED_AT_ONCE]
+            some = some[root[some] != root[i]]
+            if not len(some):
+                continue
+            held = np.concatenate([codes[bounds[j]:bounds[j + 1]] for j in some])
+            overlap = np.add.reduceat(mine[held].astype(np.int64), np.cumsum(m[some]) - m[some])
+            for j in some[(100 + similarity) * overlap >= similarity * (n[some] + n[i])]:
+                if root[j] != root[i]:
+                    links.append((int(node[i]), int(node[j])))
+                    root[root == root[j]] = root[i]
+        mine[own] = False
+    return links
+
+
+def _settled(similarity: int):
+    def run(batches):
+        parts = [[] for _ in range(5)]
+        for batch in batches:
+            for k, name in enumerate(("node", "n", "c")):
+                parts[k].append(batch.column(name).to_numpy())
+            for k, name in ((3, "shared"), (4, "listed")):
+                parts[k] += [x.values.to_numpy() for x in batch.column(name)]
+        if parts[0]:
+            links = settle(*(np.concatenate(p) for p in parts[:3]), parts[3], parts[4], similarity)
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()),
+                                              pa.array([x[1] for x in links], pa.int64())], names=["a", "b"])
+    return run
+
+
+def _small(lists: DataFrame) -> bool:
+    """Whether one task can settle what is left."""
+    pairs = lists.groupBy("s").agg(F.count("*").alias("size")).agg(F.sum(F.col("size") * F.col("size"))).first()[0]
+    shingles = lists.groupBy("node").agg(F.first("m").alias("m")).agg(F.sum("m")).first()[0]
+    return pairs <= SETTLE_PAIRS and shingles <= SETTLE_SHINGLES
+
+
+def settle_in_one_task(lists: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
+    """Links (a, b) of all that is left; at most ``SETTLE_SHINGLES`` shingles reach the task."""
+    open_lists = lists.groupBy("node", "c").agg(F.collect_list("s").alias("listed"))
+    rows = docs.select("node", "n", "shared").join(open_lists, "node").select("node", "n", "c", "shared", "listed")
+    return rows.coalesce(1).mapInArrow(_settled(similarity), "a long, b long")
+
+
 def _hubs(lists: DataFrame, buckets: int) -> DataFrame:
     """First round: one hub a list. Later: of a list, all documents outside its largest component where these are
     ``SHORT_LIST`` at most (the list is finished then), else the smallest of each of ``buckets`` hash buckets."""
@@ -339,8 +428,11 @@ def _hubs(lists: DataFrame, buckets: int) -> DataFrame:
                  .select("s", *named, "size", "rest"))
 
 
-def ngram_jaccard_classes(documents: DataFrame, k: int = 5, similarity: int = 75) -> DataFrame:
-    """One row per row of ``documents``: doc_id, n_shingles, component_id."""
+def ngram_jaccard_classes(documents: DataFrame, k: int = 5, similarity: int = 75, with_class: bool = False) -> DataFrame:
+    """One row per row of ``documents``: doc_id, n_shingles, component_id.
+
+    ``with_class`` adds the hashes of the text's class (h1, h2) and of its component (part).
+    """
     spark = documents.sparkSession
     n_parts = partitions(spark)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -379,6 +471,13 @@ def ngram_jaccard_classes(documents: DataFrame, k: int = 5, similarity: int = 75
     comp: DataFrame | None = None
     buckets = 1
     while not lists.isEmpty():
+        if _small(lists):
+            found = stage(settle_in_one_task(lists, docs, similarity), "ngram-links")
+            if not found.isEmpty():
+                links = found if links is None else links.unionByName(found)
+                comp = stage(components(links), "ngram-comp")
+            unstage(lists, docs)
+            break
         hubs = stage(_hubs(lists, buckets), "ngram-hubs")
         found = stage(search(lists, docs, hubs, similarity), "ngram-links")
         if not found.isEmpty():
@@ -396,31 +495,56 @@ def ngram_jaccard_classes(documents: DataFrame, k: int = 5, similarity: int = 75
         unstage(lists, hubs, docs)
         lists, docs, buckets = fewer, remaining, buckets * 8
 
-    known = classes.select("h1", "h2", "least")
+    known = classes.select("h1", "h2", "least", F.col("h1").alias("part"))
     if comp is not None:
         own = known.join(comp.select(F.col("node").alias("h1"), "component"), "h1")
         least = own.groupBy("component").agg(F.min("least").alias("component_least"))
-        merged = own.join(least, "component").select("h1", "h2", "component_least")
+        merged = own.join(least, "component").select("h1", "h2", "component_least", "component")
         known = known.join(merged, ["h1", "h2"], "left").select(
-            "h1", "h2", F.coalesce("component_least", "least").alias("least"))
+            "h1", "h2", F.coalesce("component_least", "least").alias("least"), F.coalesce("component", "part").alias("part"))
     out = info.join(known, ["h1", "h2"], "left")
+    more = ["h1", "h2", "part"] if with_class else []
     return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+                      F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), *more)
+
+
+def _marked(batches):
+    """Rows with the class hashes of their text (null without words)."""
+    for batch in batches:
+        n = batch.num_rows
+        first, check, some = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros(n, bool)
+        for low, high, data, begin in chunks(batch.column("text")):
+            w = words(data, begin)
+            h = w.hashes(lower=True)
+            first[low:high], check[low:high] = sequence_hash(h, w, _SEQ), sequence_hash(h, w, _CHECK)
+            some[low:high] = np.diff(w.first) > 0
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row"), batch.column("doc_id"), batch.column("text"),
+             pa.array(first.view(np.int64), mask=~some), pa.array(check.view(np.int64), mask=~some)],
+            names=["row", "doc_id", "text", "h1", "h2"])
 
 
 def keep_one_of_each_group(documents: DataFrame, k: int = 5, similarity: int = 75) -> DataFrame:
-    """The rows of ``documents`` whose doc_id is the smallest of its component, unchanged.
+    """``documents`` with one row of each group, unchanged: of linked texts one held by the group's smallest doc_id stays.
 
-    Documents without words are no copies of each other and stay. Rows without doc_id stay. Of rows that repeat a
-    doc_id one stays, the one with the smallest text.
+    Documents without words are no copies of each other and stay. Rows without doc_id stay. Where rows repeat a doc_id each
+    is judged by its own text, so an unlinked text stays whatever else its doc_id holds; of several rows that the smallest
+    doc_id holds in one group the first by text, then by the other columns, stays. Columns of any name are kept: the rows
+    travel as one struct.
     """
-    classes = stage(ngram_jaccard_classes(documents.select("doc_id", "text"), k, similarity), "ngram-classes")
-    gone = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = documents.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    if classes.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return kept
-    rest = [c for c in documents.columns if c != "text"]
-    least = F.min(F.struct("text", *(F.col(f"`{c}`") for c in rest))).alias("row")
-    one = kept.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__doc")).agg(least)
-    return one.select("row.*").select(*(F.col(f"`{c}`") for c in documents.columns)).unionByName(
-        kept.filter("doc_id IS NULL"))
+    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"),
+                            F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    classes = stage(ngram_jaccard_classes(rows, k, similarity, with_class=True), "ngram-classes")
+    known = classes.filter("doc_id IS NOT NULL AND n_shingles > 0")
+    if known.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        # Every doc_id is one row with words at most: the rows that go are named by it.
+        gone = known.filter("doc_id <> component_id").select("doc_id")
+        return rows.join(gone, "doc_id", "left_anti").select("row.*")
+    marked = stage(rows.mapInArrow(_marked, T.StructType(
+        [*rows.schema.fields, T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType())])), "ngram-marked")
+    groups = known.select("h1", "h2", "part", "component_id").distinct()
+    placed = marked.join(groups, ["h1", "h2"], "left")
+    free = placed.filter("doc_id IS NULL OR part IS NULL").select("row")
+    held = placed.filter("doc_id = component_id AND part IS NOT NULL")
+    one = held.groupBy("part").agg(F.min_by("row", F.struct("text", F.to_json("row"))).alias("row"))
+    return free.unionByName(one.select("row")).select("row.*")

@@ -129,8 +129,9 @@ def schedule(quota: DataFrame, cycle: int = CYCLE) -> DataFrame:
 
 def scheduled(documents: DataFrame, block_rows: int = BLOCK_ROWS, cycle: int | None = None,
               weights: dict[str, int] | None = None) -> DataFrame:
-    """``documents`` with a struct column ``mix``: block, in_block, slot, release, deadline."""
-    spark, columns = documents.sparkSession, documents.columns
+    """``documents`` with a struct column ``mix`` (in the place of one of that name): block, in_block, slot, release,
+    deadline."""
+    spark, columns = documents.sparkSession, [c for c in documents.columns if c.lower() != "mix"]
     rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), _key(F.col("source")).alias("key"),
                             _random(F.col("doc_id")).alias("random")).withColumn("shard", F.substring("random", 1, 2))
     ids = documents.select(_key(F.col("source")).alias("key"),
@@ -164,41 +165,47 @@ def scheduled(documents: DataFrame, block_rows: int = BLOCK_ROWS, cycle: int | N
         F.expr(f"((block + 1) * {cycle}L + q - 1) div q").alias("deadline")).alias("mix"))
 
 
+def _as_rows(documents: DataFrame) -> DataFrame:
+    """doc_id, source and the whole row as a struct, so that no column's name can clash with the operator's."""
+    return documents.select("doc_id", "source", F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"))
+
+
 def in_slots(documents: DataFrame, **options) -> DataFrame:
-    """All rows of ``documents`` with their slot and in_block, sorted by them across partitions."""
-    placed = scheduled(documents, **options)
-    return placed.select(*(F.col(f"`{c}`") for c in documents.columns), "mix.slot", "mix.in_block").orderBy("slot", "in_block")
+    """All rows of ``documents`` with their slot and in_block (in the place of columns of these names), sorted by them."""
+    placed = scheduled(_as_rows(documents), **options)
+    return placed.select(*(F.col("row")[c].alias(c) for c in documents.columns if c not in ("slot", "in_block")),
+                         "mix.slot", "mix.in_block").orderBy("slot", "in_block")
 
 
 def mix_documents(documents: DataFrame, **options) -> DataFrame:
     """All rows of ``documents``, unchanged, sorted by slot and place in the block across partitions."""
-    placed = scheduled(documents, **options)
-    return placed.orderBy("mix.slot", "mix.in_block").drop("mix")
+    placed = scheduled(_as_rows(documents), **options)
+    return placed.orderBy("mix.slot", "mix.in_block").select("row.*")
 
 
+#: Weights are exact: the square roots without their common divisor, and as many slots as they sum to. The slots that have a
+#: block are found source by source in release order, each taking the free slot that earliest deadline first gives it.
 ORACLE = f"""
 WITH RECURSIVE d AS (SELECT doc_id, source, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS key,
        coalesce(md5(CAST(doc_id AS VARCHAR)), '') AS random FROM documents),
 n AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY random, doc_id) - 1 AS number FROM d),
-w AS (SELECT key, CAST(floor(sqrt(count(*))) AS BIGINT) AS w FROM d GROUP BY key),
-t AS (SELECT greatest(sum(w), 1) AS total, count(*) AS k FROM w),
-s AS (SELECT key, k, CAST(w * ({CYCLE} - k) // total AS BIGINT) AS whole,
-             CAST(w * ({CYCLE} - k) % total AS BIGINT) AS rest FROM w, t),
-r AS (SELECT key, whole, row_number() OVER (ORDER BY rest DESC, key) AS place,
-             {CYCLE} - k - sum(whole) OVER () AS left_over FROM s),
-q AS (SELECT key, CAST(whole + 1 + CASE WHEN place <= left_over THEN 1 ELSE 0 END AS BIGINT) AS q FROM r),
-l AS (SELECT list(q ORDER BY key) AS qs, list(key ORDER BY key) AS ks FROM q),
+w AS (SELECT key, greatest(CAST(floor(sqrt(count(*))) AS BIGINT), 1) AS w, count(*) AS rows FROM d GROUP BY key),
+g AS (SELECT list_reduce(list(w), lambda a, b: gcd(a, b)) AS divisor FROM w),
+q AS (SELECT key, w // divisor AS q, rows FROM w, g),
+l AS (SELECT list(q ORDER BY key) AS qs, list(key ORDER BY key) AS ks, CAST(sum(q) AS BIGINT) AS cycle,
+             CAST(least(sum(q), max((((rows + {BLOCK_ROWS - 1}) // {BLOCK_ROWS}) * total + q - 1) // q)) AS BIGINT) AS slots
+      FROM q, (SELECT sum(q) AS total FROM q)),
 e(t, done, p) AS (
   SELECT CAST(-1 AS BIGINT), list_transform(qs, lambda x: CAST(0 AS BIGINT)), CAST(-1 AS BIGINT) FROM l
   UNION ALL
   SELECT t, list_transform(done, lambda x, i: x + CASE WHEN i = p THEN 1 ELSE 0 END), p FROM (
     SELECT t + 1 AS t, done, list_min(list_transform(done, lambda x, i: CASE
-             WHEN x < qs[i] AND (x * {CYCLE}) // qs[i] <= t + 1
-             THEN ((x + 1) * {CYCLE} + qs[i] - 1) // qs[i] * {_SHIFT} + i END)) % {_SHIFT} AS p
-    FROM e, l WHERE t < {CYCLE - 1}) AS x),
+             WHEN (x * cycle) // qs[i] <= t + 1
+             THEN ((x + 1) * cycle + qs[i] - 1) // qs[i] * {_SHIFT} + i END)) % {_SHIFT} AS p
+    FROM e, l WHERE t < slots - 1) AS x),
 pl AS (SELECT ks[p] AS key, t AS spot, row_number() OVER (PARTITION BY p ORDER BY t) - 1 AS turn FROM e, l WHERE t >= 0),
-b AS (SELECT *, number // {BLOCK_ROWS} AS block FROM n JOIN q USING (key))
+b AS (SELECT *, number // {BLOCK_ROWS} AS block FROM n JOIN q USING (key), (SELECT cycle FROM l))
 SELECT doc_id, source, CAST(block AS BIGINT) AS block, CAST(number % {BLOCK_ROWS} AS BIGINT) AS in_block,
-       CAST(block // q * {CYCLE} + spot AS BIGINT) AS slot, CAST(block * {CYCLE} // q AS BIGINT) AS release,
-       CAST(((block + 1) * {CYCLE} + q - 1) // q AS BIGINT) AS deadline
+       CAST(block // q * cycle + spot AS BIGINT) AS slot, CAST(block * cycle // q AS BIGINT) AS release,
+       CAST(((block + 1) * cycle + q - 1) // q AS BIGINT) AS deadline
 FROM b JOIN pl ON b.key = pl.key AND b.block % b.q = pl.turn"""

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def remainder(doc_id: str, folds: int) -> Column:
-    """crc32 of the doc_id as text, modulo ``folds``."""
-    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(folds))
+    """crc32 of the doc_id as text (a null as the empty text), modulo ``folds``."""
+    return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
 def labelled_sample(labels: DataFrame, label: str, learnable: Column, rows: int) -> DataFrame:

@@ -203,7 +203,7 @@ def repeated_passages(documents: DataFrame, min_words: int = 50, anchor: int = 1
 
 def _cut(batches):
     for batch in batches:
-        spans = batch.column("spans").to_pylist()
+        spans = batch.column(batch.num_columns - 1).to_pylist()
         texts = batch.column("text").to_pylist()
         for low, high, data, begin in chunks(batch.column("text")):
             some = [i for i in range(low, high) if spans[i]]
@@ -226,7 +226,14 @@ def _cut(batches):
         kept = batch.set_column(place, "text", pa.array(texts, batch.schema.field("text").type))
         gone = pa.array([bool(s) and t is None for s, t in zip(spans, texts)])
         keep = pa.compute.invert(gone)
-        yield kept.filter(keep).drop_columns(["spans"])
+        yield kept.select(list(range(batch.num_columns - 1))).filter(keep)
+
+
+def _free_name(taken: list[str]) -> str:
+    name = "spans"
+    while name in {c.lower() for c in taken}:
+        name += "_"
+    return name
 
 
 def drop_later_passages(documents: DataFrame, min_words: int = 50, anchor: int = 16) -> DataFrame:
@@ -235,10 +242,12 @@ def drop_later_passages(documents: DataFrame, min_words: int = 50, anchor: int =
     The column n_chars, where present, follows the text. Documents without such a passage are returned unchanged.
     """
     spans = (repeated_passages(documents, min_words, anchor).filter("role = 'later'")
-             .groupBy("doc_id").agg(F.collect_list(F.struct("text_key", "start_word", "end_word")).alias("spans")))
-    spare = "__span_doc"
-    joined = documents.join(spans.withColumnRenamed("doc_id", spare), F.col("doc_id") == F.col(spare), "left").drop(spare)
-    out = joined.mapInArrow(_cut, documents.schema)
+             .groupBy(F.col("doc_id").alias("span_doc"))
+             .agg(F.collect_list(F.struct("text_key", "start_word", "end_word")).alias("spans")))
+    # The row travels as one struct beside its spans, so no column's name can clash; then the spans come last.
+    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"))
+    joined = rows.join(spans, F.col("row.doc_id") == F.col("span_doc"), "left")
+    out = joined.select("row.*", F.col("spans").alias(_free_name(documents.columns))).mapInArrow(_cut, documents.schema)
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(
             F.length("text")).cast(documents.schema["n_chars"].dataType))

@@ -161,3 +161,82 @@ def test_later_passages_are_cut(spark):
     whole = {(r[0], r[1]) for (r, w) in zip(data, want) if not w[2]}
     assert whole <= {(r.doc_id, r.text) for r in got}
     assert all(r.n_chars == len(r.text) for r in got if r.text is not None)
+
+
+def test_rows_of_a_repeated_doc_id_are_judged_by_their_own_text(spark):
+    from lakeingest.llm.ngram_join import keep_one_of_each_group
+    from lakeingest.session import ship_package
+    ship_package(spark)
+    rng = random.Random(8)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    near = " ".join(["other"] + c.split()[1:])
+    data = [(1, a), (2, a), (2, b), (3, c), (3, d), (4, near), (3, near), (5, ""), (5, ""), (6, None), (None, a), (1, a)]
+    docs = spark.createDataFrame([(*r, "g", "s", "r", "h", 1) for r in data],
+                                 "doc_id long, text string, __gone string, __doc string, row string, h1 string, part int")
+    kept = keep_one_of_each_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(1, a), (2, b), (3, min(c, near)), (3, d), (5, ""), (5, ""), (6, None), (None, a)], key=str)
+
+
+def test_passages_are_cut_beside_columns_of_any_name(spark):
+    from lakeingest.llm.suffix_dedup import drop_later_passages
+    from lakeingest.session import ship_package
+    ship_package(spark)
+    rng = random.Random(9)
+    passage = prose(rng, 60)
+    docs = spark.createDataFrame([(1, passage, "x", "y", "z", 1), (2, "before " + passage + " after", "x", "y", "z", 2)],
+                                 "doc_id long, text string, spans string, __span_doc string, Spans_ string, row int")
+    got = {r.doc_id: r for r in drop_later_passages(docs).collect()}
+    assert got[1].text == passage and got[2].text.split() == ["before", "after"] and got[2].spans == "x" and got[2].row == 2
+
+
+@pytest.mark.parametrize("similarity", [75, 60])
+def test_settling_in_one_task_equals_all_pairs(similarity):
+    """Random sets around the threshold: the links' components are those of all linked pairs."""
+    import numpy as np
+
+    from lakeingest.llm.ngram_join import needed, settle
+    rng = np.random.default_rng(similarity)
+    bases = [rng.choice(400, 40, replace=False) for _ in range(12)]
+    sets = []
+    for i in range(150):
+        base = bases[rng.integers(12)]
+        keep = rng.random(len(base)) < 0.93
+        sets.append(np.unique(np.concatenate([base[keep], rng.choice(400, rng.integers(0, 6))])).astype(np.int64))
+    n = np.array([len(s) for s in sets])
+    names, count = np.unique(np.concatenate(sets), return_counts=True)
+    rank = dict(zip(names.tolist(), count.tolist()))
+    listed = [np.array(sorted(s.tolist(), key=lambda x: (rank[x], x))[:len(s) - int(needed(len(s), similarity)) + 1]) for s in sets]
+    node = rng.permutation(150) * 7
+
+    def parts(links):
+        root = {int(x): int(x) for x in node}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+        for a, b in links:
+            root[find(a)] = find(b)
+        groups = {}
+        for x in root:
+            groups.setdefault(find(x), set()).add(x)
+        return sorted(map(sorted, groups.values()))
+
+    want = [(int(node[i]), int(node[j])) for i in range(150) for j in range(i)
+            if (100 + similarity) * len(np.intersect1d(sets[i], sets[j])) >= similarity * (n[i] + n[j])]
+    got = settle(node, n, node.copy(), sets, listed, similarity)
+    assert set(got) <= {(a, b) for a, b in want} | {(b, a) for a, b in want}
+    assert parts(got) == parts(want) and 1 < len(parts(want)) < 150
+
+
+def test_rounds_and_settling_agree(spark, monkeypatch):
+    from lakeingest.llm import ngram_join as N
+    from lakeingest.session import ship_package
+    from tests.llm.fixtures import documents
+    ship_package(spark)
+    docs = documents(spark)
+    settled = sorted(map(tuple, N.ngram_jaccard_classes(docs).collect()), key=str)
+    monkeypatch.setattr(N, "SETTLE_PAIRS", -1)
+    assert sorted(map(tuple, N.ngram_jaccard_classes(docs).collect()), key=str) == settled

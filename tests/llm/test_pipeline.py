@@ -25,7 +25,7 @@ def test_registry():
     assert set(QUERIES) | {"pipeline"} <= names
     for n in range(1, 11):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
-    assert {q.split("_")[0] for q in ORACLES} == {"op2", "op7", "op10"}
+    assert {q.split("_")[0] for q in ORACLES} == {"op2", "op7", "op10", "op11", "op12", "op13"}
     assert [q for q, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_jaccard_join", "suffix_array_dedup", "pfair_mix",
                                                       "bpe_encode_decode"]
 

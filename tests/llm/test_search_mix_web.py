@@ -187,7 +187,7 @@ TEXT = " ".join(f"Paragraph {i}, with commas, and enough words to count as text
     (f"<div class='layout'><div class='story'>{ARTICLE}<script>var x='<p>no</p>';</script><form><p>Mail, please, your, "
      f"address, here, now</p></form></div><div id='comments'>{ARTICLE.replace('Paragraph', 'Reader')}</div></div>", TEXT),
     (f"<article>{ARTICLE}<ul><li><a>one</a><li><a>two</a><li><a>three</a></ul><div class='cookie-notice'>We, use, it.</div>"
-     "</article>", TEXT),
+     "</article>", TEXT + " one two three"),
     (f"<article><p>Fish &amp; chips&nbsp;cost &pound;5 &#x1F600; &lt;now&gt;<br>a<b>b</b>c<p>next {ARTICLE}</article>",
      "Fish & chips cost £5 😀 <now> abc next " + TEXT),
     (f"<!-- <p>gone</p> --><main><section>{ARTICLE}</section><section>{ARTICLE}</section></main>", TEXT + " " + TEXT),
@@ -244,3 +244,50 @@ def test_revisits(spark):
         17: ("no_response", None, None), 18: ("no_response", None, None)}
     assert r[11].headers == {"etag": "v1", "content-type": "t", "date": "d2"}
     assert resolve_revisits(spark.createDataFrame([], schema)).collect() == []
+
+
+LONG = "<p>" + "Some long sentence, with commas, that goes on and on for a while. " * 4 + "</p>"
+LONG_TEXT = " ".join(["Some long sentence, with commas, that goes on and on for a while."] * 4)
+
+
+@pytest.mark.parametrize("html, want", [
+    (f"<article class='post comments-open'>{LONG}</article>", LONG_TEXT),
+    (f"<div id='content' class='has-sidebar'>{LONG}{LONG}</div><div class='sidebar-left'>{LONG}</div>", f"{LONG_TEXT} {LONG_TEXT}"),
+    (f"<article><h2 id='search'>Search</h2>{LONG}</article>", f"Search {LONG_TEXT}"),
+    (f"<article>{LONG}<section id='related-work'><h2>Related work</h2>{LONG}</section></article>",
+     f"{LONG_TEXT} Related work {LONG_TEXT}"),
+    (f"<article>{LONG}<ul><li><a href=a>One</a><li><a href=b>Two</a><li><a href=c>Three</a></ul></article>",
+     f"{LONG_TEXT} One Two Three"),
+    (f"<div class='modal'><article>{LONG}</article></div>", LONG_TEXT),
+    (f"<article>{LONG}<div class='ad'>Buy</div><div class='cookie-banner'>Eat</div><div class='adverb'>slowly</div></article>"
+     f"<div id=comments><article class='comment-body'>{LONG}</article></div><ul class=main-nav><li>Home</ul>", f"{LONG_TEXT} slowly"),
+    (f"<div class='site-header'>Site</div><article>{LONG}</article><section class='comment-list'>{LONG}</section>", LONG_TEXT),
+])
+def test_names_count_as_a_whole(html, want):
+    assert main_text(f"<html><body>{html}</body></html>") == want
+
+
+def test_mix_oracle_on_unequal_sources(spark):
+    """Exact weights: sources of 9 to 1 rows, a null source, and thousands of sources."""
+    import duckdb
+
+    from lakeingest.llm.pfair_mix import ORACLE, scheduled
+    for data in ([(i, "big" if i % 10 else "small") for i in range(1, 600)] + [(None, "small"), (700, None)],
+                 [(i, f"s{i % 40 * (i % 3)}") for i in range(900)], [(1, "a")], []):
+        got = scheduled(spark.createDataFrame(data, "doc_id long, source string")).select("doc_id", "source", "mix.*")
+        con = duckdb.connect()
+        con.execute("CREATE TABLE documents (doc_id BIGINT, source VARCHAR)")
+        if data:
+            con.executemany("INSERT INTO documents VALUES (?, ?)", data)
+        want = con.execute(ORACLE)
+        assert [d[0] for d in want.description] == got.columns
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(want.fetchall(), key=str)
+
+
+def test_mix_keeps_columns_of_its_own_names(spark):
+    from lakeingest.llm.pfair_mix import in_slots, mix_documents
+    docs = spark.createDataFrame([(i, f"s{i % 3}", "m", i, "row", "k") for i in range(50)],
+                                 "doc_id long, source string, mix string, slot long, row string, key string")
+    assert sorted(map(tuple, mix_documents(docs).collect())) == sorted(map(tuple, docs.collect()))
+    placed = in_slots(docs)
+    assert placed.columns == ["doc_id", "source", "mix", "row", "key", "slot", "in_block"] and placed.count() == 50

@@ -50,9 +50,11 @@ HEAVY_LOCAL = 32
 POSTINGS_PER_BLOCK = 8192
 SHORT_LIST = 64
 #: What one task settles: 8 bytes a shared shingle, and about 20 ns a pair of places in one list.
-SETTLE_SHINGLES = 6_000_000
+SETTLE_SHINGLES = 12_000_000
 SETTLE_PAIRS = 400_000_000
 PROBED_AT_ONCE = 64
+#: Rows (24 bytes each) of the classes looked at again that are broadcast to the texts; more of them are joined by shuffle.
+BROADCAST_CLASSES = 1_000_000
 _SEQ, _CHECK, _SHORT = 1, 2, 7
 
 _STEP1 = pa.schema([("kind", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()),
@@ -331,16 +333,13 @@ def settle(node: np.ndarray, n: np.ndarray, comp: np.ndarray, shared: list[np.nd
            similarity: int) -> list[tuple[int, int]]:
     """Links that join the components of all these documents: (a, b), one for each time two components become one.
 
-    ``listed`` are the shingles of the lists a document is still in. Documents are taken by size, each against the smaller
-    ones before it in its lists.
+    ``shared`` are the sorted shared shingles of a document, ``listed`` those of the lists it is still in. Documents are
+    taken by size, each against the smaller ones before it in its lists.
     """
     order = np.lexsort((node, n))
     node, n, comp = node[order], n[order], comp[order]
     shared, listed = [shared[i] for i in order], [listed[i] for i in order]
     m = np.array([len(x) for x in shared], dtype=np.int64)
-    bounds = np.concatenate([[0], np.cumsum(m)])
-    codes = np.unique(np.concatenate(shared), return_inverse=True)[1] if bounds[-1] else np.zeros(0, dtype=np.int64)
-    mine = np.zeros(int(codes.max()) + 1 if len(codes) else 1, dtype=bool)
     sizes = np.array([len(x) for x in listed], dtype=np.int64)
     names, which = np.unique(np.concatenate(listed), return_inverse=True)
     owner = np.repeat(np.arange(len(node)), sizes)
@@ -362,20 +361,19 @@ def settle(node: np.ndarray, n: np.ndarray, comp: np.ndarray, shared: list[np.nd
         found = found[able & (root[found] != root[i])]
         if not len(found):
             continue
-        own = codes[bounds[i]:bounds[i + 1]]
-        mine[own] = True
+        own = shared[i]
         for low in range(0, len(found), PROBED_AT_ONCE):
             some = found[low:low + PROBED_AT_ONCE]
             some = some[root[some] != root[i]]
             if not len(some):
                 continue
-            held = np.concatenate([codes[bounds[j]:bounds[j + 1]] for j in some])
-            overlap = np.add.reduceat(mine[held].astype(np.int64), np.cumsum(m[some]) - m[some])
+            held = np.concatenate([shared[j] for j in some])
+            hit = own[np.minimum(np.searchsorted(own, held), len(own) - 1)] == held
+            overlap = np.add.reduceat(hit.astype(np.int64), np.cumsum(m[some]) - m[some])
             for j in some[(100 + similarity) * overlap >= similarity * (n[some] + n[i])]:
                 if root[j] != root[i]:
                     links.append((int(node[i]), int(node[j])))
                     root[root == root[j]] = root[i]
-        mine[own] = False
     return links
 
 
@@ -443,13 +441,15 @@ def ngram_jaccard_classes(documents: DataFrame, k: int = 5, similarity: int = 75
     counts = step1.filter("kind = 2").groupBy("h1").agg(F.sum("n").alias("found"))
     # l of the smallest possible partner, whose size is T
     enough = F.greatest(F.lit(1), F.floor(F.floor((F.col("n") * similarity + 99) / 100) / 10))
-    left = classes.join(counts, "h1").filter(F.col("found") >= enough)
+    left = stage(classes.join(counts, "h1").filter(F.col("found") >= enough).select(
+        F.col("least").alias("doc_id"), "h1", "h2"), "ngram-left")
     heavy = (step1.filter("kind = 3").groupBy("h1").agg(F.sum("n").alias("total"))
              .orderBy(F.desc("total"), "h1").limit(HEAVY_KEPT).select("h1").toPandas()["h1"])
     heavy = np.sort(heavy.to_numpy(dtype=np.int64).view(np.uint64))
 
     emit, count = _step3(k, n_parts, heavy)
-    some = left.select(F.col("least").alias("doc_id"), "h1", "h2").join(texts, "doc_id").select("h1", "h2", "text")
+    few = left.count() <= BROADCAST_CLASSES
+    some = texts.join(F.broadcast(left) if few else left, "doc_id").select("h1", "h2", "text")
     dealt = exchange(some, emit, count, "pid int, kind int, block binary")
     docs = stage(dealt.repartitionById(n_parts, "pid").mapInArrow(
         _assemble(similarity), "node long, n long, shared array<long>, short array<long>"), "ngram-docs")

@@ -171,10 +171,10 @@ def _as_rows(documents: DataFrame) -> DataFrame:
 
 
 def in_slots(documents: DataFrame, **options) -> DataFrame:
-    """All rows of ``documents`` with their slot and in_block (in the place of columns of these names), sorted by them."""
+    """All rows of ``documents`` with their slot and in_block (in the place of columns of these names), in no order."""
     placed = scheduled(_as_rows(documents), **options)
     return placed.select(*(F.col("row")[c].alias(c) for c in documents.columns if c not in ("slot", "in_block")),
-                         "mix.slot", "mix.in_block").orderBy("slot", "in_block")
+                         "mix.slot", "mix.in_block")
 
 
 def mix_documents(documents: DataFrame, **options) -> DataFrame:

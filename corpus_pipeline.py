@@ -10,7 +10,7 @@ Parquet and read back as the next stage's docs. All stages but the last return t
 4. pfair_mix: all documents, sorted so that sources interleave by their target weights;
 5. bpe_encode_decode: ids of each document, with hashes of the ids and of the text decoded from them, and its slot and
    in_block in the mix. A table read back has no order, and the schedule depends on doc_id and source alone, so this
-   stage works it out again and writes its rows in that order; readers sort by (slot, in_block).
+   stage works it out again beside the rows (without another sort of the texts); readers sort by (slot, in_block).
 """
 
 from __future__ import annotations

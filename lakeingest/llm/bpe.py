@@ -4,27 +4,38 @@ The merge list is compiled into a deterministic automaton over tokens whose only
 tokenization. Construction starts with one state and an arc for every byte, and applies one gadget for each merge
 ``(u, v) -> uv`` in order: the state reached by ``u`` is cloned without its ``v`` arc, and wherever a ``u`` arc leaves, a
 ``uv`` arc is added that ends in a clone of the state reached by ``v``. All arcs of a token end in one state, so a state
-is named by its last token. Clones share their parent's table: a state stores the arcs it lost itself, and inherits
-those its parent had lost before the clone was made. A merge whose arcs are already gone adds nothing (its token is
-unreachable).
+is named by its last token. A merge whose arcs are already gone adds nothing (its token is unreachable).
 
-``Automaton.encode`` runs the automaton over the bytes of a pre-split word: the token that ends each prefix is unique,
-so one pass over the tables of labels and arcs finds the path. ``Automaton.decode`` emits the labels
-of the arcs. Ids are those of the vocabulary file; texts are pre-split by its byte-level pattern, and added tokens found
-in a text stand for themselves, as the tokenizers library has it by default.
+After the last merge the tables are laid out:
 
-Null and empty texts have no tokens (count 0, hashes of nothing). Words repeat, so each task keeps the ids of
-``CACHE_WORDS`` words at most; a long word is run through the automaton in time linear in its length.
+- **Arcs.** A gadget's removed arc is inherited by the later clones of its state, and by the later tokens that begin
+  with its token. With states numbered in the order of a walk down the clones, and tokens in one down the beginnings
+  (latest first), that is a rectangle of states times tokens. A state's row of the arc table holds the ranges of token
+  numbers without an arc; all others have one.
+- **Labels.** A transition table (state of the matcher, byte) over all labels: it gives the longest label that ends at a
+  byte, and each label the next shorter one that ends it.
+
+``encode_words`` reads many words byte by byte: the token that ends each prefix of a word is unique, so the
+labels that end there are tried, longest first, until one has an arc from the state reached before it. Nothing is taken back. The
+path is read off from the end. ``decode`` emits the labels of the arcs. Ids are those of the vocabulary file; texts are
+pre-split by its byte-level pattern, and added tokens found in a text stand for themselves, as the tokenizers library has
+it by default.
+
+Null and empty texts have no tokens (count 0, hashes of nothing). Words repeat, so each task keeps the ids of about
+``CACHE_WORDS`` words; a word of any length is run through the automaton in time linear in its length.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
+import itertools
 import json
 import sys
 import unicodedata
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +44,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CACHE_WORDS = 200_000
+#: Texts are taken in runs of about this many characters, whose new words are encoded at once.
+RUN_CHARS = 1 << 20
+#: Words of more bytes are read one at a time.
+LONG_WORD = 64
+#: Slots of the table of arcs looked up before.
+SEEN_BITS = 18
 #: Fixed by the vocabulary's format: the pattern of its pre-tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -44,6 +61,35 @@ def byte_symbols() -> dict[str, int]:
     return {**{chr(b): b for b in shown}, **{chr(256 + i): b for i, b in enumerate(rest)}}
 
 
+class _Walk:
+    """Numbers of the nodes of a forest, parents first and of siblings the latest born first, so that a node and the
+    subtrees of its children born at or after some time have consecutive numbers."""
+
+    def __init__(self, nodes: list[int], above: dict[int, int], born: dict[int, int]):
+        self.below: dict[int, list[int]] = {}       # children and their times, oldest first
+        self.times: dict[int, list[int]] = {}
+        for node in nodes:              # in the order of birth
+            if node in above:
+                self.below.setdefault(above[node], []).append(node)
+                self.times.setdefault(above[node], []).append(born[node])
+        self.number: dict[int, int] = {}
+        self.end: dict[int, int] = {}
+        stack = [n for n in nodes if n not in above]
+        while stack:
+            node = stack.pop()
+            if node < 0:
+                self.end[~node] = len(self.number)
+                continue
+            self.number[node] = len(self.number)
+            stack.append(~node)
+            stack += self.below.get(node, [])
+
+    def range(self, node: int, since: int) -> tuple[int, int]:
+        """First and last (excluded) number of the node and its subtrees born at ``since`` or later."""
+        older = bisect.bisect_left(self.times.get(node, ()), since)
+        return self.number[node], self.number[self.below[node][older - 1]] if older else self.end[node]
+
+
 class Automaton:
     """Tokenization automaton of a vocabulary (token bytes -> id) and its merges (pairs of token bytes, in order)."""
 
@@ -53,35 +99,29 @@ class Automaton:
         self.born: dict[int, int] = {}          # state -> the merge that made it
         self.left: dict[int, int] = {}          # token -> the token whose arcs it follows
         self.lost: dict[int, int] = {}          # (state, token) -> the merge that removed the arc
-        self.arcs: dict[int, bool] = {}
-        self.labels: dict[bytes, int] = {}      # labels of the arcs
-        self.reach: dict[bytes, int] = {}       # the longest label that begins with these two bytes
-        for b in range(256):
-            self._label(bytes([b]), vocab[bytes([b])])
+        self.labels = {bytes([b]): vocab[bytes([b])] for b in range(256)}       # labels of the arcs, oldest first
         for time, (u, v) in enumerate(merges):
             if u in self.labels and v in self.labels:      # of an unreachable token there are no arcs
                 self._gadget(time, vocab[u], vocab[v], u + v, vocab[u + v])
-
-    def _label(self, text: bytes, token: int) -> None:
-        self.labels[text] = token
-        if len(text) > self.reach.get(text[:2], 1):
-            self.reach[text[:2]] = len(text)
+        self._lay_out_arcs()
+        self._lay_out_labels()
+        self.seen = np.full(1 << SEEN_BITS, -1, dtype=np.int64)
 
     def _gadget(self, time: int, u: int, v: int, text: bytes, token: int) -> None:
-        if token in self.born or not self._arc(u, v, time):
+        if token in self.born or not self._arc_now(u, v):
             return
         self.lost[u << 32 | v] = time
         self.parent[token], self.left[token], self.born[token] = v, u, time
-        self._label(text, token)
+        self.labels[text] = token
 
-    def _arc(self, state: int, token: int, time: int | None = None) -> bool:
-        """Whether the state has an arc for the token (at ``time``, or in the finished automaton).
+    def _arc_now(self, state: int, token: int) -> bool:
+        """Whether the state has an arc for the token while gadgets are being applied.
 
         The arc is gone if a gadget removed the arc of an ancestor token from an ancestor state before the state was
         cloned and before the token was made. A merge ``(u, u)`` removes first and adds then: ``u`` has no arc ``uu``.
         """
         lost, born = self.lost, self.born
-        until = time if time is not None else 1 << 40
+        until = 1 << 40
         while True:
             t, before = token, 1 << 40
             while True:
@@ -97,59 +137,144 @@ class Automaton:
             until = min(until, born[state])
             state = self.parent[state]
 
-    def encode(self, word: bytes) -> list[int]:
-        """Ids of one pre-split word: the path from state to state, longest labels first.
+    def _lay_out_arcs(self) -> None:
+        nodes = list(self.labels.values())
+        states, tokens = _Walk(nodes, self.parent, self.born), _Walk(nodes, self.left, self.born)
+        self.state_no = np.zeros(max(self.label) + 1, dtype=np.int64)
+        self.token_no = np.zeros(max(self.label) + 1, dtype=np.int64)
+        self.state_no[nodes] = [states.number[t] for t in nodes]
+        self.token_no[nodes] = [tokens.number[t] for t in nodes]
+        removed = np.array([(*states.range(k >> 32, time + 1), *tokens.range(k & 0xFFFFFFFF, time))
+                            for k, time in self.lost.items()], dtype=np.int64).reshape(-1, 4)
+        high = removed[:, 1] - removed[:, 0]
+        row = np.repeat(removed[:, 0] - np.cumsum(high) + high, high) + np.arange(high.sum())
+        # Ranges of a row are nested or apart: sorted by their beginnings, those inside an earlier one go.
+        key, end = row << 32 | np.repeat(removed[:, 2], high), row << 32 | np.repeat(removed[:, 3], high)
+        order = np.lexsort((-end, key))
+        key, end = key[order], end[order]
+        outer = np.append(True, end[1:] > np.maximum.accumulate(end)[:-1])[:len(key)]
+        self.gap, self.gap_end = key[outer], end[outer]
+
+    def _lay_out_labels(self) -> None:
+        """Transition table over the labels' bytes, filled in by depth: a node's row is that of its longest proper suffix
+        but for the bytes that go on to its own children."""
+        child: dict[int, int] = {}
+        above, byte, depth, label = [0], [0], [0], [-1]
+        for text, token in self.labels.items():
+            node = 0
+            for b in text:
+                to = child.get(node << 8 | b)
+                if to is None:
+                    to = child[node << 8 | b] = len(above)
+                    above.append(node)
+                    byte.append(b)
+                    depth.append(depth[node] + 1)
+                    label.append(-1)
+                node = to
+            label[node] = token
+        above, byte, depth, self.longest = (np.array(x, dtype=np.int64) for x in (above, byte, depth, label))
+        self.size = np.zeros(max(self.label) + 1, dtype=np.int64)
+        self.size[list(self.labels.values())] = list(map(len, self.labels))
+        self.shorter = np.full(max(self.label) + 1, -1, dtype=np.int64)
+        table = np.zeros((len(above), 256), dtype=np.int32)
+        suffix = np.zeros(len(above), dtype=np.int64)
+        levels = [np.flatnonzero(depth == d) for d in range(int(depth.max()) + 2)]
+        for nodes, children in zip(levels, levels[1:]):
+            table[nodes] = table[suffix[nodes]]
+            if len(nodes) and nodes[0] != 0:
+                suffix[children] = table[suffix[above[children]], byte[children]]
+            table[above[children], byte[children]] = children
+            ends = self.longest[children] >= 0
+            self.shorter[self.longest[children[ends]]] = self.longest[suffix[children[ends]]]
+            self.longest[children[~ends]] = self.longest[suffix[children[~ends]]]
+        self.table = table.reshape(-1)
+
+    def has_arcs(self, states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """Whether each state has an arc for the token beside it."""
+        key = self.state_no[states] << 32 | self.token_no[tokens]
+        slot = (key * 0x2545F4914F6CDD1D >> 40) & ((1 << SEEN_BITS) - 1)
+        known = self.seen[slot]
+        arc = (known & 1).astype(bool)
+        new = np.flatnonzero(known >> 1 != key)
+        if len(new):
+            key = key[new]
+            at = np.searchsorted(self.gap, key, side="right") - 1
+            arc[new] = (at < 0) | (self.gap_end[at] <= key) if len(self.gap) else True
+            self.seen[slot[new]] = key << 1 | arc[new]
+        return arc
+
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each pre-split word, packed as unsigned 32-bit integers in native order."""
+        if not words:
+            return []
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(-length, kind="stable")
+        long = int((length > LONG_WORD).sum())
+        out: list[bytes] = [b""] * len(words)
+        for i in order[:long]:
+            out[i] = array("I", self.encode(words[i])).tobytes()
+        order = order[long:]
+        if not len(order):
+            return out
+        length = length[order]
+        data = np.frombuffer(b"".join([words[i] for i in order]), dtype=np.uint8)
+        start = np.cumsum(length) - length
+        token = np.zeros(len(data), dtype=np.int64)         # the token that ends at each byte
+        node = np.zeros(len(order), dtype=np.int64)
+        longer = len(order) - np.searchsorted(length[::-1], np.arange(int(length[0])), side="right")
+        for place, n in enumerate(longer):
+            at = start[:n] + place
+            node = self.table[node[:n] << 8 | data[at]].astype(np.int64)
+            found = self.longest[node]
+            while len(at):
+                size = self.size[found]
+                ok = size > place
+                ok |= self.has_arcs(token[np.where(ok, at, at - size)], found)
+                ok |= size > place
+                token[at[ok]] = found[ok]
+                rest = ~ok
+                at, found = at[rest], self.shorter[found[rest]]
+        path = np.zeros(len(data), dtype=bool)
+        at, low = start + length - 1, start
+        while len(at):
+            path[at] = True
+            at = at - self.size[token[at]]
+            inside = at >= low
+            at, low = at[inside], low[inside]
+        ends = (np.cumsum(path)[start + length - 1] * 4).tolist()
+        ids = token[path].astype(np.uint32).tobytes()
+        begin = 0
+        for i, end in zip(order.tolist(), ends):
+            out[i] = ids[begin:end]
+            begin = end
+        return out
 
-        A path of arcs up to a position is the only one there, so a position without a way to the end is left for good
-        and each position is expanded once.
-        """
-        n, labels, reach, arcs = len(word), self.labels, self.reach, self.arcs
-        path, starts, left = [], [], set()
-        at, state = 0, -1
-        end = min(n, reach.get(word[:2], 1))
-        while at < n:
-            while end > at:
-                token = labels.get(word[at:end])
-                if token is not None and end not in left:
-                    if state < 0:
-                        break
-                    key = state << 32 | token
-                    ok = arcs.get(key)
-                    if ok is None:
-                        ok = arcs[key] = self._arc(state, token)
-                    if ok:
-                        break
-                end -= 1
-            else:
-                left.add(at)
-                end, at = at - 1, starts.pop()
-                path.pop()
-                state = path[-1] if path else -1
-                continue
-            path.append(token)
-            starts.append(at)
-            at, state = end, token
-            end = min(n, at + reach.get(word[at:at + 2], 1))
-        return path
+    def encode(self, word: bytes) -> list[int]:
+        """Ids of one word, read by the same tables."""
+        ending: list[int] = []
+        node, known = 0, {}
+        for place, byte in enumerate(word):
+            node = int(self.table[node << 8 | byte])
+            token = int(self.longest[node])
+            while (size := int(self.size[token])) <= place:
+                key = (ending[place - size], token)
+                ok = known.get(key)
+                if ok is None:
+                    ok = known[key] = bool(self.has_arcs(np.array(key[:1]), np.array(key[1:]))[0])
+                if ok:
+                    break
+                token = int(self.shorter[token])
+            ending.append(token)
+        path, at = [], len(word)
+        while at:
+            path.append(ending[at - 1])
+            at -= len(self.label[path[-1]])
+        return path[::-1]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.label.__getitem__, ids))
 
 
-class _Known(dict):
-    """Ids (packed) of pieces seen, at most ``CACHE_WORDS`` of them; ``make`` encodes a new piece."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, piece):
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        found = self[piece] = self.make(piece)
-        return found
-
-
 class Encoder:
     """Texts to ids (packed as unsigned 32-bit integers, native order) and back.
 
@@ -172,34 +297,72 @@ class Encoder:
         self.words = regex.compile(PATTERN).findall
         self.long_space = regex.compile(r" \s|\s ").search
         self.unusual = regex.compile("[^\x00-\u0557]").findall
-        self.word = _Known(lambda w: array("I", self.automaton.encode(w.encode())).tobytes())
-        self.piece = _Known(lambda p: b"".join(map(self.word.__getitem__, self.words(p))))
-        self.spaced = _Known(lambda p: b"".join(map(self.word.__getitem__, self.words(" " + p))))
+        self.word: dict[str, bytes] = {}        # ids of words, and of pieces at the beginning and after a space
+        self.piece: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}
 
     @functools.cached_property
     def _library_split(self):
         from tokenizers import Tokenizer
         return Tokenizer.from_file(self.path).pre_tokenizer.pre_tokenize_str
 
-    def _plain(self, text: str) -> bytes:
+    def _plain(self, text: str) -> list[tuple[dict | None, list]]:
         if not text.isascii() and any(unicodedata.category(c) == "Cn" for c in set(self.unusual(text))):
             # characters that this Python does not know may be letters of the library's Unicode version
-            encode = self.automaton.encode
-            return b"".join(array("I", encode(bytes(map(self.symbols.__getitem__, w)))).tobytes()
-                            for w, _ in self._library_split(text))
+            return [(self.word, [bytes(map(self.symbols.__getitem__, w)).decode() for w, _ in self._library_split(text)])]
         if self.long_space(text):
-            return b"".join(map(self.word.__getitem__, self.words(text)))
+            return [(self.word, self.words(text))]
         first, *rest = text.split(" ")
-        return self.piece[first] + b"".join(map(self.spaced.__getitem__, rest))
+        return [(self.piece, [first]), (self.spaced, rest)]
+
+    def _parts(self, text: str) -> list[tuple[dict | None, list]]:
+        """The text as pieces, each with the table that knows their ids; without one, they are ids."""
+        if not self.split_added or not any(t in text for t in self.added):
+            return self._plain(text)
+        out, at = [], 0
+        for m in self.split_added.finditer(text):
+            out += [*self._plain(text[at:m.start()]), (None, [array("I", [self.added[m.group()]]).tobytes()])]
+            at = m.end()
+        return out + self._plain(text[at:])
+
+    def _learn(self, parts: list[list[tuple[dict | None, list]]]) -> None:
+        """Ids of all pieces not yet known: their words are cut out, and the new ones encoded at once."""
+        words: set[str] = set()
+        pieces: set[str] = set()
+        spaced: set[str] = set()
+        new = {id(self.word): words, id(self.piece): pieces, id(self.spaced): spaced}
+        for of_text in parts:
+            for known, items in of_text:
+                if known is not None:
+                    new[id(known)].update(items)
+        whole: list[tuple[dict, str, str]] = []         # pieces of letters alone are one word
+        cut: list[tuple[dict, str, list[str]]] = []
+        for known, items, before in ((self.piece, pieces, ""), (self.spaced, spaced, " ")):
+            for p in items.difference(known):
+                if p.isalpha():
+                    whole.append((known, p, before + p))
+                else:
+                    cut.append((known, p, self.words(before + p)))
+                    words.update(cut[-1][2])
+        unknown = list(words.difference(self.word))
+        ids = self.automaton.encode_words([w.encode() for w in unknown] + [w.encode() for _, _, w in whole])
+        self.word.update(zip(unknown, ids))
+        for (known, p, _), found in zip(whole, ids[len(unknown):]):
+            known[p] = found
+        for known, p, ws in cut:
+            known[p] = b"".join([self.word[w] for w in ws])
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text."""
+        if max(map(len, (self.word, self.piece, self.spaced))) > CACHE_WORDS:
+            self.forget()
+        parts = list(map(self._parts, texts))
+        self._learn(parts)
+        return [b"".join([x for known, items in of_text for x in (map(known.__getitem__, items) if known is not None else items)])
+                for of_text in parts]
 
     def encode(self, text: str) -> bytes:
-        if self.split_added and any(t in text for t in self.added):
-            out, at = [], 0
-            for m in self.split_added.finditer(text):
-                out += [self._plain(text[at:m.start()]), array("I", [self.added[m.group()]]).tobytes()]
-                at = m.end()
-            return b"".join([*out, self._plain(text[at:])])
-        return self._plain(text)
+        return self.encode_all([text])[0]
 
     def forget(self) -> None:
         """Drop the ids of the pieces seen; the automaton stays."""
@@ -216,6 +379,19 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _runs(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts (null: empty) in runs of about ``RUN_CHARS`` characters."""
+    run, size = [], 0
+    for text in texts:
+        run.append(text.as_py() or "")
+        size += len(run[-1])
+        if size >= RUN_CHARS:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
 def _little(ids: bytes) -> bytes:
     if sys.byteorder == "big":
         swapped = array("I", ids)
@@ -241,8 +417,7 @@ def encode_texts(documents: DataFrame, path: str, digests_only: bool = False, pl
         enc = encoder(path)
         for batch in batches:
             rows, all_ids = [], []
-            for text in batch.column("text"):
-                ids = enc.encode(text.as_py() or "")
+            for ids in itertools.chain.from_iterable(map(enc.encode_all, _runs(batch.column("text")))):
                 back = enc.decode(ids).encode("utf-8")
                 rows.append((len(ids) // 4, hashlib.sha256(_little(ids)).hexdigest(), hashlib.sha256(back).hexdigest()))
                 if not digests_only:

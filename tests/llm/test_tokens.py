@@ -4,6 +4,7 @@ import hashlib
 import random
 import struct
 
+import numpy as np
 import pytest
 
 from lakeingest.llm.bpe import Automaton, Encoder, encode_texts
@@ -73,3 +74,29 @@ def test_automaton_equals_merging_in_order():
                     i += 1
             assert [automaton.label[t] for t in automaton.encode(word)] == parts
             assert automaton.decode(automaton.encode(word)) == word
+
+
+def test_words_at_once_equal_one_by_one():
+    rng = random.Random(6)
+    automaton = Encoder(PATH).automaton
+    words = ["".join(rng.choice("etaoinsé 中1!") for _ in range(rng.choice([1, 2, 5, 9, 30, 64, 65, 200]))).encode()
+             for _ in range(400)]
+    assert [list(memoryview(ids).cast("I")) for ids in automaton.encode_words(words)] == list(map(automaton.encode, words))
+    assert automaton.encode_words([]) == []
+
+
+def test_the_arc_table_has_the_arcs_of_the_gadgets():
+    """Ranges without an arc against the definition: every pair of tokens of a dense merge list."""
+    rng = random.Random(8)
+    vocab, merges, tokens = {bytes([b]): b for b in range(256)}, [], [b"a", b"b"]
+    while len(merges) < 40:
+        u, v = rng.choice(tokens), rng.choice(tokens)
+        if u + v not in vocab and len(u + v) < 12:
+            vocab[u + v] = 256 + len(merges)
+            merges.append((u, v))
+            tokens.append(u + v)
+    automaton = Automaton(vocab, merges)
+    reached = np.array(list(automaton.labels.values()))
+    for state in reached:
+        got = automaton.has_arcs(np.full(len(reached), state), reached)
+        assert got.tolist() == [automaton._arc_now(int(state), int(t)) for t in reached]

@@ -248,6 +248,27 @@ def continuous_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
                               F.lit(registered).alias("registered"))
 
 
+@register("checkpoint_reset_generation", f"""
+SELECT 0 AS generation, {', '.join(ORDERS_COLS)} FROM orders WHERE {OLD}
+UNION ALL SELECT 1, {', '.join(ORDERS_COLS)} FROM orders""")
+def checkpoint_reset_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checkpoint is deleted between two runs: all files are read again into a new generation, the old one stays."""
+    from ..session import delete_path
+    from ..streaming.sink import checkpoint_path, current_generation, read_table, table_path
+    lab = Lab(spark, "generation")
+    orders = table(spark, sf_dir, "orders")
+    lab.land(orders.where(OLD), "orders", "d1", "parquet")
+    ds = lab.dataset("orders", files_source("parquet", "orders"), {**BY_DAY, "on_checkpoint_reset": "new_generation"})
+    lab.run(ds)
+    delete_path(spark, checkpoint_path(ds, lab.engine))
+    lab.land(orders.where(NEW), "orders", "d2", "parquet")
+    lab.run(ds)
+    path = table_path(ds, lab.engine)
+    now = read_table(spark, path).select(F.lit(current_generation(spark, path)).alias("generation"), *ORDERS_COLS)
+    first = read_table(spark, path, generation=0).select(F.lit(0).alias("generation"), *ORDERS_COLS)
+    return first.unionByName(now)
+
+
 @register("replayed_batch", f"""
 SELECT {', '.join(ORDERS_COLS)} FROM orders""")
 def replayed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:

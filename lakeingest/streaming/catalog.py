@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import nested
 from ..spec import DatasetSpec, EngineSpec
-from .sink import BATCH, sink_format, table_path, table_schema, with_batch
+from .sink import BATCH, FILE_SINK_FORMATS, data_path, sink_format, table_path, table_schema, with_batch
 
 log = logging.getLogger(__name__)
 
@@ -81,15 +81,22 @@ def _plain(uri: str) -> str:
     return re.sub(r"^file:/+", "/", uri or "").rstrip("/")
 
 
+def _earlier_generation(location: str, home: str, current: str) -> bool:
+    """Whether a location holds another generation of the table at ``home`` than its current one."""
+    return location != current and re.fullmatch(re.escape(home) + r"(\.generation-\d+)?", location) is not None
+
+
 def register_table(spark: SparkSession, engine: EngineSpec, ds: DatasetSpec) -> str:
     """Declare the bronze table as an external table over its path.
 
     The schema is the one the sink recorded beside the table, so no file is opened. An existing table of that name must
-    be at the same location: then its missing columns are added. Any other table (a managed one, or one of another
+    be at the same location: then its missing columns are added. One at an earlier generation of the same table is declared
+    anew at the current one. Any other table (a managed one, or one of another
     dataset whose names join to the same text) is never touched.
     """
     name = bronze_table_name(spark, engine, ds)
-    fmt, path = sink_format(ds, engine), table_path(ds, engine)
+    fmt, home = sink_format(ds, engine), table_path(ds, engine)
+    path = data_path(spark, home) if fmt in FILE_SINK_FORMATS else home
     schema = table_schema(spark, path)
     create = f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'"
     if schema:
@@ -101,6 +108,10 @@ def register_table(spark: SparkSession, engine: EngineSpec, ds: DatasetSpec) ->
         spark.sql(create)
     else:
         found = _described(spark, name)
+        if _earlier_generation(_plain(found.get("Location", "")), _plain(home), _plain(path)):
+            spark.sql(f"DROP TABLE {name}")     # the declaration of an external table; its files stay
+            spark.sql(create)
+            found = _described(spark, name)
         if found.get("Type", "").upper() == "MANAGED" or _plain(found.get("Location", "")) != _plain(path):
             raise TableConflictError(f"{name} is another table (at {found.get('Location')}); it is left as it is")
         known = {f.name.lower(): f.dataType for f in spark.table(name).schema.fields}

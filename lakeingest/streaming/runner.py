@@ -164,6 +164,7 @@ def run_ingestion(spark: SparkSession, engine: EngineSpec, datasets: list[Datase
             continue
         try:
             query.awaitTermination()
+            writer.publish()
             log.info("[%s] done, %d row(s) in %d batch(es)", ds.name, writer.rows, writer.batches)
             results.append(_result(run_id, ds, engine, started, _finished_at(query), writer.rows, "OK"))
             registered_ok.append(ds)

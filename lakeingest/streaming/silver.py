@@ -24,12 +24,13 @@ log = logging.getLogger(__name__)
 
 def read_bronze_stream(spark: SparkSession, table: str, schema: T.StructType | None = None,
                        **options: str) -> DataFrame:
-    """A bronze table as a stream: the files its sink committed, in commit order.
+    """A bronze table as a stream: the files its sink committed, in commit order, of its current generation.
 
     The schema is the one recorded by the bronze sink; merging every Parquet
     footer is the fallback for tables written by something else.
     """
-    from .sink import BATCH, table_schema, with_batch
+    from .sink import BATCH, data_path, table_schema, with_batch
+    table = data_path(spark, table)
     schema = schema or table_schema(spark, table) or spark.read.option("mergeSchema", "true").parquet(table).drop(BATCH).schema
     return (spark.readStream.schema(with_batch(schema))
             .options(**{"maxFileAge": "365000d", "maxFilesPerTrigger": "50000", **options}).parquet(table).drop(BATCH))

@@ -7,6 +7,10 @@ continuous query instead.
 A micro-batch is written to a hidden folder beside the table's data and becomes visible by one rename to
 ``_batch=<id>``. A batch that is run again finds its folder and adds nothing. Rows are counted by ``observe`` while they
 are written: exact for any number of batches, without a second pass.
+
+A checkpoint that was reset would start again at batch 0 and add nothing. It is refused, or
+(``on_checkpoint_reset: new_generation``) reads everything again into a new generation of the table, a folder of its
+own. Readers follow a pointer that moves when the generation's first drain is complete.
 """
 
 from __future__ import annotations
@@ -86,6 +90,43 @@ def guard_checkpoint(spark: SparkSession, table: str, checkpoint: str) -> None:
             _write_token(spark, f"{checkpoint}/_lakeingest_token", token)
 
 
+GENERATION_FILE = "_lakeingest_generation"
+
+
+def current_generation(spark: SparkSession, table: str) -> int:
+    """The generation that readers of the table see; 0 is the first, in the table's own folder."""
+    return int(read_text(spark, f"{table}/{GENERATION_FILE}") or 0)
+
+
+def data_path(spark: SparkSession, table: str, generation: int | None = None) -> str:
+    """The folder of a table's rows: those of its current generation, or of the given one."""
+    if generation is None:
+        generation = current_generation(spark, table)
+    return f"{table}.generation-{generation}" if generation else table
+
+
+def open_generation(spark: SparkSession, table: str, checkpoint: str, on_reset: str = "refuse") -> int:
+    """The generation that a checkpoint writes.
+
+    A checkpoint goes on with the generation that holds its token: the current one, or a later one that its first run
+    has not completed. A fresh checkpoint on a written table is refused, or with ``new_generation`` gets the next unused
+    folder; earlier generations stay as they are. A checkpoint of another table or of an earlier generation is refused.
+    """
+    current = current_generation(spark, table)
+    own = _read_token(spark, f"{checkpoint}/_lakeingest_token")
+    generation = current
+    while (token := _read_token(spark, f"{data_path(spark, table, generation)}/_lakeingest_token")) is not None:
+        if token == own:
+            return generation
+        generation += 1
+    if generation == current or own is not None or on_reset != "new_generation":
+        guard_checkpoint(spark, data_path(spark, table, current), checkpoint)
+        return current
+    guard_checkpoint(spark, data_path(spark, table, generation), checkpoint)
+    log.warning("table %s: the checkpoint was reset; rows go to generation %d", table, generation)
+    return generation
+
+
 SCHEMA_FILE = "_lakeingest_schema.json"
 
 
@@ -131,11 +172,15 @@ def _changed_types(known: T.DataType, now: T.DataType, at: str = "") -> list[tup
     return [] if nested.same(known, now) else [(at, known.simpleString(), now.simpleString())]
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A bronze table with the schema its sink recorded (no footer merge); ``_batch`` tells the micro-batch of a row."""
-    schema = table_schema(spark, path)
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", generation: int | None = None) -> DataFrame:
+    """A bronze table with the schema its sink recorded (no footer merge); ``_batch`` tells the micro-batch of a row.
+
+    Without ``generation`` the current one is read.
+    """
     if fmt not in FILE_SINK_FORMATS:
         return spark.read.format(fmt).load(path)
+    path = data_path(spark, path, generation)
+    schema = table_schema(spark, path)
     if schema is None:
         return spark.read.option("mergeSchema", "true").format(fmt).load(path)
     return spark.read.schema(with_batch(schema)).format(fmt).load(path)
@@ -162,9 +207,10 @@ class BronzeWriter:
     ``on_commit`` is called after each committed batch.
     """
 
-    def __init__(self, spark: SparkSession, ds: DatasetSpec, engine: EngineSpec, rows_of, on_commit=None):
+    def __init__(self, spark: SparkSession, ds: DatasetSpec, engine: EngineSpec, rows_of, on_commit=None, generation: int = 0):
         self.spark, self.ds, self.engine, self.rows_of, self.on_commit = spark, ds, engine, rows_of, on_commit
-        self.target, self.fmt = table_path(ds, engine), sink_format(ds, engine)
+        self.generation, self.fmt = generation, sink_format(ds, engine)
+        self.target = data_path(spark, table_path(ds, engine), generation)
         self.rows = self.batches = 0
         self.error: Exception | None = None
 
@@ -209,21 +255,31 @@ class BronzeWriter:
             rows = int(counted.get.get("rows") or 0)
         self.rows += rows
         self.batches += 1
+        if self.ds.continuous:
+            self.publish()
         if self.on_commit is not None:
             self.on_commit(self)
 
 
+    def publish(self) -> None:
+        """Let readers see the generation written: once a drain is complete, or a continuous query has a batch in it."""
+        table = table_path(self.ds, self.engine)
+        if self.fmt in FILE_SINK_FORMATS and self.batches and self.generation > current_generation(self.spark, table):
+            write_text(self.spark, f"{table}/{GENERATION_FILE}", str(self.generation))
+
+
 def start_bronze_stream(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec, stream: DataFrame, rows_of,
                         on_commit=None) -> tuple[StreamingQuery, BronzeWriter]:
     """Start the append stream into the dataset's bronze table; ``rows_of`` makes rows of a micro-batch of ``stream``."""
     target = table_path(ds, engine)
     checkpoint = (ds.sink.get("options") or {}).get("checkpointLocation") or checkpoint_path(ds, engine)
+    generation = 0
     if sink_format(ds, engine) in FILE_SINK_FORMATS:
         if path_exists(spark, f"{target}/_spark_metadata"):
             raise CheckpointMismatchError(f"table {target} was written by Spark's file sink, whose log hides the folders "
                                           "written here; write to another path")
-        guard_checkpoint(spark, target, checkpoint)
-    batches = BronzeWriter(spark, ds, engine, rows_of, on_commit)
+        generation = open_generation(spark, target, checkpoint, ds.sink.get("on_checkpoint_reset", "refuse"))
+    batches = BronzeWriter(spark, ds, engine, rows_of, on_commit, generation)
     writer = stream.writeStream.foreachBatch(batches.__call__).option("checkpointLocation", checkpoint).queryName(ds.name)
     trigger = ds.sink.get("trigger", {})
     if trigger.get("processing_time"):
@@ -242,5 +298,5 @@ def has_committed_data(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec)
     """Whether the bronze table holds a committed batch."""
     target = table_path(ds, engine)
     if sink_format(ds, engine) in FILE_SINK_FORMATS:
-        return any(n.startswith(f"{BATCH}=") for n in list_names(spark, target))
+        return any(n.startswith(f"{BATCH}=") for n in list_names(spark, data_path(spark, target)))
     return path_exists(spark, target)

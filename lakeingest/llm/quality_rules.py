@@ -1,8 +1,8 @@
 """Quality rules as a short-circuit cascade (column expressions only).
 
 A rule is a condition under which a text is rejected. The verdict, *kept*, is that no rule rejects; it does not depend
-on the order of the rules. The cost does: each rule's time and rejection rate are measured on a bounded sample, and the
-rules are chained by rejections per second of cost, most first. The chain is nested conditionals, so a rule is
+on the order of the rules. The cost does: each rule's time and rejection rate are measured on a bounded sample of the rows that pass the
+base rule, drawn by hash from the whole table, and the rules are chained by rejections per second of cost, most first. The chain is nested conditionals, so a rule is
 evaluated only for texts that every rule before it has passed.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Null and empty texts have no words: every count is 0 and they are rejected by the base
@@ -128,17 +128,25 @@ def cascade(rules: list[RejectRule], text: Column, counts: Column) -> Column:
     return verdict
 
 
+def spread_sample(texts: DataFrame, rows: int) -> DataFrame:
+    """The ``rows`` rows of the smallest hashes, wherever they lie in the table (all, if there are fewer)."""
+    share = min(1.0, 2 * rows / max(texts.count(), 1))
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    return texts.withColumn("place", place).filter(F.col("place") <= int(share * (1 << 30))).orderBy("place").limit(rows).drop("place")
+
+
 def quality_verdicts(documents: DataFrame, rules: list[RejectRule] | None = None,
                      sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, the base counts, base_failed and kept of each row of ``documents``."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     judged = texts.withColumn("counts", base_counts(F.col("text")))
-    sample = texts.limit(sample_rows).withColumn("counts", base_counts(F.col("text"))).cache()
+    failed = (F.col("counts.n_words") < 10) | (100 * F.col("counts.n_repeat_words") > 20 * F.col("counts.n_words"))
+    sample = spread_sample(texts, 2 * sample_rows).withColumn("counts", base_counts(F.col("text"))).filter(~failed)
+    sample = sample.limit(sample_rows).cache()
     try:
         chain = ordered(measure(sample, RULES if rules is None else rules))
     finally:
         sample.unpersist()
-    failed = (F.col("counts.n_words") < 10) | (100 * F.col("counts.n_repeat_words") > 20 * F.col("counts.n_words"))
     return (judged.withColumn("base_failed", failed)
             .withColumn("kept", F.when(F.col("base_failed"), False)
                         .otherwise(cascade(chain, F.col("text"), F.col("counts")).isNull()))

@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakeingest.llm.quality_rules import RULES, RejectRule, measure, ordered, quality_verdicts
+from lakeingest.llm import quality_rules
+from lakeingest.llm.quality_rules import RULES, RejectRule, measure, ordered, quality_verdicts, spread_sample
 from lakeingest.llm.rule_ensemble import Rule, RuleEnsemble, score_quality, statistics, train_quality
 from lakeingest.llm.samples import labelled_sample, remainder
 from lakeingest.llm.toxicity import drop_toxic, fit_noisy_or, score_toxicity, train_toxicity
@@ -144,3 +145,18 @@ def test_kept_matches_rules_one_by_one(spark, tables):
     kept = quality_verdicts(docs).join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("p"))
     share = {r.quality: r.p for r in kept.collect()}
     assert share[1] > 0.97 and share[0] < 0.5
+
+
+def test_rules_are_measured_on_rows_of_the_whole_table(spark, monkeypatch):
+    """Rows sorted by source: the sample holds both, rows that fail the base rule are none of it."""
+    texts = [(i, "one two") for i in range(300)] + [(i, " ".join(f"w{i}x{j}" for j in range(12))) for i in range(300, 3000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    seen = []
+
+    def watched(sample, rules):
+        seen.extend(r.doc_id for r in sample.collect())
+        return measure(sample, rules)
+    monkeypatch.setattr(quality_rules, "measure", watched)
+    assert quality_verdicts(docs, sample_rows=100).count() == 3000
+    assert len(seen) == 100 and min(seen) >= 300 and any(i < 1500 for i in seen) and any(i > 2500 for i in seen)
+    assert spread_sample(docs.limit(5), 100).count() == 5 and spread_sample(docs.limit(0), 100).count() == 0

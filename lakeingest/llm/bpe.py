@@ -176,18 +176,26 @@ class Automaton:
         self.size = np.zeros(max(self.label) + 1, dtype=np.int64)
         self.size[list(self.labels.values())] = list(map(len, self.labels))
         self.shorter = np.full(max(self.label) + 1, -1, dtype=np.int64)
-        table = np.zeros((len(above), 256), dtype=np.int32)
+        inner = np.unique(above)        # a node without children goes on as its suffix does, and shares its row
+        row = np.zeros(len(above), dtype=np.int64)
+        row[inner] = np.arange(len(inner))
+        leaf = np.ones(len(above), dtype=bool)
+        leaf[inner] = False
+        table = np.zeros((len(inner), 256), dtype=np.int32)
         suffix = np.zeros(len(above), dtype=np.int64)
         levels = [np.flatnonzero(depth == d) for d in range(int(depth.max()) + 2)]
         for nodes, children in zip(levels, levels[1:]):
-            table[nodes] = table[suffix[nodes]]
-            if len(nodes) and nodes[0] != 0:
-                suffix[children] = table[suffix[above[children]], byte[children]]
-            table[above[children], byte[children]] = children
+            own = nodes[~leaf[nodes]]
+            table[row[own]] = table[row[suffix[own]]]
+            if nodes[0] != 0:
+                suffix[children] = table[row[suffix[above[children]]], byte[children]]
+            table[row[above[children]], byte[children]] = children
+            ends = leaf[children]
+            row[children[ends]] = row[suffix[children[ends]]]
             ends = self.longest[children] >= 0
             self.shorter[self.longest[children[ends]]] = self.longest[suffix[children[ends]]]
             self.longest[children[~ends]] = self.longest[suffix[children[~ends]]]
-        self.table = table.reshape(-1)
+        self.table, self.row = table.reshape(-1), row << 8
 
     def has_arcs(self, states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """Whether each state has an arc for the token beside it."""
@@ -224,7 +232,7 @@ class Automaton:
         longer = len(order) - np.searchsorted(length[::-1], np.arange(int(length[0])), side="right")
         for place, n in enumerate(longer):
             at = start[:n] + place
-            node = self.table[node[:n] << 8 | data[at]].astype(np.int64)
+            node = self.table[self.row[node[:n]] | data[at]]
             found = self.longest[node]
             while len(at):
                 size = self.size[found]
@@ -254,7 +262,7 @@ class Automaton:
         ending: list[int] = []
         node, known = 0, {}
         for place, byte in enumerate(word):
-            node = int(self.table[node << 8 | byte])
+            node = int(self.table[self.row[node] | byte])
             token = int(self.longest[node])
             while (size := int(self.size[token])) <= place:
                 key = (ending[place - size], token)

@@ -45,7 +45,7 @@ def sentences(data: np.ndarray, begin: np.ndarray) -> tuple[Words, np.ndarray, n
 def fit_noisy_or(word: np.ndarray, sentence: np.ndarray, doc: np.ndarray, label: np.ndarray, steps: int = 200,
                  penalty: float = 4e-5, rate: float = 0.5, telling: float = 1.0) -> tuple[np.ndarray, float]:
     """Weights by bucket and the bias. ``sentence`` numbers the sentence of each word, ``doc`` the document of each
-    sentence, ``label`` the class of each document.
+    sentence, ``label`` the class of each document; both numbers ascend.
 
     The first half selects words, with an L1 penalty; the second fits the words of a weight over ``telling`` again
     without it, as the penalty holds their weights down and thereby the bias up. A leak, the chance of a toxic label
@@ -54,8 +54,11 @@ def fit_noisy_or(word: np.ndarray, sentence: np.ndarray, doc: np.ndarray, label:
     """
     n, n_docs = len(doc), max(1, len(label))
     # words of few documents tell nothing that holds elsewhere
-    pairs = np.unique(doc[sentence] * np.int64(BUCKETS) + word)
-    keep = np.bincount(pairs % BUCKETS, minlength=BUCKETS) >= LEAST_DOCS
+    first = np.searchsorted(sentence, np.searchsorted(doc, np.arange(len(label) + 1)))
+    held = np.zeros(BUCKETS, dtype=np.int64)
+    for low, high in zip(first[:-1], first[1:]):
+        held[np.unique(word[low:high])] += 1
+    keep = held >= LEAST_DOCS
 
     def descend(weights, bias, leak, keep, penalty):
         use = keep[word]
@@ -117,7 +120,8 @@ def train_toxicity(documents: DataFrame, labels: DataFrame, learnable: Column, l
     word = np.concatenate([np.frombuffer(r["words"], np.int32) for r in rows])
     lengths = [np.frombuffer(r["lengths"], np.int32) for r in rows]
     doc = np.repeat(np.arange(len(rows)), [len(x) for x in lengths])
-    sentence = np.repeat(np.arange(len(doc)), np.concatenate(lengths))
+    sentence = np.repeat(np.arange(len(doc), dtype=np.int32), np.concatenate(lengths))
+    del rows, lengths
     weights, bias = fit_noisy_or(word, sentence, doc, y)
     return weights.astype(np.float32), bias
 

@@ -8,7 +8,7 @@ over all documents of a bounded sample. The trained sentence scores then locate
 Words are runs of letters, digits and non-ASCII bytes in lower case, hashed to ``BUCKETS`` weights; a sentence ends at
 ``. ! ?`` or a line end. Nothing but the text enters a score. Texts that are null or have no words score 0.
 
-The sample holds at most ``sample_rows`` labelled documents, chosen by hash; scoring covers every whole text in one pass.
+The sample holds at most ``sample_rows`` labelled documents of ``sample_words`` words together, chosen by hash; scoring covers every whole text in one pass.
 Without labels of both classes nothing can be learned and every score is 0. Repeated rows are scored alike; a
 doc_id may be null. Extra columns are ignored by ``score_toxicity`` and kept by ``drop_toxic``.
 """
@@ -20,11 +20,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .exchange import stage, unstage
 from .samples import labelled_sample
 from .textblocks import Words, chunks, words
 
 BUCKETS = 1 << 17
 SAMPLE_ROWS = 12000
+SAMPLE_WORDS = 8_000_000
 LEAST_DOCS = 5
 _APART = np.ones(256, dtype=bool)
 _APART[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -103,17 +105,34 @@ def _featurise(batches):
             for d in range(high - low):
                 rows.append((bucket[w.first[d]:w.first[d + 1]].astype(np.int32).tobytes(),
                              lengths[edge[d]:edge[d + 1]].tobytes(), label[low + d]))
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()),
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([r[0] for r in rows], pa.binary()),
                                           pa.array([r[1] for r in rows], pa.binary()),
-                                          pa.array([r[2] for r in rows], pa.int32())], names=["words", "lengths", "label"])
+                                          pa.array([r[2] for r in rows], pa.int32())],
+                                         names=["doc_id", "words", "lengths", "label"])
+
+
+def longest_that_fit(n_words: list[int], total: int) -> int:
+    """The greatest length such that all documents up to it have at most ``total`` words together (-1: none)."""
+    lengths, count = np.unique(np.array(n_words, dtype=np.int64), return_counts=True)
+    fit = np.searchsorted(np.cumsum(lengths * count), total, side="right")
+    return int(lengths[fit - 1]) if fit else -1
 
 
 def train_toxicity(documents: DataFrame, labels: DataFrame, learnable: Column, label: str = "toxic",
-                   sample_rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, float]:
-    """Weights and bias from at most ``sample_rows`` labelled documents with ``learnable`` (a condition on doc_id)."""
+                   sample_rows: int = SAMPLE_ROWS, sample_words: int = SAMPLE_WORDS) -> tuple[np.ndarray, float]:
+    """Weights and bias from at most ``sample_rows`` labelled documents with ``learnable`` (a condition on doc_id).
+
+    What reaches the driver is bounded by rows and by words: one text a doc_id (the least, where rows share it), and of
+    a sample of more than ``sample_words`` words the longest documents are left out of the fit.
+    """
     sample = labelled_sample(labels, label, learnable, sample_rows)
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
-    rows = texts.select("text", "label").mapInArrow(_featurise, "words binary, lengths binary, label int").collect()
+    texts = (documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
+             .groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label")))
+    staged = stage(texts.mapInArrow(_featurise, "doc_id long, words binary, lengths binary, label int"), "toxicity-sample")
+    size = F.length("words") / 4
+    longest = longest_that_fit([int(r[0]) for r in staged.select(size).collect()], sample_words)
+    rows = sorted(staged.filter(size <= longest).collect(), key=lambda r: r["doc_id"])
+    unstage(staged)
     y = np.array([r["label"] for r in rows], dtype=np.int64)
     if len(set(y.tolist())) < 2:
         return np.zeros(BUCKETS, dtype=np.float32), -40.0

@@ -11,7 +11,7 @@ from lakeingest.llm import quality_rules
 from lakeingest.llm.quality_rules import RULES, RejectRule, measure, ordered, quality_verdicts, spread_sample
 from lakeingest.llm.rule_ensemble import Rule, RuleEnsemble, score_quality, statistics, train_quality
 from lakeingest.llm.samples import labelled_sample, remainder
-from lakeingest.llm.toxicity import drop_toxic, fit_noisy_or, score_toxicity, train_toxicity
+from lakeingest.llm.toxicity import drop_toxic, fit_noisy_or, longest_that_fit, score_toxicity, train_toxicity
 
 from .fixtures import DOCUMENTS, documents, rows, tokens
 
@@ -65,6 +65,19 @@ def test_no_labels_no_toxicity(spark, tables):
     assert score_toxicity(docs.limit(5), weights, bias).filter("score > 1e-9").count() == 0
 
 
+def test_toxicity_sample_is_bounded_by_rows_and_words(spark, tables):
+    docs, labels = tables
+    labels = labels.filter("doc_id < 300")
+    weights, bias = train_toxicity(docs, labels, F.lit(True))
+    # repeated rows are one document, whatever the partitions
+    again, bias2 = train_toxicity(docs.union(docs).repartition(5), labels, F.lit(True))
+    assert bias == bias2 and np.array_equal(weights, again)
+    few, _ = train_toxicity(docs, labels, F.lit(True), sample_words=3000)
+    assert (few != 0).sum() < (weights != 0).sum()
+    assert train_toxicity(docs, labels, F.lit(True), sample_words=0)[1] == -40.0
+    assert [longest_that_fit(x, 10) for x in ([], [11], [3, 3, 4], [3, 3, 5], [3, 4, 4], [0, 0])] == [-1, -1, 4, 3, 3, 0]
+
+
 def test_labels_of_other_folds_are_never_learned(spark, tables):
     labels = tables[1]
     got = labelled_sample(labels, "quality", remainder("doc_id", 3) != 1, 10 ** 6).collect()

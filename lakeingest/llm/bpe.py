@@ -290,10 +290,9 @@ class Encoder:
     space, a lone space always begins a new word, so texts are cut there first and the pieces' ids are reused.
     """
 
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        self.path, self.symbols = path, byte_symbols()
+    def __init__(self, content: str):
+        spec = json.loads(content)
+        self.content, self.symbols = content, byte_symbols()
         as_bytes = {t: bytes(map(self.symbols.__getitem__, t)) for t in spec["model"]["vocab"]}
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         self.automaton = Automaton({as_bytes[t]: i for t, i in spec["model"]["vocab"].items()},
@@ -312,7 +311,7 @@ class Encoder:
     @functools.cached_property
     def _library_split(self):
         from tokenizers import Tokenizer
-        return Tokenizer.from_file(self.path).pre_tokenizer.pre_tokenize_str
+        return Tokenizer.from_str(self.content).pre_tokenizer.pre_tokenize_str
 
     def _plain(self, text: str) -> list[tuple[dict | None, list]]:
         if not text.isascii() and any(unicodedata.category(c) == "Cn" for c in set(self.unusual(text))):
@@ -382,9 +381,9 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """Compiled once per Python worker."""
-    return Encoder(path)
+def encoder(content: str) -> Encoder:
+    """Of the text of a tokenizer file; compiled once per Python worker."""
+    return Encoder(content)
 
 
 def _runs(texts: pa.Array) -> Iterator[list[str]]:
@@ -411,7 +410,7 @@ def _little(ids: bytes) -> bytes:
 def encode_texts(documents: DataFrame, path: str, digests_only: bool = False, places: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids array<int>) of each row of ``documents``, in their order.
 
-    ``path``: a byte-level BPE file that the workers can read. The ids are hashed as little-endian unsigned 32-bit
+    ``path``: a byte-level BPE file that the driver can read; its text (a few MB) is broadcast to the workers. The ids are hashed as little-endian unsigned 32-bit
     integers, the decoded text as UTF-8, where they are made; ``digests_only`` leaves out the ids. ``places``: long columns that
     each row keeps, after the others.
     """
@@ -421,8 +420,11 @@ def encode_texts(documents: DataFrame, path: str, digests_only: bool = False, pl
     names = names + ("" if digests_only else ", ids array<int>") + "".join(f", {c} long" for c in places)
     schema = pa.schema(fields + [(c, pa.int64()) for c in places])
 
+    with open(path, encoding="utf-8") as f:
+        vocabulary = documents.sparkSession.sparkContext.broadcast(f.read())
+
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(vocabulary.value)
         for batch in batches:
             rows, all_ids = [], []
             for ids in itertools.chain.from_iterable(map(enc.encode_all, _runs(batch.column("text")))):

@@ -7,8 +7,8 @@ A passage is a run of at least ``min_words`` words that occurs in two or more do
    content alone, so every passage holds a position that is kept in each of its copies. Suffixes are sorted by their
    first ``anchor`` words (as a hash) and neighbours are compared; those equal to none are dropped.
 2. **Left and right.** A kept suffix is extended to the left by 0 to ``min_words - anchor`` words. The extended
-   suffixes are sorted by their first ``min_words`` words and neighbours are compared again: equal neighbours are
-   passages. Overlapping matches of a document are joined, which extends them to the right without limit.
+   suffixes are sorted by their first ``min_words`` words (a hash of 128 bits, so that chance matches stay away at any
+   size a cluster can hold) and neighbours are compared again: equal neighbours are passages. Overlapping matches of a document are joined, which extends them to the right without limit.
 
 So exactly the words that lie in a run of ``min_words`` words also found in another document are reported. Each run
 belongs to its smallest doc_id (role ``first``); in other documents it is ``later``.
@@ -32,6 +32,7 @@ from .exchange import BLOCKS, by_kind, deal, exchange, gather, partitions, stage
 from .textblocks import chunks, grams, mix64, sequence_hash, words
 
 FLUSH_ENTRIES = 2_000_000
+SECOND = np.uint64(0xD1B54A32D192ED03)      # sets the second half of a passage's key apart from the first
 _SPANS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("role", pa.string()),
                     ("start_word", pa.int64()), ("end_word", pa.int64()), ("n_words", pa.int64())])
 
@@ -61,25 +62,27 @@ def minimisers(h: np.ndarray, doc: np.ndarray, anchor: int, window: int) -> tupl
     return at[kept], x[kept]
 
 
-def _local(key, doc, place, text, n_parts: int) -> list[pa.RecordBatch]:
+def _local(key, check, doc, place, text, n_parts: int) -> list[pa.RecordBatch]:
     """Compare entries that met in a task: (1) entries of the smallest document of each key go on, with a flag that
-    others have it too; (2) those of other documents are settled: their key is in an earlier document."""
-    order = np.lexsort((place, doc, key))
-    key, doc, place, text = key[order], doc[order], place[order], text[order]
-    new = np.append(True, key[1:] != key[:-1])
+    others have it too; (2) those of other documents are settled: their key is in an earlier document. Keys are equal
+    if both halves, ``key`` and ``check``, are."""
+    order = np.lexsort((place, doc, check, key))
+    key, check, doc, place, text = (a[order] for a in (key, check, doc, place, text))
+    new = np.append(True, (key[1:] != key[:-1]) | (check[1:] != check[:-1]))
     group = np.cumsum(new) - 1
     least = doc[new][group]
     settled = doc != least
     several = np.bincount(group, weights=settled) > 0
     on = ~settled
-    out = [deal(1, key[on], n_parts, [key[on], doc[on], text[on], place[on], several[group][on].astype(np.uint8)])]
+    out = [deal(1, key[on], n_parts,
+                [key[on], check[on], doc[on], text[on], place[on], several[group][on].astype(np.uint8)])]
     if settled.any():
         spot = mix64(doc[settled].astype(np.uint64))
         out.append(deal(2, spot, n_parts, [doc[settled], text[settled], place[settled]]))
     return out
 
 
-_ENTRY, _MARK = ["u8", "i8", "u8", "u4", "u1"], ["i8", "u8", "u4"]
+_ENTRY, _MARK = ["u8", "u8", "i8", "u8", "u4", "u1"], ["i8", "u8", "u4"]
 
 
 def _compare(n_parts: int):
@@ -87,11 +90,11 @@ def _compare(n_parts: int):
     passage is in an earlier document, else 0."""
     def run(batches):
         blocks = by_kind(batches)
-        key, doc, text, place, multi = gather(blocks.get(1, []), _ENTRY)
+        key, check, doc, text, place, multi = gather(blocks.get(1, []), _ENTRY)
         if len(key):
-            order = np.lexsort((place, doc, key))
-            key, doc, text, place, multi = (a[order] for a in (key, doc, text, place, multi))
-            new = np.append(True, key[1:] != key[:-1])
+            order = np.lexsort((place, doc, check, key))
+            key, check, doc, text, place, multi = (a[order] for a in (key, check, doc, text, place, multi))
+            new = np.append(True, (key[1:] != key[:-1]) | (check[1:] != check[:-1]))
             group = np.cumsum(new) - 1
             later = doc != doc[new][group]
             found = (np.bincount(group, weights=later) + np.bincount(group, weights=multi) > 0)[group]
@@ -139,7 +142,7 @@ def _spans(min_words: int):
 
 
 def _flushed(make, n_parts: int):
-    """A map step over batches: ``make`` gives (key, doc, place, text) arrays of a chunk; entries meet in runs."""
+    """A map step over batches: ``make`` gives (key, check, doc, place, text) arrays of a chunk; entries meet in runs."""
     def emit(batches):
         held, size = [], 0
         for batch in batches:
@@ -161,7 +164,8 @@ def _suffixes(anchor: int, window: int):
             w = words(data, begin)
             at, key = minimisers(w.hashes(lower=False), w.doc, anchor, window)
             place = (at - w.first[w.doc[at]]).astype(np.uint32)
-            yield key, ids[low:high][w.doc[at]], place, np.zeros(len(at), dtype=np.uint64)
+            none = np.zeros(len(at), dtype=np.uint64)       # a first look: half a key is enough
+            yield key, none, ids[low:high][w.doc[at]], place, none
     return make
 
 
@@ -181,10 +185,11 @@ def _extended(min_words: int, anchor: int):
                 np.add.at(edge, np.maximum(p - (min_words - anchor), first), 1)
                 np.add.at(edge, p + 1, -1)
             key, at = grams(h, w.doc, min_words)
+            check, _ = grams(mix64(h + SECOND), w.doc, min_words)
             use = np.cumsum(edge)[at] > 0
-            key, at = key[use], at[use]
+            key, check, at = key[use], check[use], at[use]
             d = w.doc[at]
-            yield key, ids[low:high][d], (at - w.first[d]).astype(np.uint32), text[d]
+            yield key, check, ids[low:high][d], (at - w.first[d]).astype(np.uint32), text[d]
     return make
 
 

@@ -240,3 +240,24 @@ def test_rounds_and_settling_agree(spark, monkeypatch):
     settled = sorted(map(tuple, N.ngram_jaccard_classes(docs).collect()), key=str)
     monkeypatch.setattr(N, "SETTLE_PAIRS", -1)
     assert sorted(map(tuple, N.ngram_jaccard_classes(docs).collect()), key=str) == settled
+
+
+def test_passages_are_told_apart_by_both_halves_of_their_key():
+    """Entries that share 64 bits of a key by chance are no passage, in the map step and after the shuffle."""
+    from lakeingest.llm.suffix_dedup import _MARK, _compare, _local
+    from lakeingest.llm.exchange import by_kind, unpack
+
+    def marks(check, doc):
+        n = len(doc)
+        zeros = np.zeros(n, dtype=np.uint64)
+        found = []
+        for split in (n, 1):        # all in one task, or one entry a task
+            batches = [b for at in range(0, n, split) for b in _local(
+                zeros[at:at + split] + np.uint64(7), np.array(check[at:at + split], dtype=np.uint64),
+                np.array(doc[at:at + split]), np.arange(at, min(n, at + split), dtype=np.uint32), zeros[at:at + split], 1)]
+            blocks = by_kind(_compare(1)(batches))
+            found.append(sorted((kind, int(d)) for kind, bs in blocks.items() for b in bs for d in unpack(b, _MARK)[0]))
+        assert found[0] == found[1]
+        return found[0]
+    assert marks([1, 2, 3], [10, 11, 12]) == []
+    assert marks([1, 2, 1, 1], [10, 11, 12, 13]) == [(0, 10), (1, 12), (1, 13)]

@@ -1,7 +1,9 @@
 """Avro fallback codec: round trips and framing (no Spark)."""
 
+import io
 import math
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -68,3 +70,36 @@ def test_timestamp_logical_value():
                  "fields": [{"name": "t", "type": {"type": "long", "logicalType": "timestamp-millis"}}]}
     rec = avro.decode_record(avro.encode_record({"t": 1_700_000_000_000}, ts_schema), ts_schema)
     assert math.isclose(rec["t"].timestamp(), 1_700_000_000)
+
+
+def test_container_is_written_and_read_block_by_block(monkeypatch):
+    monkeypatch.setattr(avro, "BLOCK_BYTES", 100)
+    recs = [{"i": i, "d": i / 2, "s": "x" * 30, "b": None, "raw": b"y"} for i in range(200)]
+    data = avro.container_bytes(SCHEMA, recs)
+    assert data.count(bytes(range(avro.SYNC_SIZE))) > 50
+    stream = io.BytesIO(data)
+    read = avro.iter_records(stream)
+    assert next(read) == recs[0] and stream.tell() < len(data) / 4      # one block, not the file
+    assert [recs[0], *read] == recs
+    with pytest.raises((EOFError, ValueError)):
+        list(avro.iter_records(io.BytesIO(data[:-40])))
+
+
+@pytest.mark.parametrize("opens", [True, False])
+def test_files_are_read_whole_where_tasks_cannot_open_them(spark, monkeypatch, opens):
+    from pyspark.sql import functions as F
+
+    from lakeingest.session import new_area
+    monkeypatch.setattr(avro, "BATCH_ROWS", 7)
+    rows = spark.range(50).select("id", F.concat(F.lit("v"), "id").alias("s"))
+    path = f"{new_area(spark, 'avro_blocks')}/d1"
+    assert avro.write_avro_files(rows.repartition(2), path) == 2
+    if not opens:
+        def refuse(uri):
+            raise OSError(uri)
+        monkeypatch.setattr(avro, "_open_path", refuse)
+    schema = avro.infer_avro_schema(spark, [path], {})
+    assert schema.names == ["id", "s"]
+    back = avro.read_avro_files(spark, [path], {}, schema)
+    assert sorted((r["id"], r["s"]) for r in back.collect()) == [(i, f"v{i}") for i in range(50)]
+    assert back.select("_ingested_filename").distinct().count() == 2

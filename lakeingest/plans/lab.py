@@ -95,20 +95,18 @@ class Lab:
         base = f"{self.engine.landing_root}/{dataset}/{drop}"
 
         def write(batches):
-            import io
-
             import pandas as pd
             from pyspark import TaskContext
-            frames = [pdf for pdf in batches]
-            pdf = pd.concat(frames) if frames else pd.DataFrame()
-            if len(pdf):
+            batches = (pdf for pdf in batches if len(pdf))
+            n, pdf = 0, next(batches, None)
+            if pdf is not None:
                 filesystem, root = task_filesystem(base)
                 filesystem.create_dir(root, recursive=True)
-                text = io.StringIO()
-                pdf.to_csv(text, index=False)
                 with filesystem.open_output_stream(f"{root}/part-{TaskContext.get().partitionId():05d}.csv") as out:
-                    out.write(text.getvalue().encode("utf-8"))
-            yield pd.DataFrame({"n": [len(pdf)]})
+                    while pdf is not None:
+                        out.write(pdf.to_csv(None, index=False, header=n == 0).encode("utf-8"))
+                        n, pdf = n + len(pdf), next(batches, None)
+            yield pd.DataFrame({"n": [n]})
 
         return int(df.mapInPandas(write, "n LONG").agg(F.sum("n")).first()[0] or 0)
 

@@ -501,3 +501,46 @@ def test_schema_log_grows_with_schema_changes_not_runs(spark, small_dir):
     assert lab.run(ds)[0].rows_ingested == 5
     assert len([n for n in list_names(spark, schema_log_path(lab.engine, ds)) if n.startswith("v")]) == 2
     assert lab.bronze(ds).where("event_type IS NOT NULL").count() == 5
+
+
+def test_csv_parts_are_written_batch_by_batch(spark, monkeypatch):
+    from lakeingest.plans import lab as lab_module
+
+    class CountedWrites:
+        """A local file system that keeps beside a file how often it was written to."""
+
+        def create_dir(self, path, recursive=True):
+            import os
+            os.makedirs(path, exist_ok=True)
+
+        def open_output_stream(self, path):
+            import contextlib
+
+            @contextlib.contextmanager
+            def opened():
+                with open(path, "wb") as out:
+                    class Counted:
+                        writes = 0
+
+                        def write(self, data):
+                            self.writes += 1
+                            return out.write(data)
+                    counted = Counted()
+                    yield counted
+                with open(f"{path}.writes", "w") as note:
+                    note.write(str(counted.writes))
+            return opened()
+
+    lab = Lab(spark, "t_csvparts")
+    monkeypatch.setattr(lab_module, "task_filesystem", lambda base: (CountedWrites(), "/" + base[len("file:"):].lstrip("/")))
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, "10")
+    try:
+        assert lab.land_csv_parts(spark.range(35).selectExpr("id", "concat('a,', id) AS t").coalesce(1), "x", "d1") == 35
+    finally:
+        spark.conf.set(batch, before)
+    folder = f"{lab.engine.landing_root}/x/d1"
+    assert spark.read.text(f"{folder}/*.writes").first()[0] == "4"
+    back = spark.read.csv(f"{folder}/part-00000.csv", header=True, schema="id BIGINT, t STRING")
+    assert sorted((r["id"], r["t"]) for r in back.collect()) == [(i, f"a,{i}") for i in range(35)]

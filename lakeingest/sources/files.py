@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rescue
-from ..functions.provenance import with_file_lineage
+from ..functions.provenance import FILE_NAME, FILE_PATH, with_file_lineage
 from ..spec import DatasetSpec, EngineSpec, SpecError
 from .footers import read_groups
 from .schema import (BINARY_FILE_SCHEMA, CORRUPT_KEY, ResolvedSchema, check_source, literal_path, resolve_schema,
@@ -28,27 +28,46 @@ from .schema import (BINARY_FILE_SCHEMA, CORRUPT_KEY, ResolvedSchema, check_sour
 # Folders are looked into at any depth, whether they are named ``key=value`` or not.
 _DEFAULT_STREAM_OPTIONS = {"maxFileAge": "365000d", "maxFilesPerTrigger": "50000", "recursiveFileLookup": "true"}
 
+# Tasks of a batch of binary files, for each core of the cluster.
+TASKS_PER_CORE = 8
+FILE_LINEAGE = (FILE_NAME, FILE_PATH)
+
 # Reader options that say which files are read and when; the others say how a file is read.
 _SELECTION = ("pathGlobFilter", "recursiveFileLookup", "maxFilesPerTrigger", "maxBytesPerTrigger", "maxFileAge", "latestFirst",
               "cleanSource", "sourceArchiveDir", "fileNameOnly", "maxCachedFiles")
 
 
 def stream_of_files(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec) -> DataFrame:
-    """The names of the new files, as a stream (``path``). No content is read."""
+    """The names of the new files, as a stream (``path``). No content is read.
+
+    Binary files need no schema of their batch: their stream is the rows themselves, so a batch's files are listed once
+    and their names stay off the driver.
+    """
     check_source(spark, ds, engine)
     path = engine.resolve_path(ds.source["path"])
     _, reader_opts = split_options(ds.source)
     options = {**_DEFAULT_STREAM_OPTIONS, **{k: v for k, v in reader_opts.items() if k in _SELECTION}}
     if "maxBytesPerTrigger" in options and "maxFilesPerTrigger" not in reader_opts:
         options.pop("maxFilesPerTrigger")       # Spark takes one of the two
-    return spark.readStream.options(**options).format("binaryFile").schema(BINARY_FILE_SCHEMA).load(path).select("path")
+    files = spark.readStream.options(**options).format("binaryFile").schema(BINARY_FILE_SCHEMA).load(path)
+    if not rows_in_stream(ds):
+        return files.select("path")
+    return with_file_lineage(files).select(*BINARY_FILE_SCHEMA.names, *FILE_LINEAGE)
+
+
+def rows_in_stream(ds: DatasetSpec) -> bool:
+    """Whether the stream has the rows of the files, not only their names: binary files, unless with options of a reader."""
+    return ds.source["format"] == "binaryFile" and not set(split_options(ds.source)[1]) - set(_SELECTION)
 
 
 def read_batch(spark: SparkSession, ds: DatasetSpec, engine: EngineSpec, files: DataFrame, label: str) -> DataFrame | None:
     """The rows of one micro-batch's files with its columns, rescue column and file lineage; None without any file.
 
-    The driver holds the names of the batch's files (at most ``maxFilesPerTrigger``), as Spark's file source does.
+    The driver holds the names of the batch's files (at most ``maxFilesPerTrigger``), as Spark's file source does, except
+    for binary files. Those come in splits of some 30 files whatever their size; a few tasks a core take them together.
     """
+    if rows_in_stream(ds):
+        return None if files.rdd.getNumPartitions() == 0 else files.coalesce(spark.sparkContext.defaultParallelism * TASKS_PER_CORE)
     paths = sorted(r["path"] for r in files.select("path").collect())
     if not paths:
         return None

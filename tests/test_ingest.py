@@ -544,3 +544,33 @@ def test_csv_parts_are_written_batch_by_batch(spark, monkeypatch):
     assert spark.read.text(f"{folder}/*.writes").first()[0] == "4"
     back = spark.read.csv(f"{folder}/part-00000.csv", header=True, schema="id BIGINT, t STRING")
     assert sorted((r["id"], r["t"]) for r in back.collect()) == [(i, f"a,{i}") for i in range(35)]
+
+
+def test_binary_batches_list_their_files_once(spark, monkeypatch):
+    from lakeingest.session import prepare
+    from lakeingest.sources import files
+    lab = Lab(spark, "t_binonce")
+    rows = spark.createDataFrame([(f"lang=en/p {i}[x].txt", f"text {i}") for i in range(70)], "rel STRING, body STRING")
+    lab.land_files(rows, "pages", "d1", "rel", "body")
+    ds = lab.dataset("pages", files_source("binaryFile", "pages", options={"pathGlobFilter": "*.txt"}))
+
+    def again(*_):
+        raise AssertionError("files listed a second time")
+    monkeypatch.setattr(files, "read_files", again)
+    result = lab.run(ds)[0]
+    assert (result.status, result.rows_ingested) == ("OK", 70)
+    bronze = lab.bronze(ds)
+    assert bronze.columns == ["path", "modificationTime", "length", "content", "_ingested_filename", "_ingested_filepath",
+                              "_ingested_at"]
+    theirs = (spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(f"{lab.engine.landing_root}/pages")
+              .select("*", "_metadata.file_name", "_metadata.file_path"))
+    assert sorted(map(tuple, bronze.drop("_ingested_at").collect())) == sorted(map(tuple, theirs.collect()))
+    assert bronze.select("content").distinct().count() == 70
+    listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(listing)
+    spark.conf.unset(listing)
+    try:
+        prepare(spark)
+        assert int(spark.conf.get(listing)) <= 8 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set(listing, before)

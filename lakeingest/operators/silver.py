@@ -23,7 +23,8 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _orderable(df: DataFrame, exclude: Sequence[str]) -> list[str]:
+def orderable(df: DataFrame, exclude: Sequence[str]) -> list[str]:
+    """The columns but those in ``exclude`` and those whose type has no order."""
     return [f.name for f in df.schema.fields
             if f.name not in exclude and not isinstance(f.dataType, _UNORDERABLE)]
 
@@ -36,7 +37,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     """
     keys, order_by = list(keys), list(order_by)
     others = [c for c in df.columns if c not in keys]
-    tiebreak = _orderable(df, keys + order_by)
+    tiebreak = orderable(df, keys + order_by)
     ordering = F.struct(*[_q(c).alias(f"o{i}") for i, c in enumerate(order_by + tiebreak)])
     best = F.max_by(F.struct(*[_q(c) for c in others]), ordering).alias("_row")
     out = df.groupBy(*[_q(k) for k in keys]).agg(best)

@@ -25,12 +25,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.silver import latest_per_key
+from ..operators.silver import latest_per_key, orderable
 from ..session import delete_path, list_names, read_text, write_text
 
 log = logging.getLogger(__name__)
 
+#: Rows that a file keeps at least when a run is spread over more files than its size needs.
+ROWS_OF_SPREAD_FILE = 50_000
+
 Runs = dict[int, list[tuple[str, int]]]
+Staged = tuple[DataFrame, dict[int, int]]
 
 
 def runs_to_merge(runs: list[tuple[str, int]], fan: int) -> list[str]:
@@ -113,7 +117,10 @@ class RunTable:
     def _write(self, rows: DataFrame, run: str, total: int, counts: dict[int, int] | None = None) -> dict[int, int]:
         """Write a run, by bucket; rows of each bucket (at most ``buckets`` numbers, counted unless known)."""
         target = f"{self.path}/data/_run={run}"
-        parts = max(1, math.ceil(total / self.buckets / self.rows_per_file))
+        # Enough files for every core to write some, unless they would be small.
+        spread = min(math.ceil(4 * self.spark.sparkContext.defaultParallelism / self.buckets),
+                     total // (self.buckets * ROWS_OF_SPREAD_FILE))
+        parts = max(1, math.ceil(total / self.buckets / self.rows_per_file), spread)
         part = F.pmod(F.xxhash64(F.lit("part"), *[F.col(f"`{k}`") for k in self.keys]), F.lit(parts))
         rows.repartition(F.col("_bucket"), part).write.mode("overwrite").partitionBy("_bucket").parquet(target)
         if counts is not None:
@@ -123,18 +130,26 @@ class RunTable:
         counts = self.spark.read.schema(rows.schema).parquet(target).groupBy("_bucket").count()
         return {int(r[0]): int(r[1]) for r in counts.collect()}
 
-    def apply(self, changes: DataFrame, version: int) -> None:
-        """Add a batch as ``version`` (monotonic, e.g. the batch id); the newest may be applied again."""
+    def stage(self, changes: DataFrame, version: int) -> Staged:
+        """The batch merged to one row per key and staged in the shared folder, with the rows of each bucket: it is read
+        several times and made once."""
         known = self.versions()
         if known and version < known[-1]:
             from .sink import CheckpointMismatchError
             raise CheckpointMismatchError(
                 f"state {self.path} is at version {known[-1]}; version {version} comes from a reset checkpoint")
-        # Staged in the shared folder: counted and written without making the rows twice.
         staging = f"{self.path}/_staging/_version={version}"
-        self.merge(self.prepared(changes)).write.mode("overwrite").parquet(staging)
-        staged = self.spark.read.parquet(staging)
-        counts = {int(r[0]): int(r[1]) for r in staged.groupBy("_bucket").count().collect()}
+        rows = self.merge(self.prepared(changes))
+        rows.write.mode("overwrite").parquet(staging)
+        staged = self.spark.read.schema(rows.schema).parquet(staging)
+        return staged, {int(r[0]): int(r[1]) for r in staged.groupBy("_bucket").count().collect()}
+
+    def apply(self, changes: DataFrame, version: int, staged: Staged | None = None) -> None:
+        """Add a batch as ``version`` (monotonic, e.g. the batch id); the newest may be applied again.
+
+        ``staged`` is what ``stage`` made of these changes, if it has been called.
+        """
+        staged, counts = staged or self.stage(changes, version)
         total = sum(counts.values())
         if not total:
             return
@@ -216,29 +231,34 @@ class KeyedLog(RunTable):
         rows = self.current(below)
         return None if rows is None else rows.where(~F.col("_is_deleted")).drop("_is_deleted", "_bucket")
 
-    def signed_changes(self, changes: DataFrame, version: int) -> DataFrame:
+    def signed_changes(self, changes: DataFrame, version: int, staged: Staged | None = None) -> DataFrame:
         """What ``version`` changes in the visible rows: the old row of a key with ``_sign`` -1, its new row with +1.
 
         Only keys of the batch are looked up, in their buckets of the state before ``version``. Keys whose visible row
-        stays the same give nothing.
+        stays the same give nothing. ``staged`` is what ``stage`` made of these changes, if it has been called.
         """
-        new = self.merge(self.prepared(changes))
+        new, touched = staged or self.stage(changes, version)
         _, runs, _ = self.manifest(below=version)
-        touched = {r[0] for r in new.select("_bucket").distinct().collect()}       # at most ``buckets`` numbers
         before = self._read({b: names for b, names in runs.items() if b in touched})
         both = new.withColumn("_new", F.lit(True))
         if before is not None:
-            keys = new.select(*self.keys).distinct()
-            old = self.merge(before.join(keys, self.keys, "left_semi"))
+            # The hint keeps the keys of a batch off the driver.
+            old = before.join(new.select(*self.keys).hint("shuffle_merge"), self.keys, "left_semi")
             both = both.unionByName(old.withColumn("_new", F.lit(False)), allowMissingColumns=True)
-        row = F.struct(*[F.col(f"`{c}`") for c in both.columns if c != "_new"])
-        order = F.struct(*[F.col(f"`{c}`") for c in self.order_by], F.xxhash64(F.to_json(row)))
+        # The order of ``merge``, over the rows before the batch and over all rows: one aggregation finds both.
+        names = [c for c in both.columns if c != "_new"]
+        ordered = orderable(both, [*self.keys, *self.order_by, "_new"])
+        row = F.struct(*[F.col(f"`{c}`") for c in names])
+        order = F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(self.order_by + ordered)])
         pairs = both.groupBy(*self.keys).agg(
-            F.max_by(F.when(~F.col("_new"), row), ~F.col("_new")).alias("old"), F.max_by(row, order).alias("now"))
+            F.max_by(row, F.when(~F.col("_new"), order)).alias("old"), F.max_by(row, order).alias("now"))
+        # Maps have no equality.
+        same = (F.col("old").eqNullSafe(F.col("now")) if len(orderable(both, ["_new"])) == len(names)
+                else F.to_json("old") == F.to_json("now"))
         signed = pairs.select(F.explode(F.array(
             F.struct(F.col("old").alias("row"), F.lit(-1).alias("sign")),
             F.struct(F.col("now").alias("row"), F.lit(1).alias("sign")))).alias("s"),
-            (F.col("old").isNotNull() & (F.to_json("old") == F.to_json("now"))).alias("still"))
+            (F.col("old").isNotNull() & same).alias("still"))
         shown = signed.where("s.row IS NOT NULL AND NOT s.row._is_deleted AND NOT still")
         return shown.select("s.row.*", F.col("s.sign").alias("_sign")).drop("_is_deleted", "_bucket")
 
@@ -278,16 +298,17 @@ def start_state_stream(changes: DataFrame, state: KeyedLog, checkpoint: str, tot
     A batch that is run again makes the same changes and overwrites the same runs.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
+        staged = state.stage(batch, batch_id)
         if totals:
             at = f"{state.path}/_signed/_version={batch_id}"
-            state.signed_changes(batch, batch_id).write.mode("overwrite").parquet(at)
+            state.signed_changes(batch, batch_id, staged).write.mode("overwrite").parquet(at)
             signed = state.spark.read.parquet(at)
             for t in totals:
                 t.apply(signed, batch_id)
             for old in list_names(state.spark, f"{state.path}/_signed"):
                 if old.startswith("_version=") and old != f"_version={batch_id}":
                     delete_path(state.spark, f"{state.path}/_signed/{old}")
-        state.apply(batch, batch_id)
+        state.apply(batch, batch_id, staged)
 
     writer = changes.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if name:

@@ -105,3 +105,22 @@ def test_runs_stay_few_and_rewrites_are_logarithmic():
             runs = [r for r in runs if r[0] not in merged] + [(f"{i}c", rows)]
         assert sum(n for _, n in runs) == 100 * (i + 1) and len(runs) <= 3 * 6
     assert rewritten < 100 * 400 * 6
+
+
+def test_a_batch_is_prepared_once_and_totals_follow_ties(spark, monkeypatch):
+    from lakeingest.streaming.log_state import start_state_stream
+    st = _state(spark, "log_once")
+    totals = TotalsLog(spark, f"{st.path}-totals", {"g": F.col("g")}, {"v": F.col("v").cast("decimal(38,2)")}, buckets=2)
+    made = []
+    prepared = st.prepared
+    monkeypatch.setattr(st, "prepared", lambda changes: made.append(1) or prepared(changes))
+    source = f"{st.path}-changes"
+    # Every key comes twice with one sequence number: the state keeps the greater row, whichever came first.
+    for b, factor in enumerate((1, -1)):
+        (spark.range(40).selectExpr("concat('k', id) AS k", "1 AS seq", "'U' AS op", "concat('g', id % 3) AS g",
+                                    f"CAST({factor} * (id - 20) AS DECIMAL(10,2)) AS v").write.parquet(f"{source}/d{b}"))
+        stream = spark.readStream.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(source)
+        start_state_stream(stream, st, f"{st.path}-checkpoint", [totals]).awaitTermination()
+    assert len(made) == 2
+    want = {r["g"]: (r["n"], r["v"]) for r in st.visible().groupBy("g").agg(F.count("*").alias("n"), F.sum("v").alias("v")).collect()}
+    assert {r["g"]: (r["_rows"], r["v"]) for r in totals.visible().collect()} == want

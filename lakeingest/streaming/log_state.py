@@ -294,15 +294,18 @@ def start_state_stream(changes: DataFrame, state: KeyedLog, checkpoint: str, tot
                        processing_time: str | None = None, name: str | None = None) -> StreamingQuery:
     """Keep ``state`` and any totals over its visible rows up to date, one version of each per micro-batch.
 
-    The signed changes are made from the state before the batch and staged once; each table takes them as its own version.
+    The signed changes are made from the state before the batch, and staged if several tables read them; each table takes
+    them as its own version.
     A batch that is run again makes the same changes and overwrites the same runs.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
         staged = state.stage(batch, batch_id)
         if totals:
-            at = f"{state.path}/_signed/_version={batch_id}"
-            state.signed_changes(batch, batch_id, staged).write.mode("overwrite").parquet(at)
-            signed = state.spark.read.parquet(at)
+            signed = state.signed_changes(batch, batch_id, staged)
+            if len(totals) > 1:         # read by each of them: made once
+                at = f"{state.path}/_signed/_version={batch_id}"
+                signed.write.mode("overwrite").parquet(at)
+                signed = state.spark.read.schema(signed.schema).parquet(at)
             for t in totals:
                 t.apply(signed, batch_id)
             for old in list_names(state.spark, f"{state.path}/_signed"):

@@ -20,9 +20,12 @@ Steps, all linear in the input:
    across components. Where up to ``SHORT_LIST`` documents are outside a list's largest component, these are its hubs and
    the second round finishes the list; others get 8, 64, ... hubs a round. No pair that could join two components is
    skipped.
-5. As soon as what is left is small enough for one task (``SETTLE_SHINGLES`` shared shingles, ``SETTLE_PAIRS`` pairs within
-   lists), it is settled there by the same search over arrays, in one pass: the short lists of each document are merged, and
-   each merged document of another component is probed in full. The result is the same; only rounds are saved.
+5. Documents that no list connects need no look at each other, so before each round what is left falls into groups, and
+   groups of bounded work are settled by the same search over arrays, in one pass: the short lists of each document outside
+   their largest component are merged, and each merged document of another component is probed in full. Small groups share a
+   task. A larger one is cut into blocks of ``SETTLE_SHINGLES`` shared shingles, each searched by the documents of every
+   slice of the group, so that a task has ``SETTLE_PAIRS`` places to merge at most; only a group of more than
+   ``SETTLE_CUTS`` blocks or slices takes another round first. The result is the same; only rounds are saved.
 
 Order and repeats of rows do not matter. A null text, or one without words, has no shingles and links with nothing;
 with fewer words than a shingle has, the whole sequence is the one shingle. Rows without doc_id take part but name no
@@ -49,9 +52,12 @@ HEAVY_KEPT = 1 << 16
 HEAVY_LOCAL = 32
 POSTINGS_PER_BLOCK = 8192
 SHORT_LIST = 64
-#: What one task settles: 8 bytes a shared shingle, and about 20 ns a pair of places in one list.
-SETTLE_SHINGLES = 12_000_000
+#: What one task settles: 8 bytes a shared shingle, and about 2 ns a place of a merged list. A group is cut so often at most.
+SETTLE_SHINGLES = 4_000_000
 SETTLE_PAIRS = 400_000_000
+SETTLE_CUTS = 16
+#: Shared shingles of the small groups that are settled together.
+SETTLE_TOGETHER = 500_000
 PROBED_AT_ONCE = 64
 #: Rows (24 bytes each) of the classes looked at again that are broadcast to the texts; more of them are joined by shuffle.
 BROADCAST_CLASSES = 1_000_000
@@ -329,81 +335,157 @@ def search(lists: DataFrame, docs: DataFrame, hubs: DataFrame, similarity: int)
         _probe(similarity), "a long, b long")
 
 
+def _postings(listed: list[np.ndarray], names: np.ndarray):
+    """Documents by list (each list's ascending) with the start of each list, and by document its lists and its places."""
+    sizes = np.array([len(x) for x in listed], dtype=np.int64)
+    which = np.searchsorted(names, np.concatenate(listed))
+    owner = np.repeat(np.arange(len(listed), dtype=np.int32), sizes)
+    by_list = np.argsort(which, kind="stable")
+    place = np.empty(len(which), dtype=np.int64)
+    place[by_list] = np.arange(len(which))
+    return (owner[by_list], np.searchsorted(which[by_list], np.arange(len(names) + 1)), which, place,
+            np.concatenate([[0], np.cumsum(sizes)]))
+
+
 def settle(node: np.ndarray, n: np.ndarray, comp: np.ndarray, shared: list[np.ndarray], listed: list[np.ndarray],
-           similarity: int) -> list[tuple[int, int]]:
+           similarity: int, large: list[np.ndarray] | None = None, held: np.ndarray | None = None,
+           asks: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that join the components of all these documents: (a, b), one for each time two components become one.
 
     ``shared`` are the sorted shared shingles of a document, ``listed`` those of the lists it is still in. Documents are
-    taken by size, each against the smaller ones before it in its lists.
+    taken by size, each against the smaller ones before it in its lists, and against all that have the list in ``large``:
+    documents of one component, which are not searched for each other. Where only a part of a group is at hand, documents
+    that ``asks`` marks are searched among those that ``held`` marks.
     """
     order = np.lexsort((node, n))
     node, n, comp = node[order], n[order], comp[order]
-    shared, listed = [shared[i] for i in order], [listed[i] for i in order]
+    large = [x[:0] for x in listed] if large is None else large
+    shared, listed, large = [shared[i] for i in order], [listed[i] for i in order], [large[i] for i in order]
+    asked = range(len(node)) if asks is None else np.flatnonzero(asks[order])
+    held = None if held is None or held.all() else held[order]
     m = np.array([len(x) for x in shared], dtype=np.int64)
-    sizes = np.array([len(x) for x in listed], dtype=np.int64)
-    names, which = np.unique(np.concatenate(listed), return_inverse=True)
-    owner = np.repeat(np.arange(len(node)), sizes)
-    by_list = np.lexsort((owner, which))
-    posting, heads = owner[by_list], np.searchsorted(which[by_list], np.arange(len(names)))
-    place = np.empty(len(which), dtype=np.int64)
-    place[by_list] = np.arange(len(which))                  # of each entry its place in the lists
-    starts = np.concatenate([[0], np.cumsum(sizes)])
+    ends = np.cumsum(m)
+    values, flat = np.unique(np.concatenate(shared), return_inverse=True)
+    own, seen = np.zeros(len(values), dtype=bool), np.zeros(len(node), dtype=bool)
+    names = np.unique(np.concatenate(listed + large))
+    posting, heads, which, place, starts = _postings(listed, names)
+    posting2, heads2, *_ = _postings(large, names)
     _, root = np.unique(comp, return_inverse=True)          # the component of each document, as a label
     links = []
-    for i in range(len(node)):
+    for i in asked:
         entry = slice(starts[i], starts[i + 1])
         lists = [posting[low:high] for low, high in zip(heads[which[entry]], place[entry]) if high > low]
-        if not lists:
-            continue
-        found = np.unique(np.concatenate(lists))            # the merged short lists
-        able = (n[found] * 100 >= n[i] * similarity) & (
-            (n[found] + n[i]) * similarity <= np.minimum(m[found], m[i]) * (100 + similarity))
-        found = found[able & (root[found] != root[i])]
+        lists += [posting2[low:high] for low, high in zip(heads2[which[entry]], heads2[which[entry] + 1]) if high > low]
+        for x in lists:
+            seen[x] = True
+        found = np.flatnonzero(seen)                        # the merged short lists
+        seen[found] = False
+        if held is not None:
+            found = found[held[found]]
+        found = found[root[found] != root[i]]
+        found = found[(n[found] * 100 >= n[i] * similarity) & (n[i] * 100 >= n[found] * similarity) & (
+            (n[found] + n[i]) * similarity <= np.minimum(m[found], m[i]) * (100 + similarity))]
         if not len(found):
             continue
-        own = shared[i]
-        for low in range(0, len(found), PROBED_AT_ONCE):
-            some = found[low:low + PROBED_AT_ONCE]
-            some = some[root[some] != root[i]]
-            if not len(some):
-                continue
-            held = np.concatenate([shared[j] for j in some])
-            hit = own[np.minimum(np.searchsorted(own, held), len(own) - 1)] == held
+        mine = flat[ends[i] - m[i]:ends[i]]
+        own[mine] = True
+        step = PROBED_AT_ONCE
+        while len(found):
+            some, found = found[:step], found[step:]
+            hit = own[np.concatenate([flat[ends[j] - m[j]:ends[j]] for j in some])]
             overlap = np.add.reduceat(hit.astype(np.int64), np.cumsum(m[some]) - m[some])
             for j in some[(100 + similarity) * overlap >= similarity * (n[some] + n[i])]:
                 if root[j] != root[i]:
                     links.append((int(node[i]), int(node[j])))
                     root[root == root[j]] = root[i]
+            found = found[root[found] != root[i]]
+            step = min(2 * step, 16 * PROBED_AT_ONCE)
+        own[mine] = False
     return links
 
 
 def _settled(similarity: int):
+    """Links of the units (part, i, j) of a partition, which is sorted by unit."""
+    numbers, arrays = ("node", "n", "c", "held", "asks"), ("shared", "listed", "large")
+
+    def links(rows):
+        node, n, c, held, asks = (np.concatenate(x) for x in zip(*(r[0] for r in rows)))
+        shared, listed, large = ([x for r in rows for x in r[1][k]] for k in range(3))
+        found = settle(node, n, c, shared, listed, similarity, large, held, asks) if asks.any() else []
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()),
+                                           pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
+
     def run(batches):
-        parts = [[] for _ in range(5)]
+        rows, last = [], None
         for batch in batches:
-            for k, name in enumerate(("node", "n", "c")):
-                parts[k].append(batch.column(name).to_numpy())
-            for k, name in ((3, "shared"), (4, "listed")):
-                parts[k] += [x.values.to_numpy() for x in batch.column(name)]
-        if parts[0]:
-            links = settle(*(np.concatenate(p) for p in parts[:3]), parts[3], parts[4], similarity)
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()),
-                                              pa.array([x[1] for x in links], pa.int64())], names=["a", "b"])
+            if not batch.num_rows:
+                continue
+            unit = np.stack([batch.column(k).to_numpy() for k in ("part", "i", "j")])
+            cuts = [0, *(np.flatnonzero((unit[:, 1:] != unit[:, :-1]).any(axis=0)) + 1), batch.num_rows]
+            flat = [batch.column(k).to_numpy(zero_copy_only=False) for k in numbers]
+            parts = [(batch.column(k).flatten().to_numpy(), batch.column(k).offsets.to_numpy()) for k in arrays]
+            parts = [(values, at - at[0]) for values, at in parts]
+            for low, high in zip(cuts, cuts[1:]):
+                if rows and tuple(unit[:, low]) != last:
+                    yield links(rows)
+                    rows = []
+                last = tuple(unit[:, low])
+                rows.append(([x[low:high] for x in flat], [
+                    np.split(values[at[low]:at[high]], at[low + 1:high] - at[low]) for values, at in parts]))
+        if rows:
+            yield links(rows)
     return run
 
 
-def _small(lists: DataFrame) -> bool:
-    """Whether one task can settle what is left."""
-    pairs = lists.groupBy("s").agg(F.count("*").alias("size")).agg(F.sum(F.col("size") * F.col("size"))).first()[0]
-    shingles = lists.groupBy("node").agg(F.first("m").alias("m")).agg(F.sum("m")).first()[0]
-    return pairs <= SETTLE_PAIRS and shingles <= SETTLE_SHINGLES
-
-
-def settle_in_one_task(lists: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
-    """Links (a, b) of all that is left; at most ``SETTLE_SHINGLES`` shingles reach the task."""
-    open_lists = lists.groupBy("node", "c").agg(F.collect_list("s").alias("listed"))
-    rows = docs.select("node", "n", "shared").join(open_lists, "node").select("node", "n", "c", "shared", "listed")
-    return rows.coalesce(1).mapInArrow(_settled(similarity), "a long, b long")
+def settle_groups(lists: DataFrame, docs: DataFrame, similarity: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Links (a, b) of the groups of bounded work, and the lists of all others; None where there are none."""
+    spark = lists.sparkSession
+    n_parts = partitions(spark)
+    sizes = (lists.groupBy("s", "c").agg(F.count("*").alias("k"), F.min("node").alias("least"))
+             .groupBy("s").agg(F.sum("k").alias("size"), F.max(F.struct("k", "c")).alias("largest"), F.min("least").alias("least")))
+    entries = lists.join(sizes, "s").select("s", "node", "n", "m", "c", "size", "least",
+                                            (F.col("c") == F.col("largest.c")).alias("inside"))
+    nodes = stage(entries.groupBy("node").agg(
+        F.first("n").alias("n"), F.first("m").alias("m"), F.first("c").alias("c"),
+        F.collect_list(F.expr("IF(inside, NULL, s)")).alias("listed"), F.collect_list(F.expr("IF(inside, s, NULL)")).alias("large"),
+        F.sum(F.expr("IF(inside, 0, size)")).alias("work"), F.collect_set("least").alias("near")), "ngram-nodes")
+    load = [F.sum("m").alias("shingles"), F.sum(F.expr("IF(work > 0, m, 0)")).alias("asking"), F.sum("work").alias("work")]
+    total = nodes.agg(*load).first()
+    if total["shingles"] <= SETTLE_TOGETHER and total["work"] <= SETTLE_PAIRS:
+        grouped, bundles = nodes.withColumn("part", F.lit(0).cast("long")), 1
+        groups = grouped.groupBy("part").agg(*load)
+    else:
+        named = components(nodes.select(F.col("node").alias("a"), F.explode("near").alias("b")))
+        grouped = nodes.join(named.select("node", F.col("component").alias("part")), "node")
+        groups = grouped.groupBy("part").agg(*load)
+        bundles = -(-total["shingles"] // SETTLE_TOGETHER)
+    blocks = F.ceil(F.col("shingles") / SETTLE_SHINGLES)
+    groups = stage(groups.withColumn("blocks", blocks).withColumn("slices", F.greatest(
+        F.lit(1), F.ceil(F.col("work") / F.col("blocks") / abs(SETTLE_PAIRS)), F.ceil(F.col("asking") / SETTLE_SHINGLES)))
+        .withColumn("ready", (F.col("blocks") <= SETTLE_CUTS) & (F.col("asking") <= SETTLE_CUTS * SETTLE_SHINGLES)
+                    & (F.col("work") <= SETTLE_PAIRS * SETTLE_CUTS * F.col("blocks"))), "ngram-groups")
+    kinds = {r["ready"] for r in groups.select("ready").distinct().collect()}
+    found = rest = None
+    if True in kinds:
+        # small groups share a unit; others get one for each slice of what asks and each block of what is searched
+        small = f"shingles <= {SETTLE_TOGETHER} AND blocks = 1 AND slices = 1"
+        own = grouped.drop("work").join(groups.filter("ready"), "part").select(
+            F.expr(f"IF({small}, pmod(xxhash64(part), {bundles}), part)").alias("part"), "node", "n", "c", "listed", "large",
+            "blocks", "slices", F.expr("pmod(xxhash64(node), blocks)").alias("own_j"),
+            F.expr("pmod(xxhash64(node, 1), slices)").alias("own_i"))
+        units = F.expr("""concat(
+            transform(sequence(0, slices - 1), i -> struct(i AS i, own_j AS j, true AS held, i = own_i AND size(listed) > 0 AS asks)),
+            transform(filter(sequence(0, blocks - 1), j -> j <> own_j AND size(listed) > 0),
+                      j -> struct(own_i AS i, j AS j, false AS held, true AS asks)))""")
+        rows = own.join(docs.select("node", "shared"), "node").withColumn("unit", F.explode(units)).select(
+            "part", "unit.*", "node", "n", "c", "shared", "listed", "large")
+        found = stage(rows.repartition(n_parts, "part", "i", "j").sortWithinPartitions("part", "i", "j")
+                      .mapInArrow(_settled(similarity), "a long, b long"), "ngram-links")
+    if False in kinds:
+        rest = lists if found is None else stage(lists.join(
+            grouped.join(groups.filter("NOT ready"), "part").select("node"), "node", "left_semi").select(lists.columns), "ngram-lists")
+    unstage(nodes, groups)
+    return found, rest
 
 
 def _hubs(lists: DataFrame, buckets: int) -> DataFrame:
@@ -471,18 +553,22 @@ def ngram_jaccard_classes(documents: DataFrame, k: int = 5, similarity: int = 75
     comp: DataFrame | None = None
     buckets = 1
     while not lists.isEmpty():
-        if _small(lists):
-            found = stage(settle_in_one_task(lists, docs, similarity), "ngram-links")
-            if not found.isEmpty():
-                links = found if links is None else links.unionByName(found)
-                comp = stage(components(links), "ngram-comp")
+        found, rest = settle_groups(lists, docs, similarity)
+        parts = [] if found is None else [found]
+        if rest is not None:
+            if rest is not lists:
+                unstage(lists)
+                lists = rest
+            hubs = stage(_hubs(lists, buckets), "ngram-hubs")
+            parts.append(stage(search(lists, docs, hubs, similarity), "ngram-links"))
+        for part in parts:
+            if not part.isEmpty():
+                links, comp = part if links is None else links.unionByName(part), None
+        if comp is None and links is not None:
+            comp = stage(components(links), "ngram-comp")
+        if rest is None:
             unstage(lists, docs)
             break
-        hubs = stage(_hubs(lists, buckets), "ngram-hubs")
-        found = stage(search(lists, docs, hubs, similarity), "ngram-links")
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            comp = stage(components(links), "ngram-comp")
         gone = hubs.select("s", F.col("query").alias("node"))
         rest = lists.join(gone, ["s", "node"], "left_anti").join(
             hubs.filter("rest IS NOT NULL").select("s").distinct(), "s", "left_anti")

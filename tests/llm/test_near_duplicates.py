@@ -242,6 +242,108 @@ def test_rounds_and_settling_agree(spark, monkeypatch):
     assert sorted(map(tuple, N.ngram_jaccard_classes(docs).collect()), key=str) == settled
 
 
+def _near_copies(spark):
+    """Two bases with near copies on either side of the threshold, single rows, and documents that only share a base's words."""
+    rng = random.Random(11)
+    rows = []
+    for base in range(2):
+        words = [f"b{base}w{i}" for i in range(60)]
+        for _ in range(70):
+            own = list(words)
+            for _ in range(rng.choice([0, 1, 1, 2, 3, 4])):
+                own[rng.randrange(60)] = f"x{rng.randrange(40)}"
+            rows.append(" ".join(own))
+    rows += [" ".join(f"s{i}v{j % 3}" for j in range(20)) for i in range(30) for _ in range(2)]
+    return spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "doc_id long, text string")
+
+
+@pytest.mark.parametrize("shingles, pairs, together", [(300, 2_000, 1), (100_000, 1_000, 50), (1_000, 400_000_000, 1)])
+def test_large_groups_are_settled_in_parts_without_rounds(spark, monkeypatch, shingles, pairs, together):
+    from lakeingest.llm import ngram_join as N
+    from lakeingest.session import ship_package
+    ship_package(spark)
+    docs = _near_copies(spark)
+    texts = {r.doc_id: r.text.split() for r in docs.collect()}
+    sets = {i: {tuple(w[j:j + 5]) for j in range(len(w) - 4)} for i, w in texts.items()}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a in sets:
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+
+    def no_round(*args):
+        raise AssertionError("a round of searches")
+    monkeypatch.setattr(N, "search", no_round)
+    monkeypatch.setattr(N, "SETTLE_SHINGLES", shingles)
+    monkeypatch.setattr(N, "SETTLE_PAIRS", pairs)
+    monkeypatch.setattr(N, "SETTLE_TOGETHER", together, raising=False)
+    monkeypatch.setattr(N, "SETTLE_CUTS", 1000, raising=False)
+    got = {r.doc_id: r.component_id for r in N.ngram_jaccard_classes(docs).collect()}
+    assert got == {i: find(i) for i in sets}
+    assert 40 < len(set(got.values())) < 150
+
+
+def test_groups_of_too_much_work_take_a_round_and_the_others_do_not(spark, monkeypatch):
+    from lakeingest.llm import ngram_join as N
+    from lakeingest.session import ship_package
+    ship_package(spark)
+    docs = _near_copies(spark)
+    want = sorted(map(tuple, N.ngram_jaccard_classes(docs).collect()))
+    seen, search = [], N.search
+
+    def counted(lists, *args):
+        seen.append(lists.select("node").distinct().count())
+        return search(lists, *args)
+    monkeypatch.setattr(N, "search", counted)
+    monkeypatch.setattr(N, "SETTLE_TOGETHER", 1)
+    monkeypatch.setattr(N, "SETTLE_PAIRS", 1_000)
+    monkeypatch.setattr(N, "SETTLE_CUTS", 1)
+    assert sorted(map(tuple, N.ngram_jaccard_classes(docs).collect())) == want
+    assert seen and seen[0] < docs.select("text").distinct().count()
+
+
+def test_settling_in_parts_equals_settling_at_once():
+    """Each slice of what asks against each block of what is held, and lists of a component that is not searched for itself."""
+    from lakeingest.llm.ngram_join import settle
+    rng = np.random.default_rng(5)
+    base = rng.choice(300, 40, replace=False)
+    sets = [np.unique(np.concatenate([base[rng.random(40) < 0.92], rng.choice(300, rng.integers(0, 4))])).astype(np.int64)
+            for _ in range(90)]
+    node, n = rng.permutation(90).astype(np.int64), np.array([len(s) for s in sets])
+    linked = [(i, j) for i in range(90) for j in range(i)
+              if 175 * len(np.intersect1d(sets[i], sets[j])) >= 75 * (n[i] + n[j])]
+
+    def joined(edges, start):
+        root = list(start)
+        for a, b in edges:
+            root = [root[a] if x == root[b] else x for x in root]
+        names = {}
+        return [names.setdefault(x, k) for k, x in enumerate(root)]
+    # a first component: what is linked to the first document
+    comp = np.array([0 if i == 0 or (i, 0) in linked else i for i in range(90)], dtype=np.int64)
+    none = sets[0][:0]
+    listed = [none if comp[i] == 0 else sets[i] for i in range(90)]
+    large = [sets[i] if comp[i] == 0 else none for i in range(90)]
+    at = {int(x): i for i, x in enumerate(node)}
+    found = []
+    for slot in range(3):
+        for block in range(2):
+            asks, held = (node % 3 == slot) & (comp != 0), node % 2 == block
+            use = asks | held
+            pick = np.flatnonzero(use)
+            found += settle(node[use], n[use], comp[use], [sets[i] for i in pick], [listed[i] for i in pick], 75,
+                            [large[i] for i in pick], held[use], asks[use])
+    found = [(at[a], at[b]) for a, b in found]
+    assert {tuple(sorted(x, reverse=True)) for x in found} <= set(linked)
+    assert joined(found, comp) == joined(linked, comp)
+
+
 def test_passages_are_told_apart_by_both_halves_of_their_key():
     """Entries that share 64 bits of a key by chance are no passage, in the map step and after the shuffle."""
     from lakeingest.llm.suffix_dedup import _MARK, _compare, _local

@@ -47,7 +47,8 @@ from .components import components
 from .exchange import by_kind, deal, exchange, gather, partitions, stage, unstage
 from .textblocks import chunks, grams, mix64, sequence_hash, words
 
-FLUSH_SHINGLES = 3_000_000
+#: Shingles a task holds before it sends them: about 50 bytes each while they are sorted.
+FLUSH_SHINGLES = 1_500_000
 HEAVY_KEPT = 1 << 16
 HEAVY_LOCAL = 32
 POSTINGS_PER_BLOCK = 8192

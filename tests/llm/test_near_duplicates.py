@@ -289,6 +289,24 @@ def test_large_groups_are_settled_in_parts_without_rounds(spark, monkeypatch, sh
     assert 40 < len(set(got.values())) < 150
 
 
+def test_pipeline_drops_near_copies_of_large_groups_without_rounds(spark, monkeypatch):
+    import corpus_pipeline
+    from lakeingest.llm import ngram_join as N
+    from lakeingest.session import ship_package
+    ship_package(spark)
+    docs = _near_copies(spark)
+    stage = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"]
+    want = {(r.doc_id, r.text) for r in docs.collect()
+            if r.doc_id in {x.component_id for x in ngram_jaccard_classes(docs).collect()}}
+
+    def no_round(*args):
+        raise AssertionError("a round of searches")
+    monkeypatch.setattr(N, "search", no_round)
+    monkeypatch.setattr(N, "SETTLE_SHINGLES", 500)
+    got = [(r.doc_id, r.text) for r in stage(spark, docs, "").collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_groups_of_too_much_work_take_a_round_and_the_others_do_not(spark, monkeypatch):
     from lakeingest.llm import ngram_join as N
     from lakeingest.session import ship_package

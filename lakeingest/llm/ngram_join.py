@@ -60,7 +60,8 @@ SETTLE_CUTS = 16
 #: Shared shingles of the small groups that are settled together.
 SETTLE_TOGETHER = 500_000
 PROBED_AT_ONCE = 64
-#: Rows (24 bytes each) of the classes looked at again that are broadcast to the texts; more of them are joined by shuffle.
+#: Rows (24 bytes each) of the classes looked at again, and of the doc_ids that go, that are broadcast to the texts; more of them
+#: are joined by shuffle.
 BROADCAST_CLASSES = 1_000_000
 _SEQ, _CHECK, _SHORT = 1, 2, 7
 
@@ -626,7 +627,8 @@ def keep_one_of_each_group(documents: DataFrame, k: int = 5, similarity: int = 7
     if known.groupBy("doc_id").count().filter("count > 1").isEmpty():
         # Every doc_id is one row with words at most: the rows that go are named by it.
         gone = known.filter("doc_id <> component_id").select("doc_id")
-        return rows.join(gone, "doc_id", "left_anti").select("row.*")
+        few = gone.count() <= BROADCAST_CLASSES
+        return rows.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select("row.*")
     marked = stage(rows.mapInArrow(_marked, T.StructType(
         [*rows.schema.fields, T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType())])), "ngram-marked")
     groups = known.select("h1", "h2", "part", "component_id").distinct()
